@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The corpora are finite file reads (article trees, thread folders, delimited
+files); there is no stream source, watermark, window or state to reproduce.
+All jobs are batch DataFrame plans; a caller who receives files continuously
+can run any pipeline per micro-batch with ``writeStream.foreachBatch``.
+"""
