@@ -40,3 +40,68 @@ def pipeline_stance(stances: DataFrame, bodies: DataFrame, k: int = 10) -> DataF
     indexed = indexing.global_index(pairs, "doc_id", out="idx", start=0)
     out = split_labelled(indexed.withColumnRenamed("label", "stance"), k=k)
     return out.select(*SPLIT_COLUMNS)
+
+
+def pipeline_stance_paragraphs(stances: DataFrame, bodies: DataFrame,
+                               mapping: dict = labels.ARTICLE_STANCE, k: int = 10) -> DataFrame:
+    """P02 (and P03 paragraphs with the relation map): paragraphs of each body,
+    1-based index in (row, paragraph) order, k contiguous folds."""
+    pairs = stance_pairs(stances, bodies, mapping, paragraphs=True)
+    return cross_eval(pairs.withColumnRenamed("label", "stance"), ["doc_id", "para"], k)
+
+
+def pipeline_full_folds(stances: DataFrame, bodies: DataFrame,
+                        mapping: dict = labels.ARTICLE_STANCE, k: int = 10) -> DataFrame:
+    """Whole bodies (newlines flattened), 1-based index, k folds."""
+    pairs = stance_pairs(stances, bodies, mapping)
+    return cross_eval(pairs.withColumnRenamed("label", "stance"), ["doc_id"], k)
+
+
+def cross_eval(df: DataFrame, order_by, k: int = 10, idx_col: str | None = None) -> DataFrame:
+    """``export_cross_eval``: index (given ids, else 1..n in order) and the
+    contiguous fold of every row."""
+    ranked = indexing.global_index(df, order_by, out="_q_pos", total_out="_q_n")
+    idx = F.col(idx_col) if idx_col else (F.col("_q_pos") + 1)
+    out = ranked.withColumn("fold", indexing.fold_of("_q_pos", "_q_n", k)).withColumn("idx", idx)
+    return out.select("idx", "source", "target", "stance", "fold")
+
+
+def annotated_stance(batches: DataFrame, clean_text=None) -> DataFrame:
+    """S11 -> F04 -> F03 -> V07 -> [C01] -> U02 -> W04: (idx, source, target, stance)."""
+    from quarry.functions.text import simple_clean
+    df = filters.drop_report_rows(batches.select("batch", "news_label", "doc_id", "source",
+                                                 "target", "stance", "clean"))
+    df = filters.keep_clean_rows(df)
+    df = df.withColumn("source", simple_clean("source")).withColumn("target", simple_clean("target"))
+    if clean_text is not None:
+        df = clean_text(df, "source")
+    df = df.withColumn("_q_ord", F.struct("batch", "news_label", "doc_id"))
+    dedup = indexing.drop_duplicate_pairs(df.select("_q_ord", "source", "target", "stance"),
+                                          ["source", "target"], "_q_ord", idx_out="idx", start=1)
+    return dedup.select("idx", "source", "target", "stance")
+
+
+def annotated_sentiment(batches: DataFrame, clean_text=None) -> DataFrame:
+    """S11 -> F05 -> V07 -> [C01] -> U02 -> W04(source): (idx, source, sentiment)."""
+    from quarry.functions.text import simple_clean
+    df = filters.keep_comment_sentiment(batches)
+    df = df.withColumn("source", simple_clean("source"))
+    if clean_text is not None:
+        df = clean_text(df, "source")
+    df = df.withColumn("_q_ord", F.struct("batch", "news_label", "doc_id"))
+    dedup = indexing.drop_duplicate_pairs(df.select("_q_ord", "source", "sentiment"),
+                                          ["source"], "_q_ord", idx_out="idx", start=1)
+    return dedup.select("idx", "source", "sentiment")
+
+
+def pipeline_annotated_stance(batches: DataFrame, clean_text=None, k: int = 10) -> DataFrame:
+    """Annotated stance batches -> dedupe -> hold-out -> folds."""
+    out = split_labelled(annotated_stance(batches, clean_text), k=k)
+    return out.select(*SPLIT_COLUMNS)
+
+
+def pipeline_annotated_sentiment(batches: DataFrame, clean_text=None, k: int = 10) -> DataFrame:
+    """Annotated sentiment batches -> dedupe -> hold-out -> folds."""
+    out = split_labelled(annotated_sentiment(batches, clean_text), label_col="sentiment",
+                         text_cols=("source",), k=k)
+    return out.select("idx", "source", "sentiment", "split", "fold")

@@ -1,4 +1,9 @@
-"""Registered queries: fixture view -> operator(s), one per SURVEY key."""
+"""Registered queries: fixture view -> operator(s), one per SURVEY key.
+
+Each query reads the shared tables under ``sf_dir`` (through the fixture
+views) and returns the operator's output with the column names its oracle
+SQL uses (``quarry.plans.oracle``).
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry import sinks, sources
+from quarry.functions import text as tx
+from quarry.functions.math import softmax
+from quarry.functions.web import home_url
+from quarry.operators import aggregates as agg
+from quarry.operators import filters, indexing, joins, labels, metrics, quality, sets, threads
+from quarry.operators import text as text_ops
 from quarry.plans import fixtures as fx
 from quarry.plans import pipelines as pl
 
@@ -25,6 +37,596 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+def _stance(spark, sf, mapping=labels.ARTICLE_STANCE, paragraphs=False):
+    return pl.stance_pairs(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf),
+                           mapping, paragraphs)
+
+
+def _round3(col):
+    return [F.round(F.element_at(col, i + 1), 9).alias(f"p{i}") for i in range(3)]
+
+
+# --- pipelines -----------------------------------------------------------------------
+
 @register("pipeline_stance")
 def q_pipeline_stance(spark, sf):
     return pl.pipeline_stance(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf))
+
+
+@register("pipeline_stance_paragraphs")
+def q_pipeline_stance_paragraphs(spark, sf):
+    return pl.pipeline_stance_paragraphs(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf))
+
+
+@register("pipeline_relation")
+def q_pipeline_relation(spark, sf):
+    return pl.pipeline_full_folds(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf),
+                                  labels.RELATION)
+
+
+@register("pipeline_relation_paragraphs")
+def q_pipeline_relation_paragraphs(spark, sf):
+    return pl.pipeline_stance_paragraphs(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf),
+                                         labels.RELATION)
+
+
+@register("pipeline_stance_full_folds")
+def q_pipeline_stance_full_folds(spark, sf):
+    return pl.pipeline_full_folds(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf))
+
+
+@register("pipeline_annotated_stance")
+def q_pipeline_annotated_stance(spark, sf):
+    return pl.pipeline_annotated_stance(fx.fx_annotated(spark, sf))
+
+
+@register("pipeline_annotated_sentiment")
+def q_pipeline_annotated_sentiment(spark, sf):
+    return pl.pipeline_annotated_sentiment(fx.fx_annotated(spark, sf))
+
+
+@register("pipeline_sst")
+def q_pipeline_sst(spark, sf):
+    split = pl.pipeline_annotated_sentiment(fx.fx_annotated(spark, sf))
+    return sinks.sst_layout(split, "source", "sentiment")
+
+
+@register("pipeline_rescale")
+def q_pipeline_rescale(spark, sf):
+    data = pl.pipeline_stance(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf))
+    data = data.select("idx", "source", "target", "stance")
+    scaled = indexing.rescale_to_distribution(data, "stance", "idx")
+    return indexing.seeded_shuffle(scaled, "idx", seed=9)
+
+
+@register("pipeline_folds_from_table")
+def q_pipeline_folds_from_table(spark, sf):
+    pairs = _stance(spark, sf).select("doc_id", "source", "target",
+                                      F.concat(F.col("label"), F.lit(" \t")).alias("stance"))
+    pairs = pairs.withColumn("stance", tx.py_rstrip("stance"))
+    checked = quality.require_label_domain(pairs, labels.STANCE_DOMAIN, "stance")
+    return pl.cross_eval(checked.withColumnRenamed("doc_id", "given_id"), ["given_id"], 10,
+                         idx_col="given_id")
+
+
+# --- value maps -----------------------------------------------------------------------
+
+@register("map_stance_rumour")
+def q_map_stance_rumour(spark, sf):
+    return labels.map_stance_rumour(fx.fx_thread_labels(spark, sf), "label")
+
+
+@register("map_stance_article")
+def q_map_stance_article(spark, sf):
+    return labels.map_stance_article(fx.fx_stance_rows(spark, sf).select("doc_id", "stance"))
+
+
+@register("map_relation")
+def q_map_relation(spark, sf):
+    return labels.map_relation(fx.fx_stance_rows(spark, sf).select("doc_id", "stance"))
+
+
+@register("map_paraphrase")
+def q_map_paraphrase(spark, sf):
+    return labels.map_paraphrase(fx.fx_paraphrase(spark, sf).select("doc_id", "raw_label"))
+
+
+@register("map_sentiment_binary")
+def q_map_sentiment_binary(spark, sf):
+    a = fx.fx_annotated(spark, sf).filter(F.col("sentiment").isNotNull())
+    return labels.map_sentiment_binary(a.select("doc_id", "sentiment"))
+
+
+@register("flatten_newlines")
+def q_flatten_newlines(spark, sf):
+    return fx.fx_stance_pairs(spark, sf).select("doc_id", tx.flatten_newlines("body").alias("source"))
+
+
+@register("simple_clean")
+def q_simple_clean(spark, sf):
+    a = fx.fx_annotated(spark, sf)
+    return a.select("doc_id", tx.simple_clean("source").alias("source"),
+                    tx.simple_clean("target").alias("target"))
+
+
+@register("rstrip_label")
+def q_rstrip_label(spark, sf):
+    return fx.fx_pairs_blank(spark, sf).select("idx", tx.py_rstrip("label").alias("label"))
+
+
+@register("softmax_rows")
+def q_softmax_rows(spark, sf):
+    _, model_a, _ = fx.fx_logits(spark, sf)
+    return model_a.select("idx", *_round3(softmax("logits")))
+
+
+@register("home_url")
+def q_home_url(spark, sf):
+    return fx.table(spark, sf, "pages").select("page_id", home_url("url").alias("home_url"))
+
+
+@register("page_titles")
+def q_page_titles(spark, sf):
+    h = fx.fx_page_headlines(spark, sf)
+    return indexing.keep_one_per_key(h, ["url_id"], "url_id", keep="first")
+
+
+# --- filters --------------------------------------------------------------------------
+
+@register("drop_blank_pairs")
+def q_drop_blank_pairs(spark, sf):
+    return filters.drop_blank_pairs(fx.fx_pairs_blank(spark, sf)).select("idx", "label")
+
+
+@register("drop_unknown_labels")
+def q_drop_unknown_labels(spark, sf):
+    rows = fx.fx_stance_rows(spark, sf).select("doc_id", "stance")
+    return labels.drop_unknown_labels(rows, "stance", labels.ARTICLE_STANCE)
+
+
+@register("keep_clean_rows")
+def q_keep_clean_rows(spark, sf):
+    return filters.keep_clean_rows(fx.fx_annotated(spark, sf)).select("doc_id")
+
+
+@register("drop_report_rows")
+def q_drop_report_rows(spark, sf):
+    a = fx.fx_annotated(spark, sf).select("doc_id", "stance", "source", "target", "sentiment")
+    return filters.drop_report_rows(a).select("doc_id", "stance")
+
+
+@register("keep_comment_sentiment")
+def q_keep_comment_sentiment(spark, sf):
+    return filters.keep_comment_sentiment(fx.fx_annotated(spark, sf)).select("doc_id", "sentiment")
+
+
+@register("keep_nonempty_urls")
+def q_keep_nonempty_urls(spark, sf):
+    m = fx.fx_mentions(spark, sf)
+    return filters.keep_nonempty_urls(m, "urls").select("news_label", "news_id", "post_id", "url")
+
+
+def _article_rows(spark, sf):
+    arts = fx.fx_articles(spark, sf)
+    posts = fx.fx_article_posts(spark, sf).join(arts.select("news_id", "news_label"), "news_id")
+    return arts, posts
+
+
+@register("batch_window")
+def q_batch_window(spark, sf):
+    _, posts = _article_rows(spark, sf)
+    out = filters.batch_window(posts, "news_id", ["news_id", "post_id"], lo=3, hi=40,
+                               partition_col="news_label")
+    return out.select("news_label", "news_id", "post_id")
+
+
+def _events(spark, sf):
+    return sources.scan_event_lines(fx.fx_event_lines(spark, sf))
+
+
+@register("cap_list_per_event")
+def q_cap_list_per_event(spark, sf):
+    capped = filters.cap_list_per_event(_events(spark, sf), "post_ids", n=5)
+    return capped.select("event_id", "label", F.array_join("post_ids", " ").alias("post_ids"))
+
+
+# --- joins -------------------------------------------------------------------------------
+
+@register("join_stance_bodies")
+def q_join_stance_bodies(spark, sf):
+    mapped = labels.map_stance_article(fx.fx_stance_rows(spark, sf))
+    j = joins.join_stance_bodies(mapped, fx.fx_stance_bodies(spark, sf))
+    return j.select("doc_id", "source", "target", "label")
+
+
+@register("join_articles_posts")
+def q_join_articles_posts(spark, sf):
+    arts, posts = _article_rows(spark, sf)
+    posts = posts.withColumn("post", tx.flatten_newlines("post")).drop("news_label")
+    j = joins.join_articles_posts(arts, posts)
+    return j.select("news_id", "post_id", "target_kind", "source", "target", "label")
+
+
+def _thread_inputs(spark, sf, headline_filter=None):
+    posts = fx.fx_thread_posts(spark, sf).filter(tx.has_text("text"))
+    edges = fx.fx_thread_edges(spark, sf)
+    lab = fx.fx_thread_labels(spark, sf)
+    table = sources.scan_headlines(fx.fx_page_headlines(spark, sf), "url_id")
+    manifest = fx.fx_thread_manifest(spark, sf)
+    heads = manifest.join(table.select("url_id", "headline"), "url_id").select("thread", "headline")
+    if headline_filter is not None:
+        heads = heads.filter(headline_filter)
+    return posts, edges, lab, heads, manifest, table
+
+
+@register("join_thread_pairs")
+def q_join_thread_pairs(spark, sf):
+    posts, edges, lab, *_ = _thread_inputs(spark, sf)
+    return threads.join_thread_pairs(edges, posts, lab)
+
+
+@register("join_source_headlines")
+def q_join_source_headlines(spark, sf):
+    posts, _, lab, heads, *_ = _thread_inputs(spark, sf)
+    return threads.join_source_headlines(posts, lab, heads)
+
+
+@register("propagate_headline_labels")
+def q_propagate_headline_labels(spark, sf):
+    posts, edges, lab, heads, *_ = _thread_inputs(spark, sf)
+    return threads.propagate_headline_labels(edges, posts, lab, heads)
+
+
+@register("unmatched_report")
+def q_unmatched_report(spark, sf):
+    posts, edges, lab, _, manifest, table = _thread_inputs(spark, sf)
+    return threads.unmatched_report(edges, posts, lab, manifest, table)
+
+
+@register("zip_predictions_truth")
+def q_zip_predictions_truth(spark, sf):
+    p = fx.fx_preds(spark, sf)
+    return joins.zip_predictions_truth(p.select("idx", "pred"), p.select("idx", "truth"))
+
+
+@register("combine_stance_relation")
+def q_combine_stance_relation(spark, sf):
+    p = fx.fx_preds(spark, sf)
+    return joins.combine_stance_relation(p.select("idx", F.col("pred").alias("stance")),
+                                         p.select("idx", "relation"))
+
+
+@register("override_merge")
+def q_override_merge(spark, sf):
+    return joins.override_merge(fx.fx_thread_labels(spark, sf), fx.fx_thread_dev_labels(spark, sf),
+                                ["thread", "post"], "label")
+
+
+@register("experiment_summary")
+def q_experiment_summary(spark, sf):
+    test, a, b = fx.fx_logits(spark, sf)
+    return joins.experiment_summary(test, a, b)
+
+
+def _pairs(spark, sf):
+    return sources.scan_sentence_pairs(fx.fx_pair_lines(spark, sf))
+
+
+@register("pair_semi_anti_split")
+def q_pair_semi_anti_split(spark, sf):
+    s = joins.pair_semi_anti_split(_pairs(spark, sf), fx.fx_dev_ids(spark, sf))
+    return s.select("id1", "id2", "split")
+
+
+# --- aggregates and metrics -----------------------------------------------------------------
+
+def _mention_urls(spark, sf):
+    return filters.keep_nonempty_urls(fx.fx_mentions(spark, sf), "urls")
+
+
+@register("mentioned_urls_by_event")
+def q_mentioned_urls_by_event(spark, sf):
+    m = fx.fx_mentions(spark, sf)
+    return agg.mentioned_urls_by_event(m, _mention_urls(spark, sf))
+
+
+@register("mentioned_url_frequency")
+def q_mentioned_url_frequency(spark, sf):
+    return agg.mentioned_url_frequency(_mention_urls(spark, sf))
+
+
+@register("source_url_frequency")
+def q_source_url_frequency(spark, sf):
+    return agg.source_url_frequency(fx.fx_articles(spark, sf))
+
+
+@register("label_histogram")
+def q_label_histogram(spark, sf):
+    return agg.label_histogram(_stance(spark, sf), "label")
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return metrics.confusion_matrix(fx.fx_preds(spark, sf))
+
+
+@register("class_metrics")
+def q_class_metrics(spark, sf):
+    return metrics.class_metrics(fx.fx_preds(spark, sf))
+
+
+@register("overall_metrics")
+def q_overall_metrics(spark, sf):
+    return metrics.overall_metrics(fx.fx_preds(spark, sf))
+
+
+@register("metrics_report")
+def q_metrics_report(spark, sf):
+    return metrics.metrics_report(fx.fx_preds(spark, sf))
+
+
+@register("label_union_set")
+def q_label_union_set(spark, sf):
+    return metrics.label_union_set(fx.fx_preds(spark, sf))
+
+
+@register("pipeline_evaluate")
+def q_pipeline_evaluate(spark, sf):
+    p = fx.fx_preds(spark, sf)
+    z = joins.zip_predictions_truth(p.select("idx", "pred"), p.select("idx", "truth"))
+    return metrics.metrics_report(z)
+
+
+@register("pipeline_stance_relation")
+def q_pipeline_stance_relation(spark, sf):
+    p = fx.fx_preds(spark, sf)
+    a = joins.combine_stance_relation(p.select("idx", F.col("pred").alias("stance")),
+                                      p.select("idx", "relation"))
+    b = joins.combine_stance_relation(p.select("idx", F.col("truth").alias("stance")),
+                                      p.select("idx", "relation"))
+    return sets.union_batches([a, b], "corpus")
+
+
+@register("pipeline_summary")
+def q_pipeline_summary(spark, sf):
+    test, a, b = fx.fx_logits(spark, sf)
+
+    def through_json(model):
+        # one JSON document per block of 100 examples, parsed back by S14
+        blocks = model.groupBy(F.floor(F.col("idx") / 100).alias("block")).agg(
+            F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("idx", "logits"))),
+                                  lambda s: s["logits"])).alias("value"),
+            F.array_sort(F.collect_list(F.struct("idx", "pred"))).alias("preds"))
+        parsed = sources.scan_logits(blocks, "value", pos_out="pos")
+        return parsed.select(F.col("preds")[F.col("pos").cast("int")]["idx"].alias("idx"),
+                             F.col("preds")[F.col("pos").cast("int")]["pred"].alias("pred"),
+                             "logits")
+    return joins.experiment_summary(test, through_json(a), through_json(b))
+
+
+# --- indexing, splits, rescaling --------------------------------------------------------------
+
+@register("global_index")
+def q_global_index(spark, sf):
+    a = fx.fx_annotated(spark, sf).select("batch", "news_label", "doc_id")
+    return indexing.global_index(a, ["batch", "news_label", "doc_id"], out="idx").select(
+        "doc_id", "idx")
+
+
+@register("kfold_contiguous")
+def q_kfold_contiguous(spark, sf):
+    s = fx.fx_stance_pairs(spark, sf).select("doc_id")
+    return indexing.kfold_contiguous(s, "doc_id", k=10)
+
+
+@register("holdout_split")
+def q_holdout_split(spark, sf):
+    d = fx.table(spark, sf, "documents").select(F.col("doc_id").alias("idx"))
+    return indexing.holdout_split(d, "idx", k=None)
+
+
+@register("rescale_to_distribution")
+def q_rescale_to_distribution(spark, sf):
+    s = _stance(spark, sf).select("doc_id", F.col("label").alias("stance"))
+    return indexing.rescale_to_distribution(s, "stance", "doc_id")
+
+
+@register("drop_duplicate_pairs")
+def q_drop_duplicate_pairs(spark, sf):
+    a = fx.fx_annotated(spark, sf).withColumn("_q_ord", F.struct("batch", "news_label", "doc_id"))
+    d = indexing.drop_duplicate_pairs(a.select("_q_ord", "doc_id", "source", "target"),
+                                      ["source", "target"], "_q_ord", idx_out="idx", start=1)
+    return d.select("idx", "doc_id")
+
+
+@register("keep_one_per_key")
+def q_keep_one_per_key(spark, sf):
+    a = fx.fx_annotated(spark, sf).select("target", "doc_id")
+    return indexing.keep_one_per_key(a, ["target"], "doc_id", keep="last")
+
+
+@register("order_by_frequency")
+def q_order_by_frequency(spark, sf):
+    f = agg.source_url_frequency(fx.fx_articles(spark, sf))
+    return agg.order_by_frequency(f, "frequency", "source_url", rank_out="rank")
+
+
+@register("head_per_group")
+def q_head_per_group(spark, sf):
+    s = _stance(spark, sf).select("label", "doc_id")
+    quotas = spark.createDataFrame([(lbl, 5) for lbl in labels.STANCE_DOMAIN], "label string, quota int")
+    return indexing.head_per_group(s, "label", "doc_id", quotas)
+
+
+@register("seeded_shuffle")
+def q_seeded_shuffle(spark, sf):
+    d = fx.table(spark, sf, "documents").select("doc_id")
+    return indexing.global_index(d, indexing.seeded_key("doc_id", 9), out="pos")
+
+
+# --- set operations ---------------------------------------------------------------------------
+
+@register("union_datasets")
+def q_union_datasets(spark, sf):
+    a = _stance(spark, sf).select("doc_id", "label")
+    b = _stance(spark, sf, labels.RELATION).select("doc_id", "label")
+    return sets.union_datasets(a, b)
+
+
+@register("union_batches")
+def q_union_batches(spark, sf):
+    a = fx.fx_annotated(spark, sf).select("doc_id", "news_label", "stance")
+    return sets.union_batches([a.filter(F.col("news_label") == "fake"),
+                               a.filter(F.col("news_label") == "real")]).select(
+        "ordinal", "doc_id", "stance")
+
+
+@register("union_label_classes")
+def q_union_label_classes(spark, sf):
+    m = fx.fx_mentions(spark, sf)
+    fake = m.filter(F.col("news_label") == "fake").select("post_id")
+    real = m.filter(F.col("news_label") == "real").select("post_id")
+    return sets.union_label_classes(fake, real)
+
+
+# --- data quality -------------------------------------------------------------------------------
+
+@register("validate_pairs")
+def q_validate_pairs(spark, sf):
+    rows = labels.map_labels(fx.fx_stance_pairs(spark, sf), "raw_stance", labels.ARTICLE_STANCE,
+                             out="label", on_unknown="null")
+    rows = rows.select(F.col("body").alias("source"), F.col("headline").alias("target"), "label")
+    return quality.validate_pairs(rows)
+
+
+@register("validate_label_domain")
+def q_validate_label_domain(spark, sf):
+    rows = fx.fx_stance_rows(spark, sf).select(F.col("stance").alias("label"))
+    return quality.validate_label_domain(rows, labels.STANCE_DOMAIN)
+
+
+@register("assert_equal_sizes")
+def q_assert_equal_sizes(spark, sf):
+    p = fx.fx_preds(spark, sf)
+    return quality.assert_equal_sizes(p.filter(F.col("idx") % 7 != 0), p.filter(F.col("idx") % 11 != 0))
+
+
+# --- layouts ------------------------------------------------------------------------------------
+
+@register("sts_layout")
+def q_sts_layout(spark, sf):
+    pairs = indexing.global_index(_stance(spark, sf), "doc_id", out="idx", start=0)
+    return sinks.sts_layout(pairs, label="label")
+
+
+@register("sst_layout")
+def q_sst_layout(spark, sf):
+    rows = filters.keep_comment_sentiment(fx.fx_annotated(spark, sf))
+    return sinks.sst_layout(rows, "source", "sentiment")
+
+
+@register("pair_layout")
+def q_pair_layout(spark, sf):
+    return sinks.pair_layout(_pairs(spark, sf))
+
+
+@register("event_layout")
+def q_event_layout(spark, sf):
+    return sinks.event_layout(_events(spark, sf))
+
+
+@register("pipeline_event_lines")
+def q_pipeline_event_lines(spark, sf):
+    return sinks.event_layout(filters.cap_list_per_event(_events(spark, sf), "post_ids", n=50))
+
+
+@register("pipeline_sentence_pairs")
+def q_pipeline_sentence_pairs(spark, sf):
+    s = joins.pair_semi_anti_split(_pairs(spark, sf), fx.fx_dev_ids(spark, sf))
+    return sinks.pair_layout(s).join(s.select(F.concat_ws("-", "id1", "id2").alias("pair_id"),
+                                              "split"), "pair_id")
+
+
+# --- scans over derived text ----------------------------------------------------------------------
+
+@register("scan_label_maps")
+def q_scan_label_maps(spark, sf):
+    train = fx.fx_thread_labels(spark, sf)
+    dev = fx.fx_thread_dev_labels(spark, sf)
+    train_json = train.select("thread", F.to_json(F.create_map(F.col("post").cast("string"),
+                                                               F.col("label"))).alias("value"))
+    dev_json = dev.select("thread", F.to_json(F.create_map(
+        F.lit("subtaskaenglish"), F.create_map(F.col("post").cast("string"), F.col("label"))))
+        .alias("value"))
+    t = sources.scan_label_maps(train_json)
+    d = sources.scan_label_maps(dev_json, nested_key="subtaskaenglish")
+    return joins.override_merge(t, d, ["thread", "post"], "label")
+
+
+@register("scan_headlines")
+def q_scan_headlines(spark, sf):
+    h = fx.fx_page_headlines(spark, sf)
+    h = h.select(F.floor(F.col("url_id") / 2).cast("bigint").alias("url_id"), "full_url", "headline",
+                 "media", F.when(F.col("url_id") % 9 == 0, "0").otherwise("1").alias("clean"),
+                 F.col("url_id").alias("row_no"))
+    return sources.scan_headlines(h, "row_no").select("url_id", "full_url", "headline")
+
+
+@register("scan_reply_edges")
+def q_scan_reply_edges(spark, sf):
+    return sources.scan_reply_edges(fx.fx_reply_json(spark, sf))
+
+
+@register("scan_event_lines")
+def q_scan_event_lines(spark, sf):
+    e = _events(spark, sf)
+    return e.select("event_id", "label", F.size("post_ids").cast("bigint").alias("n_ids"),
+                    F.array_join("post_ids", " ").alias("post_ids"))
+
+
+@register("scan_sentence_pairs")
+def q_scan_sentence_pairs(spark, sf):
+    return _pairs(spark, sf)
+
+
+@register("scan_logits")
+def q_scan_logits(spark, sf):
+    _, a, _ = fx.fx_logits(spark, sf)
+    blocks = a.groupBy(F.floor(F.col("idx") / 100).cast("bigint").alias("block")).agg(
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("idx", "logits"))),
+                              lambda s: s["logits"])).alias("value"))
+    parsed = sources.scan_logits(blocks, "value", pos_out="pos")
+    return parsed.select("block", "pos", *[F.round(F.element_at("logits", i + 1), 9).alias(f"l{i}")
+                                           for i in range(3)])
+
+
+# --- text jobs --------------------------------------------------------------------------------------
+
+@register("explode_paragraphs")
+def q_explode_paragraphs(spark, sf):
+    s = fx.fx_stance_pairs(spark, sf).select("doc_id", F.col("body").alias("source"),
+                                             F.col("headline").alias("target"))
+    return text_ops.explode_paragraphs(s, "source", order_out="para")
+
+
+@register("strip_urls")
+def q_strip_urls(spark, sf):
+    return fx.fx_url_text(spark, sf).select("page_id", tx.strip_urls("text").alias("text"))
+
+
+@register("strip_tags")
+def q_strip_tags(spark, sf):
+    return fx.table(spark, sf, "documents").select("doc_id", tx.strip_tags("text").alias("text"))
+
+
+@register("strip_punctuation")
+def q_strip_punctuation(spark, sf):
+    return fx.table(spark, sf, "documents").select("doc_id", tx.strip_punctuation("text").alias("text"))
+
+
+@register("numeric_token_filter")
+def q_numeric_token_filter(spark, sf):
+    d = fx.table(spark, sf, "documents").select("doc_id", F.posexplode(tx.split_words("text"))
+                                               .alias("pos", "token"))
+    return d.filter(~tx.is_number("token")).groupBy("doc_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("kept"))

@@ -25,6 +25,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

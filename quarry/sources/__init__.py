@@ -1 +1,232 @@
-"""quarry.sources."""
+"""Readers for the corpus layouts.
+
+All readers take explicit schemas (no inference), return lazy DataFrames and
+carry an explicit order key where the reference relies on file order
+(``_metadata.file_path`` plus a line/record position).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarry.functions.text import py_strip
+
+
+def string_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+
+
+def scan_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
+                   header: bool = True) -> DataFrame:
+    """Delimited text with ``"`` quoting, doubled-quote escape and
+    multi-line fields, every column STRING, empty fields as ''.
+
+    ``header=True`` drops the first record of each file (the reference's
+    ``load_header=False``; its flag name reads backwards, D14)."""
+    df = (spark.read.schema(string_schema(columns))
+          .option("sep", sep).option("quote", '"').option("escape", '"')
+          .option("multiLine", "true").option("header", str(header).lower())
+          .option("mode", "FAILFAST").csv(path))
+    return df.na.fill("", list(columns))
+
+
+def scan_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line (``value``)."""
+    return spark.read.text(path)
+
+
+def scan_json_objects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """One JSON object per file, with the file path kept."""
+    df = spark.read.schema(schema).option("multiLine", "true").json(path)
+    return df.withColumn("file_path", F.col("_metadata.file_path"))
+
+
+# Schemas of the article tree
+ARTICLE_SCHEMA = T.StructType([
+    T.StructField("url", T.StringType()), T.StructField("title", T.StringType()),
+    T.StructField("meta_data", T.StructType([T.StructField("description", T.StringType())]))])
+POST_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("text", T.StringType()),
+    T.StructField("entities", T.StructType([T.StructField("urls", T.ArrayType(
+        T.StructType([T.StructField("expanded_url", T.StringType())])))]))])
+
+
+def scan_article_tree(spark: SparkSession, root: str,
+                      datasets: Sequence[str] = ("politifact",)) -> tuple[DataFrame, DataFrame]:
+    """``{dataset}/{fake,real}/{news_id}/news content.json`` and
+    ``.../tweets/*``. Returns (articles, posts); dataset, news label and news id
+    come from the path. Articles without a content file never appear; posts of
+    articles without one are dropped by the inner join (the loader skips them)."""
+    ds = "{" + ",".join(datasets) + "}"
+    arts = (spark.read.schema(ARTICLE_SCHEMA).option("multiLine", "true")
+            .json(f"{root}/{ds}/*/*/news content.json"))
+    path_re = r"/([^/]+)/(fake|real)/([^/]+)/"
+    arts = arts.select(
+        F.regexp_extract("_metadata.file_path", path_re, 1).alias("dataset"),
+        F.regexp_extract("_metadata.file_path", path_re, 2).alias("news_label"),
+        F.regexp_extract("_metadata.file_path", path_re, 3).alias("news_id"),
+        F.col("url"), F.coalesce(F.col("title"), F.lit("")).alias("title"),
+        F.coalesce(F.col("meta_data.description"), F.lit("")).alias("description"))
+    posts = (spark.read.schema(POST_SCHEMA).option("multiLine", "true")
+             .json(f"{root}/{ds}/*/*/tweets/*"))
+    posts = posts.select(
+        F.regexp_extract("_metadata.file_path", path_re, 1).alias("dataset"),
+        F.regexp_extract("_metadata.file_path", path_re, 2).alias("news_label"),
+        F.regexp_extract("_metadata.file_path", path_re, 3).alias("news_id"),
+        F.regexp_extract("_metadata.file_path", r"/tweets/([^/]+)$", 1).alias("post_file"),
+        F.col("id").alias("post_id"), F.col("text"), F.col("entities.urls").alias("urls"))
+    posts = posts.join(arts.select("dataset", "news_label", "news_id"),
+                       ["dataset", "news_label", "news_id"], "left_semi")
+    return arts, posts
+
+
+THREAD_POST_SCHEMA = T.StructType([T.StructField("id", T.LongType()),
+                                   T.StructField("text", T.StringType())])
+
+
+def scan_thread_tree(spark: SparkSession, root: str, with_topic: bool = True) -> DataFrame:
+    """``[topic/]discourse/{replies,source-tweet}/*`` posts.
+
+    Returns (thread, post, text, is_source) with the raw text; callers clean
+    it (C01) and drop blanks. Source text wins over reply text on the same id
+    (``keep_source_text``)."""
+    pattern = f"{root}/*/*" if with_topic else f"{root}/*"
+    df = (spark.read.schema(THREAD_POST_SCHEMA).option("multiLine", "true")
+          .json(f"{pattern}/{{replies,source-tweet}}/*"))
+    folder_re = r"/([^/]+)/(replies|source-tweet)/[^/]+$"
+    return df.select(
+        F.regexp_extract("_metadata.file_path", folder_re, 1).alias("thread"),
+        F.col("id").cast("string").alias("post"), F.col("text"),
+        (F.regexp_extract("_metadata.file_path", folder_re, 2) == "source-tweet").alias("is_source"))
+
+
+def keep_source_text(posts: DataFrame, keys=("thread", "post")) -> DataFrame:
+    """``{**replies, **sources}``: per id, the source post's text wins."""
+    from quarry.operators.indexing import keep_one_per_key
+    ordered = posts.withColumn("_q_src", F.col("is_source").cast("int"))
+    return keep_one_per_key(ordered, list(keys), "_q_src", keep="last").drop("_q_src")
+
+
+def scan_label_maps(json_text: DataFrame, text_col: str = "value",
+                    nested_key: str | None = None) -> DataFrame:
+    """JSON label maps (post id -> label) to rows (post, label).
+
+    ``nested_key`` reads the 2019 layout (maps under ``subtaskaenglish``).
+    Other columns of ``json_text`` (e.g. thread, priority) are kept."""
+    src = F.col(text_col)
+    if nested_key:
+        src = F.get_json_object(src, f"$.{nested_key}")
+    parsed = F.from_json(src, "map<string,string>")
+    others = [c for c in json_text.columns if c != text_col]
+    return json_text.select(*others, F.explode(parsed).alias("post", "label"))
+
+
+def scan_headlines(df: DataFrame, order_col: str) -> DataFrame:
+    """Headline table (url_id, full_url, headline, media, clean): keep
+    ``clean == '1'``, last row per url_id wins (a header row falls out since
+    its clean field reads ``clean``)."""
+    from quarry.operators.indexing import keep_one_per_key
+    kept = df.filter(F.col("clean") == "1")
+    return keep_one_per_key(kept, ["url_id"], order_col, keep="last")
+
+
+MANIFEST_COLUMNS = ["url_id", "short_url", "full_url"]
+
+
+def scan_url_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Per-thread ``urls.dat`` (tab, no header), thread from the path."""
+    df = scan_delimited(spark, path, MANIFEST_COLUMNS, sep="\t", header=False)
+    return df.withColumn("thread", F.regexp_extract(
+        F.col("_metadata.file_path"), r"/([^/]+)/urls\.dat$", 1))
+
+
+def scan_reply_edges(structures: DataFrame, json_col: str = "structure",
+                     thread_col: str = "thread", max_levels: int = 10_000) -> DataFrame:
+    """Nested reply JSON -> (thread, parent, node) edges.
+
+    Level by level: each object is read as ``map<string,string>``; a nested
+    object comes back as its JSON text and is expanded at the next level, any
+    other value (``[]``, a list, a scalar) ends the branch. One join-free
+    ``explode`` per level; the loop stops when no object is left."""
+    level = structures.select(F.col(thread_col).alias("thread"), F.lit(None).cast("string")
+                              .alias("parent"), F.col(json_col).alias("_q_json"))
+    edges = None
+    for _ in range(max_levels):
+        kids = level.filter(F.col("_q_json").startswith("{")).select(
+            "thread", "parent", F.explode(F.from_json("_q_json", "map<string,string>"))
+            .alias("node", "_q_kids"))
+        kids = kids.persist()
+        if kids.isEmpty():
+            kids.unpersist()
+            break
+        part = kids.filter(F.col("parent").isNotNull()).select("thread", "parent", "node")
+        edges = part if edges is None else edges.unionByName(part)
+        level = kids.select("thread", F.col("node").alias("parent"),
+                            F.trim(F.col("_q_kids")).alias("_q_json"))
+    if edges is None:
+        schema = "thread string, parent string, node string"
+        return structures.sparkSession.createDataFrame([], schema)
+    return edges
+
+
+def scan_stance_corpus(spark: SparkSession, bodies_path: str,
+                       stances_path: str) -> tuple[DataFrame, DataFrame]:
+    """Bodies CSV (body id, body) and stances CSV (headline, body id,
+    stance), header rows dropped, columns by position. The stance rows keep a
+    file-order key (path, record number within the file)."""
+    bodies = scan_delimited(spark, bodies_path, ["body_id", "body"], sep=",", header=True)
+    stances = scan_delimited(spark, stances_path, ["headline", "body_id", "stance"], sep=",",
+                             header=True)
+    return bodies, stances
+
+
+def scan_annotation_batches(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """Annotation batches stored as ``root/batch=*/news_label=*/``; the
+    partition columns come from the directory names (partition pruning)."""
+    reader = spark.read.option("basePath", root)
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("multiLine", "true").option(
+            "quote", '"').option("escape", '"')
+    return reader.format(fmt).load(root)
+
+
+def scan_event_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
+    """``eid:<id>\\tlabel:<l>\\t<id id ...>`` -> (event_id, label, post_ids)."""
+    parts = F.split(F.col(text_col), "\t")
+    return lines.select(
+        F.regexp_replace(F.element_at(parts, 1), "eid:", "").alias("event_id"),
+        F.element_at(parts, 2).alias("label"),
+        F.split(F.element_at(parts, 3), " ").alias("post_ids"))
+
+
+def scan_sentence_pairs(lines: DataFrame, text_col: str = "value",
+                        strict: bool = True) -> DataFrame:
+    """``label\\tid1\\tid2\\ts1\\ts2`` lines, outer whitespace stripped,
+    exactly five fields (the job fails otherwise when ``strict``)."""
+    fields = F.split(py_strip(F.col(text_col)), "\t")
+    parsed = lines.select(fields.alias("_q_f"))
+    if strict:
+        parsed = parsed.withColumn("_q_f", F.when(F.size("_q_f") == 5, F.col("_q_f")).otherwise(
+            F.raise_error(F.lit("sentence pair line does not have 5 fields"))))
+    else:
+        parsed = parsed.filter(F.size("_q_f") == 5)
+    names = ["label", "id1", "id2", "s1", "s2"]
+    return parsed.select(*[F.element_at("_q_f", i + 1).alias(n) for i, n in enumerate(names)])
+
+
+def scan_logits(json_text: DataFrame, text_col: str = "value", pos_out: str = "idx") -> DataFrame:
+    """A JSON array of logit rows -> one row per element, ``pos_out`` =
+    position in the document (the example id), other columns kept."""
+    arr = F.from_json(F.col(text_col), "array<array<double>>")
+    others = [c for c in json_text.columns if c != text_col]
+    return json_text.select(*others, F.posexplode(arr).alias(pos_out, "logits")).withColumn(
+        pos_out, F.col(pos_out).cast("bigint"))
+
+
+def read_logits_file(spark: SparkSession, path: str) -> DataFrame:
+    """S14 on a file: the reference stores one JSON document per model."""
+    return scan_logits(spark.read.text(path, wholetext=True))
