@@ -11,10 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Characters for which str.isspace() is true (29 of them), as a regex class
+# body: ASCII \s and \v, the information separators 1C-1F, NEL, and the
+# Unicode separator categories (Zs, Zl, Zp). A category test is a table
+# lookup, about twice as fast in Java as a list of ranges.
+PY_WHITESPACE = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}"
+# the same set as a string, for trim()/translate() (no regex at all)
+PY_WHITESPACE_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # Fixed values (must equal Python's definitions for equal results):
-# characters for which str.isspace() is true
-PY_WHITESPACE = (r"\t\n\x{0B}\f\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 # string.punctuation, in its natural order
 ASCII_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # line boundaries of str.splitlines()
@@ -30,12 +34,12 @@ def _c(col) -> Column:
 
 def py_strip(col) -> Column:
     """``str.strip()``: remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), f"^{WS_CLASS}+|{WS_CLASS}+\\z", "")
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE_CHARS))
 
 
 def py_rstrip(col) -> Column:
     """``str.rstrip()``: remove trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), f"{WS_CLASS}+\\z", "")
+    return F.rtrim(_c(col), F.lit(PY_WHITESPACE_CHARS))
 
 
 def is_blank(col) -> Column:

@@ -10,7 +10,8 @@ Regex classes are spelled the same way as in ``quarry.functions``.
 
 from __future__ import annotations
 
-from quarry.functions.text import ASCII_PUNCTUATION, PY_LINE_BREAK, PY_WHITESPACE, URL_PATTERN
+from quarry.functions.text import (ASCII_PUNCTUATION, PY_LINE_BREAK, PY_WHITESPACE,
+                                   PY_WHITESPACE_CHARS, URL_PATTERN)
 from quarry.functions.web import (NETLOC_PATTERN, SCHEME_PATTERN, TITLE_PATTERN,
                                   TITLE_SPLIT_PATTERN)
 
@@ -27,12 +28,15 @@ def has_text(col: str) -> str:
     return f"({col} IS NOT NULL AND regexp_matches({col}, {q(NON_WS)}))"
 
 
+WS_CHARS_SQL = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE_CHARS) + ")"
+
+
 def py_strip(col: str) -> str:
-    return f"regexp_replace({col}, {q('^' + WS + '+|' + WS + '+' + chr(92) + 'z')}, '', 'g')"
+    return f"trim({col}, {WS_CHARS_SQL})"
 
 
 def py_rstrip(col: str) -> str:
-    return f"regexp_replace({col}, {q(WS + '+' + chr(92) + 'z')}, '')"
+    return f"rtrim({col}, {WS_CHARS_SQL})"
 
 
 def simple_clean(col: str) -> str:
