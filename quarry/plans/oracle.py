@@ -246,6 +246,7 @@ SELECT * FROM split_final"""
 def oracle_queries() -> dict[str, str]:
     out: dict[str, str] = {"pipeline_stance": pipeline_stance_sql()}
     out.update(_more_queries())
+    out.update(_file_and_pipeline_queries())
     return out
 
 
@@ -284,12 +285,14 @@ def cross_eval_sql(src: str, order: str, k: int = 10, idx: str | None = None) ->
        CAST(ntile({k}) OVER (ORDER BY {order}) AS BIGINT) AS fold FROM {src}"""
 
 
-THREAD_INPUTS = with_(FX_THREADS, FX_PAGE_HEADLINES, FX_THREAD_MANIFEST, f"""posts AS (
+def thread_inputs(heads_filter: str = "TRUE") -> str:
+    return with_(FX_THREADS, FX_PAGE_HEADLINES, FX_THREAD_MANIFEST, f"""posts AS (
   SELECT * FROM fx_thread_posts WHERE {has_text('text')}),
 headline_table AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url_id ORDER BY url_id DESC) AS rn
                  FROM fx_page_headlines WHERE clean = '1') WHERE rn = 1),
-heads AS (SELECT m.thread, h.headline FROM fx_thread_manifest m JOIN headline_table h ON h.url_id = m.url_id),
+heads AS (SELECT m.thread, h.headline FROM fx_thread_manifest m JOIN headline_table h ON h.url_id = m.url_id
+          WHERE {heads_filter}),
 j03 AS (
   SELECT e.thread, e.parent, e.node, n.text AS source, p.text AS target, l.label
   FROM fx_thread_edges e JOIN posts p ON p.thread = e.thread AND p.post = e.parent
@@ -305,6 +308,9 @@ j04 AS (
   SELECT s.thread, s.post, s.text AS source, h.headline AS target, s.label
   FROM seeded s JOIN heads h ON h.thread = s.thread)""")
 
+
+THREAD_INPUTS = thread_inputs()
+
 J05_SQL = """, prop AS (
   WITH RECURSIVE walk(thread, node, bit) AS (
     SELECT thread, post, CASE WHEN label = 'deny' THEN 1 ELSE 0 END FROM seeded
@@ -601,3 +607,55 @@ FROM conversations WHERE turn BETWEEN 1 AND 3"""
   SELECT doc_id, unnest(regexp_split_to_array({py_strip('text')}, {q(WS + '+')})) AS token FROM documents)
 WHERE token <> '' AND NOT regexp_matches(token, {q(NUMBER_PATTERN)}) GROUP BY doc_id"""
     return o
+
+
+def _file_and_pipeline_queries() -> dict[str, str]:
+    from quarry.functions.text import PY_LINE_BREAK as LB
+    o: dict[str, str] = {}
+    o["common_vocabulary"] = """SELECT word, count, CAST(row_number() OVER (ORDER BY count DESC, word ASC) AS BIGINT) AS rank FROM (
+  SELECT word, CAST(count(*) AS BIGINT) AS count FROM (
+    SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents)
+  GROUP BY word ORDER BY count DESC, word ASC LIMIT 2000)"""
+    j02 = ARTICLE_ROWS.rstrip() + """,
+t AS (SELECT news_id, 0 AS target_kind, title AS target FROM fx_articles
+      UNION ALL SELECT news_id, 1 AS target_kind, description AS target FROM fx_articles),
+j02 AS (
+  SELECT p.news_label, p.news_id, p.post_id, t.target_kind, replace(p.post, chr(10), ' ') AS source, t.target, 'comment' AS label
+  FROM posts p JOIN t ON t.news_id = p.news_id WHERE length(t.target) > 0)"""
+    o["longest_common_substring"] = j02 + """,
+pairs AS (SELECT news_id, post_id, source AS a, target AS b FROM j02 WHERE target_kind = 0),
+starts AS (SELECT news_id, post_id, a, b, unnest(range(1, length(a) + 1)) AS i FROM pairs),
+subs AS (SELECT news_id, post_id, a, b, i, unnest(range(1, length(a) - i + 2)) AS k FROM starts),
+hits AS (SELECT news_id, post_id, i, k, substring(a, i, k) AS sub FROM subs WHERE contains(b, substring(a, i, k))),
+best AS (SELECT news_id, post_id, arg_min(sub, (-k, i)) AS lcs FROM hits GROUP BY news_id, post_id)
+SELECT p.news_id, p.post_id, coalesce(b.lcs, '') AS lcs FROM pairs p LEFT JOIN best b
+  ON b.news_id = p.news_id AND b.post_id = p.post_id"""
+    o["pipeline_article_posts"] = j02 + """
+SELECT news_label, CAST(row_number() OVER (PARTITION BY news_label ORDER BY news_id, post_id, target_kind) - 1 AS BIGINT) AS idx,
+       source, target, label AS stance FROM j02"""
+    o["scan_article_tree"] = with_(FX_ARTICLES) + """SELECT 'politifact' AS dataset, news_label, CAST(news_id AS VARCHAR) AS news_id, url, title, description FROM fx_articles"""
+    o["pipeline_url_analysis"] = _more_queries()["mentioned_url_frequency"].replace(
+        "SELECT mentioned_url, CAST(frequency AS BIGINT) AS frequency,",
+        "SELECT CAST(row_number() OVER (ORDER BY frequency DESC, mentioned_url ASC) AS BIGINT) AS rank, mentioned_url, CAST(frequency AS BIGINT) AS frequency,")
+    for key, filt in (("pipeline_rumour_threads", "TRUE"), ("pipeline_rumour_forum", "m.thread % 2 = 0")):
+        o[key] = thread_inputs(filt).rstrip() + J05_SQL.rstrip() + """,
+allrows AS (
+  SELECT thread, post AS node, 0 AS part, source, target, label AS stance FROM j04
+  UNION ALL SELECT thread, node, 1, source, target, label FROM j03
+  UNION ALL SELECT thread, node, 2, source, target, label FROM j05)
+""" + cross_eval_sql("allrows", "thread, node, part, target")
+    o["scan_delimited"] = "SELECT CAST(doc_id AS VARCHAR) AS body_id, coalesce(text, '') AS body FROM documents"
+    o["write_delimited"] = pipeline_stance_sql().replace("SELECT * FROM split_final", """SELECT CAST(idx AS VARCHAR) AS idx, source, target, stance, split,
+       coalesce(CAST(fold AS VARCHAR), '') AS fold FROM split_final""")
+    o["write_lines"] = "SELECT url AS value FROM pages"
+    o["scan_lines"] = f"SELECT regexp_replace(text, {q(LB)}, ' ', 'g') AS value FROM documents"
+    o["scan_json_objects"] = with_(FX_ARTICLES) + "SELECT CAST(news_id AS VARCHAR) AS news_id, url, title, description FROM fx_articles"
+    o["scan_thread_tree"] = with_(FX_THREADS) + "SELECT CAST(thread AS VARCHAR) AS thread, CAST(post AS VARCHAR) AS post, text, is_source FROM fx_thread_posts"
+    o["scan_url_manifest"] = with_(FX_THREAD_MANIFEST) + "SELECT CAST(thread AS VARCHAR) AS thread, CAST(url_id AS VARCHAR) AS url_id, short_url, full_url FROM fx_thread_manifest"
+    o["scan_stance_corpus"] = stance_pairs_sql() + "SELECT CAST(doc_id AS VARCHAR) AS body_id, raw_source AS source, target, label FROM joined"
+    o["scan_annotation_batches"] = with_(FX_ANNOTATED) + "SELECT batch, news_label, doc_id, stance, sentiment, clean FROM fx_annotated"
+    o["write_folds"] = pipeline_stance_sql().replace("SELECT * FROM split_final", """,
+folds AS (SELECT unnest(range(1, 11)) AS f)
+SELECT CAST(f.f AS BIGINT) AS fold, CASE WHEN s.fold = f.f THEN 'dev' ELSE 'train' END AS split, CAST(count(*) AS BIGINT) AS n
+FROM split_final s, folds f WHERE s.split = 'train' GROUP BY 1, 2""")
+    return o

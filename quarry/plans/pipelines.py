@@ -105,3 +105,63 @@ def pipeline_annotated_sentiment(batches: DataFrame, clean_text=None, k: int = 1
     out = split_labelled(annotated_sentiment(batches, clean_text), label_col="sentiment",
                          text_cols=("source",), k=k)
     return out.select("idx", "source", "sentiment", "split", "fold")
+
+
+def pipeline_paraphrase(rows: DataFrame, clean_text=None, k: int = 10) -> DataFrame:
+    """Every row kept -> C01 on both sentences -> V04 (strict) ->
+    0-based index in file order -> blank filter -> hold-out -> folds.
+
+    ``rows``: (doc_id order key, sent1, sent2, raw_label)."""
+    df = rows
+    if clean_text is not None:
+        df = clean_text(clean_text(df, "sent1"), "sent2")
+    df = labels.map_paraphrase(df, "raw_label", out="label", on_unknown="error")
+    df = indexing.global_index(df, "doc_id", out="idx", start=0)
+    out = split_labelled(df.select("idx", "sent1", "sent2", "label"), label_col="label",
+                         text_cols=("sent1", "sent2"), k=k)
+    return out.select("idx", "sent1", "sent2", "label", "split", "fold")
+
+
+def pipeline_article_posts(articles: DataFrame, posts: DataFrame, vocab: DataFrame | None = None,
+                           batch_range: tuple[int, int] | None = None) -> DataFrame:
+    """Articles x posts -> (post, title) / (post, description) rows,
+    ``comment`` label, batch window, 0-based index per news label (the
+    reference exports one file per label).
+
+    With ``vocab`` the cleaned variant runs: posts, titles and descriptions
+    go through C01 and each post loses what it quotes from its target (C09)."""
+    from quarry.operators import cleaning
+    if vocab is not None:
+        costs = cleaning.segmentation_costs(vocab)
+        articles = cleaning.clean_corpus(articles, "news_id", "title", vocab, costs)
+        articles = cleaning.clean_corpus(articles, "news_id", "description", vocab, costs)
+        posts = cleaning.clean_corpus(posts, "post_id", "post", vocab, costs)
+    else:
+        posts = posts.withColumn("post", flatten_newlines("post"))
+    pairs = joins.join_articles_posts(articles, posts)
+    pairs = pairs.join(articles.select("news_id", "news_label"), "news_id")
+    if vocab is not None:
+        pairs = cleaning.remove_quoted_overlap(pairs, "source", "target")
+    if batch_range is not None:
+        pairs = filters.batch_window(pairs, "news_id", ["news_id", "post_id"], batch_range[0],
+                                     batch_range[1], partition_col="news_label")
+    ranked = indexing.group_row_number(pairs, ["news_label"], ["news_id", "post_id", "target_kind"],
+                                       out="idx", start=0)
+    return ranked.select("news_label", "idx", "source", "target", F.col("label").alias("stance"))
+
+
+def pipeline_rumour_threads(edges: DataFrame, posts: DataFrame, thread_labels: DataFrame,
+                            headlines: DataFrame, k: int = 10) -> DataFrame:
+    """Source x headline rows (J04), reply -> parent rows (J03) and
+    propagated reply -> headline rows (J05); stance-domain check; 1-based
+    index and k folds in (thread, node, part, target) order."""
+    from quarry.operators import quality, threads
+    j04 = threads.join_source_headlines(posts, thread_labels, headlines).select(
+        "thread", F.col("post").alias("node"), F.lit(0).alias("part"), "source", "target", "label")
+    j03 = threads.join_thread_pairs(edges, posts, thread_labels).select(
+        "thread", "node", F.lit(1).alias("part"), "source", "target", "label")
+    j05 = threads.propagate_headline_labels(edges, posts, thread_labels, headlines).select(
+        "thread", "node", F.lit(2).alias("part"), "source", "target", "label")
+    rows = j04.unionByName(j03).unionByName(j05).withColumnRenamed("label", "stance")
+    rows = quality.require_label_domain(rows, labels.STANCE_DOMAIN, "stance")
+    return cross_eval(rows, ["thread", "node", "part", "target"], k)

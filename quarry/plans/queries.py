@@ -630,3 +630,232 @@ def q_numeric_token_filter(spark, sf):
                                                .alias("pos", "token"))
     return d.filter(~tx.is_number("token")).groupBy("doc_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("kept"))
+
+
+# --- cleaning jobs (C01-C03, C08, C09) ------------------------------------------------------
+
+from quarry.operators import cleaning  # noqa: E402
+from quarry.session import staging_path  # noqa: E402
+
+VOCAB_SIZE = 20000  # the reference's list holds the 20k most common words
+
+
+def _documents(spark, sf):
+    return fx.table(spark, sf, "documents")
+
+
+def _vocab(spark, sf, n=VOCAB_SIZE):
+    return cleaning.common_vocabulary(_documents(spark, sf), "text", n)
+
+
+@register("common_vocabulary")
+def q_common_vocabulary(spark, sf):
+    return cleaning.common_vocabulary(_documents(spark, sf), "text", 2000)
+
+
+@register("segment_tokens")
+def q_segment_tokens(spark, sf):
+    vocab = _vocab(spark, sf, 2000)
+    toks = _documents(spark, sf).select(F.explode(F.split(cleaning.clean_steps("text"), " ")).alias("token"))
+    toks = toks.select(tx.py_strip("token").alias("token")).filter(
+        (F.length("token") > 0) & ~F.col("token").endswith("$$"))
+    toks = toks.join(vocab.select(F.col("word").alias("token")), "token", "left_anti")
+    seg = cleaning.segment_tokens(toks, cleaning.segmentation_costs(vocab))
+    return seg.select("token", F.array_join("pieces", " ").alias("pieces"))
+
+
+@register("clean_corpus")
+def q_clean_corpus(spark, sf):
+    d = _documents(spark, sf).select("doc_id", "text")
+    return cleaning.clean_corpus(d, "doc_id", "text", _vocab(spark, sf)).select("doc_id", "text")
+
+
+def _article_pairs(spark, sf):
+    arts, posts = _article_rows(spark, sf)
+    posts = posts.withColumn("post", tx.flatten_newlines("post"))
+    return joins.join_articles_posts(arts, posts.drop("news_label")).join(
+        arts.select("news_id", "news_label"), "news_id")
+
+
+@register("longest_common_substring")
+def q_longest_common_substring(spark, sf):
+    pairs = _article_pairs(spark, sf).filter(F.col("target_kind") == 0)
+    out = cleaning.longest_common_substring(pairs.select("news_id", "post_id", "source", "target"),
+                                            "source", "target", "lcs")
+    return out.select("news_id", "post_id", "lcs")
+
+
+@register("remove_quoted_overlap")
+def q_remove_quoted_overlap(spark, sf):
+    pairs = _article_pairs(spark, sf).select("news_id", "post_id", "target_kind", "source", "target")
+    return cleaning.remove_quoted_overlap(pairs, "source", "target").select(
+        "news_id", "post_id", "target_kind", "source")
+
+
+@register("pipeline_annotated_stance_cleaned")
+def q_pipeline_annotated_stance_cleaned(spark, sf):
+    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id")
+    return pl.pipeline_annotated_stance(fx.fx_annotated(spark, sf), clean_text=clean)
+
+
+@register("pipeline_annotated_sentiment_cleaned")
+def q_pipeline_annotated_sentiment_cleaned(spark, sf):
+    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id")
+    return pl.pipeline_annotated_sentiment(fx.fx_annotated(spark, sf), clean_text=clean)
+
+
+@register("pipeline_paraphrase")
+def q_pipeline_paraphrase(spark, sf):
+    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id")
+    return pl.pipeline_paraphrase(fx.fx_paraphrase(spark, sf), clean_text=clean)
+
+
+@register("pipeline_article_posts")
+def q_pipeline_article_posts(spark, sf):
+    arts, posts = _article_rows(spark, sf)
+    return pl.pipeline_article_posts(arts, posts.drop("news_label"))
+
+
+@register("pipeline_article_posts_cleaned")
+def q_pipeline_article_posts_cleaned(spark, sf):
+    arts, posts = _article_rows(spark, sf)
+    vocab = _vocab(spark, sf)
+    return pl.pipeline_article_posts(arts, posts.drop("news_label"), vocab=vocab)
+
+
+def _staged_article_tree(spark, sf):
+    """fx_articles / fx_mentions written as a partitioned article tree, read by S04."""
+    root = staging_path(spark, "articles")
+    arts = fx.fx_articles(spark, sf).select(
+        F.lit("politifact").alias("dataset"), "news_label", "news_id", "url", "title",
+        F.struct(F.col("description")).alias("meta_data"))
+    arts.write.partitionBy("dataset", "news_label", "news_id").json(f"{root}/articles")
+    posts = fx.fx_mentions(spark, sf).select(
+        F.lit("politifact").alias("dataset"), "news_label", "news_id", F.col("post_id").alias("id"),
+        F.lit("").alias("text"), F.struct(F.col("urls")).alias("entities"))
+    posts.write.partitionBy("dataset", "news_label", "news_id").json(f"{root}/posts")
+    return sources.scan_article_tree(spark, root, layout="partitioned")
+
+
+@register("scan_article_tree")
+def q_scan_article_tree(spark, sf):
+    arts, _ = _staged_article_tree(spark, sf)
+    return arts
+
+
+@register("pipeline_url_analysis")
+def q_pipeline_url_analysis(spark, sf):
+    _, posts = _staged_article_tree(spark, sf)
+    urls = filters.keep_nonempty_urls(posts, "urls")
+    freq = agg.mentioned_url_frequency(urls)
+    return agg.order_by_frequency(freq, "frequency", "mentioned_url", rank_out="rank")
+
+
+def _rumour_rows(spark, sf, headline_filter=None):
+    posts, edges, lab, heads, *_ = _thread_inputs(spark, sf, headline_filter)
+    return pl.pipeline_rumour_threads(edges, posts, lab, heads)
+
+
+@register("pipeline_rumour_threads")
+def q_pipeline_rumour_threads(spark, sf):
+    return _rumour_rows(spark, sf)
+
+
+@register("pipeline_rumour_forum")
+def q_pipeline_rumour_forum(spark, sf):
+    return _rumour_rows(spark, sf, F.col("thread") % 2 == 0)
+
+
+# --- file formats: Spark-derived tables staged under the shared folder, read back ----------
+
+@register("scan_delimited")
+def q_scan_delimited(spark, sf):
+    path = staging_path(spark, "bodies")
+    bodies = fx.fx_stance_bodies(spark, sf).select(F.col("body_id").cast("string"), "body")
+    sinks.write_delimited(bodies, path, sep=",", header=True)
+    return sources.scan_delimited(spark, path, ["body_id", "body"], sep=",", header=True)
+
+
+@register("write_delimited")
+def q_write_delimited(spark, sf):
+    path = staging_path(spark, "stance-tsv")
+    sinks.write_delimited(q_pipeline_stance(spark, sf), path, sep="\t", header=True)
+    return sources.scan_delimited(spark, path, pl.SPLIT_COLUMNS, sep="\t", header=True)
+
+
+@register("write_lines")
+def q_write_lines(spark, sf):
+    path = staging_path(spark, "lines")
+    sinks.write_lines(fx.table(spark, sf, "pages").select("url"), path)
+    return sources.scan_lines(spark, path)
+
+
+@register("scan_lines")
+def q_scan_lines(spark, sf):
+    path = staging_path(spark, "doc-lines")
+    flat = _documents(spark, sf).select(F.regexp_replace("text", tx.PY_LINE_BREAK, " ").alias("t"))
+    sinks.write_lines(flat, path)
+    return sources.scan_lines(spark, path)
+
+
+@register("scan_json_objects")
+def q_scan_json_objects(spark, sf):
+    path = staging_path(spark, "article-json")
+    arts = fx.fx_articles(spark, sf).select("news_id", "url", "title",
+                                            F.struct(F.col("description")).alias("meta_data"))
+    arts.write.partitionBy("news_id").json(path)
+    got = sources.scan_json_objects(spark, f"{path}/*/*.json", sources.ARTICLE_SCHEMA)
+    return got.select(F.regexp_extract("file_path", r"news_id=([^/]+)/", 1).alias("news_id"),
+                      "url", "title", F.col("meta_data.description").alias("description"))
+
+
+@register("scan_thread_tree")
+def q_scan_thread_tree(spark, sf):
+    path = staging_path(spark, "threads")
+    posts = fx.fx_thread_posts(spark, sf).select(
+        "thread", F.when(F.col("is_source"), "source-tweet").otherwise("replies").alias("folder"),
+        F.col("post").alias("id"), "text")
+    posts.write.partitionBy("thread", "folder").json(path)
+    got = sources.scan_thread_tree(spark, path, layout="partitioned")
+    return sources.keep_source_text(got)
+
+
+@register("scan_url_manifest")
+def q_scan_url_manifest(spark, sf):
+    path = staging_path(spark, "manifest")
+    m = fx.fx_thread_manifest(spark, sf).select(
+        "thread", F.col("url_id").cast("string"), "short_url", "full_url")
+    (m.write.partitionBy("thread").option("sep", "\t").option("header", "false")
+     .option("quote", '"').option("escape", '"').csv(path))
+    return sources.scan_url_manifest(spark, path, thread_pattern=r"thread=([^/]+)/")
+
+
+@register("scan_stance_corpus")
+def q_scan_stance_corpus(spark, sf):
+    root = staging_path(spark, "stance-corpus")
+    bodies = fx.fx_stance_bodies(spark, sf).select(F.col("body_id").cast("string"), "body")
+    stances = fx.fx_stance_rows(spark, sf).select("headline", F.col("body_id").cast("string"), "stance")
+    sinks.write_delimited(bodies, f"{root}/bodies", header=True)
+    sinks.write_delimited(stances, f"{root}/stances", header=True)
+    b, s = sources.scan_stance_corpus(spark, f"{root}/bodies", f"{root}/stances")
+    j = joins.join_stance_bodies(labels.map_stance_article(s), b)
+    return j.select("body_id", "source", "target", "label")
+
+
+@register("scan_annotation_batches")
+def q_scan_annotation_batches(spark, sf):
+    path = staging_path(spark, "batches")
+    fx.fx_annotated(spark, sf).write.partitionBy("batch", "news_label").parquet(path)
+    got = sources.scan_annotation_batches(spark, path)
+    return got.select("batch", "news_label", "doc_id", "stance", "sentiment", "clean")
+
+
+@register("write_folds")
+def q_write_folds(spark, sf):
+    path = staging_path(spark, "folds")
+    train = q_pipeline_stance(spark, sf).filter(F.col("split") == "train").drop("split")
+    sinks.write_folds(train, path, k=10)
+    back = spark.read.option("header", "true").option("multiLine", "true").option(
+        "sep", "\t").option("quote", '"').option("escape", '"').csv(path)
+    return back.groupBy(F.col("fold").cast("bigint").alias("fold"), "split").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"))

@@ -55,30 +55,47 @@ POST_SCHEMA = T.StructType([
         T.StructType([T.StructField("expanded_url", T.StringType())])))]))])
 
 
-def scan_article_tree(spark: SparkSession, root: str,
-                      datasets: Sequence[str] = ("politifact",)) -> tuple[DataFrame, DataFrame]:
-    """``{dataset}/{fake,real}/{news_id}/news content.json`` and
-    ``.../tweets/*``. Returns (articles, posts); dataset, news label and news id
-    come from the path. Articles without a content file never appear; posts of
-    articles without one are dropped by the inner join (the loader skips them)."""
-    ds = "{" + ",".join(datasets) + "}"
-    arts = (spark.read.schema(ARTICLE_SCHEMA).option("multiLine", "true")
-            .json(f"{root}/{ds}/*/*/news content.json"))
-    path_re = r"/([^/]+)/(fake|real)/([^/]+)/"
-    arts = arts.select(
-        F.regexp_extract("_metadata.file_path", path_re, 1).alias("dataset"),
-        F.regexp_extract("_metadata.file_path", path_re, 2).alias("news_label"),
-        F.regexp_extract("_metadata.file_path", path_re, 3).alias("news_id"),
-        F.col("url"), F.coalesce(F.col("title"), F.lit("")).alias("title"),
-        F.coalesce(F.col("meta_data.description"), F.lit("")).alias("description"))
-    posts = (spark.read.schema(POST_SCHEMA).option("multiLine", "true")
-             .json(f"{root}/{ds}/*/*/tweets/*"))
-    posts = posts.select(
-        F.regexp_extract("_metadata.file_path", path_re, 1).alias("dataset"),
-        F.regexp_extract("_metadata.file_path", path_re, 2).alias("news_label"),
-        F.regexp_extract("_metadata.file_path", path_re, 3).alias("news_id"),
-        F.regexp_extract("_metadata.file_path", r"/tweets/([^/]+)$", 1).alias("post_file"),
-        F.col("id").alias("post_id"), F.col("text"), F.col("entities.urls").alias("urls"))
+PATH_KEYS = ["dataset", "news_label", "news_id"]
+
+
+def _with_strings(schema: T.StructType, names: Sequence[str]) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField(n, T.StringType()) for n in names])
+
+
+def scan_article_tree(spark: SparkSession, root: str, datasets: Sequence[str] = ("politifact",),
+                      layout: str = "tree") -> tuple[DataFrame, DataFrame]:
+    """Articles and their posts -> (articles, posts).
+
+    ``layout="tree"``: the raw corpus, ``{dataset}/{fake,real}/{news_id}/news
+    content.json`` (one object per file) and ``.../tweets/*``.
+    ``layout="partitioned"``: the same tables written by Spark as JSON lines
+    under ``root/articles`` and ``root/posts`` partitioned by
+    ``dataset/news_label/news_id`` (partition pruning on the label side).
+    Dataset, news label and news id come from the path. Articles without a
+    content file never appear; their posts are dropped by a semi-join (the
+    loader skips such articles)."""
+    if layout == "partitioned":
+        arts = spark.read.schema(_with_strings(ARTICLE_SCHEMA, PATH_KEYS)).json(f"{root}/articles")
+        posts = spark.read.schema(_with_strings(POST_SCHEMA, PATH_KEYS)).json(f"{root}/posts")
+        arts = arts.filter(F.col("dataset").isin(list(datasets)))
+        posts = posts.select("dataset", "news_label", "news_id", F.col("id").alias("post_id"),
+                             "text", F.col("entities.urls").alias("urls"))
+    else:
+        ds = "{" + ",".join(datasets) + "}"
+        path_re = r"/([^/]+)/(fake|real)/([^/]+)/"
+        arts = (spark.read.schema(ARTICLE_SCHEMA).option("multiLine", "true")
+                .json(f"{root}/{ds}/*/*/news content.json"))
+        arts = arts.select("*", *[F.regexp_extract("_metadata.file_path", path_re, i).alias(c)
+                                  for i, c in ((1, "dataset"), (2, "news_label"), (3, "news_id"))])
+        posts = (spark.read.schema(POST_SCHEMA).option("multiLine", "true")
+                 .json(f"{root}/{ds}/*/*/tweets/*"))
+        posts = posts.select(
+            *[F.regexp_extract("_metadata.file_path", path_re, i).alias(c)
+              for i, c in ((1, "dataset"), (2, "news_label"), (3, "news_id"))],
+            F.col("id").alias("post_id"), F.col("text"), F.col("entities.urls").alias("urls"))
+    arts = arts.select("dataset", "news_label", "news_id", F.col("url"),
+                       F.coalesce(F.col("title"), F.lit("")).alias("title"),
+                       F.coalesce(F.col("meta_data.description"), F.lit("")).alias("description"))
     posts = posts.join(arts.select("dataset", "news_label", "news_id"),
                        ["dataset", "news_label", "news_id"], "left_semi")
     return arts, posts
@@ -88,12 +105,19 @@ THREAD_POST_SCHEMA = T.StructType([T.StructField("id", T.LongType()),
                                    T.StructField("text", T.StringType())])
 
 
-def scan_thread_tree(spark: SparkSession, root: str, with_topic: bool = True) -> DataFrame:
-    """``[topic/]discourse/{replies,source-tweet}/*`` posts.
+def scan_thread_tree(spark: SparkSession, root: str, with_topic: bool = True,
+                     layout: str = "tree") -> DataFrame:
+    """Thread posts -> (thread, post, text, is_source) with raw text;
+    callers clean it (C01) and drop blanks. Source text wins over reply text
+    on the same id (``keep_source_text``).
 
-    Returns (thread, post, text, is_source) with the raw text; callers clean
-    it (C01) and drop blanks. Source text wins over reply text on the same id
-    (``keep_source_text``)."""
+    ``layout="tree"``: ``[topic/]discourse/{replies,source-tweet}/*`` files,
+    one object each. ``layout="partitioned"``: JSON lines written by Spark
+    under ``root`` partitioned by ``thread/folder``."""
+    if layout == "partitioned":
+        df = spark.read.schema(_with_strings(THREAD_POST_SCHEMA, ["thread", "folder"])).json(root)
+        return df.select("thread", F.col("id").cast("string").alias("post"), "text",
+                         (F.col("folder") == "source-tweet").alias("is_source"))
     pattern = f"{root}/*/*" if with_topic else f"{root}/*"
     df = (spark.read.schema(THREAD_POST_SCHEMA).option("multiLine", "true")
           .json(f"{pattern}/{{replies,source-tweet}}/*"))
@@ -137,11 +161,15 @@ def scan_headlines(df: DataFrame, order_col: str) -> DataFrame:
 MANIFEST_COLUMNS = ["url_id", "short_url", "full_url"]
 
 
-def scan_url_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Per-thread ``urls.dat`` (tab, no header), thread from the path."""
-    df = scan_delimited(spark, path, MANIFEST_COLUMNS, sep="\t", header=False)
-    return df.withColumn("thread", F.regexp_extract(
-        F.col("_metadata.file_path"), r"/([^/]+)/urls\.dat$", 1))
+def scan_url_manifest(spark: SparkSession, path: str, thread_pattern: str = r"/([^/]+)/urls\.dat$"
+                      ) -> DataFrame:
+    """Per-thread ``urls.dat`` (tab, no header) -> (thread, url_id,
+    short_url, full_url); the thread id comes from the file path."""
+    df = (spark.read.schema(string_schema(MANIFEST_COLUMNS)).option("sep", "\t")
+          .option("quote", '"').option("escape", '"').option("header", "false").csv(path))
+    df = df.select(F.regexp_extract(F.col("_metadata.file_path"), thread_pattern, 1).alias("thread"),
+                   *MANIFEST_COLUMNS)
+    return df.na.fill("", MANIFEST_COLUMNS)
 
 
 def scan_reply_edges(structures: DataFrame, json_col: str = "structure",
