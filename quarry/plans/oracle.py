@@ -612,7 +612,7 @@ WHERE token <> '' AND NOT regexp_matches(token, {q(NUMBER_PATTERN)}) GROUP BY do
 def _file_and_pipeline_queries() -> dict[str, str]:
     from quarry.functions.text import PY_LINE_BREAK as LB
     o: dict[str, str] = {}
-    o["common_vocabulary"] = """SELECT word, count, CAST(row_number() OVER (ORDER BY count DESC, word ASC) AS BIGINT) AS rank FROM (
+    o["common_vocabulary"] = r"""SELECT word, count, CAST(row_number() OVER (ORDER BY count DESC, word ASC) AS BIGINT) AS rank FROM (
   SELECT word, CAST(count(*) AS BIGINT) AS count FROM (
     SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents)
   GROUP BY word ORDER BY count DESC, word ASC LIMIT 2000)"""
