@@ -132,10 +132,9 @@ def pipeline_article_posts(articles: DataFrame, posts: DataFrame, vocab: DataFra
     go through C01 and each post loses what it quotes from its target (C09)."""
     from quarry.operators import cleaning
     if vocab is not None:
-        costs = cleaning.segmentation_costs(vocab)
-        articles = cleaning.clean_corpus(articles, "news_id", "title", vocab, costs)
-        articles = cleaning.clean_corpus(articles, "news_id", "description", vocab, costs)
-        posts = cleaning.clean_corpus(posts, "post_id", "post", vocab, costs)
+        clean = cleaning.corpus_cleaner(vocab, "news_id")
+        articles = clean(clean(articles, "title"), "description")
+        posts = clean(posts, "post", key="post_id")
     else:
         posts = posts.withColumn("post", flatten_newlines("post"))
     pairs = joins.join_articles_posts(articles, posts)
