@@ -815,7 +815,8 @@ def q_scan_thread_tree(spark, sf):
     posts = fx.fx_thread_posts(spark, sf).select(
         "thread", F.when(F.col("is_source"), "source-tweet").otherwise("replies").alias("folder"),
         F.col("post").alias("id"), "text")
-    posts.write.partitionBy("thread", "folder").json(path)
+    # thread stays a data column; the folder (source/replies) is the partition
+    posts.write.partitionBy("folder").json(path)
     got = sources.scan_thread_tree(spark, path, layout="partitioned")
     return sources.keep_source_text(got)
 
@@ -825,7 +826,7 @@ def q_scan_url_manifest(spark, sf):
     path = staging_path(spark, "manifest")
     m = fx.fx_thread_manifest(spark, sf).select(
         "thread", F.col("url_id").cast("string"), "short_url", "full_url")
-    (m.write.partitionBy("thread").option("sep", "\t").option("header", "false")
+    (m.repartition("thread").write.partitionBy("thread").option("sep", "\t").option("header", "false")
      .option("quote", '"').option("escape", '"').csv(path))
     return sources.scan_url_manifest(spark, path, thread_pattern=r"thread=([^/]+)/")
 

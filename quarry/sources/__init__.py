@@ -113,7 +113,8 @@ def scan_thread_tree(spark: SparkSession, root: str, with_topic: bool = True,
 
     ``layout="tree"``: ``[topic/]discourse/{replies,source-tweet}/*`` files,
     one object each. ``layout="partitioned"``: JSON lines written by Spark
-    under ``root`` partitioned by ``thread/folder``."""
+    under ``root`` partitioned by ``folder`` (and optionally ``thread``; a
+    ``thread`` field in the records works the same way)."""
     if layout == "partitioned":
         df = spark.read.schema(_with_strings(THREAD_POST_SCHEMA, ["thread", "folder"])).json(root)
         return df.select("thread", F.col("id").cast("string").alias("post"), "text",
