@@ -101,7 +101,9 @@ def group_row_number(df: DataFrame, group_by: Sequence[str], order_by, out: str
         "_q_pid", *group_by, "_q_first",
         (F.sum("_q_cnt").over(w) - F.col("_q_cnt")).alias("_q_off"),
         F.sum("_q_cnt").over(Window.partitionBy(*group_by)).alias("_q_gsize"))
-    joined = tagged.join(F.broadcast(offsets), ["_q_pid", *group_by])
+    # (partition, group) rows: small for label-like groups, but its size grows
+    # with the group count, so the join strategy is left to Catalyst / AQE
+    joined = tagged.join(offsets, ["_q_pid", *group_by])
     result = joined.withColumn(
         out, (F.col("_q_off") + F.col("_q_loc") - F.col("_q_first") + F.lit(start)).cast("bigint"))
     if group_size_out:
@@ -188,9 +190,10 @@ def head_per_group(df: DataFrame, group_col: str, order_by, limits: DataFrame,
                    limit_col: str = "quota") -> DataFrame:
     """First ``quota`` rows of each group (quota table: group, quota).
 
-    ``limits`` holds one row per group value, so it is broadcast."""
+    ``limits`` holds one row per group value; Catalyst broadcasts it when its
+    measured size is under the broadcast threshold."""
     ranked = group_row_number(df, [group_col], order_by, out="_q_rn")
-    joined = ranked.join(F.broadcast(limits.select(group_col, limit_col)), group_col)
+    joined = ranked.join(limits.select(group_col, limit_col), group_col)
     return joined.filter(F.col("_q_rn") <= F.col(limit_col)).drop("_q_rn", limit_col)
 
 
