@@ -114,7 +114,8 @@ def pipeline_paraphrase(rows: DataFrame, clean_text=None, k: int = 10) -> DataFr
     ``rows``: (doc_id order key, sent1, sent2, raw_label)."""
     df = rows
     if clean_text is not None:
-        df = clean_text(clean_text(df, "sent1"), "sent2")
+        # the second sentences repeat across rows: clean each distinct one once
+        df = clean_text(clean_text(df, "sent1"), "sent2", by_value=True)
     df = labels.map_paraphrase(df, "raw_label", out="label", on_unknown="error")
     df = indexing.global_index(df, "doc_id", out="idx", start=0)
     out = split_labelled(df.select("idx", "sent1", "sent2", "label"), label_col="label",
