@@ -17,8 +17,22 @@ from quarry.functions.web import title_and_media
 _COUNT_CACHE: dict[tuple[str, str], int] = {}
 
 
+# tables whose rows carry long text (per-row regex / tokenizing work follows)
+TEXT_TABLES = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if name in TEXT_TABLES else df
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input partitions than
+    ``spark.sql.shuffle.partitions`` (e.g. one file with one row group) over
+    that many tasks, so per-row text work after the scan is not serial. At
+    scale the input has far more splits than that and this is a no-op."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
