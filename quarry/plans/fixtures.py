@@ -152,18 +152,36 @@ def fx_thread_manifest(spark, sf_dir) -> DataFrame:
 
 
 def fx_reply_json(spark, sf_dir) -> DataFrame:
-    """Per conversation, the tree of turns 0..3 as nested JSON text (leaves ``[]``)."""
-    c = table(spark, sf_dir, "conversations").filter(F.col("turn") <= 3)
-    g = c.groupBy(F.col("conv_id").alias("thread")).agg(
-        F.max(F.when(F.col("turn") == 1, True)).alias("t1"),
-        F.max(F.when(F.col("turn") == 2, True)).alias("t2"),
-        F.max(F.when(F.col("turn") == 3, True)).alias("t3"))
-    t3 = F.when(F.col("t3"), F.lit('{"3": []}')).otherwise(F.lit("[]"))
-    kids0 = F.concat_ws(", ", F.when(F.col("t1"), F.concat(F.lit('"1": '), t3)),
-                        F.when(F.col("t2"), F.lit('"2": []')))
-    tree = F.when(F.col("t1") | F.col("t2"), F.concat(F.lit("{"), kids0, F.lit("}"))).otherwise(
-        F.lit("[]"))
-    return g.select("thread", F.concat(F.lit('{"0": '), tree, F.lit("}")).alias("structure"))
+    """Per conversation, its whole reply tree (fx_threads shape) as nested JSON
+    text; a post without replies maps to ``[]``.
+
+    Built bottom-up, one tree level per step: each level groups the JSON of
+    its nodes by parent (a parent has at most two children here), so no
+    thread is ever collected into one row before its JSON text itself."""
+    c = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("thread"), F.col("turn").alias("node"))
+    depth = F.floor(F.log2(F.col("node") + 1)).cast("int")
+    nodes = c.withColumn("depth", depth).withColumn(
+        "parent", F.when(F.col("node") > 0, F.floor((F.col("node") - 1) / 2)).cast("bigint"))
+    max_depth = nodes.agg(F.max("depth")).first()[0] or 0
+    done = None  # (thread, node, json) for the level below
+    for d in range(max_depth, -1, -1):
+        level = nodes.filter(F.col("depth") == d).select("thread", "node", "parent")
+        if done is None:
+            level = level.withColumn("json", F.lit("[]"))
+        else:
+            kids = done.groupBy("thread", F.col("parent").alias("node")).agg(
+                F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.collect_list(
+                    F.struct("child", "json"))), lambda k: F.concat(
+                        F.lit('"'), k["child"].cast("string"), F.lit('": '), k["json"])), ", "),
+                    F.lit("}")).alias("json"))
+            level = level.join(kids, ["thread", "node"], "left").withColumn(
+                "json", F.coalesce(F.col("json"), F.lit("[]")))
+        done = level.select("thread", F.col("node").alias("child"), "parent", "json")
+        done = done.checkpoint(eager=True) if d % 4 == 0 else done
+    roots = done.filter(F.col("parent").isNull())
+    return roots.select("thread", F.concat(F.lit('{"'), F.col("child").cast("string"), F.lit('": '),
+                                           F.col("json"), F.lit("}")).alias("structure"))
 
 
 # --- articles, posts and mentioned URLs -------------------------------------------
@@ -196,11 +214,10 @@ def fx_articles(spark, sf_dir) -> DataFrame:
 
 
 def fx_article_posts(spark, sf_dir) -> DataFrame:
-    """Posts of articles: (news_id, post_id, post) = first 140 characters of a document."""
+    """Posts of articles: (news_id, post_id, post) = whole document texts."""
     d = table(spark, sf_dir, "documents")
     return d.select((F.col("doc_id") % 20).cast("bigint").alias("news_id"),
-                    F.col("doc_id").alias("post_id"),
-                    F.substring(F.col("text"), 1, 140).alias("post"))
+                    F.col("doc_id").alias("post_id"), F.col("text").alias("post"))
 
 
 def fx_url_text(spark, sf_dir) -> DataFrame:

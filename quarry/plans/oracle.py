@@ -152,7 +152,7 @@ fx_articles AS (
          CASE WHEN p.news_id % 4 = 0 THEN '' ELSE coalesce(b.text, '') END AS description
   FROM fx_first_page p LEFT JOIN benchmark b ON b.item_id = p.news_id),
 fx_article_posts AS (
-  SELECT CAST(doc_id % 20 AS BIGINT) AS news_id, doc_id AS post_id, substring(text, 1, 140) AS post
+  SELECT CAST(doc_id % 20 AS BIGINT) AS news_id, doc_id AS post_id, text AS post
   FROM documents)"""
 
 FX_ANNOTATED = f"""fx_annotated AS (
@@ -587,7 +587,7 @@ FROM events_parsed WHERE label IN ('label:0', 'label:1')"""
          row_number() OVER (PARTITION BY floor(url_id / 2) ORDER BY url_id DESC) AS rk
   FROM fx_page_headlines WHERE url_id % 9 <> 0) WHERE rk = 1"""
     o["scan_reply_edges"] = """SELECT conv_id AS thread, CAST(CAST(floor((turn - 1) / 2) AS BIGINT) AS VARCHAR) AS parent, CAST(turn AS VARCHAR) AS node
-FROM conversations WHERE turn BETWEEN 1 AND 3"""
+FROM conversations WHERE turn > 0"""
     o["scan_event_lines"] = EVENTS + "SELECT event_id, label, CAST(len(post_ids) AS BIGINT) AS n_ids, array_to_string(post_ids, ' ') AS post_ids FROM events_parsed"
     o["scan_sentence_pairs"] = PAIRS + "SELECT label, id1, id2, s1, s2 FROM fx_pair_rows"
     o["scan_logits"] = with_(FX_LOGITS) + """SELECT CAST(floor(idx / 100) AS BIGINT) AS block,
@@ -615,21 +615,13 @@ def _file_and_pipeline_queries() -> dict[str, str]:
     o["common_vocabulary"] = r"""SELECT word, count, CAST(row_number() OVER (ORDER BY count DESC, word ASC) AS BIGINT) AS rank FROM (
   SELECT word, CAST(count(*) AS BIGINT) AS count FROM (
     SELECT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents)
-  GROUP BY word ORDER BY count DESC, word ASC LIMIT 2000)"""
+  GROUP BY word ORDER BY count DESC, word ASC LIMIT 20000)"""
     j02 = ARTICLE_ROWS.rstrip() + """,
 t AS (SELECT news_id, 0 AS target_kind, title AS target FROM fx_articles
       UNION ALL SELECT news_id, 1 AS target_kind, description AS target FROM fx_articles),
 j02 AS (
   SELECT p.news_label, p.news_id, p.post_id, t.target_kind, replace(p.post, chr(10), ' ') AS source, t.target, 'comment' AS label
   FROM posts p JOIN t ON t.news_id = p.news_id WHERE length(t.target) > 0)"""
-    o["longest_common_substring"] = j02 + """,
-pairs AS (SELECT news_id, post_id, source AS a, target AS b FROM j02 WHERE target_kind = 0),
-starts AS (SELECT news_id, post_id, a, b, unnest(range(1, length(a) + 1)) AS i FROM pairs),
-subs AS (SELECT news_id, post_id, a, b, i, unnest(range(1, length(a) - i + 2)) AS k FROM starts),
-hits AS (SELECT news_id, post_id, i, k, substring(a, i, k) AS sub FROM subs WHERE contains(b, substring(a, i, k))),
-best AS (SELECT news_id, post_id, arg_min(sub, (-k, i)) AS lcs FROM hits GROUP BY news_id, post_id)
-SELECT p.news_id, p.post_id, coalesce(b.lcs, '') AS lcs FROM pairs p LEFT JOIN best b
-  ON b.news_id = p.news_id AND b.post_id = p.post_id"""
     o["pipeline_article_posts"] = j02 + """
 SELECT news_label, CAST(row_number() OVER (PARTITION BY news_label ORDER BY news_id, post_id, target_kind) - 1 AS BIGINT) AS idx,
        source, target, label AS stance FROM j02"""

@@ -650,12 +650,12 @@ def _vocab(spark, sf, n=VOCAB_SIZE):
 
 @register("common_vocabulary")
 def q_common_vocabulary(spark, sf):
-    return cleaning.common_vocabulary(_documents(spark, sf), "text", 2000)
+    return cleaning.common_vocabulary(_documents(spark, sf), "text", VOCAB_SIZE)
 
 
 @register("segment_tokens")
 def q_segment_tokens(spark, sf):
-    vocab = _vocab(spark, sf, 2000)
+    vocab = _vocab(spark, sf)
     toks = _documents(spark, sf).select(F.explode(F.split(cleaning.clean_steps("text"), " ")).alias("token"))
     toks = toks.select(tx.py_strip("token").alias("token")).filter(
         (F.length("token") > 0) & ~F.col("token").endswith("$$"))
@@ -679,10 +679,10 @@ def _article_pairs(spark, sf):
 
 @register("longest_common_substring")
 def q_longest_common_substring(spark, sf):
-    pairs = _article_pairs(spark, sf).filter(F.col("target_kind") == 0)
-    out = cleaning.longest_common_substring(pairs.select("news_id", "post_id", "source", "target"),
-                                            "source", "target", "lcs")
-    return out.select("news_id", "post_id", "lcs")
+    pairs = _article_pairs(spark, sf)
+    out = cleaning.longest_common_substring(
+        pairs.select("news_id", "post_id", "target_kind", "source", "target"), "source", "target", "lcs")
+    return out.select("news_id", "post_id", "target_kind", "lcs")
 
 
 @register("remove_quoted_overlap")
