@@ -35,12 +35,11 @@ def _cols(order_by) -> list[Column]:
 def _ranked_partitions(df: DataFrame, order_by, num_partitions: int | None):
     """Range-partition + sort, tagging each row with (partition, local position)."""
     keys = _cols(order_by)
-    if not num_partitions:
-        # as many ranges as the input has splits (~ maxPartitionBytes each),
-        # never fewer than the shuffle setting: partition size follows data size
-        shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        num_partitions = max(shuffle, df.rdd.getNumPartitions())
-    parts = df.repartitionByRange(num_partitions, *keys)
+    # range count: ``num_partitions`` or spark.sql.shuffle.partitions, which
+    # a large job sizes to data / ~128 MB (asking the input for its partition
+    # count would execute the adaptive plan's shuffle stages twice)
+    parts = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+             else df.repartitionByRange(*keys))
     tagged = parts.sortWithinPartitions(*keys).withColumn(
         "_q_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_q_pid", F.shiftright("_q_mid", _PID_SHIFT)).withColumn(

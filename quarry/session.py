@@ -34,6 +34,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is also the executor, so its heap is the
+        # only memory knob (taken from QUARRY_DRIVER_MEMORY, default 16g)
+        conf["spark.driver.memory"] = os.environ.get("QUARRY_DRIVER_MEMORY", "16g")
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
