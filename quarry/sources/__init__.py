@@ -205,8 +205,9 @@ def scan_reply_edges(structures: DataFrame, json_col: str = "structure",
 def scan_stance_corpus(spark: SparkSession, bodies_path: str,
                        stances_path: str) -> tuple[DataFrame, DataFrame]:
     """Bodies CSV (body id, body) and stances CSV (headline, body id,
-    stance), header rows dropped, columns by position. The stance rows keep a
-    file-order key (path, record number within the file)."""
+    stance), header rows dropped, columns by position. Order-dependent steps
+    downstream need an order key; for one file, ``monotonically_increasing_id``
+    after the scan follows record order."""
     bodies = scan_delimited(spark, bodies_path, ["body_id", "body"], sep=",", header=True)
     stances = scan_delimited(spark, stances_path, ["headline", "body_id", "stance"], sep=",",
                              header=True)
