@@ -17,10 +17,11 @@ from quarry.functions import text as tx
 from quarry.functions.math import softmax
 from quarry.functions.web import home_url
 from quarry.operators import aggregates as agg
-from quarry.operators import filters, indexing, joins, labels, metrics, quality, sets, threads
+from quarry.operators import cleaning, filters, indexing, joins, labels, metrics, quality, sets, threads
 from quarry.operators import text as text_ops
 from quarry.plans import fixtures as fx
 from quarry.plans import pipelines as pl
+from quarry.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -634,9 +635,6 @@ def q_numeric_token_filter(spark, sf):
 
 # --- cleaning jobs (C01-C03, C08, C09) ------------------------------------------------------
 
-from quarry.operators import cleaning  # noqa: E402
-from quarry.session import staging_path  # noqa: E402
-
 VOCAB_SIZE = 20000  # the reference's list holds the 20k most common words
 
 
