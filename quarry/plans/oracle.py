@@ -622,6 +622,29 @@ t AS (SELECT news_id, 0 AS target_kind, title AS target FROM fx_articles
 j02 AS (
   SELECT p.news_label, p.news_id, p.post_id, t.target_kind, replace(p.post, chr(10), ' ') AS source, t.target, 'comment' AS label
   FROM posts p JOIN t ON t.news_id = p.news_id WHERE length(t.target) > 0)"""
+    # C08 on whole texts: "b[i:i+k] occurs in a" is monotone in k, so each
+    # start i of the target grows only while it still matches (work ~ |b| x LCS
+    # length per pair); ties: the candidate occurring first in a
+    o["longest_common_substring"] = j02 + """,
+pairs AS (SELECT news_id, post_id, target_kind, source AS a, target AS b FROM j02),
+ext AS (
+  WITH RECURSIVE grow(news_id, post_id, target_kind, i, k) AS (
+    SELECT news_id, post_id, target_kind, unnest(range(1, length(b) + 1)), 0 FROM pairs
+    UNION ALL
+    SELECT g.news_id, g.post_id, g.target_kind, g.i, g.k + 1
+    FROM grow g JOIN pairs p
+      ON p.news_id = g.news_id AND p.post_id = g.post_id AND p.target_kind = g.target_kind
+    WHERE g.i + g.k <= length(p.b) AND contains(p.a, substring(p.b, g.i, g.k + 1)))
+  SELECT news_id, post_id, target_kind, i, max(k) AS k FROM grow GROUP BY ALL),
+longest AS (SELECT news_id, post_id, target_kind, max(k) AS len FROM ext GROUP BY ALL),
+cands AS (
+  SELECT e.news_id, e.post_id, e.target_kind, substring(p.b, e.i, e.k) AS sub,
+         instr(p.a, substring(p.b, e.i, e.k)) AS pos
+  FROM ext e JOIN longest l USING (news_id, post_id, target_kind)
+  JOIN pairs p USING (news_id, post_id, target_kind) WHERE e.k = l.len AND l.len > 0),
+best AS (SELECT news_id, post_id, target_kind, arg_min(sub, pos) AS lcs FROM cands GROUP BY ALL)
+SELECT p.news_id, p.post_id, p.target_kind, coalesce(b.lcs, '') AS lcs
+FROM pairs p LEFT JOIN best b USING (news_id, post_id, target_kind)"""
     o["pipeline_article_posts"] = j02 + """
 SELECT news_label, CAST(row_number() OVER (PARTITION BY news_label ORDER BY news_id, post_id, target_kind) - 1 AS BIGINT) AS idx,
        source, target, label AS stance FROM j02"""
