@@ -544,8 +544,7 @@ def q_pipeline_event_lines(spark, sf):
 @register("pipeline_sentence_pairs")
 def q_pipeline_sentence_pairs(spark, sf):
     s = joins.pair_semi_anti_split(_pairs(spark, sf), fx.fx_dev_ids(spark, sf))
-    return sinks.pair_layout(s).join(s.select(F.concat_ws("-", "id1", "id2").alias("pair_id"),
-                                              "split"), "pair_id")
+    return sinks.pair_layout(s, keep=("split",))
 
 
 # --- scans over derived text ----------------------------------------------------------------------

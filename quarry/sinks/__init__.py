@@ -70,9 +70,9 @@ def sst_layout(df: DataFrame, sentence: str = "source", sentiment: str = "sentim
     return mapped.select(F.col(sentence).alias("sentence"), F.col("_q_label").alias("label"))
 
 
-def pair_layout(df: DataFrame) -> DataFrame:
-    """``id1-id2``, s1, s2, label."""
-    return df.select(F.concat_ws("-", "id1", "id2").alias("pair_id"), "s1", "s2", "label")
+def pair_layout(df: DataFrame, keep=()) -> DataFrame:
+    """``id1-id2``, s1, s2, label (plus ``keep`` columns, e.g. split)."""
+    return df.select(F.concat_ws("-", "id1", "id2").alias("pair_id"), "s1", "s2", "label", *keep)
 
 
 # Placeholders of the event export.
