@@ -72,3 +72,25 @@ def test_write_folds_layout(spark, tmp_dir):
     back = spark.read.option("header", "true").option("sep", "\t").csv(path)
     counts = {(r["fold"], r["split"]): r["count"] for r in back.groupBy("fold", "split").count().collect()}
     assert all(counts[(f, "dev")] == 5 and counts[(f, "train")] == 15 for f in range(1, 5))
+
+
+def test_url_manifest_raw_layout(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "re17")
+    for thread, rows in (("500", [("u1", "t.co/a", "http://a.com/x")]),
+                         ("501", [("u2", "t.co/b", "http://b.org/y"), ("u3", "", "http://c.net/")])):
+        d = os.path.join(root, "topic", thread)
+        os.makedirs(d)
+        with open(os.path.join(d, "urls.dat"), "w") as f:
+            for r in rows:
+                f.write("\t".join(r) + "\n")
+    got = sorted(tuple(r) for r in sources.scan_url_manifest(spark, f"{root}/*/*/urls.dat").collect())
+    assert got == [("500", "u1", "t.co/a", "http://a.com/x"), ("501", "u2", "t.co/b", "http://b.org/y"),
+                   ("501", "u3", "", "http://c.net/")]
+
+
+def test_label_maps_flat_and_nested(spark):
+    df = spark.createDataFrame([('{"1": "support", "2": "deny"}',), ('{"3": "comment"}',)], "value string")
+    nested = spark.createDataFrame([('{"subtaskaenglish": {"2": "query"}}',)], "value string")
+    flat = {(r["post"], r["label"]) for r in sources.scan_label_maps(df).collect()}
+    deep = {(r["post"], r["label"]) for r in sources.scan_label_maps(nested, nested_key="subtaskaenglish").collect()}
+    assert flat == {("1", "support"), ("2", "deny"), ("3", "comment")} and deep == {("2", "query")}
