@@ -27,11 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input partitions than
-    ``spark.sql.shuffle.partitions`` (e.g. one file with one row group) over
-    that many tasks, so per-row text work after the scan is not serial. At
-    scale the input has far more splits than that and this is a no-op."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Spread a scan that yields fewer input partitions than ``target_tasks``
+    (e.g. one file with one row group) over that many tasks, so per-row text
+    work after the scan is not serial. At scale the input has far more splits
+    than that and this is a no-op. (The scan-only plan has no shuffle, so
+    asking for its partition count runs nothing.)"""
+    from quarry.session import target_tasks
+    n = target_tasks(df.sparkSession)
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
