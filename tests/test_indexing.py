@@ -79,3 +79,19 @@ def test_keep_one_per_key_first_and_last(spark):
     first = {r["k"]: r["v"] for r in indexing.keep_one_per_key(df, ["k"], "o").collect()}
     last = {r["k"]: r["v"] for r in indexing.keep_one_per_key(df, ["k"], "o", keep="last").collect()}
     assert first == {"a": "x", "b": "z"} and last == {"a": "y", "b": "z"}
+
+
+def test_pipelines_independent_of_shuffle_partitions(spark):
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            q = entry.queries()
+            results.append([sorted(tuple(r) for r in q[k](spark, SF_SMALL).collect())
+                            for k in ("pipeline_stance", "pipeline_rumour_threads")])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1]
