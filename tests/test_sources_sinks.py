@@ -94,3 +94,13 @@ def test_label_maps_flat_and_nested(spark):
     flat = {(r["post"], r["label"]) for r in sources.scan_label_maps(df).collect()}
     deep = {(r["post"], r["label"]) for r in sources.scan_label_maps(nested, nested_key="subtaskaenglish").collect()}
     assert flat == {("1", "support"), ("2", "deny"), ("3", "comment")} and deep == {("2", "query")}
+
+
+def test_reply_edges_deep_chain(spark):
+    depth = 60
+    tree = "[]"
+    for node in range(depth, 0, -1):
+        tree = json.dumps({str(node): json.loads(tree)})
+    df = spark.createDataFrame([("t", json.dumps({"0": json.loads(tree)}))], "thread string, structure string")
+    got = sorted(((int(r["parent"]), int(r["node"])) for r in sources.scan_reply_edges(df).collect()))
+    assert got == [(i, i + 1) for i in range(depth)]
