@@ -181,6 +181,8 @@ def scan_reply_edges(structures: DataFrame, json_col: str = "structure",
     object comes back as its JSON text and is expanded at the next level, any
     other value (``[]``, a list, a scalar) ends the branch. One join-free
     ``explode`` per level; the loop stops when no object is left."""
+    from quarry.session import checkpoint_dir
+    checkpoint_dir(structures.sparkSession)
     level = structures.select(F.col(thread_col).alias("thread"), F.lit(None).cast("string")
                               .alias("parent"), F.col(json_col).alias("_q_json"))
     edges = None
@@ -188,9 +190,10 @@ def scan_reply_edges(structures: DataFrame, json_col: str = "structure",
         kids = level.filter(F.col("_q_json").startswith("{")).select(
             "thread", "parent", F.explode(F.from_json("_q_json", "map<string,string>"))
             .alias("node", "_q_kids"))
-        kids = kids.persist()
+        # a reliable checkpoint per level keeps the plan flat however deep
+        # the trees are (each level starts from files, not from the last plan)
+        kids = kids.checkpoint(eager=True)
         if kids.isEmpty():
-            kids.unpersist()
             break
         part = kids.filter(F.col("parent").isNotNull()).select("thread", "parent", "node")
         edges = part if edges is None else edges.unionByName(part)
