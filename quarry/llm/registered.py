@@ -7,11 +7,24 @@ result over whole texts; the others are tested against brute force in
 
 from __future__ import annotations
 
-from quarry.llm import packing, token_counts
+from quarry.llm import (packing, paragraph_sketch, quality_model, rule_cascade, sharding, simhash_dedup, source_mix,
+                        suffix_dedup, token_counts, url_rules)
 
 QUERIES = {
+    "op1_url_filters": url_rules.query,
+    "op2_quality_classifier": quality_model.query,
+    "op3_document_fingerprints": paragraph_sketch.query,
+    "op4_quality_rules": rule_cascade.query,
+    "op5_suffix_array_dedup": suffix_dedup.query,
+    "op6_sharding": sharding.query,
+    "op7_simhash_near_dedup": simhash_dedup.query,
+    "op8_mixing_sources": source_mix.query,
     "op9_token_counts": token_counts.query,
     "op10_best_fit_packing": packing.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": rule_cascade.ORACLE,
+    "op5_suffix_array_dedup": suffix_dedup.ORACLE,
+    "op8_mixing_sources": source_mix.ORACLE,
+}
