@@ -3,7 +3,9 @@ trained with follow-the-regularised-leader updates, scored as sparse dot product
 
 Words are runs of letters, of digits (all alike) or of other visible
 characters, ASCII letters lower-cased. Single words and pairs of neighbours are
-hashed into ``2**bits`` weights; a text's value for an index is its share of the
+hashed into ``2**bits`` weights; a pair of the same word twice, and a pair or a
+triple that the text had before, also count under one index each, so that
+repetition is learnt whatever the words are. A text's value for an index is its share of the
 text's n-grams (times a constant), so length does not count.
 
 Training takes at most about ``max_rows`` labelled rows, chosen by a hash of
@@ -65,14 +67,32 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.
     inside = np.ones(len(pair), dtype=bool)
     last = bounds[1:-1] - 1
     inside[last[(last >= 0) & (last < len(pair))]] = False
-    both = np.concatenate([hashed, pair[inside]]) & np.uint64((1 << bits) - 1)
-    place = np.concatenate([np.arange(len(hashed)), np.flatnonzero(inside)])
+    at = np.flatnonzero(inside)
+    text_of = np.repeat(np.arange(len(offsets) - 1), np.diff(bounds))
+    # the same word twice, a pair seen before, a triple seen before
+    same = at[hashed[at] == hashed[at + 1]]
+    old = at[_seen(text_of[at], pair[at])]
+    three = at[:-1][at[1:] == at[:-1] + 1] if len(at) else at
+    third = three[_seen(text_of[three], b.finish(pair[three] * np.uint64(b.BASE) + hashed[np.minimum(three + 2, len(hashed) - 1)]))]
+    both = np.concatenate([hashed, pair[at]]) & np.uint64((1 << bits) - 1)
+    marks = [np.full(len(x), b._mixed(2000 + i) & ((1 << bits) - 1), np.uint64) for i, x in enumerate((same, old, third))]
+    both = np.concatenate([both, *marks])
+    place = np.concatenate([np.arange(len(hashed)), at, same, old, third])
     text_no = np.searchsorted(bounds, place, side="right") - 1
     order = np.argsort(text_no, kind="stable")
     counts = np.bincount(text_no, minlength=len(offsets) - 1)
     return both[order].astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
 
 
+def _seen(text_no: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Whether an equal item stands earlier in the same text."""
+    key = b.finish(hashed + text_no.astype(np.uint64) * np.uint64(b.BASE))
+    order = np.argsort(key, kind="stable")
+    out = np.zeros(len(key), dtype=bool)
+    out[order[1:]] = key[order][1:] == key[order][:-1]
+    return out
+
+
 def ftrl(examples, labels, bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
     """Weights (the last is the bias) after the updates over ``examples``, a list
     of (distinct indices, values)."""

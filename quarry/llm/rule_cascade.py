@@ -130,9 +130,21 @@ def _n_repeat_words(v: View) -> np.ndarray:
     return b.sums(np.cumsum(edge)[:len(start)] > 0, bounds)
 
 
+def _n_same_words(v: View) -> np.ndarray:
+    """Words equal to the word before them."""
+    start, end, bounds = v.words()
+    if not len(start):
+        return np.zeros(len(v), np.int64)
+    word = b.span_hash(v.prefix(), start, end)
+    same = np.zeros(len(word), dtype=bool)
+    same[1:] = word[1:] == word[:-1]
+    same[bounds[:-1][bounds[:-1] < len(word)]] = False
+    return b.sums(same, bounds)
+
+
 FEATURES: dict[str, Callable[[View], np.ndarray]] = {
     "n_words": _n_words, "word_chars": _word_chars, "n_symbols": _n_symbols, "n_lines": _n_lines,
-    "n_dup_lines": _n_dup_lines, "n_repeat_words": _n_repeat_words,
+    "n_dup_lines": _n_dup_lines, "n_repeat_words": _n_repeat_words, "n_same_words": _n_same_words,
 }
 
 
@@ -167,9 +179,14 @@ def odd_word_length(v: View) -> np.ndarray:
     return (chars < 2 * n) | (chars > 15 * n)
 
 
+def stutters(v: View) -> np.ndarray:
+    """More than three words in ten equal the word before them."""
+    return 10 * v.feature("n_same_words") > 3 * v.feature("n_words")
+
+
 BASE_RULES = (Rule("too_short", too_short), Rule("repeats_itself", repeats_itself))
 MORE_RULES = (Rule("symbol_heavy", symbol_heavy), Rule("same_lines", same_lines),
-              Rule("odd_word_length", odd_word_length))
+              Rule("odd_word_length", odd_word_length), Rule("stutters", stutters))
 RULES = BASE_RULES + MORE_RULES
 
 
@@ -263,13 +280,15 @@ win AS (SELECT doc_id, i, CASE WHEN i + 7 <= len(w) THEN array_to_string(w[i:i +
 flag AS (SELECT doc_id, i, win IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, win) > 1 AS again FROM win),
 cover AS (SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS c FROM flag),
 rep AS (SELECT doc_id, CAST(count(*) FILTER (WHERE c) AS BIGINT) AS n_repeat_words FROM cover GROUP BY 1),
-f AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
+step AS (SELECT doc_id, CAST(count(*) FILTER (WHERE w[i] = w[i - 1]) AS BIGINT) AS n_same FROM pos WHERE i > 1 GROUP BY 1),
+f AS (SELECT doc_id, coalesce(n_same, 0) AS n_same, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
              coalesce(n_repeat_words, 0) AS n_repeat_words
-      FROM base LEFT JOIN dups USING (doc_id) LEFT JOIN rep USING (doc_id))
+      FROM base LEFT JOIN dups USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN step USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > 3 * n_words
-            OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+            OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 10 * n_same > 3 * n_words) AS kept
 FROM f
 """
 
