@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from quarry.llm._shared import ship_by_value
+from quarry.llm._shared import ship_by_value, worker_cache
 
 #: Bytes of text that one kernel call works on (a longer text is taken alone).
 CHUNK_BYTES = 1 << 22
@@ -26,18 +26,18 @@ BASE_INV = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
 
-_POWERS: dict[str, np.ndarray] = {}
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**j and BASE**-j modulo 2**64 for j < n."""
-    have = _POWERS.get("up")
-    if have is None or len(have) < n:
-        for name, base in (("up", BASE), ("down", BASE_INV)):
+    kept = worker_cache()
+    have = kept.get("powers")
+    if have is None or len(have[0]) < n:
+        made = []
+        for base in (BASE, BASE_INV):
             steps = np.full(max(n, CHUNK_BYTES + 1024), base, dtype=np.uint64)
             steps[0] = 1
-            _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+            made.append(np.cumprod(steps, dtype=np.uint64))
+        have = kept["powers"] = tuple(made)
+    return have[0][:n], have[1][:n]
 
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:

@@ -21,6 +21,16 @@ def ship_by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, over all its tasks
+    (the module itself arrives anew with every task)."""
+    import types
+    name = "_quarry_llm_worker_cache"
+    if name not in sys.modules:
+        sys.modules[name] = types.ModuleType(name)
+    return sys.modules[name].__dict__.setdefault("kept", {})
+
+
 def bound_arrow_batches(spark: SparkSession) -> None:
     """Limit Arrow batches by bytes where the session has set no limit itself."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

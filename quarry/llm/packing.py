@@ -30,17 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quarry.llm._shared import bound_arrow_batches, saved, ship_by_value
+from quarry.llm._shared import bound_arrow_batches, saved, ship_by_value, worker_cache
 
 #: Distinct parts whose ids a worker keeps before it starts anew.
-CACHE_PARTS = 1_200_000
+CACHE_PARTS = 700_000
 #: Parts handed to the library at once.
 ENCODE_PARTS = 256
 #: Fillings compared for one largest length, steps of the search inside one, and branches overall.
 FILLINGS, FILL_NODES, SEARCH_NODES = 4, 20_000, 6_000
 
-_LOADED: dict = {}
-
 
 class IdEncoder:
     """Ids of a byte-level BPE, every distinct part of a batch encoded once.
@@ -172,9 +170,10 @@ class IdEncoder:
 
 
 def _encoder(path: str) -> IdEncoder:
-    if path not in _LOADED:
-        _LOADED[path] = IdEncoder(path)
-    return _LOADED[path]
+    kept = worker_cache()
+    if ("IdEncoder", path) not in kept:
+        kept["IdEncoder", path] = IdEncoder(path)
+    return kept["IdEncoder", path]
 
 
 def cut_into_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0,

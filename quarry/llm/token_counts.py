@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm._shared import append_columns, ship_by_value
+from quarry.llm._shared import append_columns, ship_by_value, worker_cache
 
 #: Distinct parts whose counts a worker keeps before it starts anew.
 CACHE_PARTS = 500_000
@@ -29,8 +29,6 @@ CACHE_PARTS = 500_000
 ENCODE_BYTES = 1 << 18
 MARK = "▁"
 
-_LOADED: dict = {}
-
 
 class PieceCounter:
     """Counts of a sentencepiece model for texts cut at safe boundaries."""
@@ -75,9 +73,10 @@ class PieceCounter:
 
 
 def _counter(path: str) -> PieceCounter:
-    if path not in _LOADED:
-        _LOADED[path] = PieceCounter(path)
-    return _LOADED[path]
+    kept = worker_cache()
+    if ("PieceCounter", path) not in kept:
+        kept["PieceCounter", path] = PieceCounter(path)
+    return kept["PieceCounter", path]
 
 
 def count_tokens(docs: DataFrame, model_path: str, text: str = "text", limit: int = 4096) -> DataFrame:
