@@ -7,9 +7,10 @@ the number of its digests, their xor and the xor of their checks. Subtracting
 the cells of two versions leaves only the digests they do not share, and
 peeling recovers these: a cell left with one digest names it, which is then
 taken out of its other cells. If cells remain, the sketches were too small for
-the difference, and both versions are sketched again with twice the cells
-(in blocks of fixed size, chosen by further bits of the digest, so the work
-grows with the number of paragraphs). Likeness is shared / all distinct
+the difference, and both versions are sketched again with more cells: in
+blocks chosen by further bits of the digest, as many as the paragraph counts ask
+for, and a block that fails is tried again with twice the cells and other
+places. Likeness is shared / all distinct
 paragraphs, from the recovered differences and the two counts.
 
 The fingerprint is the count, a hash of the whole text, and the first and
@@ -35,10 +36,10 @@ from pyspark.sql import functions as F
 from quarry.llm._shared import text_col
 
 PIECE_CHARS = 256
-#: Cells per table of the fingerprint's sketch, and of a block of a larger one.
-FIRST_CELLS, BLOCK_CELLS = 4, 16
-#: Differences a block should meet at most on average, and doublings tried.
-BLOCK_LOAD, RETRIES = 8, 12
+#: Cells per table of the fingerprint's sketch, of a block's first and of its larger sketches.
+FIRST_CELLS, BLOCK_CELLS, LARGER_CELLS = 4, 8, 16
+#: Digests of both sides in a block on average, and larger sketches tried.
+BLOCK_LOAD, RETRIES = 6, 4
 TABLES, ROUNDS = 3, 16
 
 
@@ -97,12 +98,13 @@ def peel(cells_array, cells: int):
 
     def step(state, _):
         # the round's digests are computed once and used by every cell
-        return F.aggregate(F.array(pure(state)), state, lambda st, found: F.when(F.size(found) == 0, st).otherwise(F.struct(
+        return F.when(state["done"], state).otherwise(F.aggregate(F.array(pure(state)), state, lambda st, found: F.struct(
             F.transform(st["cells"], lambda c, i: F.aggregate(found, c, lambda acc, r: F.when(
                 F.getbit(r["m"], i) == 1, _add(acc, r["d"], r["c"], -r["n"])).otherwise(acc))).alias("cells"),
             (st["plus"] + F.size(F.filter(found, lambda r: r["n"] == 1))).alias("plus"),
-            (st["minus"] + F.size(F.filter(found, lambda r: r["n"] == -1))).alias("minus"))))
-    start = F.struct(cells_array.alias("cells"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
+            (st["minus"] + F.size(F.filter(found, lambda r: r["n"] == -1))).alias("minus"),
+            (F.size(found) == 0).alias("done"))))
+    start = F.struct(cells_array.alias("cells"), F.lit(0).alias("plus"), F.lit(0).alias("minus"), F.lit(False).alias("done"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
 
 
@@ -110,57 +112,57 @@ def _emptied(state):
     return F.forall(state["cells"], lambda c: (c["n"] == 0) & (c["x"] == 0) & (c["c"] == 0))
 
 
-def _block(items, block, blocks, level):
-    """Items of one block; the level turns other bits of the digest's hash into the block number."""
-    return F.filter(items, lambda x: F.pmod(F.xxhash64(x["d"], level), blocks) == block)
-
-
-def _mixed(array, level):
-    """The digests with other bits in front, so that a larger sketch meets other cells."""
-    return F.transform(array, lambda d: F.xxhash64(d, level + 1000))
-
-
-def difference(a, b, first_a, first_b):
-    """Struct (ok, plus, minus) for arrays of digests and their first sketches."""
-    none = F.struct(F.lit(False).alias("ok"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
-
-    def result(state):
-        return F.struct(_emptied(state).alias("ok"), state["plus"].alias("plus"), state["minus"].alias("minus"))
-
-    def once(value, use):
-        """``use`` of a value that is computed once."""
-        return F.element_at(F.transform(F.array(value), use), 1)
-
-    def attempt(level):
-        # blocks of fixed size; twice as many at each level
-        blocks = (F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / BLOCK_LOAD).cast("int"))
-                  * F.pow(F.lit(2.0), level - 1).cast("int"))
-        both = F.struct(_prepared(_mixed(a, level), BLOCK_CELLS).alias("a"), _prepared(_mixed(b, level), BLOCK_CELLS).alias("b"),
-                        blocks.alias("blocks"))
-        return once(both, lambda v: F.aggregate(
-            F.sequence(F.lit(0), v["blocks"] - 1),
-            F.struct(F.lit(True).alias("ok"), F.lit(0).alias("plus"), F.lit(0).alias("minus")),
-            lambda acc, k: F.when(~acc["ok"], acc).otherwise(once(
-                peel(subtract(sketch(_block(v["a"], k, v["blocks"], level), BLOCK_CELLS),
-                              sketch(_block(v["b"], k, v["blocks"], level), BLOCK_CELLS)), BLOCK_CELLS),
-                lambda st: F.struct(_emptied(st).alias("ok"), (acc["plus"] + st["plus"]).alias("plus"),
-                                    (acc["minus"] + st["minus"]).alias("minus"))))))
-    small = once(peel(subtract(first_a, first_b), FIRST_CELLS), result)
-    return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES)), none,
-                       lambda st, level: F.when(st["ok"], st).when(level == 0, small).otherwise(attempt(level)))
-
-
-def likeness(a, b, first_a, first_b):
-    """Shared over all distinct paragraphs, 1.0 for two empty texts. If every
-    size failed (digests that agree in all cells), the sets are compared."""
-    d = difference(a, b, first_a, first_b)
-    exact = F.size(F.array_intersect(a, b))
-
-    def ratio(x):
-        shared = F.when(x["ok"], F.size(a) - x["plus"]).otherwise(exact)
-        every = F.size(a) + F.size(b) - shared
-        return F.when(every == 0, F.lit(1.0)).otherwise(shared / every).cast("double")
-    return F.element_at(F.transform(F.array(d), ratio), 1)
+def _outcome(cells_array, cells: int):
+    """Struct (ok, plus, minus) of peeling."""
+    return F.element_at(F.transform(F.array(peel(cells_array, cells)), lambda st: F.struct(
+        _emptied(st).alias("ok"), st["plus"].alias("plus"), st["minus"].alias("minus"))), 1)
+
+
+def _failed():
+    return F.struct(F.lit(False).alias("ok"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
+
+
+def _block_outcome(part):
+    """Outcome for the digests of one block, a struct (a, b): a small sketch of
+    both sides, on failure larger ones in which the digests meet other cells."""
+    def attempt(cells, mixed):
+        return _outcome(subtract(sketch(_prepared(mixed(part["a"]), cells), cells),
+                                 sketch(_prepared(mixed(part["b"]), cells), cells)), cells)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES)), _failed(), lambda st, level: F.when(st["ok"], st).when(
+        level == 0, attempt(BLOCK_CELLS, lambda array: array)).otherwise(
+        attempt(LARGER_CELLS, lambda array: F.transform(array, lambda d: F.xxhash64(d, level)))))
+
+
+def with_likeness(rows: DataFrame, a: str, b: str, first_a: str, first_b: str, out: str) -> DataFrame:
+    """``rows`` with the likeness of two columns of digests (shared over all
+    distinct paragraphs, 1.0 for two empty texts), given their first sketches."""
+    # the first sketches cannot hold more differences than they have cells
+    hopeless = F.abs(F.size(a) - F.size(b)) > TABLES * FIRST_CELLS
+    small = F.when(hopeless, _failed()).otherwise(_outcome(subtract(F.col(first_a), F.col(first_b)), FIRST_CELLS))
+    # digests in blocks of a bounded number on average, so the work grows with the paragraphs
+    count = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / BLOCK_LOAD)).cast("int")
+
+    def numbered(array):
+        return F.transform(array, lambda d: F.struct(
+            d.alias("d"), F.pmod(F.shiftrightunsigned(d, 24), F.col("__count")).cast("int").alias("k")))
+
+    def block(array, k):
+        return F.transform(F.filter(array, lambda x: x["k"] == k), lambda x: x["d"])
+    rows = rows.withColumns({"__small": small, "__count": count})
+    rows = rows.withColumns({"__na": numbered(F.col(a)), "__nb": numbered(F.col(b))})
+    rows = rows.withColumn("__parts", F.when(F.col("__small")["ok"], F.array()).otherwise(F.transform(
+        F.sequence(F.lit(0), F.col("__count") - 1),
+        lambda k: F.struct(block(F.col("__na"), k).alias("a"), block(F.col("__nb"), k).alias("b")))))
+    rows = rows.withColumn("__solved", F.transform("__parts", _block_outcome))
+    ok = F.col("__small")["ok"] | F.forall("__solved", lambda x: x["ok"])
+    plus = F.when(F.col("__small")["ok"], F.col("__small")["plus"]).otherwise(
+        F.aggregate("__solved", F.lit(0), lambda n, x: n + x["plus"]))
+    # if every size failed (digests that agree in all cells), the sets are compared
+    shared = F.when(ok, F.size(a) - plus).otherwise(F.size(F.array_intersect(a, b)))
+    rows = rows.withColumn("__shared", shared)
+    every = F.size(a) + F.size(b) - F.col("__shared")
+    return rows.withColumn(out, F.when(every == 0, F.lit(1.0)).otherwise(F.col("__shared") / every).cast("double")).drop(
+        "__small", "__count", "__na", "__nb", "__parts", "__solved", "__shared")
 
 
 def _as_text(text, items, first):
@@ -207,11 +209,11 @@ def compare_versions(rows: DataFrame) -> DataFrame:
     text and its edited version and both likenesses."""
     sets = rows.withColumns({"__a": digests(F.col("text")), "__e": digests(F.col("edited_text")), "__n": digests(F.col("next_text"))})
     sets = sets.withColumns({f"__f{k}": sketch(_prepared(F.col(f"__{k}"), FIRST_CELLS), FIRST_CELLS) for k in "aen"})
+    sets = with_likeness(sets, "__a", "__e", "__fa", "__fe", "near_edited")
+    sets = with_likeness(sets, "__a", "__n", "__fa", "__fn", "near_next")
     return sets.withColumns({
         "fingerprint": _as_text(F.col("text"), F.col("__a"), F.col("__fa")),
-        "edited_fingerprint": _as_text(F.col("edited_text"), F.col("__e"), F.col("__fe")),
-        "near_edited": likeness(F.col("__a"), F.col("__e"), F.col("__fa"), F.col("__fe")),
-        "near_next": likeness(F.col("__a"), F.col("__n"), F.col("__fa"), F.col("__fn"))})
+        "edited_fingerprint": _as_text(F.col("edited_text"), F.col("__e"), F.col("__fe"))})
 
 
 def query(spark, sf_dir: str) -> DataFrame:

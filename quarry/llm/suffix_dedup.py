@@ -329,9 +329,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD,
-                 text: str = "text") -> DataFrame:
+                 text: str = "text", cut_text: bool = False) -> DataFrame:
     """``docs`` with kept_bytes (binary: what remains, which may cut through a
-    character), n_bytes, n_removed and n_spans (maximal removed stretches)."""
+    character), n_bytes, n_removed and n_spans (maximal removed stretches). With
+    ``cut_text`` the text itself is what remains, without the rest of characters
+    that were cut through."""
     spans = repeated_spans(docs, length, gram, crowd, text)
     names = ["kept_bytes", "n_bytes", "n_removed", "n_spans"]
     kept = docs.drop(*[n for n in names if n in docs.columns])
@@ -345,13 +347,17 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd:
     def cut(batches):
         import pyarrow as pa
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            given = batch.column(batch.schema.get_field_index(text))
+            texts = given.to_pylist()
             at, until = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__at", "__until"))
             rows = [_cut((t or "").encode(), a, u) for t, a, u in zip(texts, at, until, strict=True)]
             cols = list(zip(*rows, strict=True)) or [()] * 4
             made = [pa.array(c, type=t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(n)) for n in out_names] + made, names=[*out_names, *names])
+            left = [batch.column(batch.schema.get_field_index(n)) for n in out_names]
+            if cut_text:
+                left[out_names.index(text)] = pa.array(
+                    [r[0].decode("utf-8", "ignore") if r[2] else t for r, t in zip(rows, texts, strict=True)], type=given.type)
+            yield pa.RecordBatch.from_arrays(left + made, names=[*out_names, *names])
     from pyspark.sql import types as T
     schema = T.StructType(list(kept.schema.fields) + [T.StructField("kept_bytes", T.BinaryType())]
                           + [T.StructField(n, T.LongType()) for n in names[1:]])
