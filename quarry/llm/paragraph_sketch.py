@@ -182,10 +182,9 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
     # at most one bound per task
     cuts = (rows.where("doc_id IS NOT NULL")
             .agg(F.percentile_approx("__at", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or [])
-    splits = [float("-inf"), *sorted({c for c in cuts}), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="__at", outputCol="__range").transform(rows).withColumn(
         "__range", F.col("__range").cast("int")).withColumn("__hash", F.xxhash64("text"))
-    # Bucketizer puts the lowest bound itself into the first range
     order = [F.col("doc_id").desc_nulls_last(), F.col("__hash").desc(), F.col("text").desc()]
     within = Window.partitionBy("__range").orderBy(*order)
     # the first row of each range: one key per range, then its text

@@ -180,18 +180,18 @@ def keep_one_per_component(docs: DataFrame, **options) -> DataFrame:
     found = near_duplicates(docs, **options)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     best = found.groupBy("root").agg(F.min(order).alias("best"))
-    same = found.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("__rows"))
+    same = found.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("__llm_rows"))
     winners = saved(best.join(same, (best["root"] == same["root"])
                               & same["doc_id"].eqNullSafe(F.col("best.doc_id"))
                               & (same["text_key"] == F.col("best.text_key")))
-                    .select(F.col("best.doc_id").alias("__doc"), F.col("best.text_key").alias("__key"), "__rows"))
-    kept = docs.join(winners, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__doc"))
-                     & (F.xxhash64(text_col(docs)) == F.col("__key")))
-    single = kept.where(F.col("__rows") == 1).select(*docs.columns)
-    repeated = kept.where(F.col("__rows") > 1)
-    if not winners.where(F.col("__rows") > 1).limit(1).count():
+                    .select(F.col("best.doc_id").alias("__llm_doc"), F.col("best.text_key").alias("__llm_key"), "__llm_rows"))
+    kept = docs.join(winners, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__llm_doc"))
+                     & (F.xxhash64(text_col(docs)) == F.col("__llm_key")))
+    single = kept.where(F.col("__llm_rows") == 1).select(*docs.columns)
+    repeated = kept.where(F.col("__llm_rows") > 1)
+    if not winners.where(F.col("__llm_rows") > 1).limit(1).count():
         return single
-    one = repeated.dropDuplicates(["__doc", "__key"]).select(*docs.columns)
+    one = repeated.dropDuplicates(["__llm_doc", "__llm_key"]).select(*docs.columns)
     return single.unionByName(one)
 
 

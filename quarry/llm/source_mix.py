@@ -109,19 +109,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, budget: int | None =
 def take_mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken."""
     chosen = mix(docs, **options).where("repeats > 0").select(
-        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), F.col("source").alias("__src"), "repeats")
+        F.col("doc_id").alias("__llm_doc"), F.col("text_key").alias("__llm_key"), F.col("source").alias("__llm_src"), "repeats")
     # rows that agree in doc_id, source and text stand for each other
-    chosen = chosen.groupBy("__doc", "__key", "__src").agg(
-        F.sort_array(F.collect_list("repeats"), asc=False).alias("__times"))
+    chosen = chosen.groupBy("__llm_doc", "__llm_key", "__llm_src").agg(
+        F.sort_array(F.collect_list("repeats"), asc=False).alias("__llm_times"))
     # number the rows of docs that agree, so that each gets its own count
-    same = docs.join(chosen, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__doc"))
-                     & docs["source"].cast("string").eqNullSafe(F.col("__src"))
-                     & (F.xxhash64(text_col(docs)) == F.col("__key")))
-    single = same.where(F.size("__times") == 1).withColumn("__n", F.element_at("__times", 1))
-    total = same.where(F.size("__times") > 1).dropDuplicates(["__doc", "__key", "__src"]).withColumn(
-        "__n", F.aggregate("__times", F.lit(0), lambda a, x: a + x))
+    same = docs.join(chosen, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__llm_doc"))
+                     & docs["source"].cast("string").eqNullSafe(F.col("__llm_src"))
+                     & (F.xxhash64(text_col(docs)) == F.col("__llm_key")))
+    single = same.where(F.size("__llm_times") == 1).withColumn("__llm_n", F.element_at("__llm_times", 1))
+    total = same.where(F.size("__llm_times") > 1).dropDuplicates(["__llm_doc", "__llm_key", "__llm_src"]).withColumn(
+        "__llm_n", F.aggregate("__llm_times", F.lit(0), lambda a, x: a + x))
     both = single.unionByName(total)
-    return both.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)
+    return both.withColumn("__llm_nth", F.explode(F.sequence(F.lit(1), F.col("__llm_n")))).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

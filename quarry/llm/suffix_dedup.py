@@ -304,7 +304,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     bound_arrow_batches(docs.sparkSession)
     base = _base(docs, text)
     runs = _runs_of(base, length, gram)
-    again = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("anchor")
+    again = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("__llm_n")).where(F.col("__llm_n") > 1).select("anchor")
     known = saved(runs.join(again, "anchor", "left_semi"))
     firsts = saved(known.groupBy("anchor", "body").agg(F.min(F.struct("doc", "start", "key", "n")).alias("f"),
                                                        F.count(F.lit(1)).alias("copies")))
@@ -338,10 +338,10 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd:
     names = ["kept_bytes", "n_bytes", "n_removed", "n_spans"]
     kept = docs.drop(*[n for n in names if n in docs.columns])
     body = text_col(kept, text)
-    marked = kept.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)), "__key": F.xxhash64(body)})
-    s = spans.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"),
-                     F.transform("spans", lambda x: x["at"]).alias("__at"), F.transform("spans", lambda x: x["until"]).alias("__until"))
-    joined = marked.join(s, ["__doc", "__key"], "left").drop("__doc", "__key")
+    marked = kept.withColumns({"__llm_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)), "__llm_key": F.xxhash64(body)})
+    s = spans.select(F.col("doc").alias("__llm_doc"), F.col("key").alias("__llm_key"),
+                     F.transform("spans", lambda x: x["at"]).alias("__llm_at"), F.transform("spans", lambda x: x["until"]).alias("__llm_until"))
+    joined = marked.join(s, ["__llm_doc", "__llm_key"], "left").drop("__llm_doc", "__llm_key")
     out_names = kept.columns
 
     def cut(batches):
@@ -349,7 +349,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd:
         for batch in batches:
             given = batch.column(batch.schema.get_field_index(text))
             texts = given.to_pylist()
-            at, until = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__at", "__until"))
+            at, until = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__llm_at", "__llm_until"))
             rows = [_cut((t or "").encode(), a, u) for t, a, u in zip(texts, at, until, strict=True)]
             cols = list(zip(*rows, strict=True)) or [()] * 4
             made = [pa.array(c, type=t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
