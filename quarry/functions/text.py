@@ -8,6 +8,8 @@ DuckDB oracles.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,10 +94,8 @@ def strip_tags(col) -> Column:
     return F.array_join(kept, " ")
 
 
-# C05 URL pattern, same alternatives as the reference's: scheme http/https,
-# one or more "//" or "\", then URL characters each optionally followed by
-# "#!". The reference's range "+-=" is written out as "+,\-./0-9:;<=".
-URL_PATTERN = (r"https?:(?://|\\)+(?:[\p{L}\p{N}_:#@%/;$()“”~?+,\-./:;<=\\&](?:#!)?)*")
+# Fixed value: the C05 URL pattern; only \w and \d are spelled as Unicode classes, which Java needs.
+URL_PATTERN = r"((https?):((//)|(\\))+([\p{L}\p{N}_\p{Nd}:#@%/;$()“”~_?\+-=\\\.&](#!)?)*)"
 
 
 def strip_urls(col) -> Column:
@@ -103,7 +103,10 @@ def strip_urls(col) -> Column:
     return F.regexp_replace(_c(col), URL_PATTERN, ", ")
 
 
-NUMBER_PATTERN = r"^(?:\p{Nd}+\.?\p{Nd}*|\.\p{Nd}+)$"
+# digits besides \p{Nd} that ``str.isdigit`` accepts (superscripts, circled digits, ...)
+OTHER_DIGITS = "".join(c for c in map(chr, range(0x20000)) if c.isdigit() and unicodedata.category(c) != "Nd")
+_DIGIT = rf"[\p{{Nd}}{OTHER_DIGITS}]"
+NUMBER_PATTERN = rf"^(?:{_DIGIT}+\.?{_DIGIT}*|\.{_DIGIT}+)$"
 
 
 def is_number(col) -> Column:

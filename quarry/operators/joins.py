@@ -17,18 +17,16 @@ from quarry.operators.indexing import keep_one_per_key
 
 def join_stance_bodies(stances: DataFrame, bodies: DataFrame, body_key: str = "body_id",
                        body_col: str = "body", headline_col: str = "headline",
-                       label_col: str = "stance", body_order: str | None = None,
+                       label_col: str = "stance", body_order: str = "position",
                        strict: bool = True) -> DataFrame:
     """Stances N:1 bodies on the body id -> (source=body, target=headline, label).
 
-    Duplicate body ids: the last one (by ``body_order``) wins. ``strict``
+    Of equal body ids the last one (by ``body_order``, which bodies must have) wins. ``strict``
     keeps the reference's hard error on a missing body (D20) without an extra
     action: the join is a left join whose projection raises when no body
     matched, so the check rides along the one pass."""
-    b = bodies
-    if body_order is not None:
-        b = keep_one_per_key(b.select(body_key, body_col, body_order), [body_key], body_order,
-                             keep="last")
+    b = keep_one_per_key(bodies.select(body_key, body_col, body_order), [body_key], body_order,
+                         keep="last")
     b = b.select(F.col(body_key), F.col(body_col).alias("_q_body"), F.lit(True).alias("_q_hit"))
     if strict:
         joined = stances.join(b, body_key, "left")
@@ -43,16 +41,22 @@ def join_stance_bodies(stances: DataFrame, bodies: DataFrame, body_key: str = "b
                          F.col(label_col).alias("label"))
 
 
-def join_articles_posts(articles: DataFrame, posts: DataFrame, key: str = "news_id",
+#: What tells one article from another (the same id occurs on both sides of a dataset).
+ARTICLE_KEYS = ("dataset", "news_label", "news_id")
+
+
+def join_articles_posts(articles: DataFrame, posts: DataFrame, keys=None,
                         title_col: str = "title", description_col: str = "description",
                         post_col: str = "post", default_stance: str = "comment") -> DataFrame:
     """Each post gives (post, title) if the title is non-empty and
-    (post, description) if the description is non-empty; label ``comment``."""
-    a = articles.select(key, F.array(
+    (post, description) if the description is non-empty; label ``comment``.
+    Joined on those of ``ARTICLE_KEYS`` that both sides have."""
+    keys = list(keys) if keys else [c for c in ARTICLE_KEYS if c in articles.columns and c in posts.columns]
+    a = articles.select(*keys, F.array(
         F.struct(F.lit(0).alias("target_kind"), F.col(title_col).alias("target")),
         F.struct(F.lit(1).alias("target_kind"), F.col(description_col).alias("target"))
     ).alias("_q_targets"))
-    joined = posts.join(a, key)
+    joined = posts.join(a, keys)
     exploded = joined.withColumn("_q_t", F.explode("_q_targets")).drop("_q_targets")
     out = exploded.filter(F.length(F.col("_q_t.target")) > 0)
     return out.select(*[c for c in posts.columns],
@@ -109,7 +113,7 @@ def experiment_summary(test: DataFrame, model_a: DataFrame, model_b: DataFrame,
     for name, m in zip(names, [model_a, model_b]):
         probs = softmax(F.col("logits"))
         cols = [F.col(idx), F.col("pred").alias(f"{name}_predictions")]
-        cols += [F.round(F.element_at(probs, i + 1), 9).alias(f"{name}_{c}")
+        cols += [F.element_at(probs, i + 1).alias(f"{name}_{c}")
                  for i, c in enumerate(classes)]
         side = m.select(*cols).withColumn(f"_q_{name}", F.lit(True))
         out = out.withColumn(f"_q_l_{name}", F.lit(True)).join(side, idx, "full")

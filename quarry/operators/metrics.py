@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = 9
 
 
 def label_union_set(df: DataFrame, pred: str = "pred", truth: str = "truth") -> DataFrame:
@@ -45,9 +44,9 @@ def class_metrics(df: DataFrame, pred: str = "pred", truth: str = "truth") -> Da
     pl = _per_label(confusion_matrix(df, pred, truth))
     return pl.select(
         "label",
-        F.round(_ratio(F.col("tp"), F.col("predicted")), DIGITS).alias("precision"),
-        F.round(_ratio(F.col("tp"), F.col("support")), DIGITS).alias("recall"),
-        F.round(_ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")), DIGITS).alias("f1"))
+        _ratio(F.col("tp"), F.col("predicted")).alias("precision"),
+        _ratio(F.col("tp"), F.col("support")).alias("recall"),
+        _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"))
 
 
 def overall_metrics(df: DataFrame, pred: str = "pred", truth: str = "truth") -> DataFrame:
@@ -60,13 +59,13 @@ def overall_metrics(df: DataFrame, pred: str = "pred", truth: str = "truth") ->
         _ratio(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f"))
     acc = _ratio(F.sum("tp"), F.sum("support"))
     return per.agg(
-        F.round(acc, DIGITS).alias("accuracy"),
-        F.round(acc, DIGITS).alias("micro_precision"),
-        F.round(acc, DIGITS).alias("micro_recall"),
-        F.round(acc, DIGITS).alias("micro_f1"),
-        F.round(F.avg("p"), DIGITS).alias("macro_precision"),
-        F.round(F.avg("r"), DIGITS).alias("macro_recall"),
-        F.round(F.avg("f"), DIGITS).alias("macro_f1"))
+        acc.alias("accuracy"),
+        acc.alias("micro_precision"),
+        acc.alias("micro_recall"),
+        acc.alias("micro_f1"),
+        F.avg("p").alias("macro_precision"),
+        F.avg("r").alias("macro_recall"),
+        F.avg("f").alias("macro_f1"))
 
 
 def metrics_report(df: DataFrame, pred: str = "pred", truth: str = "truth") -> DataFrame:

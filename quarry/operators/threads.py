@@ -64,13 +64,15 @@ def join_source_headlines(posts: DataFrame, labels: DataFrame, headlines: DataFr
                     F.col("headline").alias("target"), "label")
 
 
-def path_parity(edges: DataFrame, node_ok: DataFrame, max_rounds: int = 64) -> DataFrame:
+def path_parity(edges: DataFrame, node_ok: DataFrame) -> DataFrame:
     """Pointer doubling over a forest.
 
     ``node_ok``: (thread, node, ok boolean, bit int) for every node (roots
-    included). Returns (thread, node, ok, bit) where ``ok`` is the AND and
-    ``bit`` the XOR over the whole path root -> node. Nodes still unresolved
-    after ``max_rounds`` (a cycle) come back with ok = false."""
+    included). Returns (thread, node, ok, bit, cycle) where ``ok`` is the AND and
+    ``bit`` the XOR over the whole path root -> node. Each round doubles the
+    distance covered, so a path among n nodes is done within log2(n) + 1
+    rounds; what still moves then leads into a cycle and comes back with
+    ok = false and cycle = true."""
     spark = edges.sparkSession
     checkpoint_dir(spark)
     parent = edges.select("thread", "node", F.col("parent").alias("anc"))
@@ -82,7 +84,8 @@ def path_parity(edges: DataFrame, node_ok: DataFrame, max_rounds: int = 64) -> D
     state = state.checkpoint(eager=True)
     resolved = [state.filter(F.col("anc").isNull())]
     active = state.filter(F.col("anc").isNotNull())
-    for _ in range(max_rounds):
+    moving = active.count()
+    for _ in range(moving.bit_length() + 1):
         if active.isEmpty():
             break
         full = active
@@ -99,14 +102,14 @@ def path_parity(edges: DataFrame, node_ok: DataFrame, max_rounds: int = 64) -> D
         stepped = stepped.checkpoint(eager=True)
         resolved.append(stepped.filter(F.col("anc").isNull()))
         active = stepped.filter(F.col("anc").isNotNull())
-    out = active.withColumn("ok", F.lit(False))  # still unresolved: a cycle
+    out = active.withColumn("ok", F.lit(False)).withColumn("cycle", F.lit(True))
     for part in resolved:
-        out = out.unionByName(part)
-    return out.select("thread", "node", "ok", "bit")
+        out = out.unionByName(part.withColumn("cycle", F.lit(False)))
+    return out.select("thread", "node", "ok", "bit", "cycle")
 
 
 def propagate_headline_labels(edges: DataFrame, posts: DataFrame, labels: DataFrame,
-                              headlines: DataFrame, max_rounds: int = 64) -> DataFrame:
+                              headlines: DataFrame) -> DataFrame:
     """One row per (reply, headline) with the propagated label
     (support when the path holds an even number of deny labels, else deny)."""
     lab = _labelled(labels)
@@ -128,7 +131,7 @@ def propagate_headline_labels(edges: DataFrame, posts: DataFrame, labels: DataFr
                 ).otherwise(has_text & good_label)
     node_ok = info.select("thread", "node", ok.alias("ok"),
                           F.when(F.col("label") == "deny", 1).otherwise(0).alias("bit"))
-    resolved = path_parity(edges, node_ok, max_rounds)
+    resolved = path_parity(edges, node_ok)
     replies = resolved.filter(F.col("ok")).join(is_child, ["thread", "node"])
     texts = posts.select("thread", F.col("post").alias("node"), F.col("text").alias("source"))
     out = replies.join(texts, ["thread", "node"]).join(headlines.select("thread", "headline"),
@@ -140,10 +143,11 @@ def propagate_headline_labels(edges: DataFrame, posts: DataFrame, labels: DataFr
 
 def unmatched_report(edges: DataFrame, posts: DataFrame, labels: DataFrame,
                      manifest: DataFrame | None = None,
-                     headline_table: DataFrame | None = None) -> DataFrame:
+                     headline_table: DataFrame | None = None, cycles: bool = False) -> DataFrame:
     """What the reference prints and skips, as rows (thread, item, reason):
     edge posts without text, replies without a label, source posts without a
-    label, and manifest URLs without a headline. One row per occurrence."""
+    label, and manifest URLs without a headline. One row per occurrence. With
+    ``cycles`` also the nodes whose parents lead into a cycle (no tree)."""
     p = posts.select("thread", "post").withColumn("_q_t", F.lit(True))
     lab = _labelled(labels).select("thread", "post").withColumn("_q_l", F.lit(True))
     e = (edges.select("thread", "parent", "node")
@@ -162,6 +166,12 @@ def unmatched_report(edges: DataFrame, posts: DataFrame, labels: DataFrame,
     src_missing = src.join(lab, ["thread", "post"], "left_anti").select(
         "thread", F.col("post").cast("string").alias("item"), F.lit("no_label").alias("reason"))
     out = out.unionByName(src_missing)
+    if cycles:
+        nodes = edges.select("thread", "node").unionByName(
+            edges.select("thread", F.col("parent").alias("node"))).distinct()
+        found = path_parity(edges, nodes.withColumn("ok", F.lit(True)).withColumn("bit", F.lit(0)))
+        out = out.unionByName(found.filter("cycle").select(
+            "thread", F.col("node").cast("string").alias("item"), F.lit("cycle").alias("reason")))
     if manifest is not None and headline_table is not None:
         known = headline_table.select("url_id").distinct()
         miss = manifest.join(known, "url_id", "left_anti").select(

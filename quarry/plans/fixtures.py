@@ -14,43 +14,21 @@ from pyspark.sql import functions as F
 from quarry.functions.text import WS_CLASS
 from quarry.functions.web import title_and_media
 
-_COUNT_CACHE: dict[tuple[str, str], int] = {}
-
-
-# tables whose rows carry long text (per-row regex / tokenizing work follows)
-TEXT_TABLES = ("documents", "pages")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if name in TEXT_TABLES else df
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input partitions than ``target_tasks``
-    (e.g. one file with one row group) over that many tasks, so per-row text
-    work after the scan is not serial. At scale the input has far more splits
-    than that and this is a no-op. (The scan-only plan has no shuffle, so
-    asking for its partition count runs nothing.)"""
-    from quarry.session import target_tasks
-    n = target_tasks(df.sparkSession)
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a small dimension table (a driver-side scalar)."""
-    key = (sf_dir, name)
-    if key not in _COUNT_CACHE:
-        _COUNT_CACHE[key] = table(spark, sf_dir, name).count()
-    return _COUNT_CACHE[key]
+    """Row count of a table (a driver-side scalar; Parquet footers answer it)."""
+    return table(spark, sf_dir, name).count()
 
 
 # --- stance corpus (article bodies + headline/stance rows) -------------------
 
 def fx_stance_bodies(spark, sf_dir) -> DataFrame:
-    """Bodies table of the stance corpus: (body_id, body)."""
+    """Bodies table of the stance corpus: (body_id, body, position)."""
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("body_id"), F.col("text").alias("body"))
+        F.col("doc_id").alias("body_id"), F.col("text").alias("body"), F.col("doc_id").alias("position"))
 
 
 def _raw_stance(quality, toxic):
@@ -188,12 +166,21 @@ def fx_reply_json(spark, sf_dir) -> DataFrame:
 
 # --- articles, posts and mentioned URLs -------------------------------------------
 
+def article_count(spark, sf_dir) -> int:
+    """Number of article ids: it grows with the pages."""
+    return row_count(spark, sf_dir, "pages") // 10 + 10
+
+
+def _side(news_id):
+    return F.when(news_id % 20 < 11, "fake").otherwise("real")
+
+
 def fx_mentions(spark, sf_dir) -> DataFrame:
     """Posts with entity URLs: (news_label, news_id, post_id, urls array<struct>)."""
     p = table(spark, sf_dir, "pages")
-    news_id = F.col("page_id") % 20
+    news_id = F.col("page_id") % F.lit(article_count(spark, sf_dir))
     return p.select(
-        F.when(news_id < 11, "fake").otherwise("real").alias("news_label"),
+        _side(news_id).alias("news_label"),
         news_id.cast("bigint").alias("news_id"), F.col("page_id").alias("post_id"),
         F.array(F.struct(F.col("url").alias("expanded_url"))).alias("urls"))
 
@@ -201,14 +188,13 @@ def fx_mentions(spark, sf_dir) -> DataFrame:
 def fx_articles(spark, sf_dir) -> DataFrame:
     """Articles: (news_label, news_id, url, title, description)."""
     p = table(spark, sf_dir, "pages")
-    headline, _ = title_and_media(F.col("html"))
-    first = p.groupBy((F.col("page_id") % 20).alias("news_id")).agg(
+    first = p.groupBy((F.col("page_id") % F.lit(article_count(spark, sf_dir))).alias("news_id")).agg(
         F.min_by(F.struct(F.col("url"), F.col("html")), F.col("page_id")).alias("pg"))
     bench = table(spark, sf_dir, "benchmark").select(F.col("item_id"), F.col("text"))
     arts = first.join(bench, F.col("news_id") == F.col("item_id"), "left")
     title, _ = title_and_media(F.col("pg.html"))
     return arts.select(
-        F.when(F.col("news_id") < 11, "fake").otherwise("real").alias("news_label"),
+        _side(F.col("news_id")).alias("news_label"),
         F.col("news_id").cast("bigint").alias("news_id"), F.col("pg.url").alias("url"),
         title.alias("title"),
         F.when(F.col("news_id") % 4 == 0, F.lit("")).otherwise(F.coalesce(F.col("text"), F.lit("")))
@@ -216,9 +202,10 @@ def fx_articles(spark, sf_dir) -> DataFrame:
 
 
 def fx_article_posts(spark, sf_dir) -> DataFrame:
-    """Posts of articles: (news_id, post_id, post) = whole document texts."""
+    """Posts of articles: (news_label, news_id, post_id, post) = whole document texts."""
     d = table(spark, sf_dir, "documents")
-    return d.select((F.col("doc_id") % 20).cast("bigint").alias("news_id"),
+    news_id = F.col("doc_id") % F.lit(article_count(spark, sf_dir))
+    return d.select(_side(news_id).alias("news_label"), news_id.cast("bigint").alias("news_id"),
                     F.col("doc_id").alias("post_id"), F.col("text").alias("post"))
 
 
@@ -321,7 +308,8 @@ def fx_logits(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("source"))
     bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("target"))
     classes = F.array(*[F.lit(c) for c in LOGIT_CLASSES])
-    test = (e.join(docs, e["vec_id"] % 200 == docs["doc_id"])
+    nd = row_count(spark, sf_dir, "documents")
+    test = (e.join(docs, e["vec_id"] % F.lit(nd) == docs["doc_id"])
             .join(bench, e["vec_id"] % F.lit(nb) == bench["item_id"])
             .select(F.col("vec_id").alias("idx"), "source", "target",
                     F.element_at(classes, (F.col("label") % 3 + 1).cast("int")).alias("stance")))

@@ -137,22 +137,22 @@ FX_THREAD_MANIFEST = f"""fx_thread_manifest AS (
   FROM conversations c JOIN pages p ON p.page_id = c.conv_id % {NPAGES} WHERE c.turn = 0)"""
 
 FX_MENTIONS = """fx_mentions AS (
-  SELECT CASE WHEN page_id % 20 < 11 THEN 'fake' ELSE 'real' END AS news_label,
-         CAST(page_id % 20 AS BIGINT) AS news_id, page_id AS post_id, url AS expanded_url
+  SELECT CASE WHEN page_id % (SELECT count(*) // 10 + 10 FROM pages) % 20 < 11 THEN 'fake' ELSE 'real' END AS news_label,
+         CAST(page_id % (SELECT count(*) // 10 + 10 FROM pages) AS BIGINT) AS news_id, page_id AS post_id, url AS expanded_url
   FROM pages)"""
 
 _AH, _ = headline_media("p.html")
 FX_ARTICLES = f"""fx_first_page AS (
-  SELECT * FROM (SELECT page_id % 20 AS news_id, url, html,
-                        row_number() OVER (PARTITION BY page_id % 20 ORDER BY page_id) AS rn FROM pages)
+  SELECT * FROM (SELECT page_id % (SELECT count(*) // 10 + 10 FROM pages) AS news_id, url, html,
+                        row_number() OVER (PARTITION BY page_id % (SELECT count(*) // 10 + 10 FROM pages) ORDER BY page_id) AS rn FROM pages)
   WHERE rn = 1),
 fx_articles AS (
-  SELECT CASE WHEN p.news_id < 11 THEN 'fake' ELSE 'real' END AS news_label,
+  SELECT CASE WHEN p.news_id % 20 < 11 THEN 'fake' ELSE 'real' END AS news_label,
          CAST(p.news_id AS BIGINT) AS news_id, p.url, {_AH} AS title,
          CASE WHEN p.news_id % 4 = 0 THEN '' ELSE coalesce(b.text, '') END AS description
   FROM fx_first_page p LEFT JOIN benchmark b ON b.item_id = p.news_id),
 fx_article_posts AS (
-  SELECT CAST(doc_id % 20 AS BIGINT) AS news_id, doc_id AS post_id, text AS post
+  SELECT CAST(doc_id % (SELECT count(*) // 10 + 10 FROM pages) AS BIGINT) AS news_id, doc_id AS post_id, text AS post
   FROM documents)"""
 
 FX_ANNOTATED = f"""fx_annotated AS (
@@ -192,7 +192,7 @@ FX_EVENT_LINES = """fx_event_rows AS (
 FX_LOGITS = f"""fx_logit_test AS (
   SELECT e.vec_id AS idx, d.text AS source, b.text AS target,
          (['support', 'deny', 'comment'])[CAST(e.label % 3 + 1 AS INTEGER)] AS stance
-  FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id % 200
+  FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id % (SELECT count(*) FROM documents)
   JOIN benchmark b ON b.item_id = e.vec_id % {NB}),
 fx_logit_models AS (
   SELECT vec_id AS idx,
@@ -648,6 +648,15 @@ FROM pairs p LEFT JOIN best b USING (news_id, post_id, target_kind)"""
     o["pipeline_article_posts"] = j02 + """
 SELECT news_label, CAST(row_number() OVER (PARTITION BY news_label ORDER BY news_id, post_id, target_kind) - 1 AS BIGINT) AS idx,
        source, target, label AS stance FROM j02"""
+    # posts after the fourth of a side, of articles that start at its 41st post at the latest
+    o["pipeline_article_posts_range"] = ARTICLE_ROWS.rstrip() + """,
+numbered AS (SELECT *, row_number() OVER (PARTITION BY news_label ORDER BY news_id, post_id) - 1 AS nth FROM posts),
+chosen AS (SELECT * FROM (SELECT *, min(nth) OVER (PARTITION BY news_label, news_id) AS begins FROM numbered) WHERE nth > 3 AND begins <= 40),
+targets AS (SELECT news_id, 0 AS target_kind, title AS target FROM fx_articles
+            UNION ALL SELECT news_id, 1 AS target_kind, description AS target FROM fx_articles)
+SELECT news_label, CAST(row_number() OVER (PARTITION BY news_label ORDER BY c.news_id, post_id, target_kind) - 1 AS BIGINT) AS idx,
+       replace(post, chr(10), ' ') AS source, target, 'comment' AS stance
+FROM chosen c JOIN targets t ON t.news_id = c.news_id WHERE length(target) > 0"""
     o["scan_article_tree"] = with_(FX_ARTICLES) + """SELECT 'politifact' AS dataset, news_label, CAST(news_id AS VARCHAR) AS news_id, url, title, description FROM fx_articles"""
     o["pipeline_url_analysis"] = _more_queries()["mentioned_url_frequency"].replace(
         "SELECT mentioned_url, CAST(frequency AS BIGINT) AS frequency,",
@@ -663,7 +672,9 @@ allrows AS (
     o["write_delimited"] = pipeline_stance_sql().replace("SELECT * FROM split_final", """SELECT CAST(idx AS VARCHAR) AS idx, source, target, stance, split,
        coalesce(CAST(fold AS VARCHAR), '') AS fold FROM split_final""")
     o["write_lines"] = "SELECT url AS value FROM pages"
-    o["scan_lines"] = f"SELECT regexp_replace(text, {q(LB)}, ' ', 'g') AS value FROM documents"
+    o["scan_lines"] = (
+        "SELECT unnest(string_split_regex(regexp_replace(text, chr(13) || '$', ''), "
+        r"'\r\n|[\n\x0B\f\r\x1C-\x1E\x{85}\x{2028}\x{2029}]')) AS value FROM documents")
     o["scan_json_objects"] = with_(FX_ARTICLES) + "SELECT CAST(news_id AS VARCHAR) AS news_id, url, title, description FROM fx_articles"
     o["scan_thread_tree"] = with_(FX_THREADS) + "SELECT CAST(thread AS VARCHAR) AS thread, CAST(post AS VARCHAR) AS post, text, is_source FROM fx_thread_posts"
     o["scan_url_manifest"] = with_(FX_THREAD_MANIFEST) + "SELECT CAST(thread AS VARCHAR) AS thread, CAST(url_id AS VARCHAR) AS url_id, short_url, full_url FROM fx_thread_manifest"

@@ -124,27 +124,31 @@ def pipeline_paraphrase(rows: DataFrame, clean_text=None, k: int = 10) -> DataFr
 
 
 def pipeline_article_posts(articles: DataFrame, posts: DataFrame, vocab: DataFrame | None = None,
-                           batch_range: tuple[int, int] | None = None) -> DataFrame:
+                           batch_range: tuple[int, int] | None = None, costs: DataFrame | None = None) -> DataFrame:
     """Articles x posts -> (post, title) / (post, description) rows,
-    ``comment`` label, batch window, 0-based index per news label (the
-    reference exports one file per label).
+    ``comment`` label, 0-based index per news label (the reference exports one
+    file per label). ``batch_range`` counts the posts of articles that have a
+    content row, before they are joined and cleaned.
 
-    With ``vocab`` the cleaned variant runs: posts, titles and descriptions
+    With ``vocab`` (and the segmentation's ``costs``) the cleaned variant runs: posts, titles and descriptions
     go through C01 and each post loses what it quotes from its target (C09)."""
     from quarry.operators import cleaning
+    keys = [c for c in joins.ARTICLE_KEYS if c in articles.columns and c in posts.columns]
+    if batch_range is not None:
+        posts = posts.join(articles.select(*keys).distinct(), keys, "left_semi")
+        posts = filters.batch_window(posts, "news_id", ["news_id", "post_id"], batch_range[0],
+                                     batch_range[1], partition_col="news_label")
     if vocab is not None:
-        clean = cleaning.corpus_cleaner(vocab, "news_id")
-        articles = clean(clean(articles, "title"), "description")
-        posts = clean(posts, "post", key="post_id")
+        clean = cleaning.corpus_cleaner(vocab, "news_id", costs)
+        articles = articles.withColumn("_q_art", F.struct(*keys))
+        articles = clean(clean(articles, "title", key="_q_art"), "description", key="_q_art")
+        posts = posts.withColumn("_q_post", F.struct(*keys, "post_id"))
+        posts = clean(posts, "post", key="_q_post").drop("_q_post")
     else:
         posts = posts.withColumn("post", flatten_newlines("post"))
-    pairs = joins.join_articles_posts(articles, posts)
-    pairs = pairs.join(articles.select("news_id", "news_label"), "news_id")
+    pairs = joins.join_articles_posts(articles, posts, keys)
     if vocab is not None:
         pairs = cleaning.remove_quoted_overlap(pairs, "source", "target")
-    if batch_range is not None:
-        pairs = filters.batch_window(pairs, "news_id", ["news_id", "post_id"], batch_range[0],
-                                     batch_range[1], partition_col="news_label")
     ranked = indexing.group_row_number(pairs, ["news_label"], ["news_id", "post_id", "target_kind"],
                                        out="idx", start=0)
     return ranked.select("news_label", "idx", "source", "target", F.col("label").alias("stance"))

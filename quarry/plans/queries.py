@@ -47,6 +47,11 @@ def _round3(col):
     return [F.round(F.element_at(col, i + 1), 9).alias(f"p{i}") for i in range(3)]
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    """Doubles to nine places, as the SQL gives them (sums may differ in the last bits)."""
+    return df.withColumns({c: F.round(c, 9) for c, t in df.dtypes if t == "double"})
+
+
 # --- pipelines -----------------------------------------------------------------------
 
 @register("pipeline_stance")
@@ -209,8 +214,7 @@ def q_keep_nonempty_urls(spark, sf):
 
 def _article_rows(spark, sf):
     arts = fx.fx_articles(spark, sf)
-    posts = fx.fx_article_posts(spark, sf).join(arts.select("news_id", "news_label"), "news_id")
-    return arts, posts
+    return arts, fx.fx_article_posts(spark, sf)
 
 
 @register("batch_window")
@@ -243,7 +247,7 @@ def q_join_stance_bodies(spark, sf):
 @register("join_articles_posts")
 def q_join_articles_posts(spark, sf):
     arts, posts = _article_rows(spark, sf)
-    posts = posts.withColumn("post", tx.flatten_newlines("post")).drop("news_label")
+    posts = posts.withColumn("post", tx.flatten_newlines("post"))
     j = joins.join_articles_posts(arts, posts)
     return j.select("news_id", "post_id", "target_kind", "source", "target", "label")
 
@@ -306,7 +310,7 @@ def q_override_merge(spark, sf):
 @register("experiment_summary")
 def q_experiment_summary(spark, sf):
     test, a, b = fx.fx_logits(spark, sf)
-    return joins.experiment_summary(test, a, b)
+    return _rounded(joins.experiment_summary(test, a, b))
 
 
 def _pairs(spark, sf):
@@ -353,17 +357,17 @@ def q_confusion_matrix(spark, sf):
 
 @register("class_metrics")
 def q_class_metrics(spark, sf):
-    return metrics.class_metrics(fx.fx_preds(spark, sf))
+    return _rounded(metrics.class_metrics(fx.fx_preds(spark, sf)))
 
 
 @register("overall_metrics")
 def q_overall_metrics(spark, sf):
-    return metrics.overall_metrics(fx.fx_preds(spark, sf))
+    return _rounded(metrics.overall_metrics(fx.fx_preds(spark, sf)))
 
 
 @register("metrics_report")
 def q_metrics_report(spark, sf):
-    return metrics.metrics_report(fx.fx_preds(spark, sf))
+    return _rounded(metrics.metrics_report(fx.fx_preds(spark, sf)))
 
 
 @register("label_union_set")
@@ -375,7 +379,7 @@ def q_label_union_set(spark, sf):
 def q_pipeline_evaluate(spark, sf):
     p = fx.fx_preds(spark, sf)
     z = joins.zip_predictions_truth(p.select("idx", "pred"), p.select("idx", "truth"))
-    return metrics.metrics_report(z)
+    return _rounded(metrics.metrics_report(z))
 
 
 @register("pipeline_stance_relation")
@@ -402,7 +406,7 @@ def q_pipeline_summary(spark, sf):
         return parsed.select(F.col("preds")[F.col("pos").cast("int")]["idx"].alias("idx"),
                              F.col("preds")[F.col("pos").cast("int")]["pred"].alias("pred"),
                              "logits")
-    return joins.experiment_summary(test, through_json(a), through_json(b))
+    return _rounded(joins.experiment_summary(test, through_json(a), through_json(b)))
 
 
 # --- indexing, splits, rescaling --------------------------------------------------------------
@@ -645,6 +649,11 @@ def _vocab(spark, sf, n=VOCAB_SIZE):
     return cleaning.common_vocabulary(_documents(spark, sf), "text", n)
 
 
+def _word_costs(spark, sf):
+    """Unigram costs of all words of the corpus (the segmentation dictionary)."""
+    return cleaning.segmentation_costs(_vocab(spark, sf, None))
+
+
 @register("common_vocabulary")
 def q_common_vocabulary(spark, sf):
     return cleaning.common_vocabulary(_documents(spark, sf), "text", VOCAB_SIZE)
@@ -657,21 +666,20 @@ def q_segment_tokens(spark, sf):
     toks = toks.select(tx.py_strip("token").alias("token")).filter(
         (F.length("token") > 0) & ~F.col("token").endswith("$$"))
     toks = toks.join(vocab.select(F.col("word").alias("token")), "token", "left_anti")
-    seg = cleaning.segment_tokens(toks, cleaning.segmentation_costs(vocab))
+    seg = cleaning.segment_tokens(toks, _word_costs(spark, sf))
     return seg.select("token", F.array_join("pieces", " ").alias("pieces"))
 
 
 @register("clean_corpus")
 def q_clean_corpus(spark, sf):
     d = _documents(spark, sf).select("doc_id", "text")
-    return cleaning.clean_corpus(d, "doc_id", "text", _vocab(spark, sf)).select("doc_id", "text")
+    return cleaning.clean_corpus(d, "doc_id", "text", _vocab(spark, sf), _word_costs(spark, sf)).select("doc_id", "text")
 
 
 def _article_pairs(spark, sf):
     arts, posts = _article_rows(spark, sf)
     posts = posts.withColumn("post", tx.flatten_newlines("post"))
-    return joins.join_articles_posts(arts, posts.drop("news_label")).join(
-        arts.select("news_id", "news_label"), "news_id")
+    return joins.join_articles_posts(arts, posts)
 
 
 @register("longest_common_substring")
@@ -691,33 +699,38 @@ def q_remove_quoted_overlap(spark, sf):
 
 @register("pipeline_annotated_stance_cleaned")
 def q_pipeline_annotated_stance_cleaned(spark, sf):
-    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id")
+    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id", _word_costs(spark, sf))
     return pl.pipeline_annotated_stance(fx.fx_annotated(spark, sf), clean_text=clean)
 
 
 @register("pipeline_annotated_sentiment_cleaned")
 def q_pipeline_annotated_sentiment_cleaned(spark, sf):
-    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id")
+    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id", _word_costs(spark, sf))
     return pl.pipeline_annotated_sentiment(fx.fx_annotated(spark, sf), clean_text=clean)
 
 
 @register("pipeline_paraphrase")
 def q_pipeline_paraphrase(spark, sf):
-    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id")
+    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id", _word_costs(spark, sf))
     return pl.pipeline_paraphrase(fx.fx_paraphrase(spark, sf), clean_text=clean)
 
 
 @register("pipeline_article_posts")
 def q_pipeline_article_posts(spark, sf):
     arts, posts = _article_rows(spark, sf)
-    return pl.pipeline_article_posts(arts, posts.drop("news_label"))
+    return pl.pipeline_article_posts(arts, posts)
+
+
+@register("pipeline_article_posts_range")
+def q_pipeline_article_posts_range(spark, sf):
+    arts, posts = _article_rows(spark, sf)
+    return pl.pipeline_article_posts(arts, posts, batch_range=(3, 40))
 
 
 @register("pipeline_article_posts_cleaned")
 def q_pipeline_article_posts_cleaned(spark, sf):
     arts, posts = _article_rows(spark, sf)
-    vocab = _vocab(spark, sf)
-    return pl.pipeline_article_posts(arts, posts.drop("news_label"), vocab=vocab)
+    return pl.pipeline_article_posts(arts, posts, vocab=_vocab(spark, sf), costs=_word_costs(spark, sf))
 
 
 def _staged_article_tree(spark, sf):
@@ -790,8 +803,7 @@ def q_write_lines(spark, sf):
 @register("scan_lines")
 def q_scan_lines(spark, sf):
     path = staging_path(spark, "doc-lines")
-    flat = _documents(spark, sf).select(F.regexp_replace("text", tx.PY_LINE_BREAK, " ").alias("t"))
-    sinks.write_lines(flat, path)
+    sinks.write_lines(_documents(spark, sf).select("text"), path)
     return sources.scan_lines(spark, path)
 
 

@@ -56,8 +56,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    already = sc.getCheckpointDir()
     if configured:
         path = configured
+    elif already:
+        # set with setCheckpointDir; Spark appends a folder of its own
+        path = already.rstrip("/").rsplit("/", 1)[0]
     elif sc.master.startswith("local"):
         if _LOCAL_CHECKPOINT_FALLBACK is None:
             _LOCAL_CHECKPOINT_FALLBACK = tempfile.mkdtemp(prefix="quarry-ckpt-")
@@ -74,10 +78,3 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for staged tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "quarry-staging", f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def target_tasks(spark: SparkSession) -> int:
-    """Task count for spreading CPU-bound stages: the shuffle setting (sized
-    to the data on a large job), but no more than two tasks per core."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 2 * spark.sparkContext.defaultParallelism))

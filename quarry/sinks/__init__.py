@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 from quarry.operators.labels import SENTIMENT_BINARY, map_labels
 
 
+def _csv(writer, sep: str = ",", header: bool = True):
+    """Writer options shared by all delimited exports: minimal quoting (``"``
+    doubled inside quoted fields), blanks at the ends of a field kept."""
+    return (writer.option("sep", sep).option("header", str(header).lower())
+            .option("quote", '"').option("escape", '"').option("quoteAll", "false").option("emptyValue", "")
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True,
                     mode: str = "overwrite") -> None:
     """Minimal quoting (``"`` doubled inside quoted fields), optional header."""
-    (df.write.mode(mode).option("sep", sep).option("header", str(header).lower())
-     .option("quote", '"').option("escape", '"').option("emptyValue", "")
-     .option("quoteAll", "false").csv(path))
+    _csv(df.write.mode(mode), sep, header).csv(path)
 
 
 def write_lines(df: DataFrame, path: str, col: str | None = None, mode: str = "overwrite") -> None:
@@ -45,9 +51,7 @@ def write_folds(df: DataFrame, path: str, k: int, fold_col: str = "fold", sep: s
                 mode: str = "overwrite") -> None:
     """``path/fold=i/split={train,dev}/part-*`` delimited files."""
     long = fold_long_table(df, k, fold_col, train_name, val_name)
-    (long.write.mode(mode).partitionBy(fold_col, "split").option("sep", sep)
-     .option("header", str(header).lower()).option("quote", '"').option("escape", '"')
-     .csv(path))
+    _csv(long.write.mode(mode).partitionBy(fold_col, "split"), sep, header).csv(path)
 
 
 # Column names of the STS export.
@@ -94,5 +98,4 @@ def event_layout(df: DataFrame, ids_col: str = "post_ids") -> DataFrame:
 
 def write_events(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K07 write: one CSV set per side (``news_label=fake|real``)."""
-    (df.write.mode(mode).partitionBy("news_label").option("header", "true")
-     .option("quote", '"').option("escape", '"').csv(path))
+    _csv(df.write.mode(mode).partitionBy("news_label")).csv(path)

@@ -7,41 +7,63 @@ carry an explicit order key where the reference relies on file order
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.text import py_strip
+from quarry.functions.text import py_strip, split_lines
 
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def file_position(*more):
+    """Order key of a scanned record: its file, the place of its split in the
+    file, its number in the task. Comparable within one read (the numbers of
+    one file ascend in file order), and explicit where order matters."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("number"), *more)
+
+
 def scan_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
-                   header: bool = True) -> DataFrame:
+                   header: bool = True, position: str | None = None, multi_line: bool = True) -> DataFrame:
     """Delimited text with ``"`` quoting, doubled-quote escape and
-    multi-line fields, every column STRING, empty fields as ''.
+    multi-line fields, every column STRING, empty fields as ''. ``position``
+    names a column with the record's place in its file. With
+    ``multi_line=False`` (no line breaks inside fields) large files split.
 
     ``header=True`` drops the first record of each file (the reference's
     ``load_header=False``; its flag name reads backwards, D14)."""
     df = (spark.read.schema(string_schema(columns))
           .option("sep", sep).option("quote", '"').option("escape", '"')
-          .option("multiLine", "true").option("header", str(header).lower())
+          .option("multiLine", str(multi_line).lower()).option("header", str(header).lower())
           .option("mode", "FAILFAST").csv(path))
+    df = df.select("*", file_position().alias(position)) if position else df
     return df.na.fill("", list(columns))
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line (``value``)."""
-    return spark.read.text(path)
+def scan_lines(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
+    """One row per line (``value``) by Python's line boundaries; the file
+    itself is split at ``\\n`` only. ``position`` names an order column."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    # "\r\n" is one boundary, so a last "\r" belongs to the line end
+    lines = raw.select(file_position().alias("_q_at"),
+                       F.posexplode(split_lines(F.regexp_replace("value", "\r$", ""))).alias("_q_n", "value"))
+    if position is None:
+        return lines.select("value")
+    return lines.select("value", F.struct("_q_at", "_q_n").alias(position))
 
 
 def scan_json_objects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """One JSON object per file, with the file path kept."""
-    df = spark.read.schema(schema).option("multiLine", "true").json(path)
+    df = spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
     return df.withColumn("file_path", F.col("_metadata.file_path"))
 
 
@@ -72,22 +94,22 @@ def scan_article_tree(spark: SparkSession, root: str, datasets: Sequence[str] =
     under ``root/articles`` and ``root/posts`` partitioned by
     ``dataset/news_label/news_id`` (partition pruning on the label side).
     Dataset, news label and news id come from the path. Articles without a
-    content file never appear; their posts are dropped by a semi-join (the
-    loader skips such articles)."""
+    content file never appear; all posts do (the url counts A01/A02 need no
+    content file), and the join with articles (J02) leaves such posts out."""
     if layout == "partitioned":
-        arts = spark.read.schema(_with_strings(ARTICLE_SCHEMA, PATH_KEYS)).json(f"{root}/articles")
-        posts = spark.read.schema(_with_strings(POST_SCHEMA, PATH_KEYS)).json(f"{root}/posts")
+        arts = spark.read.schema(_with_strings(ARTICLE_SCHEMA, PATH_KEYS)).option("mode", "FAILFAST").json(f"{root}/articles")
+        posts = spark.read.schema(_with_strings(POST_SCHEMA, PATH_KEYS)).option("mode", "FAILFAST").json(f"{root}/posts")
         arts = arts.filter(F.col("dataset").isin(list(datasets)))
         posts = posts.select("dataset", "news_label", "news_id", F.col("id").alias("post_id"),
                              "text", F.col("entities.urls").alias("urls"))
     else:
         ds = "{" + ",".join(datasets) + "}"
         path_re = r"/([^/]+)/(fake|real)/([^/]+)/"
-        arts = (spark.read.schema(ARTICLE_SCHEMA).option("multiLine", "true")
+        arts = (spark.read.schema(ARTICLE_SCHEMA).option("multiLine", "true").option("mode", "FAILFAST")
                 .json(f"{root}/{ds}/*/*/news content.json"))
         arts = arts.select("*", *[F.regexp_extract("_metadata.file_path", path_re, i).alias(c)
                                   for i, c in ((1, "dataset"), (2, "news_label"), (3, "news_id"))])
-        posts = (spark.read.schema(POST_SCHEMA).option("multiLine", "true")
+        posts = (spark.read.schema(POST_SCHEMA).option("multiLine", "true").option("mode", "FAILFAST")
                  .json(f"{root}/{ds}/*/*/tweets/*"))
         posts = posts.select(
             *[F.regexp_extract("_metadata.file_path", path_re, i).alias(c)
@@ -96,8 +118,6 @@ def scan_article_tree(spark: SparkSession, root: str, datasets: Sequence[str] =
     arts = arts.select("dataset", "news_label", "news_id", F.col("url"),
                        F.coalesce(F.col("title"), F.lit("")).alias("title"),
                        F.coalesce(F.col("meta_data.description"), F.lit("")).alias("description"))
-    posts = posts.join(arts.select("dataset", "news_label", "news_id"),
-                       ["dataset", "news_label", "news_id"], "left_semi")
     return arts, posts
 
 
@@ -116,11 +136,11 @@ def scan_thread_tree(spark: SparkSession, root: str, with_topic: bool = True,
     under ``root`` partitioned by ``folder`` (and optionally ``thread``; a
     ``thread`` field in the records works the same way)."""
     if layout == "partitioned":
-        df = spark.read.schema(_with_strings(THREAD_POST_SCHEMA, ["thread", "folder"])).json(root)
+        df = spark.read.schema(_with_strings(THREAD_POST_SCHEMA, ["thread", "folder"])).option("mode", "FAILFAST").json(root)
         return df.select("thread", F.col("id").cast("string").alias("post"), "text",
                          (F.col("folder") == "source-tweet").alias("is_source"))
     pattern = f"{root}/*/*" if with_topic else f"{root}/*"
-    df = (spark.read.schema(THREAD_POST_SCHEMA).option("multiLine", "true")
+    df = (spark.read.schema(THREAD_POST_SCHEMA).option("multiLine", "true").option("mode", "FAILFAST")
           .json(f"{pattern}/{{replies,source-tweet}}/*"))
     folder_re = r"/([^/]+)/(replies|source-tweet)/[^/]+$"
     return df.select(
@@ -145,7 +165,7 @@ def scan_label_maps(json_text: DataFrame, text_col: str = "value",
     src = F.col(text_col)
     if nested_key:
         src = F.get_json_object(src, f"$.{nested_key}")
-    parsed = F.from_json(src, "map<string,string>")
+    parsed = F.from_json(src, "map<string,string>", {"mode": "FAILFAST"})
     others = [c for c in json_text.columns if c != text_col]
     return json_text.select(*others, F.explode(parsed).alias("post", "label"))
 
@@ -167,53 +187,82 @@ def scan_url_manifest(spark: SparkSession, path: str, thread_pattern: str = r"/(
     """Per-thread ``urls.dat`` (tab, no header) -> (thread, url_id,
     short_url, full_url); the thread id comes from the file path."""
     df = (spark.read.schema(string_schema(MANIFEST_COLUMNS)).option("sep", "\t")
-          .option("quote", '"').option("escape", '"').option("header", "false").csv(path))
+          .option("quote", '"').option("escape", '"').option("header", "false")
+          .option("mode", "FAILFAST").csv(path))
     df = df.select(F.regexp_extract(F.col("_metadata.file_path"), thread_pattern, 1).alias("thread"),
                    *MANIFEST_COLUMNS)
     return df.na.fill("", MANIFEST_COLUMNS)
 
 
+_JSON_TOKEN = re.compile(r'\s*("(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s{}\[\],:"]+)')
+
+
+def reply_edges_of(text: str) -> list[tuple[str, str]]:
+    """(parent, node) pairs of one nested reply JSON, in one scan with an
+    explicit stack, so nesting depth does not matter. A key's parent is the
+    key whose object holds it; what lists hold is no reply. Text that is not
+    one JSON value raises."""
+    out: list[tuple[str, str]] = []
+    # a frame per open bracket: [kind, key it stands under, key being read, what may come next]
+    stack: list[list] = []
+    expect, at, end = "value", 0, len(text.rstrip())
+    while at < end:
+        m = _JSON_TOKEN.match(text, at)
+        if m is None or (expect == "end"):
+            raise ValueError(f"reply structure is not JSON at {at}: {text[at:at + 40]!r}")
+        token, at = m[1], m.end()
+        top = stack[-1] if stack else None
+        if expect in ("key", "key or }") and token[0] == '"':
+            top[2] = json.loads(token)
+            if top[1] is not None and top[3]:
+                out.append((top[1], top[2]))
+            expect = ":"
+        elif expect == ":" and token == ":":
+            expect = "value"
+        elif expect in ("value", "value or ]") and token in "{[":
+            in_tree = (top is None or (top[0] == "{" and top[3])) and token == "{"
+            stack.append([token, top[2] if top else None, None, in_tree])
+            expect = "key or }" if token == "{" else "value or ]"
+        elif (token == "}" and expect in ("key or }", ", or }")) or (token == "]" and expect in ("value or ]", ", or ]")):
+            stack.pop()
+            expect = "end" if not stack else ", or }" if stack[-1][0] == "{" else ", or ]"
+        elif token == "," and expect in (", or }", ", or ]"):
+            expect = "key" if top[0] == "{" else "value"
+        elif expect in ("value", "value or ]") and token not in "}],:":
+            json.loads(token)
+            expect = "end" if top is None else ", or }" if top[0] == "{" else ", or ]"
+        else:
+            raise ValueError(f"reply structure is not JSON at {at}: {token!r}, expected {expect}")
+    if expect != "end":
+        raise ValueError("reply structure ends early")
+    return out
+
+
 def scan_reply_edges(structures: DataFrame, json_col: str = "structure",
-                     thread_col: str = "thread", max_levels: int = 10_000) -> DataFrame:
-    """Nested reply JSON -> (thread, parent, node) edges.
-
-    Level by level: each object is read as ``map<string,string>``; a nested
-    object comes back as its JSON text and is expanded at the next level, any
-    other value (``[]``, a list, a scalar) ends the branch. One join-free
-    ``explode`` per level; the loop stops when no object is left."""
-    from quarry.session import checkpoint_dir
-    checkpoint_dir(structures.sparkSession)
-    level = structures.select(F.col(thread_col).alias("thread"), F.lit(None).cast("string")
-                              .alias("parent"), F.col(json_col).alias("_q_json"))
-    edges = None
-    for _ in range(max_levels):
-        kids = level.filter(F.col("_q_json").startswith("{")).select(
-            "thread", "parent", F.explode(F.from_json("_q_json", "map<string,string>"))
-            .alias("node", "_q_kids"))
-        # a reliable checkpoint per level keeps the plan flat however deep
-        # the trees are (each level starts from files, not from the last plan)
-        kids = kids.checkpoint(eager=True)
-        if kids.isEmpty():
-            break
-        part = kids.filter(F.col("parent").isNotNull()).select("thread", "parent", "node")
-        edges = part if edges is None else edges.unionByName(part)
-        level = kids.select("thread", F.col("node").alias("parent"),
-                            F.trim(F.col("_q_kids")).alias("_q_json"))
-    if edges is None:
-        schema = "thread string, parent string, node string"
-        return structures.sparkSession.createDataFrame([], schema)
-    return edges
+                     thread_col: str = "thread") -> DataFrame:
+    """Nested reply JSON -> (thread, parent, node) edges, one pass over
+    each text in Arrow batches; null text has no edges, broken text fails."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            thread, text = (batch.column(i).to_pylist() for i in (0, 1))
+            rows = [(t, p, n) for t, s in zip(thread, text, strict=True) if s is not None for p, n in reply_edges_of(s)]
+            cols = list(zip(*rows, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], type=batch.column(0).type), pa.array(cols[1], type=pa.string()),
+                                              pa.array(cols[2], type=pa.string())], names=["thread", "parent", "node"])
+    given = structures.select(F.col(thread_col).alias("thread"), F.col(json_col).alias("_q_json"))
+    kind = given.schema["thread"].dataType.simpleString()
+    return given.mapInArrow(run, f"thread {kind}, parent string, node string")
 
 
 def scan_stance_corpus(spark: SparkSession, bodies_path: str,
                        stances_path: str) -> tuple[DataFrame, DataFrame]:
     """Bodies CSV (body id, body) and stances CSV (headline, body id,
-    stance), header rows dropped, columns by position. Order-dependent steps
-    downstream need an order key; for one file, ``monotonically_increasing_id``
-    after the scan follows record order."""
-    bodies = scan_delimited(spark, bodies_path, ["body_id", "body"], sep=",", header=True)
+    stance), header rows dropped, columns by position; ``position`` is the
+    record's place in its file, for the steps that depend on file order."""
+    bodies = scan_delimited(spark, bodies_path, ["body_id", "body"], sep=",", header=True, position="position")
     stances = scan_delimited(spark, stances_path, ["headline", "body_id", "stance"], sep=",",
-                             header=True)
+                             header=True, position="position")
     return bodies, stances
 
 
@@ -254,7 +303,7 @@ def scan_sentence_pairs(lines: DataFrame, text_col: str = "value",
 def scan_logits(json_text: DataFrame, text_col: str = "value", pos_out: str = "idx") -> DataFrame:
     """A JSON array of logit rows -> one row per element, ``pos_out`` =
     position in the document (the example id), other columns kept."""
-    arr = F.from_json(F.col(text_col), "array<array<double>>")
+    arr = F.from_json(F.col(text_col), "array<array<double>>", {"mode": "FAILFAST"})
     others = [c for c in json_text.columns if c != text_col]
     return json_text.select(*others, F.posexplode(arr).alias(pos_out, "logits")).withColumn(
         pos_out, F.col(pos_out).cast("bigint"))
@@ -263,3 +312,7 @@ def scan_logits(json_text: DataFrame, text_col: str = "value", pos_out: str = "i
 def read_logits_file(spark: SparkSession, path: str) -> DataFrame:
     """S14 on a file: the reference stores one JSON document per model."""
     return scan_logits(spark.read.text(path, wholetext=True))
+
+
+# the scan's helper travels to the workers inside the job
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -50,7 +50,7 @@ def test_d18_comment_source_seeds_nothing(spark):
 def test_d20_missing_body_fails_unknown_stance_drops(spark):
     st = spark.createDataFrame([("h", 1, "agree", 0), ("h", 2, "bogus", 1)],
                                "headline string, body_id long, stance string, ord long")
-    bodies = spark.createDataFrame([(1, "b")], "body_id long, body string")
+    bodies = spark.createDataFrame([(1, "b", 0)], "body_id long, body string, position long")
     mapped = labels.map_stance_article(st)
     assert joins.join_stance_bodies(mapped, bodies).count() == 1
     st2 = spark.createDataFrame([("h", 3, "agree", 0)], "headline string, body_id long, stance string, ord long")
