@@ -15,6 +15,7 @@ executor.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -126,16 +127,49 @@ def fold_of(position, n, k: int) -> Column:
         rem + F.floor((pos - big) / size) + 1).cast("bigint")
 
 
+def _rows_at(df: DataFrame, keys: Sequence[Column], positions_of, num_partitions: int | None):
+    """Key values of the rows at ``positions_of(n)`` in key order, and n.
+
+    Only the key columns are indexed (a narrow range shuffle and checkpoint);
+    at most one row per fold boundary comes to the driver."""
+    names = [f"_q_k{i}" for i in range(len(keys))]
+    narrow = df.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)])
+    ranked = global_index(narrow, names, out="_q_pos", num_partitions=num_partitions)
+    n = ranked.count()
+    wanted = [p for p in positions_of(n) if p < n]
+    rows = {r["_q_pos"]: [r[c] for c in names] for r in
+            (ranked.filter(F.col("_q_pos").isin(wanted)).collect() if wanted else [])}
+    return n, rows
+
+
+def _fold_starts(n: int, k: int) -> list[int]:
+    """First position of each of k contiguous folds over n rows."""
+    size, rem = divmod(n, k)
+    return [i * size + min(i, rem) for i in range(k)]
+
+
+def _reached(keys: Sequence[Column], row: list) -> Column:
+    """Whether a row's key is at or behind ``row`` (nulls first, as sorted)."""
+    at = F.lit(True)
+    for key, value in reversed(list(zip(keys, row, strict=True))):
+        ahead = F.lit(False) if value is None else key > F.lit(value)
+        ahead = F.coalesce(ahead, F.lit(False)) | (key.isNotNull() if value is None else F.lit(False))
+        at = ahead | (key.eqNullSafe(F.lit(value)) & at)
+    return at
+
+
 def kfold_contiguous(df: DataFrame, order_by, k: int = 10, fold_out: str = "fold",
                      num_partitions: int | None = None) -> DataFrame:
     """Assign each row the fold in which it is the validation part.
 
-    The train side of fold f is every row with ``fold <> f``; it is produced
-    only when written (``sinks.write_folds``), so the (k-1)x copy never sits
-    in a shuffle."""
-    ranked = global_index(df, order_by, out="_q_pos", total_out="_q_n",
-                          num_partitions=num_partitions)
-    return ranked.withColumn(fold_out, fold_of("_q_pos", "_q_n", k)).drop("_q_pos", "_q_n")
+    The rows that begin the folds are found on the key columns alone; the rows
+    themselves get their fold in a map-only projection. The train side of fold
+    f is every row with ``fold <> f``; it is produced only when written
+    (``sinks.write_folds``), so the (k-1)x copy never sits in a shuffle."""
+    keys = _cols(order_by)
+    n, rows = _rows_at(df, keys, lambda n: _fold_starts(n, k), num_partitions)
+    fold = sum((_reached(keys, rows[p]).cast("bigint") for p in _fold_starts(n, k) if p in rows), F.lit(0).cast("bigint"))
+    return df.withColumn(fold_out, fold)
 
 
 def seeded_key(idx_col, seed: int) -> Column:
@@ -156,25 +190,32 @@ def holdout_split(df: DataFrame, idx_col: str, test_fraction: float = 0.05, seed
 
     Rows are ordered by ``md5(seed-idx)``; the first ``ceil(fraction * n)``
     are ``test``. When ``k`` is given, the train rows (in that shuffled
-    order, as the reference re-reads its train file) get contiguous folds."""
-    ranked = global_index(df, seeded_key(idx_col, seed), out="_q_pos", total_out="_q_n",
-                          num_partitions=num_partitions)
-    n_test = F.ceil(F.col("_q_n").cast("double") * F.lit(float(test_fraction)))
-    is_test = F.col("_q_pos") < n_test
-    out = ranked.withColumn(split_out, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+    order, as the reference re-reads its train file) get contiguous folds. The
+    boundary keys are found on the key alone; rows are compared with them in
+    a map-only projection."""
+    key = [seeded_key(idx_col, seed)]
+
+    def positions(n):
+        test = math.ceil(n * float(test_fraction))
+        return [test, *(test + p for p in (_fold_starts(n - test, k) if k else []))]
+    n, rows = _rows_at(df, key, positions, num_partitions)
+    first, *starts = positions(n)
+    is_test = ~_reached(key, rows[first]) if first in rows else F.lit(n > 0)
+    out = df.withColumn(split_out, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
     if k:
-        out = out.withColumn(fold_out, F.when(is_test, F.lit(None).cast("bigint")).otherwise(
-            fold_of(F.col("_q_pos") - n_test, F.col("_q_n") - n_test, k)))
-    return out.drop("_q_pos", "_q_n")
+        fold = sum((_reached(key, rows[p]).cast("bigint") for p in starts if p in rows), F.lit(0).cast("bigint"))
+        out = out.withColumn(fold_out, F.when(is_test, F.lit(None).cast("bigint")).otherwise(fold))
+    return out
 
 
 def keep_one_per_key(df: DataFrame, keys: Sequence[str], order_by: str,
                      keep: str = "first") -> DataFrame:
     """Keep the first (or last) row of each key by ``order_by``.
 
-    A hash aggregate with ``min_by``/``max_by``: partial aggregation reduces
-    every key map-side, so a key holding a third of the rows costs no more
-    than any other. (``dropDuplicates`` keeps an arbitrary row.)"""
+    ``min_by``/``max_by`` of the row: partial aggregation reduces every key
+    map-side, so a key holding a third of the rows costs no more than any
+    other. Spark plans it as a sort aggregate, because the row is no
+    fixed-width value. (``dropDuplicates`` keeps an arbitrary row.)"""
     others = [c for c in df.columns if c not in keys]
     pick = F.min_by if keep == "first" else F.max_by
     agg = df.groupBy(*keys).agg(pick(F.struct(*others), F.col(order_by)).alias("_q_row"))
