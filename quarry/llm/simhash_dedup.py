@@ -16,8 +16,8 @@ one row however many there are:
    radius max_bits / 2. Two fingerprints link exactly if these balls meet, so
    all that share a point are joined to the smallest there. That costs a fixed
    number of rows each instead of the square of the bucket.
-3. Links become components by repeated minimum over neighbours with pointer
-   jumping; rounds are checkpointed in the shared folder.
+3. Links become components by rounds that join every vertex to its smallest
+   neighbour and contract the edges, checkpointed in the shared folder.
 
 Defined cases: null, empty and wordless texts have fingerprint 0, which links
 like any other; repeated rows are copies of each other; null doc_ids take part,
@@ -137,25 +137,36 @@ def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS, segments: int |
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, root): the smallest node of each connected component. ``edges``
-    (a, b); only nodes that have an edge go round."""
-    both = saved(edges.select(F.col("a").alias("v"), F.col("b").alias("u"))
-                 .union(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))))
-    root = saved(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("root")))
-    while True:
-        seen = both.join(root.select(F.col("v").alias("u"), F.col("root").alias("near")), "u")
-        lower = seen.groupBy("v").agg(F.min("near").alias("near"))
-        hooked = (root.join(lower, "v")
-                  .select("v", F.col("root").alias("old"), F.least("root", "near").alias("root")))
-        # jump: the root of my root, where that is smaller
-        ups = root.select(F.col("v").alias("root"), F.col("root").alias("up"))
-        step = saved(hooked.join(ups, "root", "left")
-                     .select("v", "old", F.least("root", F.coalesce("up", "root")).alias("root")))
-        changed = step.where(F.col("old") != F.col("root")).limit(1).count()
-        root = step.select("v", "root")
-        if not changed:
-            break
-    return nodes.join(root.withColumnRenamed("v", "node"), "node", "left").select(
+    """(node, root): the smallest node of each connected component.
+
+    Each round follows every vertex' smallest neighbours down to a local minimum,
+    renames the edges' ends and drops those whose ends became one. Only local
+    minima are left, so vertices at least halve, and a crowded group folds up in
+    the first round instead of being carried through all."""
+    edges = saved(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    maps = []
+    while edges.limit(1).count():
+        ends = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(
+            edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
+        step = saved(ends.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("to")))
+        moving = True
+        while moving:  # follow the smallest neighbours down to the local minimum, four steps a job
+            second = step.join(step.select(F.col("v").alias("to"), F.col("to").alias("two")), "to").select("v", "to", "two")
+            step = saved(second.join(second.select(F.col("v").alias("two"), F.col("two").alias("four")), "two")
+                         .select("v", F.col("four").alias("to"), (F.col("four") < F.col("to")).alias("moved")))
+            moving = step.where("moved").limit(1).count() > 0
+            step = step.select("v", "to")
+        maps.append(step)
+        edges = saved(edges.join(step.select(F.col("v").alias("a"), F.col("to").alias("x")), "a")
+                      .join(step.select(F.col("v").alias("b"), F.col("to").alias("y")), "b")
+                      .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct())
+    if not maps:
+        return nodes.select("node", F.col("node").alias("root"))
+    root = maps.pop()
+    while maps:  # where a vertex went, and where that one went later
+        later = root.select(F.col("v").alias("to"), F.col("to").alias("root"))
+        root = maps.pop().join(later, "to", "left").select("v", F.coalesce("root", "to").alias("to"))
+    return nodes.join(root.select(F.col("v").alias("node"), F.col("to").alias("root")), "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"))
 
 
