@@ -578,6 +578,7 @@ FROM fx_annotated WHERE clean = 1 AND stance = 'comment' AND sentiment IS NOT NU
     o["event_layout"] = EVENTS + """SELECT CASE label WHEN 'label:1' THEN 'fake' ELSE 'real' END AS news_label, event_id AS id,
   'PLEASE_ENTER_URL' AS news_url, 'PLEASE_ENTER_TITLE' AS title, array_to_string(post_ids, chr(9)) AS tweet_ids
 FROM events_parsed WHERE label IN ('label:0', 'label:1')"""
+    o["write_events"] = o["event_layout"]
     o["pipeline_event_lines"] = o["event_layout"].replace("array_to_string(post_ids, chr(9))", "array_to_string(post_ids[1:50], chr(9))")
 
     # scans over derived text

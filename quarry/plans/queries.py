@@ -540,6 +540,15 @@ def q_event_layout(spark, sf):
     return sinks.event_layout(_events(spark, sf))
 
 
+@register("write_events")
+def q_write_events(spark, sf):
+    path = staging_path(spark, "events")
+    sinks.write_events(q_event_layout(spark, sf), path)
+    sides = [sources.scan_delimited(spark, f"{path}/news_label={side}", ["id", "news_url", "title", "tweet_ids"])
+             .withColumn("news_label", F.lit(side)) for side in ("fake", "real")]
+    return sides[0].unionByName(sides[1])
+
+
 @register("pipeline_event_lines")
 def q_pipeline_event_lines(spark, sf):
     return sinks.event_layout(filters.cap_list_per_event(_events(spark, sf), "post_ids", n=50))
