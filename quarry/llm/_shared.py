@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, staging_path
 
 #: Bytes of one Arrow batch handed to Python, so that long texts cannot fill a worker.
 ARROW_BATCH_BYTES = 8 << 20
@@ -44,6 +44,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As ``saved`` through Parquet: smaller, and later reads take only the columns they need."""
+    path = staging_path(df.sparkSession, "llm")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def text_col(df: DataFrame, name: str = "text") -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

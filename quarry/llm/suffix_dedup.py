@@ -11,7 +11,10 @@ goes. The job, all on Spark tables:
    the run's bytes, place.
 2. Anchors that occur once are done: nothing in their runs can repeat. Of runs
    with the same bytes all but the first are repeats throughout; the first
-   stands for them (pre-aggregated, so copies cost one row each).
+   stands for them. This takes one shuffle by anchor. Anchors that a sample of
+   documents shows to be frequent are dealt over salts, and the firsts of the
+   salts are brought together afterwards (the sample decides only who goes
+   that way, not the result).
 3. Representatives that share an anchor but differ are fetched with their
    bytes, dealt by anchor, and suffix-sorted in each task: two-stage sorting
    directly sorts only the suffixes smaller than their successors, induces the
@@ -23,7 +26,7 @@ goes. The job, all on Spark tables:
    first of each is found by a partial and a final minimum. Same answer.
 5. The spans found go back to the documents, which drop the bytes.
 
-Defined cases: null text is empty; texts shorter than ``length`` stay whole;
+Defined cases: null text is empty (and comes back so, but null with ``cut_text``); texts shorter than ``length`` stay whole;
 rows with the same doc_id count as one document (order by start), so rows that
 repeat in doc_id and text do not remove each other; null doc_ids come last, as
 one document; an empty table gives an empty result. ``drop_repeats`` keeps all
@@ -37,11 +40,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import _bytes as b
-from quarry.llm._shared import append_columns, bound_arrow_batches, saved, ship_by_value, text_col
+from quarry.llm._shared import bound_arrow_batches, saved, ship_by_value, stored, text_col
 
 LENGTH, GRAM = 100, 16
 #: Different runs of one anchor beyond which they are keyed by whole strings.
 CROWD = 20_000
+#: Anchors met this often in one of so many documents are spread over salts, the most frequent ones first.
+FREQUENT, SAMPLE_ONE_IN, MOST_FREQUENT, SALTS = 64, 64, 10_000, 64
 #: Bytes of text searched for anchors at once.
 CHUNK_BYTES = 1 << 20
 #: Bytes of runs sorted together.
@@ -100,8 +105,13 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return text_no, run - offsets[text_no], count, b.finish(grams[where[run]]), body
 
 
+#: A run's place in one number: start, number of starts, a part of the text's hash.
+START, COUNT, KEY = 32, 24, 0
+KEY_BITS = (1 << COUNT) - 1
+
+
 def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(anchor, body, doc, key, start, n) of ``docs`` (doc, key, text)."""
+    """(anchor, body, doc, place) of ``docs`` (doc, key, text)."""
     def find(batches):
         import pyarrow as pa
         for batch in batches:
@@ -110,10 +120,23 @@ def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
             for lo, hi in b.chunks(offsets, CHUNK_BYTES):
                 no, start, n, anchor, body = anchor_runs(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo],
                                                          length, gram)
+                place = (start << START) | (n << COUNT) | key[lo:hi][no]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (anchor.view(np.int64), body.view(np.int64), doc[lo:hi][no], key[lo:hi][no],
-                                           start, n)], names=["anchor", "body", "doc", "key", "start", "n"])
-    return docs.mapInArrow(find, "anchor bigint, body bigint, doc bigint, key bigint, start bigint, n bigint")
+                    [pa.array(x) for x in (anchor.view(np.int64), body.view(np.int64), doc[lo:hi][no], place)],
+                    names=["anchor", "body", "doc", "place"])
+    return docs.mapInArrow(find, "anchor bigint, body bigint, doc bigint, place bigint")
+
+
+def _start(place):
+    return F.shiftright(place, START)
+
+
+def _count(place):
+    return F.shiftright(place, COUNT).bitwiseAND(F.lit((1 << (START - COUNT)) - 1))
+
+
+def _key(place):
+    return place.bitwiseAND(F.lit(KEY_BITS))
 
 
 # -- two-stage suffix sorting ---------------------------------------------------------------
@@ -289,60 +312,91 @@ def _crowded_repeats(runs: DataFrame, length: int) -> DataFrame:
             .select("doc", "key", "at", (F.col("at") + length).alias("until")))
 
 
-def _base(docs: DataFrame, text: str) -> DataFrame:
-    """doc (null as the last), key (tells rows of one doc_id apart) and text."""
-    body = text_col(docs, text)
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("doc"),
-                       F.xxhash64(body).alias("key"), body.alias("text"))
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD,
-                   text: str = "text") -> DataFrame:
-    """(doc, key, spans): the stretches of repeats of each text that has any, as
-    an array of (at, until) that may overlap. Jobs run here; narrow rows and the
-    representatives' spans pass through the shared checkpoint folder."""
-    bound_arrow_batches(docs.sparkSession)
-    base = _base(docs, text)
-    runs = _runs_of(base, length, gram)
-    again = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("__llm_n")).where(F.col("__llm_n") > 1).select("anchor")
-    known = saved(runs.join(again, "anchor", "left_semi"))
-    firsts = saved(known.groupBy("anchor", "body").agg(F.min(F.struct("doc", "start", "key", "n")).alias("f"),
-                                                       F.count(F.lit(1)).alias("copies")))
-    kinds = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
+NO_ID = (1 << 63) - 1
+
+
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the text's nulls empty, and doc (doc_id, null as the last)
+    and key (tells texts of one doc_id apart) for doc_id."""
+    return docs.withColumn(text, text_col(docs, text)).withColumns({
+        "__llm_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)),
+        "__llm_key": F.xxhash64(text).bitwiseAND(F.lit(KEY_BITS))}).drop("doc_id")
+
+
+def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, text: str = "text",
+                   frequent_at: int = FREQUENT, one_in: int = SAMPLE_ONE_IN) -> DataFrame:
+    """(doc, key, spans) from ``_keyed`` documents: the stretches of repeats of
+    each text that has any, as an array of (at, until) that may overlap. Jobs
+    run here; narrow rows pass through the shared checkpoint folder."""
+    bound_arrow_batches(keyed.sparkSession)
+    base = keyed.select(F.col("__llm_doc").alias("doc"), F.col("__llm_key").alias("key"), F.col(text).alias("text"))
+    # anchors that a sample already shows to be frequent: their rows are spread over salts
+    few = base.where(F.pmod(F.xxhash64("doc"), F.lit(one_in)) == 0)
+    frequent = saved(_runs_of(few, length, gram).groupBy("anchor").agg(F.count(F.lit(1)).alias("__n"))
+                     .where(F.col("__n") >= frequent_at).orderBy(F.desc("__n"), "anchor").limit(MOST_FREQUENT).select("anchor"))
+    marked = (_runs_of(base, length, gram).join(F.broadcast(frequent.withColumn("hot", F.lit(True))), "anchor", "left")
+              .withColumn("hot", F.coalesce("hot", F.lit(False)))
+              .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(F.lit(0))))
+    by_body, by_anchor = Window.partitionBy("anchor", "salt", "body"), Window.partitionBy("anchor", "salt")
+    place = F.struct("doc", "place")
+    seen = (marked.repartition("anchor", "salt").withColumn("first", F.min(place).over(by_body))
+            .withColumn("lead", place == F.col("first"))
+            .withColumn("kinds", F.sum(F.col("lead").cast("bigint")).over(by_anchor))
+            .withColumn("rows", F.count(F.lit(1)).over(by_anchor)))
+    # an anchor that occurs once is done
+    known = stored(seen.where((F.col("rows") > 1) | F.col("hot")).select(
+        "anchor", "body", "doc", "place", "hot", "lead", "kinds", F.col("first.doc").alias("fd"), F.col("first.place").alias("fp")))
+
+    def spans(rows):
+        return rows.select("doc", _key(F.col("place")).alias("key"), _start(F.col("place")).alias("at"),
+                           (_start(F.col("place")) + _count(F.col("place")) + (length - 1)).alias("until"))
     # of runs with the same bytes all but the first are repeats from end to end
-    copied = firsts.where(F.col("copies") > 1).select("anchor", "body", F.col("f.doc").alias("fd"), F.col("f.start").alias("fs"))
-    copies = (known.join(copied, ["anchor", "body"]).where((F.col("doc") != F.col("fd")) | (F.col("start") != F.col("fs")))
-              .select("doc", "key", F.col("start").alias("at"), (F.col("start") + F.col("n") + (length - 1)).alias("until")))
-    differing = (firsts.join(kinds, "anchor")
-                 .select("anchor", "kinds", "f.doc", "f.key", "f.start", "f.n").groupBy("doc", "key")
-                 .agg(F.collect_list(F.struct("anchor", "kinds", "start", "n")).alias("runs")))
-    fetched = (base.join(differing, ["doc", "key"]).dropDuplicates(["doc", "key"])
+    found = spans(known.where(~F.col("hot") & ~F.col("lead")))
+    firsts = known.where(~F.col("hot") & F.col("lead") & (F.col("kinds") > 1)).select("anchor", "kinds", "doc", "place").distinct()
+    if frequent.limit(1).count():
+        hot = known.where("hot")
+        best = stored(hot.where("lead").groupBy("anchor", "body").agg(F.min(place).alias("first")).select(
+            "anchor", "body", F.col("first.doc").alias("gd"), F.col("first.place").alias("gp")))
+        kinds = best.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
+        found = found.union(spans(hot.join(best, ["anchor", "body"])
+                                  .where((F.col("doc") != F.col("gd")) | (F.col("place") != F.col("gp")))))
+        firsts = firsts.union(best.join(kinds, "anchor").select("anchor", "kinds", F.col("gd").alias("doc"), F.col("gp").alias("place")))
+    wanted = (firsts.groupBy("doc", _key(F.col("place")).alias("key"))
+              .agg(F.collect_list(F.struct("anchor", "kinds", "place")).alias("runs")))
+    fetched = (base.join(wanted, ["doc", "key"])
                .select("doc", "key", F.encode("text", "UTF-8").alias("raw"), F.explode("runs").alias("r"))
-               .select("r.anchor", "doc", "key", "r.start", "r.n",
-                       F.substring("raw", (F.col("r.start") + 1).cast("int"), (F.col("r.n") + (length - 1)).cast("int")).alias("bytes"),
-                       "r.kinds"))
+               .select(F.col("r.anchor").alias("anchor"), "doc", "key", _start(F.col("r.place")).alias("start"),
+                       _count(F.col("r.place")).alias("n"), "raw", F.col("r.kinds").alias("kinds"))
+               .select("anchor", "doc", "key", "start", "n",
+                       F.substring("raw", (F.col("start") + 1).cast("int"), (F.col("n") + (length - 1)).cast("int")).alias("bytes"),
+                       "kinds"))
     dealt = (fetched.where(F.col("kinds") <= crowd).drop("kinds").repartition("anchor").sortWithinPartitions("anchor"))
-    found = copies.union(_sorted_repeats(dealt, length))
-    if kinds.where(F.col("kinds") > crowd).limit(1).count():
+    found = found.union(_sorted_repeats(dealt, length))
+    if firsts.where(F.col("kinds") > crowd).limit(1).count():
         found = found.union(_crowded_repeats(fetched.where(F.col("kinds") > crowd), length))
     return found.groupBy("doc", "key").agg(F.collect_list(F.struct("at", "until")).alias("spans"))
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD,
-                 text: str = "text", cut_text: bool = False) -> DataFrame:
+                 text: str = "text", cut_text: bool = False, frequent_at: int = FREQUENT,
+                 one_in: int = SAMPLE_ONE_IN) -> DataFrame:
     """``docs`` with kept_bytes (binary: what remains, which may cut through a
     character), n_bytes, n_removed and n_spans (maximal removed stretches). With
     ``cut_text`` the text itself is what remains, without the rest of characters
     that were cut through."""
-    spans = repeated_spans(docs, length, gram, crowd, text)
     names = ["kept_bytes", "n_bytes", "n_removed", "n_spans"]
-    kept = docs.drop(*[n for n in names if n in docs.columns])
-    body = text_col(kept, text)
-    marked = kept.withColumns({"__llm_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)), "__llm_key": F.xxhash64(body)})
+    columns = [c for c in docs.columns if c not in names]
+    kept, nulls = docs.select(*columns), "__llm_was_null"
+    keyed = _keyed(kept.withColumn(nulls, F.col(text).isNull()) if cut_text else kept, text)
+    spans = repeated_spans(keyed, length, gram, crowd, text, frequent_at, one_in)
     s = spans.select(F.col("doc").alias("__llm_doc"), F.col("key").alias("__llm_key"),
                      F.transform("spans", lambda x: x["at"]).alias("__llm_at"), F.transform("spans", lambda x: x["until"]).alias("__llm_until"))
-    joined = marked.join(s, ["__llm_doc", "__llm_key"], "left").drop("__llm_doc", "__llm_key")
+    joined = keyed.join(s, ["__llm_doc", "__llm_key"], "left").withColumn(
+        "doc_id", F.when(F.col("__llm_doc") != NO_ID, F.col("__llm_doc")).cast(kept.schema["doc_id"].dataType))
+    if cut_text:
+        joined = joined.withColumn(text, F.when(~F.col(nulls), F.col(text)))
     out_names = kept.columns
+    joined = joined.select(*out_names, "__llm_at", "__llm_until")
 
     def cut(batches):
         import pyarrow as pa
