@@ -252,14 +252,14 @@ def brute_removed(rows, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("crowd", [20_000, 1])
-def test_suffix_dedup(docs, empty, crowd):
+@pytest.mark.parametrize("options", [{}, {"crowd": 1}, {"frequent_at": 1, "one_in": 1}, {"frequent_at": 3, "one_in": 1, "crowd": 1}])
+def test_suffix_dedup(docs, empty, options):
     rows = [(d, (t or "").encode()) for d, t, _ in TEXTS if t != LONG]
     small = docs.where(F.coalesce(F.length("text"), F.lit(0)) < 10_000)
-    out = suffix_dedup.drop_repeats(small, crowd=crowd)
+    out = suffix_dedup.drop_repeats(small, **options)
     assert [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r)
             for r in pairs(out.collect(), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes")] == brute_removed(rows, 100)
-    if crowd > 1:
+    if not options:
         assert suffix_dedup.drop_repeats(empty).count() == 0
 
 
