@@ -275,8 +275,20 @@ def repeats_in_runs(runs: list[bytes], starts: np.ndarray, doc: np.ndarray, star
 
 # -- the job ----------------------------------------------------------------------------------
 
+def _span(at, until):
+    """A stretch in one number: its start and its length (below 2 ** 24)."""
+    return F.shiftleft(at.cast("bigint"), 24).bitwiseOR((until - at).cast("bigint"))
+
+
+def _run_spans(rows: DataFrame, length: int) -> DataFrame:
+    """(doc, key, span) of whole runs."""
+    start = _start(F.col("place"))
+    return rows.select("doc", _key(F.col("place")).alias("key"),
+                       _span(start, start + _count(F.col("place")) + (length - 1)).alias("span"))
+
+
 def _sorted_repeats(runs: DataFrame, length: int) -> DataFrame:
-    """Stretches (doc, key, at, until) found by suffix sorting runs (anchor, doc,
+    """Stretches (doc, key, span) found by suffix sorting runs (anchor, doc,
     key, start, n, bytes) dealt and sorted by anchor."""
     def search(batches):
         import pyarrow as pa
@@ -286,8 +298,8 @@ def _sorted_repeats(runs: DataFrame, length: int) -> DataFrame:
         def work(rows):
             doc, key, start, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3, 4))
             no, at, until = repeats_in_runs([r[5] for r in rows], n, doc, start, length)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[no], key[no], at, until)],
-                                              names=["doc", "key", "at", "until"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[no], key[no], (at << 24) | (until - at))],
+                                              names=["doc", "key", "span"])
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if size >= SORT_BYTES and held and held[-1][0] != row[0]:
@@ -297,7 +309,7 @@ def _sorted_repeats(runs: DataFrame, length: int) -> DataFrame:
                 size += len(row[5])
         if held:
             yield work(held)
-    return runs.mapInArrow(search, "doc bigint, key bigint, at bigint, until bigint")
+    return runs.mapInArrow(search, "doc bigint, key bigint, span bigint")
 
 
 def _crowded_repeats(runs: DataFrame, length: int) -> DataFrame:
@@ -309,7 +321,7 @@ def _crowded_repeats(runs: DataFrame, length: int) -> DataFrame:
                       ).select("doc", "key", "s.at", F.sha2("s.string", 256).alias("string"))
     first = one.groupBy("string").agg(F.min(F.struct("doc", "at")).alias("first"))
     return (one.join(first, "string").where(F.struct("doc", "at") > F.col("first"))
-            .select("doc", "key", "at", (F.col("at") + length).alias("until")))
+            .select("doc", "key", _span(F.col("at"), F.col("at") + length).alias("span")))
 
 
 NO_ID = (1 << 63) - 1
@@ -326,8 +338,8 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, text: str = "text",
                    frequent_at: int = FREQUENT, one_in: int = SAMPLE_ONE_IN) -> DataFrame:
     """(doc, key, spans) from ``_keyed`` documents: the stretches of repeats of
-    each text that has any, as an array of (at, until) that may overlap. Jobs
-    run here; narrow rows pass through the shared checkpoint folder."""
+    each text that has any, as an array of start << 24 | length that may overlap.
+    Jobs run here; narrow rows pass through the shared checkpoint folder."""
     bound_arrow_batches(keyed.sparkSession)
     base = keyed.select(F.col("__llm_doc").alias("doc"), F.col("__llm_key").alias("key"), F.col(text).alias("text"))
     # anchors that a sample already shows to be frequent: their rows are spread over salts
@@ -347,19 +359,18 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     known = stored(seen.where((F.col("rows") > 1) | F.col("hot")).select(
         "anchor", "body", "doc", "place", "hot", "lead", "kinds", F.col("first.doc").alias("fd"), F.col("first.place").alias("fp")))
 
-    def spans(rows):
-        return rows.select("doc", _key(F.col("place")).alias("key"), _start(F.col("place")).alias("at"),
-                           (_start(F.col("place")) + _count(F.col("place")) + (length - 1)).alias("until"))
     # of runs with the same bytes all but the first are repeats from end to end
-    found = spans(known.where(~F.col("hot") & ~F.col("lead")))
+    found = _run_spans(known.where(~F.col("lead")), length)
     firsts = known.where(~F.col("hot") & F.col("lead") & (F.col("kinds") > 1)).select("anchor", "kinds", "doc", "place").distinct()
     if frequent.limit(1).count():
-        hot = known.where("hot")
-        best = stored(hot.where("lead").groupBy("anchor", "body").agg(F.min(place).alias("first")).select(
+        # each salt has its first; one row per salt at most remains to be compared
+        leads = known.where(F.col("hot") & F.col("lead")).select("anchor", "body", "doc", "place").distinct()
+        best = stored(leads.groupBy("anchor", "body").agg(F.min(place).alias("first")).select(
             "anchor", "body", F.col("first.doc").alias("gd"), F.col("first.place").alias("gp")))
         kinds = best.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
-        found = found.union(spans(hot.join(best, ["anchor", "body"])
-                                  .where((F.col("doc") != F.col("gd")) | (F.col("place") != F.col("gp")))))
+        later = leads.join(best.select("anchor", "body", F.col("gd").alias("doc"), F.col("gp").alias("place")),
+                           ["anchor", "body", "doc", "place"], "left_anti")
+        found = found.union(_run_spans(later, length))
         firsts = firsts.union(best.join(kinds, "anchor").select("anchor", "kinds", F.col("gd").alias("doc"), F.col("gp").alias("place")))
     wanted = (firsts.groupBy("doc", _key(F.col("place")).alias("key"))
               .agg(F.collect_list(F.struct("anchor", "kinds", "place")).alias("runs")))
@@ -374,7 +385,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     found = found.union(_sorted_repeats(dealt, length))
     if firsts.where(F.col("kinds") > crowd).limit(1).count():
         found = found.union(_crowded_repeats(fetched.where(F.col("kinds") > crowd), length))
-    return found.groupBy("doc", "key").agg(F.collect_list(F.struct("at", "until")).alias("spans"))
+    return found.groupBy("doc", "key").agg(F.collect_list("span").alias("spans"))
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD,
@@ -390,21 +401,21 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd:
     keyed = _keyed(kept.withColumn(nulls, F.col(text).isNull()) if cut_text else kept, text)
     spans = repeated_spans(keyed, length, gram, crowd, text, frequent_at, one_in)
     s = spans.select(F.col("doc").alias("__llm_doc"), F.col("key").alias("__llm_key"),
-                     F.transform("spans", lambda x: x["at"]).alias("__llm_at"), F.transform("spans", lambda x: x["until"]).alias("__llm_until"))
+                     F.col("spans").alias("__llm_spans"))
     joined = keyed.join(s, ["__llm_doc", "__llm_key"], "left").withColumn(
         "doc_id", F.when(F.col("__llm_doc") != NO_ID, F.col("__llm_doc")).cast(kept.schema["doc_id"].dataType))
     if cut_text:
         joined = joined.withColumn(text, F.when(~F.col(nulls), F.col(text)))
     out_names = kept.columns
-    joined = joined.select(*out_names, "__llm_at", "__llm_until")
+    joined = joined.select(*out_names, "__llm_spans")
 
     def cut(batches):
         import pyarrow as pa
         for batch in batches:
             given = batch.column(batch.schema.get_field_index(text))
             texts = given.to_pylist()
-            at, until = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__llm_at", "__llm_until"))
-            rows = [_cut((t or "").encode(), a, u) for t, a, u in zip(texts, at, until, strict=True)]
+            spans = batch.column(batch.schema.get_field_index("__llm_spans"))
+            rows = [_cut((t or "").encode(), *_unpacked(x)) for t, x in zip(texts, spans, strict=True)]
             cols = list(zip(*rows, strict=True)) or [()] * 4
             made = [pa.array(c, type=t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
             left = [batch.column(batch.schema.get_field_index(n)) for n in out_names]
@@ -418,12 +429,20 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd:
     return joined.mapInArrow(cut, schema)
 
 
+def _unpacked(spans) -> tuple:
+    """Starts and ends of packed stretches; (None, None) for none."""
+    if not spans.is_valid:
+        return None, None
+    packed = spans.values.to_numpy()
+    return packed >> 24, (packed >> 24) + (packed & (1 << 24) - 1)
+
+
 def _cut(raw: bytes, at, until) -> tuple[bytes, int, int, int]:
-    if not at:
+    if at is None:
         return raw, len(raw), 0, 0
     edge = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(edge, np.array(at), 1)
-    np.add.at(edge, np.array(until), -1)
+    np.add.at(edge, np.asarray(at), 1)
+    np.add.at(edge, np.asarray(until), -1)
     gone = np.cumsum(edge)[:-1] > 0
     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), len(raw), int(gone.sum()), spans
