@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 from quarry.llm._shared import bound_arrow_batches, saved, ship_by_value, worker_cache
 
 #: Distinct parts whose ids a worker keeps before it starts anew.
-CACHE_PARTS = 700_000
+CACHE_PARTS = 250_000
 #: Parts handed to the library at once.
 ENCODE_PARTS = 256
 #: Fillings compared for one largest length, steps of the search inside one, and branches overall.
