@@ -108,19 +108,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, budget: int | None =
 
 def take_mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken."""
-    chosen = mix(docs, **options).where("repeats > 0").select(
+    chosen = mix(docs, **options).select(
         F.col("doc_id").alias("__llm_doc"), F.col("text_key").alias("__llm_key"), F.col("source").alias("__llm_src"), "repeats")
-    # rows that agree in doc_id, source and text stand for each other
+    # rows that agree in doc_id, source and text stand for each other: one of them carries all their takes
     chosen = chosen.groupBy("__llm_doc", "__llm_key", "__llm_src").agg(
-        F.sort_array(F.collect_list("repeats"), asc=False).alias("__llm_times"))
-    # number the rows of docs that agree, so that each gets its own count
+        F.count(F.lit(1)).alias("__llm_rows"), F.sum("repeats").alias("__llm_n")).where("__llm_n > 0")
     same = docs.join(chosen, docs["doc_id"].cast("bigint").eqNullSafe(F.col("__llm_doc"))
                      & docs["source"].cast("string").eqNullSafe(F.col("__llm_src"))
                      & (F.xxhash64(text_col(docs)) == F.col("__llm_key")))
-    single = same.where(F.size("__llm_times") == 1).withColumn("__llm_n", F.element_at("__llm_times", 1))
-    total = same.where(F.size("__llm_times") > 1).dropDuplicates(["__llm_doc", "__llm_key", "__llm_src"]).withColumn(
-        "__llm_n", F.aggregate("__llm_times", F.lit(0), lambda a, x: a + x))
-    both = single.unionByName(total)
+    both = same.where(F.col("__llm_rows") == 1)
+    if chosen.where("__llm_rows > 1").limit(1).count():
+        both = both.unionByName(
+            same.where(F.col("__llm_rows") > 1).dropDuplicates(["__llm_doc", "__llm_key", "__llm_src"]))
     return both.withColumn("__llm_nth", F.explode(F.sequence(F.lit(1), F.col("__llm_n")))).select(*docs.columns)
 
 
