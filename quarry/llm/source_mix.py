@@ -33,7 +33,7 @@ from quarry.operators.indexing import global_index
 #: Times a document may be taken at most; weights by rank of the source.
 MOST, WEIGHTS = 3, (1, 2, 3)
 SEED = 17
-#: Slices of a source's hash order (16 ** digits) and of one unit of virtual time.
+#: Slices of a source's hash order (16 ** digits), and of virtual time up to 2 and per doubling beyond.
 HASH_DIGITS, TIME_SLICES = 3, 1024
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -90,8 +90,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, budget: int | None =
     passes = queued.where("size > 0").select("size", "rank", F.explode(F.array(*(
         F.struct(F.lit(i).alias("nth"), time(F.lit(i)).alias("time")) for i in range(most)))).alias("p")
     ).select("size", "rank", "p.nth", "p.time")
-    # a target reached is time 1; what is far beyond it cannot be taken and needs no fine slices
-    passes = passes.withColumn("__slice", F.floor(F.least(F.col("time"), F.lit(8.0)) * TIME_SLICES))
+    # a target is reached at time 1; later times, which a large source of small weight fills, get slices by ratio
+    passes = passes.withColumn("__slice", F.when(F.col("time") < 2, F.floor(F.col("time") * TIME_SLICES)).otherwise(
+        TIME_SLICES + F.floor(F.log2("time") * TIME_SLICES)))
     summed = running_sum(passes, [], ["time", "rank", "nth"], "size", "through", "__slice")
     last = summed.where(F.col("through") <= F.lit(total)).agg(F.max(F.struct("time", "rank", "nth")).alias("x")).first()["x"]
     if last is None:
