@@ -1,20 +1,21 @@
 """URL filters (operator 1): fixed host/path rules, then mined token rules.
 
 Fixed rules name a host (with all its subdomains) and a path beginning; the
-longest that fits decides. Other urls are judged by association rules: Spark's
-FP-growth mines combinations of url tokens that go with a blocked label
-(low quality or toxic) in the labelled pages. A rule stays if its confidence
-and support suffice and no shorter rule within it is as sure. Rules are matched
-through an inverted index: each rule is posted under its rarest token, a page
-looks its tokens up and checks the rest of the few rules found there.
+longest that fits decides. Other urls are judged by association rules:
+combinations of url tokens that go with a blocked label (low quality or toxic)
+in the labelled pages. A rule stays if its confidence and support suffice and
+no shorter rule within it is as sure. Combinations are counted level by level;
+one with the rows of a shorter one, or that contains a rule without exception,
+can give no rule that stays, nor can anything longer, so it is not extended
+(tokens that always stand together do not multiply). Rules are matched through
+an inverted index: each rule is posted under its rarest token, a page looks its
+tokens up and checks the rest of the rules found there.
 Built-in DataFrame functions only.
 
-Bounds of the model (parameters, all data is judged): mining takes about
-``max_rows`` labelled pages chosen by a hash of page_id, the
-``vocabulary`` most frequent tokens up to ``token_chars`` long, the rarest
-``items`` of them per page (so a page adds at most 2**items combinations), and
-at most ``max_rules`` rules are kept, the surest first. The index is therefore
-small enough to broadcast.
+Bound of the model (a parameter, all data is judged): mining takes about
+``max_rows`` labelled pages chosen by a hash of page_id. Tokens, tokens per page
+and rules are not limited; a token below the least support is in no rule. The
+index is broadcast up to ``BROADCAST_BYTES``, joined by a shuffle beyond.
 
 Defined cases: a null url or one without ``://`` has an empty host and path,
 no rule and no tokens, and is allowed; an empty path matches no rule that has a
@@ -24,16 +25,22 @@ rules; an empty table gives an empty result; a null page_id stays null.
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm._shared import saved
+
 #: (verdict, host, path)
 FIXED_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
                ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.002, 5, 0.6
-MAX_ROWS, VOCABULARY, TOKEN_CHARS, ITEMS, MAX_RULES = 200_000, 5_000, 64, 10, 2_000
-BLOCKED = "=block"
+MAX_ROWS = 200_000
+#: Tokens of a page that are mined: all.
+ITEMS = None
+BROADCAST_BYTES = 32 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,38 +71,55 @@ def fixed_rule(host, path, rules=FIXED_RULES):
 
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               max_rows: int = MAX_ROWS, vocabulary: int = VOCABULARY, items: int = ITEMS,
-               max_rules: int = MAX_RULES) -> DataFrame | None:
+               max_rows: int = MAX_ROWS) -> DataFrame | None:
     """Rules (tokens, confidence, support, anchor) from rows (page_id, url,
     blocked); None if nothing is labelled. ``anchor`` is the rule's rarest token."""
     total = labelled.count()
     if total == 0:
         return None
     share = int(min(1.0, max_rows / total) * (1 << 31))
-    rows = (labelled.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 31)) < share)
-            .select(F.monotonically_increasing_id().alias("row"), "blocked", url_tokens(F.col("url")).alias("tokens")))
-    words = rows.select("row", "blocked", F.explode("tokens").alias("token"))
-    common = (words.where(F.length("token") <= TOKEN_CHARS).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= MIN_ROWS).orderBy(F.desc("n"), "token").limit(vocabulary))
-    used = (words.join(F.broadcast(common), "token").groupBy("row", "blocked")
-            .agg(F.slice(F.transform(F.sort_array(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]), 1, items)
-                 .alias("items")))
-    baskets = used.select(F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCKED)))).otherwise(F.col("items")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, MIN_ROWS / total), minConfidence=min_confidence).fit(baskets)
-    found = (model.associationRules.where(F.element_at("consequent", 1) == BLOCKED)
-             .select(F.sort_array("antecedent").alias("tokens"), F.round("confidence", 9).alias("confidence"),
-                     F.round("support", 9).alias("support")))
-    best = (found.orderBy(F.desc("confidence"), F.desc("support"), F.size("tokens"), F.concat_ws(" ", "tokens")).limit(max_rules)
-            .withColumn("rule", F.concat_ws(" ", "tokens")))
-    # a rule within another is found through the tokens of the longer one
-    within = (best.select(F.col("rule").alias("long"), F.col("tokens").alias("long_tokens"), F.col("confidence").alias("sure"),
-                          F.explode("tokens").alias("token"))
-              .join(best.select("rule", "tokens", "confidence", F.element_at("tokens", 1).alias("token")), "token")
-              .where((F.col("rule") != F.col("long")) & (F.size(F.array_except("tokens", "long_tokens")) == 0)
-                     & (F.col("confidence") >= F.col("sure"))).select(F.col("long").alias("rule")).distinct())
-    rarest = (best.select("rule", F.explode("tokens").alias("token")).join(F.broadcast(common), "token")
-              .groupBy("rule").agg(F.min(F.struct("n", "token"))["token"].alias("anchor")))
-    return best.join(within, "rule", "left_anti").join(rarest, "rule").select("tokens", "confidence", "support", "anchor")
+    rows = saved(labelled.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 31)) < share)
+                 .select(F.monotonically_increasing_id().alias("row"), F.col("blocked").cast("long").alias("b"),
+                         url_tokens(F.col("url")).alias("tokens")))
+    mined = rows.count()
+    need = math.ceil(max(min_support, MIN_ROWS / total) * mined - 1e-9)
+    n, b = F.col("n"), F.col("b")
+    confidence = F.round(b / n, 9)
+    # null where the combination is no rule; ``best`` is the surest rule within it
+    rule = F.when(b / n >= min_confidence, confidence)
+    words = rows.select("row", "b", F.explode("tokens").alias("token"))
+    level = saved(words.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).where(b >= need)
+                  .select(F.array("token").alias("tokens"), "n", "b", F.lit(None).cast("double").alias("best"),
+                          F.struct("n", "token").alias("anchor")))
+    levels = [level]
+    # a token of all rows adds nothing to another, a rule without exception covers all longer ones
+    open_sets = level.where((b < n) & (n < mined))
+    kept = words.join(open_sets.select(F.col("tokens")[0].alias("token")), "token")
+    baskets = (kept.groupBy("row", "b").agg(F.sort_array(F.collect_list("token")).alias("items"))
+               .groupBy("items").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")))
+    held = saved(saved(baskets.withColumn("basket", F.monotonically_increasing_id()))
+                 .select("basket", "n", "b", F.explode("items").alias("token")).withColumn("tokens", F.array("token")).drop("token"))
+    size = 1
+    while not open_sets.isEmpty():
+        side = held.select("basket", F.slice("tokens", 1, size - 1).alias("head"), F.element_at("tokens", -1).alias("last"), "n", "b")
+        longer = (side.join(side.select("basket", "head", F.col("last").alias("more")), ["basket", "head"]).where("last < more")
+                  .select("basket", "n", "b", F.concat("head", F.array("last", "more")).alias("tokens")))
+        parts = F.transform(F.sequence(F.lit(0), F.lit(size)),
+                            lambda i: F.concat(F.slice("tokens", F.lit(1), i), F.slice("tokens", i + 2, F.lit(size + 1))))
+        counted = (longer.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where(b >= need)
+                   .withColumn("part", F.explode(parts)))
+        known = open_sets.select(F.col("tokens").alias("part"), n.alias("part_n"), F.greatest("best", rule).alias("best"), "anchor")
+        level = saved(counted.join(known, "part").groupBy("tokens", "n", "b")
+                      .agg(F.count(F.lit(1)).alias("parts"), F.min("part_n").alias("least"), F.max("best").alias("best"),
+                           F.min("anchor").alias("anchor"))
+                      .where((F.col("parts") == size + 1) & (n < F.col("least"))).drop("parts", "least"))
+        levels.append(level)
+        open_sets = level.where(b < n)
+        held = saved(longer.join(open_sets.select("tokens"), "tokens"))
+        size += 1
+    return (reduce(DataFrame.unionByName, levels).where(rule.isNotNull() & (F.col("best").isNull() | (confidence > F.col("best"))))
+            .select("tokens", confidence.alias("confidence"), F.round(b / F.lit(mined), 9).alias("support"),
+                    F.col("anchor.token").alias("anchor")))
 
 
 def judge(pages: DataFrame, rules: DataFrame | None, fixed=FIXED_RULES) -> DataFrame:
@@ -108,11 +132,13 @@ def judge(pages: DataFrame, rules: DataFrame | None, fixed=FIXED_RULES) -> DataF
     else:
         index = rules.select(F.col("anchor").alias("token"), F.struct(
             "confidence", "support", F.concat_ws(" ", "tokens").alias("name")).alias("hit"), F.col("tokens").alias("needs"))
+        width = F.octet_length("token") + F.octet_length("hit.name") * 2 + 8 * F.size("needs") + 64
+        if (index.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES:
+            index = F.broadcast(index)
         has = url_tokens(F.when(F.col("host") != "", F.col("url")))
         tokens = seen.withColumn("has", has)
         looked = (tokens.select("*", F.explode_outer("has").alias("token"))
-                  # at most MAX_RULES rules of at most ITEMS short tokens
-                  .join(F.broadcast(index), "token", "left")
+                  .join(index, "token", "left")
                   .withColumn("hit", F.when(F.size(F.array_except("needs", "has")) == 0, F.col("hit"))))
         matched = looked.groupBy("row").agg(*(F.first(c).alias(c) for c in ("page_id", "host", "path")),
                                             F.max("hit")["name"].alias("mined_rule"))

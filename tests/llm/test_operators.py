@@ -103,6 +103,31 @@ def test_url_rules(spark):
     assert all(r["verdict"] == "allow" for r in out if "good" in r["host"])
 
 
+def test_url_rules_many_hosts_and_companions(spark, monkeypatch):
+    # 40 blocked hosts with twelve tokens around them (2**12 combinations each), one rule at 0.75,
+    # and a rule whose tokens are more frequent than ten others of its pages
+    around = "/".join(f"com{i}" for i in range(12))
+    rows = [(f"http://bad{h}.net/{around}", True) for h in range(40) for _ in range(6)]
+    rows += [(f"http://mixed.net/{around}", i % 4 != 0) for i in range(24)]
+    for i in range(30):
+        rare = "/".join(f"rare{(i + j) % 60}x" for j in range(11))
+        rows += [(f"http://often.net/sure/{rare}", True), (f"http://often.net/{rare}", False), ("http://good.net/sure", False)]
+    rows += [(f"http://good.net/{around}", False)] * 400
+    labelled = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, blocked boolean")
+    rules = url_rules.mine_rules(labelled)
+    found = {tuple(r["tokens"]): r["confidence"] for r in rules.collect()}
+    assert all(found.get((f"bad{h}",)) == 1.0 for h in range(40))
+    assert found.get(("mixed",)) == 0.75 and found.get(("often", "sure")) == 1.0
+    assert all(len(t) == 1 for t in found if any(w == "mixed" or w.startswith("bad") for w in t))
+    anchors = {tuple(r["tokens"]): r["anchor"] for r in rules.collect()}
+    assert all(a in t for t, a in anchors.items())
+    want = sorted(tuple(r) for r in url_rules.judge(labelled, rules).select("page_id", "verdict").collect())
+    monkeypatch.setattr(url_rules, "BROADCAST_BYTES", -1)
+    assert sorted(tuple(r) for r in url_rules.judge(labelled, rules).select("page_id", "verdict").collect()) == want
+    verdicts = dict(want)
+    assert all(verdicts[i] == "block" for i, (u, _) in enumerate(rows) if "bad" in u or "mixed" in u or "often.net/sure" in u)
+
+
 def test_url_rules_without_labels_or_pages(spark):
     pages, labels = url_tables(spark)
     assert url_rules.mine_rules(url_rules.labelled_pages(pages, labels.limit(0))) is None
