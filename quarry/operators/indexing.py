@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,18 +130,53 @@ def fold_of(position, n, k: int) -> Column:
 
 
 def _rows_at(df: DataFrame, keys: Sequence[Column], positions_of, num_partitions: int | None):
-    """Key values of the rows at ``positions_of(n)`` in key order, and n.
+    """n, key values of the rows at ``positions_of(n)`` in key order, and the
+    keys whose tied rows a position cuts: (key, first position, rows), in order.
 
-    Only the key columns are indexed (a narrow range shuffle and checkpoint);
-    at most one row per fold boundary comes to the driver."""
+    Only the key columns are indexed (a narrow range shuffle and checkpoint,
+    tied keys spread by a row id); at most one row per position comes to the
+    driver."""
     names = [f"_q_k{i}" for i in range(len(keys))]
-    narrow = df.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)])
-    ranked = global_index(narrow, names, out="_q_pos", num_partitions=num_partitions)
+    narrow = df.select(*[k.alias(n) for k, n in zip(keys, names, strict=True)],
+                       F.monotonically_increasing_id().alias("_q_tie"))
+    ranked = global_index(narrow, [*names, "_q_tie"], out="_q_pos", num_partitions=num_partitions)
     n = ranked.count()
     wanted = [p for p in positions_of(n) if p < n]
     rows = {r["_q_pos"]: [r[c] for c in names] for r in
             (ranked.filter(F.col("_q_pos").isin(wanted)).collect() if wanted else [])}
-    return n, rows
+    cut = []
+    if rows:
+        cols = [F.col(c) for c in names]
+        at = reduce(or_, (_same(cols, row) for row in rows.values()))
+        for r in ranked.filter(at).groupBy(*names).agg(F.min("_q_pos").alias("first"), F.count(F.lit(1)).alias("n")).collect():
+            if any(r["first"] < p < r["first"] + r["n"] for p in rows):
+                cut.append(([r[c] for c in names], r["first"], r["n"]))
+    return n, rows, sorted(cut, key=lambda c: c[1])
+
+
+def _cut_at(df: DataFrame, keys: Sequence[Column], positions_of, columns_of,
+            num_partitions: int | None) -> DataFrame:
+    """``df`` with ``columns_of(n, behind)``, where ``behind[p]`` tells whether a
+    row is at or behind position ``p`` in key order.
+
+    Rows are compared with the keys at the positions in a map-only projection.
+    Only rows tied with a key that a position cuts are ranked, by a hash of the
+    row (copies in any order), so that the cut is at the exact position."""
+    n, rows, cut = _rows_at(df, keys, positions_of, num_partitions)
+    plain = columns_of(n, {p: _reached(keys, row) for p, row in rows.items()})
+    if not cut:
+        return df.withColumns(plain)
+    at = reduce(or_, (_same(keys, key) for key, _, _ in cut))
+    row_hash = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    tied = df.filter(at).withColumns({"_q_hash": row_hash, "_q_tie": F.monotonically_increasing_id()})
+    ranked = global_index(tied, [*keys, "_q_hash", "_q_tie"], out="_q_rank", num_partitions=num_partitions)
+    shift, before = F.lit(None), 0
+    for key, first, count in cut:
+        shift = F.when(_same(keys, key), F.lit(first - before)).otherwise(shift)
+        before += count
+    placed = ranked.withColumn("_q_pos", F.col("_q_rank") + shift)
+    placed = placed.withColumns(columns_of(n, {p: F.col("_q_pos") >= p for p in rows}))
+    return df.filter(~at).withColumns(plain).unionByName(placed.drop("_q_hash", "_q_tie", "_q_rank", "_q_pos"))
 
 
 def _fold_starts(n: int, k: int) -> list[int]:
@@ -148,6 +185,11 @@ def _fold_starts(n: int, k: int) -> list[int]:
     return [i * size + min(i, rem) for i in range(k)]
 
 
+def _same(keys: Sequence[Column], row: list) -> Column:
+    """Whether a row's key equals ``row`` (null equals null)."""
+    return reduce(and_, (key.eqNullSafe(F.lit(value)) for key, value in zip(keys, row, strict=True)))
+
+
 def _reached(keys: Sequence[Column], row: list) -> Column:
     """Whether a row's key is at or behind ``row`` (nulls first, as sorted)."""
     at = F.lit(True)
@@ -163,13 +205,15 @@ def kfold_contiguous(df: DataFrame, order_by, k: int = 10, fold_out: str = "fold
     """Assign each row the fold in which it is the validation part.
 
     The rows that begin the folds are found on the key columns alone; the rows
-    themselves get their fold in a map-only projection. The train side of fold
+    themselves get their fold in a map-only projection, but for rows tied with
+    the first of a fold, which are ranked (``_cut_at``). The train side of fold
     f is every row with ``fold <> f``; it is produced only when written
     (``sinks.write_folds``), so the (k-1)x copy never sits in a shuffle."""
     keys = _cols(order_by)
-    n, rows = _rows_at(df, keys, lambda n: _fold_starts(n, k), num_partitions)
-    fold = sum((_reached(keys, rows[p]).cast("bigint") for p in _fold_starts(n, k) if p in rows), F.lit(0).cast("bigint"))
-    return df.withColumn(fold_out, fold)
+
+    def columns(n, behind):
+        return {fold_out: sum((behind[p].cast("bigint") for p in _fold_starts(n, k) if p in behind), F.lit(0).cast("bigint"))}
+    return _cut_at(df, keys, lambda n: _fold_starts(n, k), columns, num_partitions)
 
 
 def seeded_key(idx_col, seed: int) -> Column:
@@ -192,20 +236,22 @@ def holdout_split(df: DataFrame, idx_col: str, test_fraction: float = 0.05, seed
     are ``test``. When ``k`` is given, the train rows (in that shuffled
     order, as the reference re-reads its train file) get contiguous folds. The
     boundary keys are found on the key alone; rows are compared with them in
-    a map-only projection."""
+    a map-only projection, rows tied with a boundary are ranked (``_cut_at``)."""
     key = [seeded_key(idx_col, seed)]
 
     def positions(n):
         test = math.ceil(n * float(test_fraction))
         return [test, *(test + p for p in (_fold_starts(n - test, k) if k else []))]
-    n, rows = _rows_at(df, key, positions, num_partitions)
-    first, *starts = positions(n)
-    is_test = ~_reached(key, rows[first]) if first in rows else F.lit(n > 0)
-    out = df.withColumn(split_out, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
-    if k:
-        fold = sum((_reached(key, rows[p]).cast("bigint") for p in starts if p in rows), F.lit(0).cast("bigint"))
-        out = out.withColumn(fold_out, F.when(is_test, F.lit(None).cast("bigint")).otherwise(fold))
-    return out
+
+    def columns(n, behind):
+        first, *starts = positions(n)
+        is_test = ~behind[first] if first in behind else F.lit(n > 0)
+        out = {split_out: F.when(is_test, F.lit("test")).otherwise(F.lit("train"))}
+        if k:
+            fold = sum((behind[p].cast("bigint") for p in starts if p in behind), F.lit(0).cast("bigint"))
+            out[fold_out] = F.when(is_test, F.lit(None).cast("bigint")).otherwise(fold)
+        return out
+    return _cut_at(df, key, positions, columns, num_partitions)
 
 
 def keep_one_per_key(df: DataFrame, keys: Sequence[str], order_by: str,

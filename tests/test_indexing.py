@@ -50,6 +50,33 @@ def test_holdout_split_size_and_repeatable(spark):
     assert sorted(set(train_folds)) == list(range(1, 11))
 
 
+def test_folds_and_holdout_cut_tied_keys_at_exact_positions(spark):
+    # keys held by a third of the rows, by exact copies, by null, and by two rows each
+    rows = [(7, f"t{i}") for i in range(50)] + [(9, "copy")] * 40 + [(None, f"n{i}") for i in range(13)]
+    rows += [(100 + i // 2, f"p{i}") for i in range(47)]
+    df = spark.createDataFrame(rows, "idx long, text string").repartition(5)
+    n, k = len(rows), 10
+    sizes = [n // k + (i < n % k) for i in range(k)]
+    out = [tuple(r) for r in indexing.kfold_contiguous(df, "idx", k=k).collect()]
+    assert sorted(r[:2] for r in out if r[0] is not None) == sorted(r for r in rows if r[0] is not None)
+    assert [sum(r[2] == f for r in out) for f in range(1, k + 1)] == sizes
+    in_order = sorted(out, key=lambda r: (r[2], r[0] is not None, r[0] or 0))
+    assert [r[0] for r in in_order] == [r[0] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+    again = [tuple(r) for r in indexing.kfold_contiguous(df.repartition(2), "idx", k=k, num_partitions=3).collect()]
+    assert sorted(again, key=repr) == sorted(out, key=repr)
+
+    for fraction in (0.05, 0.3, 0.5):
+        split = indexing.holdout_split(df, "idx", test_fraction=fraction, k=4)
+        assert split.columns == ["idx", "text", "split", "fold"]
+        split = [tuple(r) for r in split.collect()]
+        test = math.ceil(fraction * n)
+        assert sum(r[2] == "test" for r in split) == test and all((r[3] is None) == (r[2] == "test") for r in split)
+        train = n - test
+        assert [sum(r[3] == f for r in split) for f in range(1, 5)] == [train // 4 + (i < train % 4) for i in range(4)]
+    one = indexing.kfold_contiguous(spark.createDataFrame([(1,)] * 7, "idx long"), "idx", k=3).collect()
+    assert sorted(r["fold"] for r in one) == [1, 1, 1, 2, 2, 3, 3]
+
+
 def test_rescale_quotas_match_reference_rule(spark):
     counts = {"support": 300, "deny": 40, "comment": 80, "unrelated": 900}
     rows = [(i, lbl) for lbl, n in counts.items() for i in range(n)]
