@@ -9,6 +9,8 @@ and a shard draws from all buckets. Positions come from one count per bucket.
 Built-in DataFrame functions only.
 
 The hash takes doc_id and text, so copies of one text spread over all buckets.
+Rows equal in both would share a bucket; where they take more than an eighth of
+one, they are numbered and their number is hashed as well.
 
 Defined cases: null text counts as empty; null doc_ids and repeated rows are
 placed like others; with fewer rows than shards some shards stay empty; an
@@ -20,25 +22,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm._shared import text_col
+from quarry.llm._shared import saved, text_col
+from quarry.operators.indexing import group_row_number
 
 SHARDS, SEED = 40, 29
 #: Bytes of records in one bucket on average (a task holds one at a time).
 BUCKET_BYTES = 8 << 20
 #: What a record costs besides its text.
 ROW_BYTES = 16
+#: Keys up to which the table of repeated rows is broadcast (at most 8 a bucket).
+BROADCAST_KEYS = 1 << 20
+
+
+def salted(drawn: DataFrame, size, bucket_bytes: int) -> DataFrame:
+    """``drawn`` with draws of their own for rows that share one and together
+    exceed an eighth of a bucket; rows are numbered in the order of their hash,
+    and whole copies in any, so the draws are the same for any partitioning."""
+    n, taken = F.count(F.lit(1)), F.sum(size)
+    heavy = saved(drawn.groupBy("__draw").agg(n.alias("n"), taken.alias("bytes"))
+                  .where((F.col("n") > 1) & (F.col("bytes") > bucket_bytes // 8)).select("__draw"))
+    many = heavy.count()
+    if not many:
+        return drawn
+    keys = F.broadcast(heavy) if many <= BROADCAST_KEYS else heavy
+    row_hash = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in drawn.columns])))
+    copies = drawn.join(keys, "__draw").withColumns({"__hash": row_hash, "__tie": F.monotonically_increasing_id()})
+    numbered = group_row_number(copies, ["__draw"], ["__hash", "__tie"], out="__copy")
+    return drawn.join(keys, "__draw", "left_anti").unionByName(
+        numbered.withColumn("__draw", F.xxhash64("__draw", "__copy")).select(*drawn.columns))
 
 
 def shard(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES,
           text: str = "text") -> DataFrame:
-    """``docs`` with size, law, shard and slot. One aggregate runs here (total bytes)."""
+    """``docs`` with size, law, shard and slot. Two aggregates run here (total
+    bytes, repeated rows)."""
     kept = docs.drop(*[c for c in ("size", "law", "shard", "slot") if c in docs.columns])
     size = F.octet_length(text_col(kept, text)).cast("bigint") + ROW_BYTES
     total = kept.agg(F.sum(size)).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     draw = F.xxhash64(F.lit(seed), F.col("doc_id"), text_col(kept, text))
-    marked = kept.select(F.pmod(draw, F.lit(buckets)).alias("__bucket"), draw.alias("__draw"), F.struct(*kept.columns).alias("__row"))
-    counts = (kept.select(F.pmod(draw, F.lit(buckets)).alias("__bucket")).groupBy("__bucket")
+    drawn = salted(kept.withColumn("__draw", draw), size, bucket_bytes)
+    bucket = F.pmod("__draw", F.lit(buckets)).alias("__bucket")
+    marked = drawn.select(bucket, "__draw", F.struct(*kept.columns).alias("__row"))
+    counts = (drawn.select(bucket).groupBy("__bucket")
               .agg(F.count(F.lit(1)).alias("__n")))
     # one row per bucket of bucket_bytes each
     ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

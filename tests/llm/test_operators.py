@@ -296,6 +296,20 @@ def test_suffix_dedup_of_long_copies(docs):
 
 # 6
 
+def test_sharding_spreads_repeated_rows(spark):
+    # half of the rows equal in doc_id and text (null), the others different
+    rows = [(None, "the same text " * 4, i % 3) for i in range(3000)] + [(i, f"text {i} " * 6, 0) for i in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, part int").repartition(4)
+    out = sharding.shard(table, 4, bucket_bytes=1 << 14).collect()
+    assert sorted((r["doc_id"] or -1, r["text"], r["part"]) for r in out) == sorted((r[0] or -1, r[1], r[2]) for r in rows)
+    assert sorted(r["slot"] * 4 + r["shard"] for r in out) == list(range(6000))
+    # buckets follow each other, so copies in one bucket would lie together
+    tenths = Counter((r["slot"] * 4 + r["shard"]) // 600 for r in out if r["doc_id"] is None)
+    assert all(200 < tenths[t] < 400 for t in range(10))
+    again = sharding.shard(table, 4, bucket_bytes=1 << 14).collect()
+    assert pairs(out, "doc_id", "text", "part", "shard", "slot") == pairs(again, "doc_id", "text", "part", "shard", "slot")
+
+
 def test_sharding(docs, empty):
     out = sharding.shard(docs, 5, bucket_bytes=1 << 14)
     rows = out.collect()
