@@ -10,10 +10,11 @@ the length histogram: at most ``capacity`` rows whatever the corpus (that bound
 is why it may be collected). Each step takes the largest remaining length,
 enumerates the undominated fillings of the space beside it in order of waste
 and uses the chosen one as often as its lengths last, which empties at least
-one length. Best-fit decreasing is the first incumbent; branches whose waste
-so far already rules out fewer sequences than the incumbent are cut, and the
-search ends at the lower bound or at its node budget (then the incumbent
-stands: a valid packing, maybe not the fewest).
+one length; a second search also uses wasteful ones fewer times. Best-fit
+decreasing is the first incumbent; branches whose waste so far already rules
+out fewer sequences than the incumbent are cut, and a search ends at the lower
+bound L2 or at its node budget (then the incumbent stands: a valid packing,
+maybe not the fewest).
 
 Pieces are numbered within their length from counts per (task, length), so a
 length that a third of all pieces share is spread over all tasks; the number
@@ -38,6 +39,8 @@ CACHE_PARTS = 250_000
 ENCODE_PARTS = 256
 #: Fillings compared for one largest length, steps of the search inside one, and branches overall.
 FILLINGS, FILL_NODES, SEARCH_NODES = 4, 20_000, 6_000
+#: Branches of the second search, with wasteful fillings fewer times.
+FEWER_NODES = 600
 
 
 class IdEncoder:
@@ -307,21 +310,46 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[tup
     return [x for xs in open_by_room.values() for x in xs]
 
 
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any plan needs (L2 of Martello and Toth): for a least
+    length a, those over half the capacity stand alone, and the lengths from a
+    to the half must fit beside those of at most capacity - a or take more."""
+    total = sum(n * c for n, c in counts.items())
+    best = -(-total // capacity)
+    halves = [n for n in counts if 2 * n <= capacity]
+    over = [n for n in counts if 2 * n > capacity]
+    alone = sum(counts[n] for n in over)
+    for a in halves:
+        room = sum((capacity - n) * counts[n] for n in over if n <= capacity - a)
+        rest = sum(n * counts[n] for n in halves if n >= a)
+        best = max(best, alone + max(0, -(-(rest - room) // capacity)))
+    return max(best, alone)
+
+
 def plan_patterns(counts: dict[int, int], capacity: int, search_nodes: int = SEARCH_NODES
                   ) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths in a sequence, number of such sequences) that use every
-    length of the histogram exactly as often as it occurs."""
+    length of the histogram exactly as often as it occurs. The first search
+    takes each filling as often as its lengths last; where it ends above the
+    lower bound, a second one with a budget of its own also takes wasteful
+    fillings fewer times."""
     counts = {int(n): int(c) for n, c in counts.items() if c}
-    total = sum(n * c for n, c in counts.items())
-    least = -(-total // capacity)
+    least = lower_bound(counts, capacity)
     incumbent = best_fit_decreasing(counts, capacity)
+    incumbent = _search(counts, capacity, least, incumbent, search_nodes, False)
+    return _search(counts, capacity, least, incumbent, FEWER_NODES, True)
+
+
+def _search(counts: dict[int, int], capacity: int, least: int, incumbent: list, nodes: int, fewer: bool
+            ) -> list[tuple[tuple[int, ...], int]]:
+    """The incumbent, or a plan of fewer sequences found within ``nodes`` branches."""
+    total = sum(n * c for n, c in counts.items())
     fewest = sum(t for _, t in incumbent)
     lengths = sorted(counts, reverse=True)
     left, chosen = dict(counts), []
     #: a frame: fillings still to try, the one in use, waste before it
     frames: list[list] = []
     used = waste = 0
-    nodes = search_nodes
 
     def largest():
         return next((n for n in lengths if left[n]), None)
@@ -331,7 +359,16 @@ def plan_patterns(counts: dict[int, int], capacity: int, search_nodes: int = SEA
         left[n] -= 1
         options = fillings(capacity - n, left, [x for x in lengths if x <= capacity - n])
         left[n] += 1
-        frames.append([iter([(n, *o) for o in options]), None, waste, used])
+        frames.append([iter(choices([(n, *o) for o in options])), None, waste, used])
+
+    def choices(patterns):
+        """(pattern, times): as often as the lengths last, then half as often and so on down to once."""
+        most = [(p, min(left[n] // p.count(n) for n in set(p))) for p in patterns]
+        yield from most
+        for p, times in most if fewer else ():
+            while sum(p) < capacity and times > 1:
+                times //= 2
+                yield p, times
 
     if fewest > least and counts:
         open_frame()
@@ -344,17 +381,13 @@ def plan_patterns(counts: dict[int, int], capacity: int, search_nodes: int = SEA
             chosen.pop()
             frames[-1][1] = None
         waste, used = waste0, used0
-        pattern = next(options, None)
-        if pattern is None:
+        choice = next(options, None)
+        if choice is None:
             frames.pop()
             continue
         nodes -= 1
-        need: dict[int, int] = {}
-        for n in pattern:
-            need[n] = need.get(n, 0) + 1
-        times = min(left[n] // m for n, m in need.items())
+        pattern, times = choice
         spare = capacity - sum(pattern)
-        # of a filling that wastes space only as many as the waste bound allows the next step to reconsider
         for n in pattern:
             left[n] -= times
         waste, used = waste0 + spare * times, used0 + times

@@ -109,6 +109,24 @@ def test_search_improves_on_best_fit():
     assert sum(t for _, t in packing.plan_patterns(counts, 10)) == 3
 
 
+def test_search_takes_wasteful_fillings_fewer_times():
+    for capacity, counts, want in ((20, {4: 6, 9: 4, 7: 6, 19: 5, 12: 3}, 12), (12, {2: 6, 6: 6, 7: 3, 8: 5, 11: 3, 3: 6}, 14),
+                                   (30, {9: 6, 14: 1, 5: 6, 28: 5, 12: 6, 16: 6}, 14)):
+        patterns = packing.plan_patterns(counts, capacity, 300)
+        assert Counter(n for p, t in patterns for n in p * t) == Counter(counts) and all(sum(p) <= capacity for p, _ in patterns)
+        assert sum(t for _, t in patterns) == want == packing.lower_bound(counts, capacity)
+
+
+def test_lower_bound_counts_long_pieces():
+    assert packing.lower_bound({6: 10}, 10) == 10 and packing.lower_bound({}, 10) == 0
+    rng = random.Random(9)
+    for _ in range(60):
+        capacity = rng.choice([10, 16, 30])
+        lengths = sorted((rng.randint(1, capacity) for _ in range(rng.randint(1, 9))), reverse=True)
+        least = packing.lower_bound(Counter(lengths), capacity)
+        assert -(-sum(lengths) // capacity) <= least <= fewest(tuple(lengths), capacity)
+
+
 def test_plan_rows_place_every_rank():
     rng = random.Random(9)
     counts = Counter(rng.randint(1, 64) for _ in range(500))
