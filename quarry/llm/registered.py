@@ -1,4 +1,4 @@
-"""Queries of the ten operators and the SQL that gives the same rows.
+"""Queries of the operators and the SQL that gives the same rows.
 
 Every query reads its whole table. SQL is given where DuckDB can express the
 result over whole texts; the others are tested against brute force in
@@ -8,7 +8,7 @@ result over whole texts; the others are tested against brute force in
 from __future__ import annotations
 
 from quarry.llm import (packing, paragraph_sketch, quality_model, rule_cascade, sharding, simhash_dedup, source_mix,
-                        suffix_dedup, token_counts, url_rules)
+                        suffix_dedup, token_counts, url_rules, whitening)
 
 QUERIES = {
     "op1_url_filters": url_rules.query,
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_mixing_sources": source_mix.query,
     "op9_token_counts": token_counts.query,
     "op10_best_fit_packing": packing.query,
+    "op13_embedding_whitening": whitening.query,
 }
 
 ORACLES: dict[str, str] = {
