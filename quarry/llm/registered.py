@@ -7,7 +7,7 @@ result over whole texts; the others are tested against brute force in
 
 from __future__ import annotations
 
-from quarry.llm import (packing, paragraph_sketch, quality_model, rule_cascade, sharding, simhash_dedup, source_mix,
+from quarry.llm import (decontamination, packing, paragraph_sketch, quality_model, rule_cascade, sharding, simhash_dedup, source_mix,
                         suffix_dedup, token_counts, url_rules, whitening)
 
 QUERIES = {
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_mixing_sources": source_mix.query,
     "op9_token_counts": token_counts.query,
     "op10_best_fit_packing": packing.query,
+    "op11_benchmark_decontamination": decontamination.query,
     "op13_embedding_whitening": whitening.query,
 }
 
@@ -28,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op4_quality_rules": rule_cascade.ORACLE,
     "op5_suffix_array_dedup": suffix_dedup.ORACLE,
     "op8_mixing_sources": source_mix.ORACLE,
+    "op11_benchmark_decontamination": decontamination.ORACLE,
 }
