@@ -7,8 +7,8 @@ result over whole texts; the others are tested against brute force in
 
 from __future__ import annotations
 
-from quarry.llm import (decontamination, packing, paragraph_sketch, quality_model, rule_cascade, sharding, simhash_dedup, source_mix,
-                        suffix_dedup, token_counts, url_rules, whitening)
+from quarry.llm import (decontamination, packing, paragraph_sketch, quality_model, resampling, rule_cascade,
+                        sharding, simhash_dedup, source_mix, suffix_dedup, token_counts, url_rules, whitening)
 
 QUERIES = {
     "op1_url_filters": url_rules.query,
@@ -22,6 +22,7 @@ QUERIES = {
     "op9_token_counts": token_counts.query,
     "op10_best_fit_packing": packing.query,
     "op11_benchmark_decontamination": decontamination.query,
+    "op12_importance_resampling": resampling.query,
     "op13_embedding_whitening": whitening.query,
 }
 
@@ -30,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op5_suffix_array_dedup": suffix_dedup.ORACLE,
     "op8_mixing_sources": source_mix.ORACLE,
     "op11_benchmark_decontamination": decontamination.ORACLE,
+    "op12_importance_resampling": resampling.ORACLE,
 }
