@@ -22,8 +22,9 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, fix_splits
 
 _PID_SHIFT = 33
 _LOCAL_MASK = (1 << _PID_SHIFT) - 1
@@ -88,6 +89,78 @@ def global_index(df: DataFrame, order_by, out: str = "idx", start: int = 0,
     return result.drop("_q_pid", "_q_mid", "_q_loc", "_q_off", "_q_total")
 
 
+def number_in_place(df: DataFrame, position: str = "position", out: str = "idx", start: int = 0,
+                    total_out: str | None = None) -> DataFrame:
+    """G01 in file order: the dense row number of rows as they stand in their
+    files, without a shuffle.
+
+    ``position`` is the place that the readers give: (file, block, piece,
+    number). The rows of a split (file, block) lie one behind the other in one
+    task, so a count per split, added up in file order, and a row's place in
+    its task give its number. The counts are one narrow row per split (the only
+    thing broadcast, as many as the driver's own list of splits); the rows are
+    numbered where they are. Filters and projections may come before, joins and
+    other shuffles may not: rows that do not lie in file order fail the job
+    (``global_index`` numbers those)."""
+    fix_splits(df.sparkSession)
+    names = {"_q_file": "file", "_q_block": "block", "_q_piece": "piece", "_q_number": "number"}
+    tagged = df.withColumns({n: F.col(f"{position}.{f}") for n, f in names.items()}).withColumn("_q_mid", F.monotonically_increasing_id())
+    split, mid, number = ["_q_file", "_q_block", "_q_piece"], F.col("_q_mid"), F.col("_q_number")
+    runs = tagged.select(*split, "_q_number", "_q_mid").groupBy(*split).agg(
+        F.count(F.lit(1)).alias("_q_cnt"), F.min(mid).alias("_q_first"), F.max(mid).alias("_q_last"),
+        F.min(number).alias("_q_low"), F.min_by(number, mid).alias("_q_at_first"),
+        F.max(number).alias("_q_high"), F.max_by(number, mid).alias("_q_at_last"))
+    in_order = ((F.col("_q_last") - F.col("_q_first") + 1 == F.col("_q_cnt")) & (F.col("_q_low") == F.col("_q_at_first"))
+                & (F.col("_q_high") == F.col("_q_at_last")))
+    w = Window.orderBy(*split)  # over one row per split
+    offsets = runs.select(
+        *split, F.when(in_order, F.sum("_q_cnt").over(w) - F.col("_q_cnt")).otherwise(
+            F.raise_error(F.lit("rows do not lie in file order: use global_index"))).alias("_q_off"),
+        F.col("_q_first").bitwiseAND(F.lit(_LOCAL_MASK)).alias("_q_loc"), "_q_cnt",
+        F.sum("_q_cnt").over(Window.partitionBy(F.lit(1))).alias("_q_total"))
+    joined = tagged.join(F.broadcast(offsets), split, "left")
+    # a stitched record (piece 1) is the only one of its split, in whatever task it is
+    nth = F.when(F.col("_q_piece") == 0, mid.bitwiseAND(F.lit(_LOCAL_MASK)) - F.col("_q_loc")).otherwise(F.lit(0))
+    nth = F.when((nth >= 0) & (nth < F.col("_q_cnt")), nth).otherwise(
+        F.raise_error(F.lit("the splits changed between two scans: set spark.sql.files.minPartitionNum")))
+    result = joined.withColumn(out, (F.col("_q_off") + nth + F.lit(start)).cast("bigint"))
+    if total_out:
+        result = result.withColumn(total_out, F.col("_q_total").cast("bigint"))
+    return result.drop(*names, "_q_mid", "_q_off", "_q_loc", "_q_cnt", "_q_total")
+
+
+def in_file_order(df: DataFrame, order_by) -> bool:
+    """Whether ``order_by`` is one column that holds the readers' places."""
+    if not isinstance(order_by, str) or order_by not in df.columns:
+        return False
+    kind = df.schema[order_by].dataType
+    return isinstance(kind, T.StructType) and kind.names == ["file", "block", "piece", "number"]
+
+
+def dense_index(df: DataFrame, order_by, out: str = "idx", start: int = 0, total_out: str | None = None) -> DataFrame:
+    """Numbered in place where ``order_by`` is the place in the files, by a
+    range shuffle otherwise."""
+    if in_file_order(df, order_by):
+        return number_in_place(df, order_by, out, start, total_out)
+    return global_index(df, order_by, out, start, total_out)
+
+
+def global_offsets(df: DataFrame, order_by, weight: str, out: str = "offset", total_out: str | None = None) -> DataFrame:
+    """Sum of ``weight`` over all rows before each row in ``order_by`` order (the
+    dense index of what each row will be exploded to). Meant for narrow rows."""
+    tagged = _ranked_partitions(df, order_by, None)
+    sums = tagged.groupBy("_q_pid").agg(F.sum(weight).alias("_q_sum"))
+    w = Window.orderBy("_q_pid")  # one row per partition
+    offsets = sums.select("_q_pid", (F.sum("_q_sum").over(w) - F.col("_q_sum")).alias("_q_ahead"),
+                          F.sum("_q_sum").over(Window.partitionBy(F.lit(1))).alias("_q_of"))
+    within = Window.partitionBy("_q_pid").orderBy("_q_loc").rowsBetween(Window.unboundedPreceding, -1)
+    local = tagged.withColumn(out, F.coalesce(F.sum(weight).over(within), F.lit(0)))
+    result = local.join(F.broadcast(offsets), "_q_pid").withColumn(out, (F.col(out) + F.col("_q_ahead")).cast("bigint"))
+    if total_out:
+        result = result.withColumn(total_out, F.col("_q_of").cast("bigint"))
+    return result.drop("_q_pid", "_q_mid", "_q_loc", "_q_ahead", "_q_of")
+
+
 def group_row_number(df: DataFrame, group_by: Sequence[str], order_by, out: str = "rn",
                      start: int = 1, group_size_out: str | None = None,
                      num_partitions: int | None = None) -> DataFrame:
@@ -254,37 +327,156 @@ def holdout_split(df: DataFrame, idx_col: str, test_fraction: float = 0.05, seed
     return _cut_at(df, key, positions, columns, num_partitions)
 
 
+_DIGEST = ["_q_d1", "_q_d2", "_q_d3"]
+_WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _digests(keys: Sequence[str]) -> dict[str, Column]:
+    """Three 64-bit hashes that stand for the key columns; nulls count as values."""
+    parts = [x for k in keys for x in (F.col(f"`{k}`"), F.col(f"`{k}`").isNull())]
+    return {name: F.xxhash64(F.lit(i), *parts) for i, name in enumerate(_DIGEST)}
+
+
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`")
+                        for f in df.schema.fields])
+
+
+def _first_of_copies(df: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` (never null) are in ``chosen`` (one row per key), one of
+    each. The window is over the join's own keys: no further shuffle or sort."""
+    joined = df.join(chosen, keys)
+    one = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[-1]))
+    return joined.withColumn("_q_copy", one).filter("_q_copy = 1").drop("_q_copy")
+
+
 def keep_one_per_key(df: DataFrame, keys: Sequence[str], order_by: str,
                      keep: str = "first") -> DataFrame:
-    """Keep the first (or last) row of each key by ``order_by``.
-
-    ``min_by``/``max_by`` of the row: partial aggregation reduces every key
-    map-side, so a key holding a third of the rows costs no more than any
-    other. Spark plans it as a sort aggregate, because the row is no
-    fixed-width value. (``dropDuplicates`` keeps an arbitrary row.)"""
-    others = [c for c in df.columns if c not in keys]
-    pick = F.min_by if keep == "first" else F.max_by
-    agg = df.groupBy(*keys).agg(pick(F.struct(*others), F.col(order_by)).alias("_q_row"))
-    return agg.select(*keys, *[F.col(f"_q_row.{c}").alias(c) for c in others]).select(*df.columns)
+    """Keep the first (or last) row of each key by ``order_by``, a
+    column of whole numbers or the place in the files; other orders are
+    ranked first.
+
+    Texts do not take part in the choice: a hash aggregate over three 64-bit
+    hashes of the key finds the least (greatest) order value, reduced in each
+    map task, so a key holding a third of the rows costs no more than any
+    other; buffers are of fixed width, so no row is sorted for it. A join on
+    hashes and order value, which spreads the rows of one key, then fetches
+    the row itself. Of rows that tie one is kept, chosen by a hash of the row;
+    rows without an order value give way to all others. (``dropDuplicates``
+    keeps an arbitrary row.)"""
+    if in_file_order(df, order_by):
+        ordered = number_in_place(df, order_by, out="_q_ord")
+    elif isinstance(df.schema[order_by].dataType, _WHOLE_NUMBERS):
+        ordered = df.withColumn("_q_ord", F.col(order_by).cast("bigint"))
+    else:
+        ordered = _with_rank(df, keys, order_by)
+    first = keep == "first"
+    # order value and 60 bits of the row's hash in one number of fixed width
+    tie = F.pmod(_row_hash(df), F.lit(1 << 60)).cast("decimal(38,0)")
+    step = F.lit(1 << 60).cast("decimal(19,0)")
+    unordered = F.lit(("9" if first else "-9") + "0" * 37).cast("decimal(38,0)")
+    value = F.coalesce(F.col("_q_ord").cast("decimal(19,0)") * step, unordered).cast("decimal(38,0)") + tie
+    tagged = ordered.withColumns({**_digests(keys), "_q_ord": value.cast("decimal(38,0)")})
+    pick = F.min if first else F.max
+    chosen = tagged.groupBy(*_DIGEST).agg(pick("_q_ord").alias("_q_ord"))
+    return _first_of_copies(tagged, chosen, [*_DIGEST, "_q_ord"]).select(*df.columns)
+
+
+def _with_rank(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
+    """``_q_ord``: the dense rank of each order value; only order values move."""
+    values = df.select(F.col(order_by).alias("_q_value")).distinct()
+    ranks = global_index(values, "_q_value", out="_q_ord")
+    return df.join(ranks, df[order_by].eqNullSafe(ranks["_q_value"]), "left").withColumn(
+        "_q_ord", F.when(F.col(order_by).isNotNull(), F.col("_q_ord"))).drop("_q_value")
 
 
 def drop_duplicate_pairs(df: DataFrame, keys: Sequence[str], order_by: str,
                          idx_out: str = "idx", start: int = 1) -> DataFrame:
     """Keep the first row per key (``drop_duplicates``), then a dense
-    index from ``start`` in the original order."""
-    kept = keep_one_per_key(df, keys, order_by, keep="first")
-    return global_index(kept, order_by, out=idx_out, start=start)
+    index from ``start`` in the original order.
+
+    Hashes of the keys and the order values alone are ranked; the first rank of
+    each key and its dense number are found on them, and the rows are fetched
+    by one join."""
+    tagged = df.withColumns({**_digests(keys), "_q_tie": _row_hash(df)})
+    by = [*_DIGEST, "_q_tie"]
+    order = F.col(f"`{order_by}`")
+    narrow = tagged.select(*by, order.alias("_q_value")).distinct()
+    ranked = global_index(narrow, ["_q_value", *by], out="_q_rank")
+    firsts = ranked.groupBy(*_DIGEST).agg(F.min("_q_rank").alias("_q_rank"))
+    numbered = global_index(firsts.select("_q_rank"), "_q_rank", out="_q_idx", start=start)
+    chosen = ranked.join(numbered, "_q_rank").select(*by, "_q_value", "_q_idx").withColumnRenamed("_q_value", "_q_wanted")
+    joined = tagged.join(chosen, by).filter(order.eqNullSafe(F.col("_q_wanted")))
+    one = F.row_number().over(Window.partitionBy(*by).orderBy("_q_tie"))
+    kept = joined.withColumn("_q_copy", one).filter("_q_copy = 1").withColumn(idx_out, F.col("_q_idx"))
+    return kept.select(*[c for c in df.columns if c != idx_out], idx_out)
+
+
+#: Parts into which a round of the threshold search cuts the range of keys.
+_PARTS = 4096
+
+
+def _cuts_by_histogram(narrow: DataFrame, group_col: str, limits: DataFrame, limit_col: str) -> DataFrame:
+    """(group, cut, need, here): the order value of the last row within the quota, how many
+    of its ``here`` rows are within it. Each round counts the rows of the part in question
+    in ``_PARTS`` parts of its range, until the part is one value: six rounds for any 64-bit key."""
+    need = F.col(limit_col).cast("bigint")
+    state = (narrow.groupBy(group_col).agg(F.min("_q_key").alias("lo"), F.max("_q_key").alias("hi"), F.count(F.lit(1)).alias("here"))
+             .join(limits.select(group_col, limit_col), group_col).where(need > 0)
+             .select(group_col, "lo", "hi", "here", F.least(need, F.col("here")).alias("need")))
+    state = materialize(state)
+    while state.where("lo < hi").limit(1).count():
+        # rows of finished groups are not counted again
+        open_ = state.where("lo < hi").withColumn("width", F.ceil((F.col("hi") - F.col("lo") + 1) / _PARTS).cast("decimal(38,0)"))
+        part = F.floor((F.col("_q_key") - F.col("lo")) / F.col("width")).cast("int")
+        counts = (narrow.join(open_.select(group_col, "lo", "hi", "width"), group_col).where("_q_key between lo and hi")
+                  .groupBy(group_col, part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("_q_key").alias("low"), F.max("_q_key").alias("high")))
+        w = Window.partitionBy(group_col).orderBy("part")  # at most _PARTS rows
+        running = counts.withColumn("upto", F.sum("n").over(w)).join(open_.select(group_col, "need"), group_col)
+        hit = running.where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need")))
+        # a part that is taken whole ends with its own greatest key; that key decides
+        found = hit.select(group_col, F.col("low").alias("lo"), F.col("high").alias("hi"), F.col("n").alias("here"),
+                           (F.col("need") - (F.col("upto") - F.col("n"))).alias("need"))
+        state = materialize(state.where("lo = hi").unionByName(found))
+    return state.select(group_col, F.col("lo").alias("cut"), "need", "here")
+
+
+def _cuts_by_rank(narrow: DataFrame, group_col: str, limits: DataFrame, limit_col: str) -> DataFrame:
+    """The same for keys of other types: ranked without the rows they belong to."""
+    ranked = group_row_number(narrow, [group_col], "_q_key", out="_q_rn").join(limits.select(group_col, limit_col), group_col)
+    values = ranked.groupBy(group_col, "_q_key").agg(F.min("_q_rn").alias("first"), F.count(F.lit(1)).alias("here"), F.max(limit_col).alias("quota"))
+    inside = values.where(F.col("first") <= F.col("quota"))
+    last = inside.groupBy(group_col).agg(F.max("first").alias("first"))
+    return materialize(inside.join(last, [group_col, "first"]).select(
+        group_col, F.col("_q_key").alias("cut"), F.least(F.col("quota") - F.col("first") + 1, F.col("here")).cast("bigint").alias("need"), "here"))
 
 
 def head_per_group(df: DataFrame, group_col: str, order_by, limits: DataFrame,
                    limit_col: str = "quota") -> DataFrame:
-    """First ``quota`` rows of each group (quota table: group, quota).
-
-    ``limits`` holds one row per group value; Catalyst broadcasts it when its
-    measured size is under the broadcast threshold."""
-    ranked = group_row_number(df, [group_col], order_by, out="_q_rn")
-    joined = ranked.join(limits.select(group_col, limit_col), group_col)
-    return joined.filter(F.col("_q_rn") <= F.col(limit_col)).drop("_q_rn", limit_col)
+    """First ``quota`` rows of each group (quota table: group, quota), by
+    ascending ``order_by`` (nulls first).
+
+    The order value at which a group's quota is reached is searched on (group,
+    order value) alone - by histograms for whole numbers, no row is sorted -
+    and the rows are filtered by it where they are. Only rows that tie with it,
+    where not all of them are within the quota, are ranked, by a hash of the row."""
+    key = F.col(order_by) if isinstance(order_by, str) else order_by
+    whole = isinstance(df.select(key.alias("k")).schema["k"].dataType, _WHOLE_NUMBERS)
+    lowest = F.lit("-1" + "0" * 19).cast("decimal(38,0)")
+    key = F.coalesce(key.cast("decimal(38,0)"), lowest) if whole else key
+    narrow = materialize(df.select(F.col(group_col), key.alias("_q_key")))
+    cuts = (_cuts_by_histogram if whole else _cuts_by_rank)(narrow, group_col, limits, limit_col)
+    tagged = df.withColumn("_q_key", key).join(
+        cuts.withColumnRenamed("need", "_q_need").withColumnRenamed("here", "_q_here").withColumnRenamed("cut", "_q_cut"), group_col)
+    same = F.col("_q_key").eqNullSafe(F.col("_q_cut"))
+    before = F.col("_q_cut").isNotNull() & (F.col("_q_key").isNull() | (F.col("_q_key") < F.col("_q_cut")))
+    before = F.coalesce(before, F.lit(False))
+    some = F.col("_q_need") < F.col("_q_here")
+    out = tagged.filter(before | (same & ~some))
+    if cuts.where("need < here").limit(1).count():
+        tied = group_row_number(tagged.filter(same & some).withColumn("_q_hash", _row_hash(df)), [group_col], ["_q_hash"], out="_q_rn")
+        out = out.unionByName(tied.filter(F.col("_q_rn") <= F.col("_q_need")).drop("_q_rn", "_q_hash"))
+    return out.select(*df.columns)
 
 
 # Target label distribution of the rescaling job, in the order

@@ -659,10 +659,19 @@ SELECT news_label, CAST(row_number() OVER (PARTITION BY news_label ORDER BY c.ne
        replace(post, chr(10), ' ') AS source, target, 'comment' AS stance
 FROM chosen c JOIN targets t ON t.news_id = c.news_id WHERE length(target) > 0"""
     o["scan_article_tree"] = with_(FX_ARTICLES) + """SELECT 'politifact' AS dataset, news_label, CAST(news_id AS VARCHAR) AS news_id, url, title, description FROM fx_articles"""
-    o["pipeline_url_analysis"] = _more_queries()["mentioned_url_frequency"].replace(
-        "SELECT mentioned_url, CAST(frequency AS BIGINT) AS frequency,",
-        "SELECT CAST(row_number() OVER (ORDER BY frequency DESC, mentioned_url ASC) AS BIGINT) AS rank, mentioned_url, CAST(frequency AS BIGINT) AS frequency,")
-    for key, filt in (("pipeline_rumour_threads", "TRUE"), ("pipeline_rumour_forum", "m.thread % 2 = 0")):
+    o["pipeline_stance_files"] = pipeline_stance_sql()
+    o["pipeline_url_analysis"] = with_(FX_MENTIONS, FX_ARTICLES) .rstrip() + f""",
+sites AS (SELECT DISTINCT news_label, news_id, {home_url('expanded_url')} AS site FROM fx_mentions WHERE length(expanded_url) > 0),
+lists AS (SELECT news_label, news_id, array_to_string(list_sort(list(site)), ' ') AS urls FROM sites GROUP BY news_label, news_id),
+mentioned AS (SELECT site, count(*) AS n, count(*) FILTER (news_label = 'fake') AS fakes, count(*) FILTER (news_label = 'real') AS reals FROM sites GROUP BY site),
+published AS (SELECT {home_url('url')} AS site, count(*) AS n FROM fx_articles GROUP BY 1)
+SELECT 'mentions' AS output, CAST(a.news_id AS VARCHAR) AS news_id, coalesce(urls, '') AS urls, a.news_label AS label,
+       CAST(NULL AS BIGINT) AS frequency, CAST(NULL AS BIGINT) AS rank
+FROM (SELECT DISTINCT news_label, news_id FROM fx_mentions) a LEFT JOIN lists l ON l.news_label = a.news_label AND l.news_id = a.news_id
+UNION ALL SELECT 'mentioned', NULL, site, CASE WHEN fakes > reals THEN 'fake' WHEN fakes < reals THEN 'real' ELSE 'tie' END, n,
+       row_number() OVER (ORDER BY n DESC, site) FROM mentioned
+UNION ALL SELECT 'sources', NULL, site, NULL, n, row_number() OVER (ORDER BY n DESC, site) FROM published"""
+    for key, filt in (("pipeline_rumour_threads", "TRUE"), ("pipeline_rumour_forum", "h.headline <> 'Page not found'")):
         o[key] = thread_inputs(filt).rstrip() + J05_SQL.rstrip() + """,
 allrows AS (
   SELECT thread, post AS node, 0 AS part, source, target, label AS stance FROM j04
@@ -683,6 +692,6 @@ allrows AS (
     o["scan_annotation_batches"] = with_(FX_ANNOTATED) + "SELECT batch, news_label, doc_id, stance, sentiment, clean FROM fx_annotated"
     o["write_folds"] = pipeline_stance_sql().replace("SELECT * FROM split_final", """,
 folds AS (SELECT unnest(range(1, 11)) AS f)
-SELECT CAST(f.f AS BIGINT) AS fold, CASE WHEN s.fold = f.f THEN 'dev' ELSE 'train' END AS split, CAST(count(*) AS BIGINT) AS n
-FROM split_final s, folds f WHERE s.split = 'train' GROUP BY 1, 2""")
+SELECT CAST(f.f AS BIGINT) AS fold, CASE WHEN s.fold = f.f THEN 'dev' ELSE 'train' END AS split, CAST(s.idx AS VARCHAR) AS idx, s.source, s.target, s.stance
+FROM split_final s, folds f WHERE s.split = 'train'""")
     return o

@@ -17,13 +17,27 @@ SPLIT_COLUMNS = ["idx", "source", "target", "stance", "split", "fold"]
 def stance_pairs(stances: DataFrame, bodies: DataFrame, mapping: dict = labels.ARTICLE_STANCE,
                  paragraphs: bool = False) -> DataFrame:
     """S10 -> V02/V03 -> J01 -> V06 (or C10): (doc_id, source, target, label)."""
-    mapped = labels.map_labels(stances, "stance", mapping, on_unknown="drop")
+    return _with_bodies(labels.map_labels(stances, "stance", mapping, on_unknown="drop"), bodies, paragraphs)
+
+
+def _with_bodies(mapped: DataFrame, bodies: DataFrame, paragraphs: bool = False) -> DataFrame:
     joined = joins.join_stance_bodies(mapped, bodies, strict=True)
     if paragraphs:
         return text_ops.explode_paragraphs(joined, "source", order_out="para")
     return joined.withColumn("source", flatten_newlines("source"))
 
 
+def indexed_pairs(stances: DataFrame, bodies: DataFrame, mapping: dict, order_by, start: int,
+                  total_out: str | None = None) -> DataFrame:
+    """``stance_pairs`` with a dense index (idx). Every stance row has exactly one
+    body, so the rows are numbered before the bodies are joined: in place where
+    they stand in files (``order_by`` is their position), on the stance rows
+    alone otherwise. No body passes through a shuffle for its number."""
+    mapped = labels.map_labels(stances, "stance", mapping, on_unknown="drop")
+    numbered = indexing.dense_index(mapped, order_by, out="idx", start=start, total_out=total_out)
+    return _with_bodies(numbered, bodies).withColumnRenamed("label", "stance")
+
+
 def split_labelled(df: DataFrame, idx_col: str = "idx", label_col: str = "stance",
                    text_cols=("source", "target"), k: int = 10, test_fraction: float = 0.05,
                    seed: int = 9) -> DataFrame:
@@ -33,28 +47,39 @@ def split_labelled(df: DataFrame, idx_col: str = "idx", label_col: str = "stance
     return indexing.holdout_split(kept, idx_col, test_fraction=test_fraction, seed=seed, k=k)
 
 
-def pipeline_stance(stances: DataFrame, bodies: DataFrame, k: int = 10) -> DataFrame:
+def pipeline_stance(stances: DataFrame, bodies: DataFrame, k: int = 10, order_by="doc_id") -> DataFrame:
     """Stance corpus -> 0-based index -> blank filter -> 5 % hold-out ->
-    10 contiguous folds over the shuffled train part."""
-    pairs = stance_pairs(stances, bodies)
-    indexed = indexing.global_index(pairs, "doc_id", out="idx", start=0)
-    out = split_labelled(indexed.withColumnRenamed("label", "stance"), k=k)
-    return out.select(*SPLIT_COLUMNS)
+    10 contiguous folds over the shuffled train part. ``order_by="position"``
+    takes the order of the files (``scan_stance_corpus``)."""
+    indexed = indexed_pairs(stances, bodies, labels.ARTICLE_STANCE, order_by, 0)
+    return split_labelled(indexed, k=k).select(*SPLIT_COLUMNS)
 
 
 def pipeline_stance_paragraphs(stances: DataFrame, bodies: DataFrame,
-                               mapping: dict = labels.ARTICLE_STANCE, k: int = 10) -> DataFrame:
+                               mapping: dict = labels.ARTICLE_STANCE, k: int = 10, order_by="doc_id") -> DataFrame:
     """P02 (and P03 paragraphs with the relation map): paragraphs of each body,
-    1-based index in (row, paragraph) order, k contiguous folds."""
-    pairs = stance_pairs(stances, bodies, mapping, paragraphs=True)
-    return cross_eval(pairs.withColumnRenamed("label", "stance"), ["doc_id", "para"], k)
+    1-based index in (row, paragraph) order, k contiguous folds. Paragraphs are
+    counted per row; the sums of the counts before each row number them, so
+    neither bodies nor paragraphs are sorted for it."""
+    mapped = labels.map_labels(stances, "stance", mapping, on_unknown="drop")
+    numbered = indexing.dense_index(mapped, order_by, out="_q_row")
+    sizes = bodies.withColumn("_q_n", text_ops.paragraph_count("body"))
+    counted = joins.join_stance_bodies(numbered, sizes, body_col="_q_n").withColumnsRenamed(
+        {"source": "_q_n", "target": "headline", "label": "stance"})
+    offsets = indexing.global_offsets(counted, "_q_row", "_q_n", out="_q_before", total_out="_q_total")
+    rows = joins.join_stance_bodies(offsets.drop("_q_n"), bodies)
+    parts = text_ops.explode_paragraphs(rows, "source", order_out="para", nth_out="_q_nth")
+    place = F.col("_q_before") + F.col("_q_nth")
+    return parts.select((place + 1).alias("idx"), "source", "target", F.col("label").alias("stance"),
+                        indexing.fold_of(place, "_q_total", k).alias("fold"))
 
 
 def pipeline_full_folds(stances: DataFrame, bodies: DataFrame,
-                        mapping: dict = labels.ARTICLE_STANCE, k: int = 10) -> DataFrame:
+                        mapping: dict = labels.ARTICLE_STANCE, k: int = 10, order_by="doc_id") -> DataFrame:
     """Whole bodies (newlines flattened), 1-based index, k folds."""
-    pairs = stance_pairs(stances, bodies, mapping)
-    return cross_eval(pairs.withColumnRenamed("label", "stance"), ["doc_id"], k)
+    pairs = indexed_pairs(stances, bodies, mapping, order_by, 1, total_out="_q_n")
+    fold = indexing.fold_of(F.col("idx") - 1, "_q_n", k)
+    return pairs.select("idx", "source", "target", "stance", fold.alias("fold"))
 
 
 def cross_eval(df: DataFrame, order_by, k: int = 10, idx_col: str | None = None) -> DataFrame:
@@ -169,3 +194,25 @@ def pipeline_rumour_threads(edges: DataFrame, posts: DataFrame, thread_labels: D
     rows = j04.unionByName(j03).unionByName(j05).withColumnRenamed("label", "stance")
     rows = quality.require_label_domain(rows, labels.STANCE_DOMAIN, "stance")
     return cross_eval(rows, ["thread", "node", "part", "target"], k)
+
+
+def pipeline_url_analysis(articles: DataFrame, posts: DataFrame) -> DataFrame:
+    """The three outputs of the url analysis, told apart by ``output``:
+    ``mentions`` (A01: the sites that each article's posts mention, for all
+    articles with posts), ``mentioned`` (A02: sites by the number of articles that
+    mention them) and ``sources`` (A03: sites by the number of articles
+    they published), the last two with their rank by frequency (T01)."""
+    from quarry.operators import aggregates as agg
+    keys = [c for c in joins.ARTICLE_KEYS if c in posts.columns]
+    urls = filters.keep_nonempty_urls(posts, "urls")
+    lists = agg.mentioned_urls_by_event(posts, urls, keys)
+    mentioned = agg.order_by_frequency(agg.mentioned_url_frequency(urls, keys), "frequency", "mentioned_url", rank_out="rank")
+    published = agg.order_by_frequency(agg.source_url_frequency(articles), "frequency", "source_url", rank_out="rank")
+    none = F.lit(None)
+
+    def rows(df, output, news_id, urls, label, frequency, rank):
+        return df.select(F.lit(output).alias("output"), news_id.cast("string").alias("news_id"), urls.alias("urls"),
+                         label.cast("string").alias("label"), frequency.cast("bigint").alias("frequency"), rank.cast("bigint").alias("rank"))
+    return (rows(lists, "mentions", F.col("news_id"), F.col("mentioned_urls"), F.col("news_label"), none, none)
+            .unionByName(rows(mentioned, "mentioned", none, F.col("mentioned_url"), F.col("label"), F.col("frequency"), F.col("rank")))
+            .unionByName(rows(published, "sources", none, F.col("source_url"), none, F.col("frequency"), F.col("rank"))))

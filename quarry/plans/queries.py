@@ -59,6 +59,13 @@ def q_pipeline_stance(spark, sf):
     return pl.pipeline_stance(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf))
 
 
+@register("pipeline_stance_files")
+def q_pipeline_stance_files(spark, sf):
+    """P01 from its two files, numbered in file order where the records stand."""
+    bodies, stances = _staged_stance_corpus(spark, sf)
+    return pl.pipeline_stance(stances, bodies, order_by="position")
+
+
 @register("pipeline_stance_paragraphs")
 def q_pipeline_stance_paragraphs(spark, sf):
     return pl.pipeline_stance_paragraphs(fx.fx_stance_rows(spark, sf), fx.fx_stance_bodies(spark, sf))
@@ -764,10 +771,7 @@ def q_scan_article_tree(spark, sf):
 
 @register("pipeline_url_analysis")
 def q_pipeline_url_analysis(spark, sf):
-    _, posts = _staged_article_tree(spark, sf)
-    urls = filters.keep_nonempty_urls(posts, "urls")
-    freq = agg.mentioned_url_frequency(urls)
-    return agg.order_by_frequency(freq, "frequency", "mentioned_url", rank_out="rank")
+    return pl.pipeline_url_analysis(*_staged_article_tree(spark, sf))
 
 
 def _rumour_rows(spark, sf, headline_filter=None):
@@ -775,6 +779,12 @@ def _rumour_rows(spark, sf, headline_filter=None):
     return pl.pipeline_rumour_threads(edges, posts, lab, heads)
 
 
+def _has_title():
+    """A forum thread has a headline if its page has a title."""
+    from quarry.functions.web import PAGE_NOT_FOUND
+    return F.col("headline") != PAGE_NOT_FOUND
+
+
 @register("pipeline_rumour_threads")
 def q_pipeline_rumour_threads(spark, sf):
     return _rumour_rows(spark, sf)
@@ -782,7 +792,7 @@ def q_pipeline_rumour_threads(spark, sf):
 
 @register("pipeline_rumour_forum")
 def q_pipeline_rumour_forum(spark, sf):
-    return _rumour_rows(spark, sf, F.col("thread") % 2 == 0)
+    return _rumour_rows(spark, sf, _has_title())
 
 
 # --- file formats: Spark-derived tables staged under the shared folder, read back ----------
@@ -849,14 +859,19 @@ def q_scan_url_manifest(spark, sf):
     return sources.scan_url_manifest(spark, path, thread_pattern=r"thread=([^/]+)/")
 
 
-@register("scan_stance_corpus")
-def q_scan_stance_corpus(spark, sf):
+def _staged_stance_corpus(spark, sf):
+    """fx_stance_bodies / fx_stance_rows as two sets of CSV files, rows in doc_id order, read by S10."""
     root = staging_path(spark, "stance-corpus")
     bodies = fx.fx_stance_bodies(spark, sf).select(F.col("body_id").cast("string"), "body")
-    stances = fx.fx_stance_rows(spark, sf).select("headline", F.col("body_id").cast("string"), "stance")
+    stances = fx.fx_stance_rows(spark, sf).orderBy("doc_id").select("headline", F.col("body_id").cast("string"), "stance")
     sinks.write_delimited(bodies, f"{root}/bodies", header=True)
     sinks.write_delimited(stances, f"{root}/stances", header=True)
-    b, s = sources.scan_stance_corpus(spark, f"{root}/bodies", f"{root}/stances")
+    return sources.scan_stance_corpus(spark, f"{root}/bodies", f"{root}/stances")
+
+
+@register("scan_stance_corpus")
+def q_scan_stance_corpus(spark, sf):
+    b, s = _staged_stance_corpus(spark, sf)
     j = joins.join_stance_bodies(labels.map_stance_article(s), b)
     return j.select("body_id", "source", "target", "label")
 
@@ -873,8 +888,5 @@ def q_scan_annotation_batches(spark, sf):
 def q_write_folds(spark, sf):
     path = staging_path(spark, "folds")
     train = q_pipeline_stance(spark, sf).filter(F.col("split") == "train").drop("split")
-    sinks.write_folds(train, path, k=10)
-    back = spark.read.option("header", "true").option("multiLine", "true").option(
-        "sep", "\t").option("quote", '"').option("escape", '"').csv(path)
-    return back.groupBy(F.col("fold").cast("bigint").alias("fold"), "split").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"))
+    sinks.write_fold_table(train, path, k=10)
+    return sources.scan_folds(spark, path)

@@ -74,6 +74,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def fix_splits(spark: SparkSession) -> None:
+    """Keep the splits of files the same from one scan to the next: for small
+    inputs Spark derives their size from the number of cores at hand, which may
+    change while a job runs, unless ``spark.sql.files.minPartitionNum`` is set."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for staged tables."""
     base = checkpoint_dir(spark)

@@ -54,6 +54,22 @@ def write_folds(df: DataFrame, path: str, k: int, fold_col: str = "fold", sep: s
     _csv(long.write.mode(mode).partitionBy(fold_col, "split"), sep, header).csv(path)
 
 
+def write_fold_table(df: DataFrame, path: str, k: int, fold_col: str = "fold", sep: str = "\t",
+                     header: bool = True, train_name: str = "train", val_name: str = "dev",
+                     mode: str = "overwrite") -> None:
+    """K03 without copies: every row once, ``path/fold=i/part-*``, and a catalog
+    (``path/sets``) that says which of these folders make up each of the k x 2
+    sets: a fold's own folder is its ``val_name`` set, all others are its
+    ``train_name`` set. ``sources.scan_folds`` reads the sets."""
+    columns = [c for c in df.columns if c != fold_col]
+    _csv(df.write.mode(mode).partitionBy(fold_col), sep, header).csv(path)
+    folds = list(range(1, k + 1))
+    sets = [(f, split, [g for g in folds if (g == f) == (split == val_name)], columns, sep, header)
+            for f in folds for split in (train_name, val_name)]
+    catalog = df.sparkSession.createDataFrame(sets, "fold bigint, split string, folds array<bigint>, columns array<string>, sep string, header boolean")
+    catalog.coalesce(1).write.mode(mode).json(f"{path}/sets")
+
+
 # Column names of the STS export.
 STS_COLUMNS = ["index", "genre", "filename", "year", "old_index", "source1", "source2",
                "sentence1", "sentence2", "stance"]

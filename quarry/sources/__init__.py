@@ -330,5 +330,24 @@ def read_logits_file(spark: SparkSession, path: str) -> DataFrame:
     return scan_logits(spark.read.text(path, wholetext=True))
 
 
+def scan_folds(spark: SparkSession, path: str, fold: int | None = None, split: str | None = None) -> DataFrame:
+    """The sets that ``sinks.write_fold_table`` wrote: (fold, split, columns), of
+    all sets or of the wanted fold and split; only the folders of the wanted
+    sets are read, each once, and a row is repeated per set while it is read."""
+    kind = "fold bigint, split string, folds array<bigint>, columns array<string>, sep string, header boolean"
+    sets = [r for r in spark.read.schema(kind).json(f"{path}/sets").collect()  # two rows per fold
+            if fold in (None, r["fold"]) and split in (None, r["split"])]
+    if not sets:
+        raise ValueError(f"no set of fold {fold}, split {split} in {path}")
+    needed = sorted({g for r in sets for g in r["folds"]})
+    rows = scan_delimited(spark, f"{path}/fold={{{','.join(map(str, needed))}}}", sets[0]["columns"], sets[0]["sep"],
+                          sets[0]["header"], position="_q_at")
+    own = F.regexp_extract("_q_at.file", r"/fold=([0-9]+)/", 1).cast("bigint")
+    member = F.filter(F.array(*[F.struct(F.lit(r["fold"]).cast("bigint").alias("fold"), F.lit(r["split"]).alias("split"),
+                                         F.array(*[F.lit(g).cast("bigint") for g in r["folds"]]).alias("folds")) for r in sets]),
+                      lambda s: F.array_contains(s["folds"], own))
+    return rows.withColumn("_q_set", F.explode(member)).select("_q_set.fold", "_q_set.split", *sets[0]["columns"])
+
+
 # the scan's helper travels to the workers inside the job
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

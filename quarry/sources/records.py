@@ -30,6 +30,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import fix_splits
+
 OUTSIDE, INSIDE = False, True
 
 
@@ -299,8 +301,7 @@ def scan_records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     comparable in file order: the split's first byte, 0 for a record within
     the split and 1 for the one that crosses its end, the line in the split.
     ``first`` marks a file's first record. One job runs here."""
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    fix_splits(spark)
     raw = spark.read.option("lineSep", "\n").text(path).select(
         file_key(F.input_file_name()).alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
     seen = raw.mapInArrow(_both_ways(sep), "file bigint, block bigint, lines bigint, windows boolean, inside0 boolean, first0 bigint, "
