@@ -13,7 +13,7 @@ and uses the chosen one as often as its lengths last, which empties at least
 one length; a second search also uses wasteful ones fewer times. Best-fit
 decreasing is the first incumbent; branches whose waste so far already rules
 out fewer sequences than the incumbent are cut, and a search ends at the lower
-bound L2 or at its node budget (then the incumbent stands: a valid packing,
+bound (dual feasible functions) or at its node budget (then the incumbent stands: a valid packing,
 maybe not the fewest).
 
 Pieces are numbered within their length from counts per (task, length), so a
@@ -37,10 +37,12 @@ from quarry.llm._shared import bound_arrow_batches, saved, ship_by_value, worker
 CACHE_PARTS = 250_000
 #: Parts handed to the library at once.
 ENCODE_PARTS = 256
-#: Fillings compared for one largest length, steps of the search inside one, and branches overall.
-FILLINGS, FILL_NODES, SEARCH_NODES = 4, 20_000, 6_000
+#: Fillings compared for one largest length, and branches overall.
+FILLINGS, SEARCH_NODES = 4, 6_000
 #: Branches of the second search, with wasteful fillings fewer times.
-FEWER_NODES = 600
+FEWER_NODES = 6_000
+#: Parts into which the lower bound cuts the capacity.
+DUAL_PARTS = 12
 
 
 class IdEncoder:
@@ -220,54 +222,55 @@ def cut_into_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def fillings(space: int, counts: dict[int, int], lengths: list[int], most: int = FILLINGS,
-             nodes: int = FILL_NODES) -> list[tuple[int, ...]]:
+def fillings(space: int, counts: dict[int, int], lengths: list[int], most: int = FILLINGS) -> list[tuple[int, ...]]:
     """Undominated fillings of ``space`` with the lengths at hand (descending
-    ``lengths``), least waste first. One length that fills the space exactly
-    dominates every other filling; a filling that could still take a length is
-    dominated by the fuller one and not listed."""
+    ``lengths``), least waste first, of large lengths where they can be. One
+    length that fills the space exactly dominates every other filling; a filling
+    that could still take a length is dominated by the fuller one.
+
+    Which sums of lengths exist is one integer: bit s says that s can be made
+    from the lengths so far. The lengths enter from the largest on until the
+    whole space can be made; the fillings are read back off the integers."""
     if counts.get(space, 0):
         return [(space,)]
-    fit = [n for n in lengths if n <= space and counts[n]]
-    if not fit:
-        return [()]
-    smallest, left = fit[-1], [nodes]
-    best: list[tuple[int, tuple[int, ...]]] = []
-
-    def extend(at: int, room: int, chosen: tuple[int, ...]) -> bool:
-        """Whether the search may stop: nothing is left to waste."""
-        left[0] -= 1
-        if room < smallest or at == len(fit):
-            if not any(counts[n] - chosen.count(n) > 0 and n <= room for n in fit):
-                best.append((room, chosen))
-                best.sort(key=lambda x: (x[0], len(x[1])))
-                del best[most:]
-            return room == 0
-        for i in range(at, len(fit)):
-            n = fit[i]
-            if n > room:
-                continue
-            if left[0] <= 0:
-                return True
-            free = counts[n] - chosen.count(n)
-            if free > 0 and extend(i, room - n, chosen + (n,)):
-                return True
-        if all(n > room or counts[n] <= chosen.count(n) for n in fit):
-            best.append((room, chosen))
-            best.sort(key=lambda x: (x[0], len(x[1])))
-            del best[most:]
-        return False
-
-    extend(0, space, ())
-    if not best:  # the budget ended inside the first branch: the greedy filling
-        room, chosen = space, []
-        for n in fit:
-            take = min(counts[n], room // n)
-            chosen += [n] * take
-            room -= n * take
-        best.append((room, tuple(chosen)))
-    unique = list(dict.fromkeys(x[1] for x in best))
-    return unique or [()]
+    sums, mask, steps = 1, (1 << (space + 1)) - 1, []
+    for n in lengths:
+        free = min(counts.get(n, 0), space // n)
+        if not free:
+            continue
+        steps.append((n, free, sums))
+        copies = 1  # 1, 2, 4, ... copies at once
+        while free:
+            take = min(copies, free)
+            for_take, at = sums, 0
+            # any number up to ``take`` more copies: doublings of the shift
+            reach = 1
+            while at < take:
+                step = min(reach, take - at)
+                for_take |= (for_take << (n * step)) & mask
+                at += step
+                reach *= 2
+            sums, free, copies = for_take, free - take, copies * 2
+        if sums >> space & 1:
+            break
+    out: list[tuple[int, ...]] = []
+    smallest = next((n for n in reversed(lengths) if counts.get(n, 0)), space + 1)
+    total = space
+    while total >= 0 and len(out) < most:
+        total = (sums & ((1 << (total + 1)) - 1)).bit_length() - 1  # the greatest sum that is left
+        chosen, rest = [], total
+        for n, free, before in reversed(steps):
+            k = 0
+            while k < free and not before >> (rest - k * n) & 1:
+                k += 1
+            chosen += [n] * k
+            rest -= k * n
+        if rest == 0 and (space - total < smallest or not out):
+            out.append(tuple(sorted(chosen, reverse=True)))
+        if space - total >= smallest:
+            break  # what remains could take a length
+        total -= 1
+    return out or [()]
 
 
 def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -311,19 +314,28 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[tup
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences that any plan needs (L2 of Martello and Toth): for a least
-    length a, those over half the capacity stand alone, and the lengths from a
-    to the half must fit beside those of at most capacity - a or take more."""
-    total = sum(n * c for n, c in counts.items())
-    best = -(-total // capacity)
-    halves = [n for n in counts if 2 * n <= capacity]
-    over = [n for n in counts if 2 * n > capacity]
-    alone = sum(counts[n] for n in over)
-    for a in halves:
-        room = sum((capacity - n) * counts[n] for n in over if n <= capacity - a)
-        rest = sum(n * counts[n] for n in halves if n >= a)
-        best = max(best, alone + max(0, -(-(rest - room) // capacity)))
-    return max(best, alone)
+    """Sequences that any plan needs: the greatest of bounds by dual feasible
+    functions. Lengths below a least one count nothing and those that leave no
+    room for it a whole sequence (L2 of Martello and Toth); then a length of more
+    than 1/(k+1) of the capacity weighs as many k-th parts as it has whole (k+1)-th
+    parts (Fekete and Schepers), k = 0 standing for the length itself."""
+    import numpy as np
+    total = sum(counts.values())
+    if not total:
+        return 0
+    n = np.array(sorted(counts), dtype=np.int64)
+    c = np.array([counts[x] for x in n.tolist()], dtype=np.int64)
+    best = -(-int((n * c).sum()) // capacity)
+    for least in [0, *n[2 * n <= capacity].tolist()]:
+        x = np.where(n > capacity - least, capacity, np.where(n < least, 0, n))
+        best = max(best, -(-int((x * c).sum()) // capacity))
+        for k in range(1, DUAL_PARTS + 1):
+            parts = (k + 1) * x
+            # whole parts; a length that is a multiple of the part counts as itself
+            exact = parts % capacity == 0
+            weight = np.where(exact, k * x, parts // capacity * capacity)  # in units of 1 / (k * capacity)
+            best = max(best, -(-int((weight * c).sum()) // (k * capacity)))
+    return best
 
 
 def plan_patterns(counts: dict[int, int], capacity: int, search_nodes: int = SEARCH_NODES

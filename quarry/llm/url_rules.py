@@ -4,13 +4,15 @@ Fixed rules name a host (with all its subdomains) and a path beginning; the
 longest that fits decides. Other urls are judged by association rules:
 combinations of url tokens that go with a blocked label (low quality or toxic)
 in the labelled pages. A rule stays if its confidence and support suffice and
-no shorter rule within it is as sure. Combinations are counted level by level;
-one with the rows of a shorter one, or that contains a rule without exception,
-can give no rule that stays, nor can anything longer, so it is not extended
-(tokens that always stand together do not multiply). Rules are matched through
-an inverted index: each rule is posted under its rarest token, a page looks its
-tokens up and checks the rest of the rules found there.
-Built-in DataFrame functions only.
+no shorter rule within it is as sure. Spark's FP-growth mines the combinations
+frequent among blocked pages; how many labelled pages hold each is counted
+through an inverted index, which gives the confidences. A token that all pages
+have, or only blocked ones, can add nothing to a longer rule and is left out of
+the baskets; of tokens that stand in exactly the same pages one is mined for all
+(they would multiply each other), and rules are spelled out for each of them
+afterwards. Rules are matched through an inverted index: each rule is posted
+under its rarest token, a page looks its tokens up and checks the rest of the
+rules found there. Built-in DataFrame functions and Spark's own miner only.
 
 Bound of the model (a parameter, all data is judged): mining takes about
 ``max_rows`` labelled pages chosen by a hash of page_id. Tokens, tokens per page
@@ -26,8 +28,8 @@ rules; an empty table gives an empty result; a null page_id stays null.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +40,6 @@ FIXED_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block"
                ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MIN_SUPPORT, MIN_ROWS, MIN_CONFIDENCE = 0.002, 5, 0.6
 MAX_ROWS = 200_000
-#: Tokens of a page that are mined: all.
-ITEMS = None
 BROADCAST_BYTES = 32 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -85,41 +85,69 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confid
     need = math.ceil(max(min_support, MIN_ROWS / total) * mined - 1e-9)
     n, b = F.col("n"), F.col("b")
     confidence = F.round(b / n, 9)
-    # null where the combination is no rule; ``best`` is the surest rule within it
-    rule = F.when(b / n >= min_confidence, confidence)
     words = rows.select("row", "b", F.explode("tokens").alias("token"))
-    level = saved(words.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).where(b >= need)
-                  .select(F.array("token").alias("tokens"), "n", "b", F.lit(None).cast("double").alias("best"),
-                          F.struct("n", "token").alias("anchor")))
-    levels = [level]
-    # a token of all rows adds nothing to another, a rule without exception covers all longer ones
-    open_sets = level.where((b < n) & (n < mined))
-    kept = words.join(open_sets.select(F.col("tokens")[0].alias("token")), "token")
-    baskets = (kept.groupBy("row", "b").agg(F.sort_array(F.collect_list("token")).alias("items"))
-               .groupBy("items").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")))
-    held = saved(saved(baskets.withColumn("basket", F.monotonically_increasing_id()))
-                 .select("basket", "n", "b", F.explode("items").alias("token")).withColumn("tokens", F.array("token")).drop("token"))
-    size = 1
-    while not open_sets.isEmpty():
-        side = held.select("basket", F.slice("tokens", 1, size - 1).alias("head"), F.element_at("tokens", -1).alias("last"), "n", "b")
-        longer = (side.join(side.select("basket", "head", F.col("last").alias("more")), ["basket", "head"]).where("last < more")
-                  .select("basket", "n", "b", F.concat("head", F.array("last", "more")).alias("tokens")))
-        parts = F.transform(F.sequence(F.lit(0), F.lit(size)),
-                            lambda i: F.concat(F.slice("tokens", F.lit(1), i), F.slice("tokens", i + 2, F.lit(size + 1))))
-        counted = (longer.groupBy("tokens").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).where(b >= need)
-                   .withColumn("part", F.explode(parts)))
-        known = open_sets.select(F.col("tokens").alias("part"), n.alias("part_n"), F.greatest("best", rule).alias("best"), "anchor")
-        level = saved(counted.join(known, "part").groupBy("tokens", "n", "b")
-                      .agg(F.count(F.lit(1)).alias("parts"), F.min("part_n").alias("least"), F.max("best").alias("best"),
-                           F.min("anchor").alias("anchor"))
-                      .where((F.col("parts") == size + 1) & (n < F.col("least"))).drop("parts", "least"))
-        levels.append(level)
-        open_sets = level.where(b < n)
-        held = saved(longer.join(open_sets.select("tokens"), "tokens"))
-        size += 1
-    return (reduce(DataFrame.unionByName, levels).where(rule.isNotNull() & (F.col("best").isNull() | (confidence > F.col("best"))))
-            .select("tokens", confidence.alias("confidence"), F.round(b / F.lit(mined), 9).alias("support"),
-                    F.col("anchor.token").alias("anchor")))
+    # a token's pages in two hashes: equal ones stand for equal sets of pages
+    pages = (F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("h2"))
+    tokens = saved(words.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"), *pages).where(b >= need))
+    singles = tokens.select(F.array("token").alias("tokens"), "n", "b")
+    open_tokens = tokens.where((b < n) & (n < mined))
+    alike = saved(open_tokens.groupBy("n", "b", "h1", "h2").agg(F.min("token").alias("token"), F.collect_list("token").alias("members")))
+    kept = words.join(alike.select("token"), "token")
+    baskets = saved(kept.groupBy("row", "b").agg(F.sort_array(F.collect_list("token")).alias("items")).where(F.size("items") > 1))
+    longer = _frequent_sets(baskets, need)
+    found = singles
+    if longer is not None:
+        found = singles.unionByName(_counted(longer, baskets, alike).select("tokens", "n", "b"))
+    found = saved(found.where(b / n >= min_confidence).select("tokens", "n", "b", confidence.alias("confidence")))
+    rules = _spelled_out(_without_covered(found, tokens), alike)
+    return _posted(saved(rules), tokens).select("tokens", "confidence", F.round(b / F.lit(mined), 9).alias("support"), F.col("token").alias("anchor"))
+
+
+def _spelled_out(rules: DataFrame, alike: DataFrame) -> DataFrame:
+    """Rules of several tokens once for each choice among tokens of the same pages."""
+    single, several = rules.where(F.size("tokens") == 1), rules.where(F.size("tokens") > 1)
+    members = (several.select("tokens", F.explode("tokens").alias("token")).join(alike.select("token", "members"), "token")
+               .groupBy("tokens").agg(F.collect_list("members").alias("choices")))
+    start = F.array(F.array().cast("array<string>"))
+    combined = F.aggregate("choices", start, lambda made, more: F.flatten(F.transform(
+        made, lambda m: F.transform(more, lambda t: F.concat(m, F.array(t))))))
+    spelled = several.join(members, "tokens").select(F.explode(combined).alias("made"), "n", "b", "confidence")
+    return single.unionByName(spelled.select(F.sort_array("made").alias("tokens"), "n", "b", "confidence"))
+
+
+def _frequent_sets(baskets: DataFrame, need: int) -> DataFrame | None:
+    """(tokens, b): combinations of two and more tokens in at least ``need`` blocked baskets."""
+    blocked = baskets.where("b = 1").select("items")
+    size = blocked.count()
+    if size < need or not size:
+        return None
+    model = FPGrowth(itemsCol="items", minSupport=max(need - 0.5, 0.5) / size).fit(blocked)
+    return model.freqItemsets.where(F.size("items") > 1).select(F.sort_array("items").alias("tokens"), F.col("freq").alias("b"))
+
+
+def _counted(sets: DataFrame, baskets: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``sets`` with n, the number of baskets that hold all tokens: each set is
+    posted under its rarest token, a basket looks its tokens up."""
+    posted = _posted(saved(sets), tokens)
+    looked = baskets.select("items", F.explode("items").alias("token")).join(posted, "token")
+    held = looked.where(F.size(F.array_except("tokens", "items")) == 0)
+    return held.groupBy("tokens", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _posted(sets: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``sets`` with token: the rarest of its tokens."""
+    one = sets.select("tokens", F.explode("tokens").alias("token")).join(tokens.select("token", F.col("n").alias("often")), "token")
+    rarest = one.groupBy("tokens").agg(F.min(F.struct("often", "token"))["token"].alias("token"))
+    return sets.join(rarest, "tokens")
+
+
+def _without_covered(rules: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The rules of which no shorter part is as sure: a rule looks up those posted under its tokens."""
+    short = _posted(rules, tokens).select("token", F.col("tokens").alias("part"), F.col("confidence").alias("as_sure"))
+    covered = (rules.select("tokens", "confidence", F.explode("tokens").alias("token")).join(short, "token")
+               .where((F.size("part") < F.size("tokens")) & (F.col("as_sure") >= F.col("confidence"))
+                      & (F.size(F.array_except("part", "tokens")) == 0)))
+    return rules.join(covered.select("tokens").distinct(), "tokens", "left_anti")
 
 
 def judge(pages: DataFrame, rules: DataFrame | None, fixed=FIXED_RULES) -> DataFrame:

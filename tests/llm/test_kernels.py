@@ -117,6 +117,27 @@ def test_search_takes_wasteful_fillings_fewer_times():
         assert sum(t for _, t in patterns) == want == packing.lower_bound(counts, capacity)
 
 
+def test_fillings_are_the_fullest_there_are():
+    rng = random.Random(1)
+    for _ in range(400):
+        space, lengths = rng.randrange(1, 40), sorted({rng.randrange(1, 25) for _ in range(rng.randrange(1, 7))}, reverse=True)
+        counts = {n: rng.randrange(0, 4) for n in lengths}
+        fit = [n for n in lengths if n <= space]
+        found, sums = packing.fillings(space, counts, fit), {0}
+        for n in [n for n in fit for _ in range(counts[n])]:
+            sums |= {s + n for s in sums if s + n <= space}
+        assert sum(found[0]) == max(sums) and len(set(found)) == len(found)
+        assert all(o.count(n) <= counts[n] for o in found for n in o) and all(sum(o) <= space for o in found)
+
+
+@pytest.mark.parametrize("low,high,want", [(700, 1100, 1500), (1025, 2048, 3000)])
+def test_bound_ends_the_search_for_long_pieces(low, high, want):
+    rng = random.Random(2)
+    counts = Counter(rng.randrange(low, high) for _ in range(3000))
+    patterns = packing.plan_patterns(counts, 2048)
+    assert packing.lower_bound(counts, 2048) == want == sum(t for _, t in patterns)
+
+
 def test_lower_bound_counts_long_pieces():
     assert packing.lower_bound({6: 10}, 10) == 10 and packing.lower_bound({}, 10) == 0
     rng = random.Random(9)

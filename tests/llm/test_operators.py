@@ -83,7 +83,7 @@ def test_url_rules(spark):
     from itertools import combinations
     seen, bad = Counter(), Counter()
     for r in marked:
-        items = sorted((t for t in r["t"] if freq[t] >= 5), key=lambda t: (freq[t], t))[:url_rules.ITEMS]
+        items = sorted((t for t in r["t"] if freq[t] >= 5), key=lambda t: (freq[t], t))
         for k in range(1, len(items) + 1):
             for c in combinations(sorted(items), k):
                 seen[c] += 1
@@ -128,6 +128,24 @@ def test_url_rules_many_hosts_and_companions(spark, monkeypatch):
     assert all(verdicts[i] == "block" for i, (u, _) in enumerate(rows) if "bad" in u or "mixed" in u or "often.net/sure" in u)
 
 
+def test_mined_verdicts_by_a_plain_matcher(spark):
+    # tokens of the same pages (left, right) stand for each other in no page that holds only one of them
+    rows = [(f"http://x{i % 7}.net/left/right/t{i % 3}/{i}", i % 3 == 0) for i in range(90)]
+    rows += [(f"http://x{i % 7}.net/t{i % 3}/u{i % 5}", i % 5 == 1 and i % 3 == 0) for i in range(90)]
+    rows += [("http://new.net/left/t0", None), ("http://new.net/right/t0", None), ("http://new.net/right/t1", None), ("http://t0.net/u1", None)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    labelled = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows) if b is not None], "page_id long, url string, blocked boolean")
+    mined = url_rules.mine_rules(labelled)
+    rules = [(set(r["tokens"]), r["confidence"], r["support"], " ".join(r["tokens"])) for r in mined.collect()]
+    assert {"left t0", "right t0"} <= {r[3] for r in rules}
+    for r in url_rules.judge(pages, mined).collect():
+        url = rows[r["page_id"]][0]
+        own = {t for t in re.split("[^a-z0-9-]+", url.lower()) if t and not re.fullmatch("[0-9-]*", t)}
+        fit = [(c, s, name) for tokens, c, s, name in rules if tokens <= own]
+        assert r["verdict"] == ("block" if fit else "allow"), url
+        assert r["mined_rule"] == (max(fit)[2] if fit else None)
+
+
 def test_url_rules_without_labels_or_pages(spark):
     pages, labels = url_tables(spark)
     assert url_rules.mine_rules(url_rules.labelled_pages(pages, labels.limit(0))) is None
