@@ -1,7 +1,9 @@
 """Suffix-array dedup of repeated byte strings across a corpus (operator 5).
 
-A string of ``length`` bytes is a repeat if the same string starts earlier (in
-a document with a smaller id, or earlier in its own). Every byte of a repeat
+A string of ``length`` bytes is a repeat if the same string starts earlier: in
+a document with a smaller id, or earlier in its own. Different texts with one id
+(or none) are different documents, ordered by a 64-bit hash of the text; that
+order, (doc_id, hash, start), holds in every path below. Every byte of a repeat
 goes. The job, all on Spark tables:
 
 1. Every start position belongs to the smallest-hash ``gram`` bytes inside its
@@ -27,9 +29,8 @@ goes. The job, all on Spark tables:
 5. The spans found go back to the documents, which drop the bytes.
 
 Defined cases: null text is empty (and comes back so, but null with ``cut_text``); texts shorter than ``length`` stay whole;
-rows with the same doc_id count as one document (order by start), so rows that
-repeat in doc_id and text do not remove each other; null doc_ids come last, as
-one document; an empty table gives an empty result. ``drop_repeats`` keeps all
+rows that repeat in doc_id and text are one document and do not remove each
+other; null doc_ids come last; an empty table gives an empty result. ``drop_repeats`` keeps all
 columns. A text is one task's row: memory follows the largest text.
 """
 
@@ -105,13 +106,15 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return text_no, run - offsets[text_no], count, b.finish(grams[where[run]]), body
 
 
-#: A run's place in one number: start, number of starts, a part of the text's hash.
-START, COUNT, KEY = 32, 24, 0
-KEY_BITS = (1 << COUNT) - 1
+#: A run's place in one number: start, number of starts below it.
+START = 24
 
 
 def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(anchor, body, doc, place) of ``docs`` (doc, key, text)."""
+    """(anchor, body, doc, key, place) of ``docs`` (doc, key, text)."""
+    if length >= 1 << START:
+        raise ValueError(f"length {length} is not below {1 << START}")
+
     def find(batches):
         import pyarrow as pa
         for batch in batches:
@@ -120,11 +123,10 @@ def _runs_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
             for lo, hi in b.chunks(offsets, CHUNK_BYTES):
                 no, start, n, anchor, body = anchor_runs(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo],
                                                          length, gram)
-                place = (start << START) | (n << COUNT) | key[lo:hi][no]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (anchor.view(np.int64), body.view(np.int64), doc[lo:hi][no], place)],
-                    names=["anchor", "body", "doc", "place"])
-    return docs.mapInArrow(find, "anchor bigint, body bigint, doc bigint, place bigint")
+                    [pa.array(x) for x in (anchor.view(np.int64), body.view(np.int64), doc[lo:hi][no], key[lo:hi][no], (start << START) | n)],
+                    names=["anchor", "body", "doc", "key", "place"])
+    return docs.mapInArrow(find, "anchor bigint, body bigint, doc bigint, key bigint, place bigint")
 
 
 def _start(place):
@@ -132,11 +134,7 @@ def _start(place):
 
 
 def _count(place):
-    return F.shiftright(place, COUNT).bitwiseAND(F.lit((1 << (START - COUNT)) - 1))
-
-
-def _key(place):
-    return place.bitwiseAND(F.lit(KEY_BITS))
+    return place.bitwiseAND(F.lit((1 << START) - 1))
 
 
 # -- two-stage suffix sorting ---------------------------------------------------------------
@@ -241,9 +239,12 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, depth: int) -> np.nd
     return np.minimum(out, depth)
 
 
-def repeats_in_runs(runs: list[bytes], starts: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int):
-    """For runs of bytes with their numbers of starts and places: (run number,
-    first start, end of the last string) of each stretch of repeats."""
+def repeats_in_runs(runs: list[bytes], starts: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int,
+                    key: np.ndarray | None = None):
+    """For runs of bytes with their numbers of starts and places (doc, key,
+    start): (run number, first start, end of the last string) of each stretch
+    of repeats."""
+    key = np.zeros(len(doc), np.int64) if key is None else key
     sizes = np.array([len(r) + 1 for r in runs])
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     symbols = (np.frombuffer(b"\0".join(runs) + b"\0", np.uint8).astype(np.int64) + 1)
@@ -259,11 +260,11 @@ def repeats_in_runs(runs: list[bytes], starts: np.ndarray, doc: np.ndarray, star
     back = np.zeros(len(symbols), np.int64)
     back[where] = np.arange(len(where))
     item = back[order]
-    d, p = doc[run_no[item]], start[run_no[item]] + place[item]
-    rank = np.lexsort((p, d, class_no))
+    d, k, p = doc[run_no[item]], key[run_no[item]], start[run_no[item]] + place[item]
+    rank = np.lexsort((p, k, d, class_no))
     first = np.flatnonzero(np.concatenate([[True], class_no[rank][1:] != class_no[rank][:-1]])) if len(rank) else rank
     of = first[class_no[rank]] if len(rank) else rank
-    later = (d[rank] != d[rank][of]) | (p[rank] != p[rank][of])
+    later = (d[rank] != d[rank][of]) | (k[rank] != k[rank][of]) | (p[rank] != p[rank][of])
     hit = np.sort(item[rank[later]])
     if not len(hit):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -283,7 +284,7 @@ def _span(at, until):
 def _run_spans(rows: DataFrame, length: int) -> DataFrame:
     """(doc, key, span) of whole runs."""
     start = _start(F.col("place"))
-    return rows.select("doc", _key(F.col("place")).alias("key"),
+    return rows.select("doc", "key",
                        _span(start, start + _count(F.col("place")) + (length - 1)).alias("span"))
 
 
@@ -297,7 +298,7 @@ def _sorted_repeats(runs: DataFrame, length: int) -> DataFrame:
 
         def work(rows):
             doc, key, start, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3, 4))
-            no, at, until = repeats_in_runs([r[5] for r in rows], n, doc, start, length)
+            no, at, until = repeats_in_runs([r[5] for r in rows], n, doc, start, length, key)
             return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[no], key[no], (at << 24) | (until - at))],
                                               names=["doc", "key", "span"])
         for batch in batches:
@@ -319,8 +320,8 @@ def _crowded_repeats(runs: DataFrame, length: int) -> DataFrame:
         lambda i: F.struct((F.col("start") + i).alias("at"),
                            F.substring(F.col("bytes"), (i + 1).cast("int"), F.lit(length)).alias("string")))).alias("s")
                       ).select("doc", "key", "s.at", F.sha2("s.string", 256).alias("string"))
-    first = one.groupBy("string").agg(F.min(F.struct("doc", "at")).alias("first"))
-    return (one.join(first, "string").where(F.struct("doc", "at") > F.col("first"))
+    first = one.groupBy("string").agg(F.min(F.struct("doc", "key", "at")).alias("first"))
+    return (one.join(first, "string").where(F.struct("doc", "key", "at") > F.col("first"))
             .select("doc", "key", _span(F.col("at"), F.col("at") + length).alias("span")))
 
 
@@ -329,10 +330,18 @@ NO_ID = (1 << 63) - 1
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with the text's nulls empty, and doc (doc_id, null as the last)
-    and key (tells texts of one doc_id apart) for doc_id."""
-    return docs.withColumn(text, text_col(docs, text)).withColumns({
-        "__llm_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)),
-        "__llm_key": F.xxhash64(text).bitwiseAND(F.lit(KEY_BITS))}).drop("doc_id")
+    and key for doc_id. The key is the text's hash where several texts share the
+    id (or have none) and 0 elsewhere, where it need not be carried about."""
+    own = F.xxhash64(text)
+    named = docs.withColumn(text, text_col(docs, text)).withColumn("__llm_doc", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)))
+    shared = saved(named.where(F.col("__llm_doc") != NO_ID).groupBy("__llm_doc").agg(F.min(own).alias("a"), F.max(own).alias("z"))
+                   .where("a <> z").select("__llm_doc"))
+    if shared.limit(1).count():
+        named = named.join(shared.withColumn("__llm_shared", F.lit(True)), "__llm_doc", "left")
+    else:
+        named = named.withColumn("__llm_shared", F.lit(None).cast("boolean"))
+    return named.withColumn("__llm_key", F.when(F.col("__llm_shared") | (F.col("__llm_doc") == NO_ID), own).otherwise(
+        F.lit(0).cast("bigint"))).drop("doc_id", "__llm_shared")
 
 
 def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, text: str = "text",
@@ -343,36 +352,35 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     bound_arrow_batches(keyed.sparkSession)
     base = keyed.select(F.col("__llm_doc").alias("doc"), F.col("__llm_key").alias("key"), F.col(text).alias("text"))
     # anchors that a sample already shows to be frequent: their rows are spread over salts
-    few = base.where(F.pmod(F.xxhash64("doc"), F.lit(one_in)) == 0)
+    few = base.where(F.pmod(F.xxhash64("doc", "key"), F.lit(one_in)) == 0)
     frequent = saved(_runs_of(few, length, gram).groupBy("anchor").agg(F.count(F.lit(1)).alias("__n"))
                      .where(F.col("__n") >= frequent_at).orderBy(F.desc("__n"), "anchor").limit(MOST_FREQUENT).select("anchor"))
     marked = (_runs_of(base, length, gram).join(F.broadcast(frequent.withColumn("hot", F.lit(True))), "anchor", "left")
               .withColumn("hot", F.coalesce("hot", F.lit(False)))
-              .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc"), F.lit(SALTS))).otherwise(F.lit(0))))
+              .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc", "key"), F.lit(SALTS))).otherwise(F.lit(0))))
     by_body, by_anchor = Window.partitionBy("anchor", "salt", "body"), Window.partitionBy("anchor", "salt")
-    place = F.struct("doc", "place")
+    place = F.struct("doc", "key", "place")
     seen = (marked.repartition("anchor", "salt").withColumn("first", F.min(place).over(by_body))
             .withColumn("lead", place == F.col("first"))
             .withColumn("kinds", F.sum(F.col("lead").cast("bigint")).over(by_anchor))
             .withColumn("rows", F.count(F.lit(1)).over(by_anchor)))
     # an anchor that occurs once is done
     known = stored(seen.where((F.col("rows") > 1) | F.col("hot")).select(
-        "anchor", "body", "doc", "place", "hot", "lead", "kinds", F.col("first.doc").alias("fd"), F.col("first.place").alias("fp")))
+        "anchor", "body", "doc", "key", "place", "hot", "lead", "kinds"))
 
     # of runs with the same bytes all but the first are repeats from end to end
     found = _run_spans(known.where(~F.col("lead")), length)
-    firsts = known.where(~F.col("hot") & F.col("lead") & (F.col("kinds") > 1)).select("anchor", "kinds", "doc", "place").distinct()
+    firsts = known.where(~F.col("hot") & F.col("lead") & (F.col("kinds") > 1)).select("anchor", "kinds", "doc", "key", "place").distinct()
     if frequent.limit(1).count():
         # each salt has its first; one row per salt at most remains to be compared
-        leads = known.where(F.col("hot") & F.col("lead")).select("anchor", "body", "doc", "place").distinct()
+        leads = known.where(F.col("hot") & F.col("lead")).select("anchor", "body", "doc", "key", "place").distinct()
         best = stored(leads.groupBy("anchor", "body").agg(F.min(place).alias("first")).select(
-            "anchor", "body", F.col("first.doc").alias("gd"), F.col("first.place").alias("gp")))
+            "anchor", "body", "first.doc", "first.key", "first.place"))
         kinds = best.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
-        later = leads.join(best.select("anchor", "body", F.col("gd").alias("doc"), F.col("gp").alias("place")),
-                           ["anchor", "body", "doc", "place"], "left_anti")
+        later = leads.join(best, ["anchor", "body", "doc", "key", "place"], "left_anti")
         found = found.union(_run_spans(later, length))
-        firsts = firsts.union(best.join(kinds, "anchor").select("anchor", "kinds", F.col("gd").alias("doc"), F.col("gp").alias("place")))
-    wanted = (firsts.groupBy("doc", _key(F.col("place")).alias("key"))
+        firsts = firsts.union(best.join(kinds, "anchor").select("anchor", "kinds", "doc", "key", "place"))
+    wanted = (firsts.groupBy("doc", "key")
               .agg(F.collect_list(F.struct("anchor", "kinds", "place")).alias("runs")))
     fetched = (base.join(wanted, ["doc", "key"])
                .select("doc", "key", F.encode("text", "UTF-8").alias("raw"), F.explode("runs").alias("r"))

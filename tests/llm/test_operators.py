@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 import public_tokenizers
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -279,22 +280,38 @@ def test_cascade_short_circuits():
 # 5
 
 def brute_removed(rows, length):
+    def order(d, t, p):  # texts that share an id are told apart and ordered by their hash
+        h = xxhash.xxh64_intdigest(t, seed=42)
+        return d is None, d or 0, h - (1 << 64) if h >= 1 << 63 else h, p
     places = defaultdict(set)
     for d, t in rows:
         for p in range(len(t) - length + 1):
-            places[t[p:p + length]].add((d is None, d or 0, p))
+            places[t[p:p + length]].add(order(d, t, p))
     first = {w: min(x) for w, x in places.items()}
     out = []
     for d, t in rows:
         gone = [False] * len(t)
         for p in range(len(t) - length + 1):
-            if first[t[p:p + length]] < (d is None, d or 0, p):
+            if first[t[p:p + length]] < order(d, t, p):
                 gone[p:p + length] = [True] * length
         spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
         out.append((d, len(t), sum(gone), spans, bytes(b for b, g in zip(t, gone) if not g)))
     return sorted(out, key=repr)
 
 
+@pytest.mark.parametrize("options", [{}, {"crowd": 1}, {"frequent_at": 1, "one_in": 1}, {"frequent_at": 3, "one_in": 1, "crowd": 1, "length": 300}])
+def test_suffix_dedup_of_texts_that_share_an_id(spark, options):
+    # the same passages at the same and at other places of different texts with one id, with none, and with ids of their own
+    rows = [(d, f"{PASSAGE * (1 + i % 3)}own words of {i} " + ("" if i % 2 else "more " * (i % 5)) + PASSAGE[: 40 + i] + "x" * (i % 4))
+            for i, d in enumerate([7] * 14 + [None] * 14 + [3, 8, 8, 9, 9, 2])]
+    rows += rows[3:6] + rows[20:22] + [(7, ""), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = suffix_dedup.drop_repeats(table, **options).collect()
+    assert [tuple(bytes(x) if isinstance(x, bytearray) else x for x in r)
+            for r in pairs(out, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes")] == brute_removed(
+                [(d, (t or "").encode()) for d, t in rows], options.get("length", 100))
+
+
 @pytest.mark.parametrize("options", [{}, {"crowd": 1}, {"frequent_at": 1, "one_in": 1}, {"frequent_at": 3, "one_in": 1, "crowd": 1}])
 def test_suffix_dedup(docs, empty, options):
     rows = [(d, (t or "").encode()) for d, t, _ in TEXTS if t != LONG]
