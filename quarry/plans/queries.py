@@ -661,13 +661,15 @@ def _documents(spark, sf):
     return fx.table(spark, sf, "documents")
 
 
-def _vocab(spark, sf, n=VOCAB_SIZE):
-    return cleaning.common_vocabulary(_documents(spark, sf), "text", n)
+def _words(spark, sf):
+    """All words of the corpus with count and rank, counted and ranked once for
+    the vocabulary and the segmentation's costs."""
+    return indexing.materialize(cleaning.common_vocabulary(_documents(spark, sf), "text", None))
 
 
-def _word_costs(spark, sf):
-    """Unigram costs of all words of the corpus (the segmentation dictionary)."""
-    return cleaning.segmentation_costs(_vocab(spark, sf, None))
+def _vocab_and_costs(spark, sf):
+    words = _words(spark, sf)
+    return words.filter(F.col("rank") <= VOCAB_SIZE), cleaning.segmentation_costs(words)
 
 
 @register("common_vocabulary")
@@ -677,19 +679,19 @@ def q_common_vocabulary(spark, sf):
 
 @register("segment_tokens")
 def q_segment_tokens(spark, sf):
-    vocab = _vocab(spark, sf)
+    vocab, costs = _vocab_and_costs(spark, sf)
     toks = _documents(spark, sf).select(F.explode(F.split(cleaning.clean_steps("text"), " ")).alias("token"))
     toks = toks.select(tx.py_strip("token").alias("token")).filter(
         (F.length("token") > 0) & ~F.col("token").endswith("$$"))
     toks = toks.join(vocab.select(F.col("word").alias("token")), "token", "left_anti")
-    seg = cleaning.segment_tokens(toks, _word_costs(spark, sf))
+    seg = cleaning.segment_tokens(toks, costs)
     return seg.select("token", F.array_join("pieces", " ").alias("pieces"))
 
 
 @register("clean_corpus")
 def q_clean_corpus(spark, sf):
     d = _documents(spark, sf).select("doc_id", "text")
-    return cleaning.clean_corpus(d, "doc_id", "text", _vocab(spark, sf), _word_costs(spark, sf)).select("doc_id", "text")
+    return cleaning.clean_corpus(d, "doc_id", "text", *_vocab_and_costs(spark, sf)).select("doc_id", "text")
 
 
 def _article_pairs(spark, sf):
@@ -715,19 +717,22 @@ def q_remove_quoted_overlap(spark, sf):
 
 @register("pipeline_annotated_stance_cleaned")
 def q_pipeline_annotated_stance_cleaned(spark, sf):
-    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id", _word_costs(spark, sf))
+    vocab, costs = _vocab_and_costs(spark, sf)
+    clean = cleaning.corpus_cleaner(vocab, "doc_id", costs)
     return pl.pipeline_annotated_stance(fx.fx_annotated(spark, sf), clean_text=clean)
 
 
 @register("pipeline_annotated_sentiment_cleaned")
 def q_pipeline_annotated_sentiment_cleaned(spark, sf):
-    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id", _word_costs(spark, sf))
+    vocab, costs = _vocab_and_costs(spark, sf)
+    clean = cleaning.corpus_cleaner(vocab, "doc_id", costs)
     return pl.pipeline_annotated_sentiment(fx.fx_annotated(spark, sf), clean_text=clean)
 
 
 @register("pipeline_paraphrase")
 def q_pipeline_paraphrase(spark, sf):
-    clean = cleaning.corpus_cleaner(_vocab(spark, sf), "doc_id", _word_costs(spark, sf))
+    vocab, costs = _vocab_and_costs(spark, sf)
+    clean = cleaning.corpus_cleaner(vocab, "doc_id", costs)
     return pl.pipeline_paraphrase(fx.fx_paraphrase(spark, sf), clean_text=clean)
 
 
@@ -746,7 +751,8 @@ def q_pipeline_article_posts_range(spark, sf):
 @register("pipeline_article_posts_cleaned")
 def q_pipeline_article_posts_cleaned(spark, sf):
     arts, posts = _article_rows(spark, sf)
-    return pl.pipeline_article_posts(arts, posts, vocab=_vocab(spark, sf), costs=_word_costs(spark, sf))
+    vocab, costs = _vocab_and_costs(spark, sf)
+    return pl.pipeline_article_posts(arts, posts, vocab=vocab, costs=costs)
 
 
 def _staged_article_tree(spark, sf):
