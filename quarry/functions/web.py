@@ -1,7 +1,9 @@
-"""URL and HTML-title expressions (V10, V11) as native regex columns."""
+"""URL and HTML-title expressions (V10, V11): native regex columns; character
+references in titles are decoded in Arrow batches."""
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,11 +18,6 @@ NETLOC_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
 # split at the last of "-", "|", "—"
 TITLE_SPLIT_PATTERN = r"(?s)^(.*)[-|—]([^-|—]*)\z"
-# entity decoding applied to title text (the common HTML entities)
-HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&apos;", "'"), ("&amp;", "&")]
-
-
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -39,16 +36,22 @@ def home_url(col) -> Column:
     return F.concat(url_scheme(col), F.lit("://"), url_netloc(col), F.lit("/"))
 
 
-def unescape_entities(col) -> Column:
-    out = _c(col)
-    for entity, char in HTML_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+def unescape_references(col) -> Column:
+    """All character references of a text replaced as HTML defines it: named ones
+    by the longest name that fits (with or without its semicolon), decimal and
+    hexadecimal ones, references to no character. The standard library's table
+    of names is looked up in Arrow batches, and only texts with an "&" go there."""
+    text = _c(col)
+
+    def decode(texts: pd.Series) -> pd.Series:
+        from html import unescape
+        return texts.map(unescape, na_action="ignore")
+    return F.coalesce(F.pandas_udf(decode, "string")(F.when(F.instr(text, "&") > 0, text)), text)
 
 
 def raw_title(html) -> Column:
-    """Text of the first <title> element, entities decoded; '' if none."""
-    return unescape_entities(F.regexp_extract(_c(html), TITLE_PATTERN, 1))
+    """Text of the first <title> element, character references decoded; '' if none."""
+    return unescape_references(F.regexp_extract(_c(html), TITLE_PATTERN, 1))
 
 
 def title_and_media(html) -> tuple[Column, Column]:

@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from quarry.functions.text import (ASCII_PUNCTUATION, PY_LINE_BREAK, PY_WHITESPACE,
                                    PY_WHITESPACE_CHARS, URL_PATTERN)
-from quarry.functions.web import (NETLOC_PATTERN, SCHEME_PATTERN, TITLE_PATTERN,
-                                  TITLE_SPLIT_PATTERN)
+from quarry.functions.web import NETLOC_PATTERN, SCHEME_PATTERN
 
 WS = f"[{PY_WHITESPACE}]"
 NON_WS = f"[^{PY_WHITESPACE}]"
@@ -62,24 +61,53 @@ def in_list(col: str, keys) -> str:
 NB = "(SELECT count(*) FROM benchmark)"
 NPAGES = "(SELECT count(*) FROM pages)"
 
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&apos;", "'"), ("&amp;", "&")]
-
-
-def raw_title(html: str) -> str:
-    out = f"regexp_extract({html}, {q(TITLE_PATTERN)}, 1)"
-    for ent, ch in ENTITIES:
-        out = f"replace({out}, {q(ent)}, {q(ch)})"
-    return out
-
-
-def headline_media(html: str) -> tuple[str, str]:
-    raw = raw_title(html)
-    sep = f"regexp_matches({raw}, {q(TITLE_SPLIT_PATTERN)})"
+def _names(loose: bool) -> str:
+    """HTML's named references (from the standard library's table) as a SQL map."""
+    from html.entities import html5
+    kept = {k: v for k, v in html5.items() if not (loose and k.endswith(";"))}
+    return "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in kept.items()) + "}"
+
+
+def _number(n: str) -> str:
+    """The character of a numeric reference: HTML's replacements of control characters, no surrogates, no non-characters."""
+    from html import unescape
+    special = {n: unescape(f"&#{n};") for n in range(160) if unescape(f"&#{n};") != chr(n)}
+    cases = " ".join(f"WHEN {k} THEN {q(v)}" for k, v in special.items())
+    return (f"CASE WHEN {n} IS NULL OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN chr(65533) "
+            f"WHEN {n} BETWEEN 64976 AND 65007 OR {n} % 65536 >= 65534 THEN '' ELSE CASE {n} {cases} ELSE chr(CAST({n} AS INTEGER)) END END")
+
+
+def unescape_sql(text: str) -> str:
+    """References decoded piece by piece: the text is split at "&", the reference at a
+    piece's beginning is looked up (the longest name that fits) and spliced."""
+    decimal, hexadecimal = "^#([0-9]+);?", "^#[xX]([0-9a-fA-F]+);?"
+    name = r"regexp_extract(p, '^[^\t\n\f <&#;]{1,32};?')"
+    digits = f"ltrim(regexp_extract(p, '{decimal}', 1), '0')"
+    hexes = f"ltrim(lower(regexp_extract(p, '{hexadecimal}', 1)), '0')"
+    ten = f"CASE WHEN length({digits}) <= 9 THEN CAST('0' || {digits} AS BIGINT) END"
+    sixteen = (f"CASE WHEN length({hexes}) <= 7 THEN list_reduce(list_prepend(0, list_transform(range(1, length({hexes}) + 1), "
+               f"lambda i: instr('0123456789abcdef', substr({hexes}, i, 1)) - 1)), lambda x, y: 16 * x + y) END")
+    begun = ", ".join(f"CASE WHEN length({name}) > {n} THEN loose[substr(p, 1, {n})] || substr(p, {n + 1}) END" for n in range(6, 1, -1))
+    return f"""array_to_string(list_prepend(string_split({text}, '&')[1], list_transform(string_split({text}, '&')[2:], lambda p:
+      CASE WHEN regexp_matches(p, '{decimal}') THEN {_number(ten)} || substr(p, length(regexp_extract(p, '{decimal}')) + 1)
+           WHEN regexp_matches(p, '{hexadecimal}') THEN {_number(sixteen)} || substr(p, length(regexp_extract(p, '{hexadecimal}')) + 1)
+           ELSE coalesce(names[{name}] || substr(p, length({name}) + 1), {begun}, '&' || p) END)), '')"""
+
+
+#: Pages with the decoded text of their first title.
+TITLED_PAGES = f"""refs AS (SELECT {_names(False)} AS names, {_names(True)} AS loose),
+found_titles AS (SELECT page_id, url, html, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS found FROM pages),
+titled_pages AS (SELECT page_id, url, html, {unescape_sql('found')} AS raw FROM found_titles, refs)"""
+
+
+def headline_media(raw: str) -> tuple[str, str]:
+    """Headline and medium of a title: cut at its last "-", "|" or dash."""
+    last = r"'(?s)^(.*)[-|\x{2014}]([^-|\x{2014}]*)$'"
+    sep = f"regexp_matches({raw}, '[-|\\x{{2014}}]')"
     headline = (f"CASE WHEN {raw} = '' THEN 'Page not found' WHEN {sep} THEN "
-                f"{py_strip(f'regexp_extract({raw}, {q(TITLE_SPLIT_PATTERN)}, 1)')} ELSE {raw} END")
+                f"{py_strip(f'regexp_extract({raw}, {last}, 1)')} ELSE {raw} END")
     media = (f"CASE WHEN {raw} = '' THEN 'Media not found' WHEN {sep} THEN "
-             f"regexp_extract({raw}, {q(TITLE_SPLIT_PATTERN)}, 2) ELSE 'Media not found' END")
+             f"regexp_extract({raw}, {last}, 2) ELSE 'Media not found' END")
     return headline, media
 
 
@@ -128,9 +156,10 @@ FX_THREAD_DEV_LABELS = f"""fx_thread_dev_labels AS (
   SELECT * FROM (SELECT conv_id AS thread, turn AS post, {thread_label('conv_id', 'turn + 1')} AS label
                  FROM conversations WHERE turn % 3 = 0) WHERE label IS NOT NULL)"""
 
-_H, _M = headline_media("html")
-FX_PAGE_HEADLINES = f"""fx_page_headlines AS (
-  SELECT page_id AS url_id, url AS full_url, {_H} AS headline, {_M} AS media, '1' AS clean FROM pages)"""
+_H, _M = headline_media("raw")
+FX_PAGE_HEADLINES = TITLED_PAGES + f""",
+fx_page_headlines AS (
+  SELECT page_id AS url_id, url AS full_url, {_H} AS headline, {_M} AS media, '1' AS clean FROM titled_pages)"""
 
 FX_THREAD_MANIFEST = f"""fx_thread_manifest AS (
   SELECT c.conv_id AS thread, p.page_id AS url_id, '' AS short_url, p.url AS full_url
@@ -141,10 +170,11 @@ FX_MENTIONS = """fx_mentions AS (
          CAST(page_id % (SELECT count(*) // 10 + 10 FROM pages) AS BIGINT) AS news_id, page_id AS post_id, url AS expanded_url
   FROM pages)"""
 
-_AH, _ = headline_media("p.html")
-FX_ARTICLES = f"""fx_first_page AS (
-  SELECT * FROM (SELECT page_id % (SELECT count(*) // 10 + 10 FROM pages) AS news_id, url, html,
-                        row_number() OVER (PARTITION BY page_id % (SELECT count(*) // 10 + 10 FROM pages) ORDER BY page_id) AS rn FROM pages)
+_AH, _ = headline_media("p.raw")
+FX_ARTICLES = TITLED_PAGES + f""",
+fx_first_page AS (
+  SELECT * FROM (SELECT page_id % (SELECT count(*) // 10 + 10 FROM pages) AS news_id, url, raw,
+                        row_number() OVER (PARTITION BY page_id % (SELECT count(*) // 10 + 10 FROM pages) ORDER BY page_id) AS rn FROM titled_pages)
   WHERE rn = 1),
 fx_articles AS (
   SELECT CASE WHEN p.news_id % 20 < 11 THEN 'fake' ELSE 'real' END AS news_label,
@@ -199,9 +229,10 @@ fx_logit_models AS (
          CAST(embedding[1:3] AS DOUBLE[]) AS la, CAST(embedding[4:6] AS DOUBLE[]) AS lb
   FROM embeddings)"""
 
-_UH, _ = headline_media("html")
-FX_URL_TEXT = f"""fx_url_text AS (
-  SELECT page_id, 'see ' || url || ' via ' || {_UH} AS text FROM pages)"""
+_UH, _ = headline_media("raw")
+FX_URL_TEXT = TITLED_PAGES + f""",
+fx_url_text AS (
+  SELECT page_id, 'see ' || url || ' via ' || {_UH} AS text FROM titled_pages)"""
 
 
 def with_(*ctes: str) -> str:

@@ -84,3 +84,21 @@ def test_softmax_and_argmax(spark):
     e = np.exp(np.array(x) - max(x))
     assert np.allclose(row[0], e / e.sum())
     assert row[1] == 1
+
+
+def test_character_references_as_html_defines_them(spark):
+    import html
+    import random
+    from html.entities import html5
+    from quarry.functions.web import unescape_references
+    rng = random.Random(1)
+    texts = ["&mdash;", "&#8212;", "&#x2014;", "&nbsp;x", "&ampx", "&amp;lt;", "&notit;", "&notin;", "&#0;", "&#128;", "&#xD800;", "&#x110000;",
+             "&#99999999999999999999999;", "&#xFFFFFFFFFFFFFFFFFFFF;", "&#x1F600;", "&#65", "&#x41g", "&", "&&amp&", "&;", "& amp;", "&unknown;",
+             "&copycat", "&#", "&#x", "&#11;", "&#xfdd0;", "&#xfffe;", "&#00065;", "a&b&lt;c", "&AMP;", "&acE;", "&" + "a" * 40 + ";", "no reference", ""]
+    texts += ["&" + name + rng.choice(["", "x", ";", " ", "="]) for name in html5]
+    texts += ["".join(rng.choice(["&", "#", "x", "amp", "lt", "gt", "not", "in", ";", "1", "8", "a", " ", "<"]) for _ in range(rng.randrange(1, 9)))
+              for _ in range(1000)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = [(r["t"], r["u"]) for r in df.select("t", unescape_references("t").alias("u")).collect()]
+    assert len(got) == len(texts) + 1
+    assert [(t, u) for t, u in got if u != (None if t is None else html.unescape(t))] == []
