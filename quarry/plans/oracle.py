@@ -519,7 +519,9 @@ WHERE m.url_id NOT IN (SELECT url_id FROM headline_table)"""
     o["zip_predictions_truth"] = PREDS + "SELECT idx, pred, truth FROM fx_preds"
     o["combine_stance_relation"] = PREDS + "SELECT idx, CASE WHEN relation = 'unrelated' THEN 'unrelated' ELSE pred END AS label FROM fx_preds"
     o["pipeline_stance_relation"] = PREDS + """SELECT idx, CASE WHEN relation = 'unrelated' THEN 'unrelated' ELSE pred END AS label, 0 AS corpus FROM fx_preds
-UNION ALL SELECT idx, CASE WHEN relation = 'unrelated' THEN 'unrelated' ELSE truth END AS label, 1 AS corpus FROM fx_preds"""
+UNION ALL SELECT idx, CASE WHEN relation = 'unrelated' THEN 'unrelated' ELSE truth END AS label, 1 AS corpus FROM fx_preds
+UNION ALL SELECT idx, CASE WHEN idx % 3 = 0 THEN 'unrelated' ELSE pred END, 2 FROM fx_preds
+UNION ALL SELECT idx, CASE WHEN idx % 3 = 0 THEN 'unrelated' ELSE truth END, 3 FROM fx_preds"""
     o["override_merge"] = with_(FX_THREADS, FX_THREAD_DEV_LABELS) + """SELECT coalesce(d.thread, t.thread) AS thread, coalesce(d.post, t.post) AS post,
   CASE WHEN d.post IS NOT NULL THEN d.label ELSE t.label END AS label
 FROM fx_thread_labels t FULL OUTER JOIN fx_thread_dev_labels d ON d.thread = t.thread AND d.post = t.post"""
@@ -535,7 +537,8 @@ FROM fx_logit_test t JOIN sm s ON s.idx = t.idx"""
 FROM fx_pair_rows p LEFT JOIN (SELECT DISTINCT id1, id2 FROM fx_dev_ids) d ON d.id1 = p.id1 AND d.id2 = p.id2"""
     o["pipeline_sentence_pairs"] = PAIRS + """SELECT p.id1 || '-' || p.id2 AS pair_id, p.s1, p.s2, p.label,
   CASE WHEN d.id1 IS NOT NULL THEN 'dev' ELSE 'train' END AS split
-FROM fx_pair_rows p LEFT JOIN (SELECT DISTINCT id1, id2 FROM fx_dev_ids) d ON d.id1 = p.id1 AND d.id2 = p.id2"""
+FROM fx_pair_rows p LEFT JOIN (SELECT DISTINCT id1, id2 FROM fx_dev_ids) d ON d.id1 = p.id1 AND d.id2 = p.id2
+UNION ALL SELECT id2 || '-' || id1, s2, s1, label, 'test' FROM fx_pair_rows"""
 
     # aggregates and metrics
     homes = with_(FX_MENTIONS, f"""homes AS (SELECT DISTINCT news_label, news_id, {home_url('expanded_url')} AS home

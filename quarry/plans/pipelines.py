@@ -216,3 +216,12 @@ def pipeline_url_analysis(articles: DataFrame, posts: DataFrame) -> DataFrame:
     return (rows(lists, "mentions", F.col("news_id"), F.col("mentioned_urls"), F.col("news_label"), none, none)
             .unionByName(rows(mentioned, "mentioned", none, F.col("mentioned_url"), F.col("label"), F.col("frequency"), F.col("rank")))
             .unionByName(rows(published, "sources", none, F.col("source_url"), none, F.col("frequency"), F.col("rank"))))
+
+
+def pipeline_sentence_pairs(pairs: DataFrame, dev_ids: DataFrame, test_pairs: DataFrame) -> DataFrame:
+    """The pairs of the training file as ``train`` or, if listed, ``dev``, and
+    those of the test file as ``test``; K06 layout with split."""
+    split = joins.pair_semi_anti_split(pairs, dev_ids).select("label", "id1", "id2", "s1", "s2", "split")
+    test = test_pairs.select("label", "id1", "id2", "s1", "s2").withColumn("split", F.lit("test"))
+    from quarry import sinks
+    return sinks.pair_layout(split.unionByName(test), keep=("split",))

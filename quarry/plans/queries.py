@@ -391,12 +391,12 @@ def q_pipeline_evaluate(spark, sf):
 
 @register("pipeline_stance_relation")
 def q_pipeline_stance_relation(spark, sf):
+    """Four corpora: two, each with cleaned and uncleaned predictions."""
     p = fx.fx_preds(spark, sf)
-    a = joins.combine_stance_relation(p.select("idx", F.col("pred").alias("stance")),
-                                      p.select("idx", "relation"))
-    b = joins.combine_stance_relation(p.select("idx", F.col("truth").alias("stance")),
-                                      p.select("idx", "relation"))
-    return sets.union_batches([a, b], "corpus")
+    second = F.when(F.col("idx") % 3 == 0, "unrelated").otherwise("related")
+    corpora = [(stance, relation) for relation in (F.col("relation"), second) for stance in ("pred", "truth")]
+    return sets.union_batches([joins.combine_stance_relation(p.select("idx", F.col(stance).alias("stance")), p.select("idx", relation.alias("relation")))
+                               for stance, relation in corpora], "corpus")
 
 
 @register("pipeline_summary")
@@ -563,8 +563,17 @@ def q_pipeline_event_lines(spark, sf):
 
 @register("pipeline_sentence_pairs")
 def q_pipeline_sentence_pairs(spark, sf):
-    s = joins.pair_semi_anti_split(_pairs(spark, sf), fx.fx_dev_ids(spark, sf))
-    return sinks.pair_layout(s, keep=("split",))
+    """Training and test file staged with a header line in each part file; the test pairs are the pairs turned round."""
+    root = staging_path(spark, "sentence-pairs")
+    f = F.split("value", "\t")
+    turned = F.concat_ws("\t", f[0], f[2], f[1], f[4], f[3])
+    for name, line in (("train", F.col("value")), ("test", turned)):
+        # one unquoted column, so that the writer only adds the header line
+        (fx.fx_pair_lines(spark, sf).select(line.alias("Quality\t#1 ID\t#2 ID\t#1 String\t#2 String")).write
+         .option("header", "true").option("sep", "\x01").option("quote", "").option("emptyValue", "")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(f"{root}/{name}"))
+    return pl.pipeline_sentence_pairs(sources.read_sentence_pairs(spark, f"{root}/train"), fx.fx_dev_ids(spark, sf),
+                                      sources.read_sentence_pairs(spark, f"{root}/test"))
 
 
 # --- scans over derived text ----------------------------------------------------------------------

@@ -282,14 +282,20 @@ def scan_stance_corpus(spark: SparkSession, bodies_path: str,
     return bodies, stances
 
 
-def scan_annotation_batches(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+def scan_annotation_batches(spark: SparkSession, root: str, fmt: str = "parquet",
+                            columns: Sequence[str] | None = None) -> DataFrame:
     """Annotation batches stored as ``root/batch=*/news_label=*/``; the
-    partition columns come from the directory names (partition pruning)."""
+    partition columns come from the directory names (partition pruning) as they
+    are written there: a batch named ``01`` stays ``01``. CSV columns are strings,
+    named by ``columns`` or by the files' header."""
     reader = spark.read.option("basePath", root)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("multiLine", "true").option(
-            "quote", '"').option("escape", '"')
-    return reader.format(fmt).load(root)
+        reader = (reader.option("header", "true").option("multiLine", "true").option("quote", '"').option("escape", '"')
+                  .option("mode", "FAILFAST"))
+    found = reader.format(fmt).load(root).schema
+    folders = [f.name for f in found if f.name in ("batch", "news_label")]
+    fields = list(string_schema(columns)) if columns else [f for f in found if f.name not in folders]
+    return reader.schema(T.StructType([*fields, *string_schema(folders)])).format(fmt).load(root)
 
 
 def scan_event_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
@@ -316,6 +322,16 @@ def scan_sentence_pairs(lines: DataFrame, text_col: str = "value",
     return parsed.select(*[F.element_at("_q_f", i + 1).alias(n) for i, n in enumerate(names)])
 
 
+def read_sentence_pairs(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """S13 on files: the first line of each file is a header and is left out."""
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", file_position().alias("_q_at"))
+    # a file's first line is the first of its first split
+    first = lines.filter(F.col("_q_at.block") == 0).groupBy(F.col("_q_at.file").alias("_q_file")).agg(F.min("_q_at.number").alias("_q_number"))
+    body = lines.join(first, (F.col("_q_at.file") == F.col("_q_file")) & (F.col("_q_at.block") == 0)
+                      & (F.col("_q_at.number") == F.col("_q_number")), "left_anti")
+    return scan_sentence_pairs(body, "value", strict)
+
+
 def scan_logits(json_text: DataFrame, text_col: str = "value", pos_out: str = "idx") -> DataFrame:
     """A JSON array of logit rows -> one row per element, ``pos_out`` =
     position in the document (the example id), other columns kept."""

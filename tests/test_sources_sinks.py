@@ -165,3 +165,30 @@ def test_stance_corpus_last_body_by_file_order(spark, tmp_dir):
     from quarry.operators import joins, labels
     b, s = sources.scan_stance_corpus(spark, f"{tmp_dir}/bodies", f"{tmp_dir}/stances")
     assert [r["source"] for r in joins.join_stance_bodies(labels.map_stance_article(s), b).collect()] == ["last"]
+
+
+def test_sentence_pair_files_lose_their_header_lines(spark, tmp_dir):
+    head = "Quality\t#1 ID\t#2 ID\t#1 String\t#2 String"
+    for name, ids in (("a b.txt", [1, 2, 3]), ("c.txt", [4])):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("\n".join([head] + [f"1\t{i}\t{i + 10}\ts {i}\tt {i} " for i in ids]) + "\n")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("20", kept):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = sources.read_sentence_pairs(spark, tmp_dir)
+            assert sorted(tuple(r) for r in got.collect()) == [("1", str(i), str(i + 10), f"s {i}", f"t {i}") for i in (1, 2, 3, 4)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_annotation_batches_keep_folder_names_as_text(spark, tmp_dir):
+    df = spark.createDataFrame([("01", "fake", 7, 'a\n"b"'), ("1", "real", 8, ""), ("x", "fake", 9, "c")],
+                               "batch string, news_label string, doc_id long, source string")
+    df.write.partitionBy("batch", "news_label").parquet(f"{tmp_dir}/p")
+    got = sources.scan_annotation_batches(spark, f"{tmp_dir}/p").select(*df.columns)
+    assert got.schema["batch"].dataType.simpleString() == "string" and sorted(got.collect()) == sorted(df.collect())
+    (df.write.partitionBy("batch", "news_label").option("header", "true").option("quote", '"').option("escape", '"').csv(f"{tmp_dir}/c"))
+    for columns in (None, ["doc_id", "source"]):
+        got = sources.scan_annotation_batches(spark, f"{tmp_dir}/c", "csv", columns).select(*df.columns)
+        assert sorted((r[0], r[1], r[2], r[3] or "") for r in got.collect()) == sorted((r[0], r[1], str(r[2]), r[3]) for r in df.collect())
