@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 
 from pyspark import cloudpickle
@@ -34,10 +35,16 @@ def worker_cache() -> dict:
 def bound_arrow_batches(spark: SparkSession) -> None:
     """Limit Arrow batches by bytes where the session has set no limit itself."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("b")) <= 0 or int(spark.conf.get(key).rstrip("b")) > ARROW_BATCH_BYTES:
+    if not 0 < size_in_bytes(spark.conf.get(key)) <= ARROW_BATCH_BYTES:
         spark.conf.set(key, str(ARROW_BATCH_BYTES))
 
 
+def size_in_bytes(text: str) -> int:
+    """Bytes of a size as Spark's settings write it (``8m``, ``1gb``, ``-1``)."""
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([bkmgtp]?)(?:i?b)?\s*", text.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: one evaluation, lineage cut."""
     checkpoint_dir(df.sparkSession)

@@ -252,3 +252,18 @@ def test_cut():
     assert suffix_dedup._cut(raw, None, None) == (raw, 4, 0, 0)
     assert suffix_dedup._cut(b"0123456789", [0, 2, 7], [3, 5, 8])[1:] == (10, 6, 2)
     assert hashlib.sha256(suffix_dedup._cut(b"0123456789", [0, 2, 7], [3, 5, 8])[0]).hexdigest() == hashlib.sha256(b"5689").hexdigest()
+
+
+def test_sizes_as_settings_write_them(spark):
+    from quarry.llm import _shared
+    assert [_shared.size_in_bytes(x) for x in ("-1", "8", "8b", "8m", "1k", "2KB", "1g", "3 MiB")] == [
+        -1, 8, 8, 8 << 20, 1 << 10, 2 << 10, 1 << 30, 3 << 20]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    kept = spark.conf.get(key)
+    try:
+        for given, want in (("4m", "4m"), ("64m", str(_shared.ARROW_BATCH_BYTES))):
+            spark.conf.set(key, given)
+            _shared.bound_arrow_batches(spark)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, kept)
