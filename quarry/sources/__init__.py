@@ -341,9 +341,31 @@ def scan_logits(json_text: DataFrame, text_col: str = "value", pos_out: str = "i
         pos_out, F.col(pos_out).cast("bigint"))
 
 
-def read_logits_file(spark: SparkSession, path: str) -> DataFrame:
-    """S14 on a file: the reference stores one JSON document per model."""
-    return scan_logits(spark.read.text(path, wholetext=True))
+_LOGIT = r"-?(?:[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?)"
+
+
+def read_logits_file(spark: SparkSession, path: str, pos_out: str = "idx", file_out: str | None = None) -> DataFrame:
+    """S14 on files: one JSON document (an array of logit rows) per model, read
+    by many tasks -> (idx, logits); ``file_out`` names a column with the file.
+
+    A closing bracket ends a row, so the file is cut there, wherever its splits
+    fall, and every piece is one row: the brackets of the document itself open
+    the first piece and leave an empty one behind the last row. Rows are numbered
+    where they stand (``number_in_place``), from 0 in each file. What is no row
+    of numbers fails."""
+    from quarry.operators.indexing import number_in_place
+    pieces = spark.read.option("lineSep", "]").text(path).select("value", file_position().alias("_q_at"))
+    begins = (F.col("_q_at.block") == 0) & F.col("value").rlike(r"^\s*\[\s*\[")
+    row = rf"^\s*(?:\[\s*|,\s*)\[\s*({_LOGIT}(?:\s*,\s*{_LOGIT})*)\s*$"
+    kept = pieces.filter(~F.col("value").rlike(r"^\s*\[?\s*$"))  # ends of documents, empty documents
+    numbers = F.regexp_extract("value", row, 1)
+    wrong = (numbers == "") | (F.col("value").rlike(r"^\s*\[") & ~begins)
+    numbers = F.when(wrong, F.raise_error(F.concat(F.lit("not a row of logits: "), F.substring("value", 1, 80)))).otherwise(numbers)
+    rows = number_in_place(kept, "_q_at", out="_q_all").select(
+        F.col("_q_at.file").alias("file"), "_q_all", F.transform(F.split(numbers, ","), lambda x: F.trim(x).cast("double")).alias("logits"))
+    first = number_in_place(kept, "_q_at", out="_q_all").groupBy(F.col("_q_at.file").alias("file")).agg(F.min("_q_all").alias("_q_first"))
+    file = [F.col("file").alias(file_out)] if file_out else []
+    return rows.join(first, "file").select(*file, (F.col("_q_all") - F.col("_q_first")).alias(pos_out), "logits")
 
 
 def scan_folds(spark: SparkSession, path: str, fold: int | None = None, split: str | None = None) -> DataFrame:

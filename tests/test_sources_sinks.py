@@ -192,3 +192,30 @@ def test_annotation_batches_keep_folder_names_as_text(spark, tmp_dir):
     for columns in (None, ["doc_id", "source"]):
         got = sources.scan_annotation_batches(spark, f"{tmp_dir}/c", "csv", columns).select(*df.columns)
         assert sorted((r[0], r[1], r[2], r[3] or "") for r in got.collect()) == sorted((r[0], r[1], str(r[2]), r[3]) for r in df.collect())
+
+
+def test_logits_file_is_cut_anywhere(spark, tmp_dir):
+    import json
+    rng = __import__("random").Random(3)
+    docs = {"a b.json": [[rng.uniform(-9, 9), float(rng.randrange(5)), rng.uniform(0, 1) * 1e-7] for _ in range(70)],
+            "c.json": [[1, -2, 3.5]], "empty.json": []}
+    for i, (name, rows) in enumerate(docs.items()):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            json.dump(rows, f, indent=[None, 1][i % 2])
+            f.write("\n" * i)
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (17, 200, 10_000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = {}
+            for r in sources.read_logits_file(spark, tmp_dir, file_out="file").collect():
+                got.setdefault(os.path.basename(r["file"]).replace("%20", " "), {})[r["idx"]] = list(r["logits"])
+            assert {n: [v[i] for i in range(len(v))] for n, v in got.items()} == {n: rows for n, rows in docs.items() if rows}
+        with open(f"{tmp_dir}/c.json", "w") as f:
+            f.write("[[1, 2], [3, x]]")
+        with pytest.raises(Exception, match="not a row of logits"):
+            sources.read_logits_file(spark, tmp_dir).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
