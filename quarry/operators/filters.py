@@ -63,22 +63,25 @@ def batch_window(df: DataFrame, group_col: str, order_by: Sequence[str],
     article in progress is finished. ``None`` bounds keep every row (D01)."""
     if lo is None and hi is None:
         return df
-    part = [partition_col] if partition_col else []
-    ranked = global_index(df, [*part, *order_by], out="_q_gpos")
-    if partition_col:
-        firsts = ranked.groupBy(partition_col).agg(F.min("_q_gpos").alias("_q_base"))
-        ranked = ranked.join(F.broadcast(firsts), partition_col)
-        ranked = ranked.withColumn("_q_pos", F.col("_q_gpos") - F.col("_q_base")).drop("_q_base")
-    else:
-        ranked = ranked.withColumn("_q_pos", F.col("_q_gpos"))
-    starts = ranked.groupBy(*part, group_col).agg(F.min("_q_pos").alias("_q_start"))
-    ranked = ranked.join(starts, [*part, group_col])
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col("_q_pos") > lo)
+    # only keys are numbered; what bounds the window comes back as one row of keys per part
+    part = F.col(partition_col) if partition_col else F.lit(0)
+    keys = df.select(part.alias("_q_part"), F.col(group_col).alias("_q_group"), F.struct(*order_by).alias("_q_key"))
+    ranked = global_index(keys, ["_q_part", "_q_key"], out="_q_gpos")
+    firsts = ranked.groupBy("_q_part").agg(F.min("_q_gpos").alias("_q_base"))
+    ranked = ranked.join(firsts, "_q_part").withColumn("_q_pos", F.col("_q_gpos") - F.col("_q_base"))
+    starts = ranked.groupBy("_q_part", "_q_group").agg(F.min("_q_pos").alias("_q_start"))
+    tagged = df.withColumns({"_q_part": part, "_q_key": F.struct(*order_by)})
+    if lo is not None and lo >= 0:
+        after = ranked.filter(F.col("_q_pos") == lo).select("_q_part", F.col("_q_key").alias("_q_after"))
+        tagged = tagged.join(after, "_q_part").filter(F.col("_q_key") > F.col("_q_after"))
     if hi is not None:
-        cond = cond & (F.col("_q_start") <= hi)
-    return ranked.filter(cond).drop("_q_gpos", "_q_pos", "_q_start")
+        begun = starts.filter(F.col("_q_start") <= hi)
+        if order_by[0] == group_col:  # articles lie one behind the other: the last one that begins in time bounds them
+            last = begun.groupBy("_q_part").agg(F.max(F.struct("_q_group")).alias("_q_last"))
+            tagged = tagged.join(last, "_q_part").filter(F.struct(F.col(group_col).alias("_q_group")) <= F.col("_q_last"))
+        else:
+            tagged = tagged.join(begun, (tagged["_q_part"] == begun["_q_part"]) & tagged[group_col].eqNullSafe(begun["_q_group"]), "left_semi")
+    return tagged.select(*df.columns)
 
 
 def cap_list_per_event(df: DataFrame, ids_col: str = "post_ids", n: int | None = 50) -> DataFrame:

@@ -80,3 +80,22 @@ def test_d04_forum_without_headlines_keeps_reply_pairs(spark):
     H = spark.createDataFrame([], "thread long, headline string")
     rows = pipeline_rumour_threads(E, P, L, H, k=2).collect()
     assert [(r["source"], r["target"], r["stance"]) for r in rows] == [("r1", "src", "deny")]
+
+
+def test_batch_window_against_plain_numbering(spark):
+    import random
+    from quarry.operators import filters
+    rng = random.Random(5)
+    rows = [(rng.choice(["fake", "real"]), rng.randrange(12), i, f"text {i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "news_label string, news_id int, post_id int, post string").repartition(5)
+    for lo, hi in ((0, 5), (3, 40), (None, 17), (20, None), (500, 900), (-1, -1), (-1, 9)):
+        for order in (["news_id", "post_id"], ["post_id"]):
+            want = []
+            for side in ("fake", "real"):
+                mine = sorted((r for r in rows if r[0] == side), key=lambda r: tuple(r[{"news_id": 1, "post_id": 2}[c]] for c in order))
+                start = {}
+                for pos, r in enumerate(mine):
+                    start.setdefault(r[1], pos)
+                want += [r for pos, r in enumerate(mine) if (lo is None or pos > lo) and (hi is None or start[r[1]] <= hi) or (lo is None and hi is None)]
+            got = filters.batch_window(df, "news_id", order, lo, hi, "news_label")
+            assert sorted(tuple(r) for r in got.collect()) == sorted(want), (lo, hi, order)
