@@ -1,6 +1,10 @@
 """Document fingerprints by invertible Bloom lookup sketches (operator 3).
 
-A text's paragraphs (lines, long ones cut every ``PIECE_CHARS`` characters) are
+A text's paragraphs are its lines, long ones cut where their own words say so:
+after a word that ends as ``CUT`` names, ``LEAST_CHARS`` characters on at the
+earliest (``TAIL_LEAST_CHARS`` in a text's last ``TAIL_CHARS``, so that short texts
+have several), and after ``PIECE_CHARS`` characters where no such word comes. An
+inserted or changed word thus moves the cuts near it only. Paragraphs are
 hashed to 64-bit digests, taken as a set. A sketch has three tables of cells; a
 digest falls into one cell of each, chosen by its own bits, and a cell holds
 the number of its digests, their xor and the xor of their checks. Subtracting
@@ -19,7 +23,8 @@ alone. Built-in DataFrame functions only.
 
 The next document (descending doc_id) is found without one global sort: rows
 are dealt by doc_id ranges of about equal row counts, ordered in each range, and
-the first row of the next lower range follows a range's last.
+the first row of the next lower range follows a range's last. The rows of a
+doc_id (or of none) that would fill several ranges are dealt by their text's hash.
 
 Defined cases: null text is empty (no paragraphs; two empty texts are alike,
 1.0); equal doc_ids are ordered by the text's hash, then the text; null doc_ids
@@ -29,23 +34,30 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import itertools
+from collections import Counter
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm._shared import text_col
 
-PIECE_CHARS = 256
+PIECE_CHARS, LEAST_CHARS = 256, 64
+TAIL_CHARS, TAIL_LEAST_CHARS = 300, 16
+#: Ends of words after which a long line may be cut.
+CUT = "(?:[ds.,;:!?] |[。！？])"
+PIECE = (rf"(?s)(?:(?!.{{{TAIL_CHARS}}})[^\n]{{{TAIL_LEAST_CHARS},{PIECE_CHARS}}}?{CUT}|[^\n]{{{LEAST_CHARS},{PIECE_CHARS}}}?{CUT}"
+         rf"|[^\n]{{1,{PIECE_CHARS}}})\n*")
 #: Cells per table of the fingerprint's sketch, of a block's first and of its larger sketches.
 FIRST_CELLS, BLOCK_CELLS, LARGER_CELLS = 4, 8, 16
 #: Digests of both sides in a block on average, and larger sketches tried.
-BLOCK_LOAD, RETRIES = 6, 4
+BLOCK_LOAD, RETRIES = 8, 4
 TABLES, ROUNDS = 3, 16
 
 
 def digests(text):
     """Distinct 64-bit digests of a text's paragraphs."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{PIECE_CHARS}}}\n*"), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
@@ -122,12 +134,32 @@ def _failed():
     return F.struct(F.lit(False).alias("ok"), F.lit(0).alias("plus"), F.lit(0).alias("minus"))
 
 
+def _blocks(a, b, count):
+    """The digests of both sides by block, each block an array of structs (k:
+    block, s: side, d: digest): one sort by block, then a slice per block, so
+    the work follows the number of digests. Blocks without digests are left out."""
+    def marked(array, side):
+        return F.transform(array, lambda d: F.struct(
+            F.pmod(F.shiftrightunsigned(d, 24), count).cast("int").alias("k"), F.lit(side).alias("s"), d.alias("d")))
+
+    def starts(rows):
+        return F.filter(F.sequence(F.lit(0), F.size(rows) - 1),
+                        lambda i: (i == 0) | (F.get(rows, i)["k"] != F.get(rows, i - 1)["k"]))
+
+    def cut(rows, at):
+        return F.transform(at, lambda start, i: F.slice(
+            rows, start + 1, F.coalesce(F.get(at, i + 1), F.size(rows)) - start))
+    # one-element arrays give the sorted digests and the starts a name inside the lambdas
+    rows = F.sort_array(F.concat(marked(a, 0), marked(b, 1)))
+    return F.flatten(F.transform(F.array(rows), lambda r: F.flatten(F.transform(F.array(starts(r)), lambda at: cut(r, at)))))
+
+
 def _block_outcome(part):
-    """Outcome for the digests of one block, a struct (a, b): a small sketch of
-    both sides, on failure larger ones in which the digests meet other cells."""
+    """Outcome for the digests of one block (of ``_blocks``): a small sketch of
+    each side, on failure larger ones in which the digests meet other cells."""
     def attempt(cells, mixed):
-        return _outcome(subtract(sketch(_prepared(mixed(part["a"]), cells), cells),
-                                 sketch(_prepared(mixed(part["b"]), cells), cells)), cells)
+        a, b = (mixed(F.transform(F.filter(part, lambda x: x["s"] == side), lambda x: x["d"])) for side in (0, 1))
+        return _outcome(subtract(sketch(_prepared(a, cells), cells), sketch(_prepared(b, cells), cells)), cells)
     return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES)), _failed(), lambda st, level: F.when(st["ok"], st).when(
         level == 0, attempt(BLOCK_CELLS, lambda array: array)).otherwise(
         attempt(LARGER_CELLS, lambda array: F.transform(array, lambda d: F.xxhash64(d, level)))))
@@ -141,18 +173,8 @@ def with_likeness(rows: DataFrame, a: str, b: str, first_a: str, first_b: str, o
     small = F.when(hopeless, _failed()).otherwise(_outcome(subtract(F.col(first_a), F.col(first_b)), FIRST_CELLS))
     # digests in blocks of a bounded number on average, so the work grows with the paragraphs
     count = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / BLOCK_LOAD)).cast("int")
-
-    def numbered(array):
-        return F.transform(array, lambda d: F.struct(
-            d.alias("d"), F.pmod(F.shiftrightunsigned(d, 24), F.col("__count")).cast("int").alias("k")))
-
-    def block(array, k):
-        return F.transform(F.filter(array, lambda x: x["k"] == k), lambda x: x["d"])
     rows = rows.withColumns({"__small": small, "__count": count})
-    rows = rows.withColumns({"__na": numbered(F.col(a)), "__nb": numbered(F.col(b))})
-    rows = rows.withColumn("__parts", F.when(F.col("__small")["ok"], F.array()).otherwise(F.transform(
-        F.sequence(F.lit(0), F.col("__count") - 1),
-        lambda k: F.struct(block(F.col("__na"), k).alias("a"), block(F.col("__nb"), k).alias("b")))))
+    rows = rows.withColumn("__parts", F.when(~F.col("__small")["ok"], _blocks(F.col(a), F.col(b), F.col("__count"))).otherwise(F.array()))
     rows = rows.withColumn("__solved", F.transform("__parts", _block_outcome))
     ok = F.col("__small")["ok"] | F.forall("__solved", lambda x: x["ok"])
     plus = F.when(F.col("__small")["ok"], F.col("__small")["plus"]).otherwise(
@@ -162,7 +184,7 @@ def with_likeness(rows: DataFrame, a: str, b: str, first_a: str, first_b: str, o
     rows = rows.withColumn("__shared", shared)
     every = F.size(a) + F.size(b) - F.col("__shared")
     return rows.withColumn(out, F.when(every == 0, F.lit(1.0)).otherwise(F.col("__shared") / every).cast("double")).drop(
-        "__small", "__count", "__na", "__nb", "__parts", "__solved", "__shared")
+        "__small", "__count", "__parts", "__solved", "__shared")
 
 
 def _as_text(text, items, first):
@@ -179,12 +201,19 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
     body = text_col(docs, text)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body.alias("text"),
                        F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("__at"))
-    # at most one bound per task
-    cuts = (rows.where("doc_id IS NOT NULL")
-            .agg(F.percentile_approx("__at", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or [])
-    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="__at", outputCol="__range").transform(rows).withColumn(
-        "__range", F.col("__range").cast("int")).withColumn("__hash", F.xxhash64("text"))
+    # at most one bound per task; a bound that comes n times is a doc_id with the rows of n ranges
+    cuts = rows.agg(F.percentile_approx("__at", [i / parts for i in range(1, parts)] or [0.5], 10_000)).first()[0] or []
+    bounds = sorted(Counter(cuts).items())
+    shares = [1, *(n for _, n in bounds)]
+    first = list(itertools.accumulate(shares, initial=0))
+    low = F.col("__low")
+    hashed = rows.withColumn("__hash", F.xxhash64("text")).withColumn(
+        "__low", F.size(F.filter(F.lit([float(c) for c, _ in bounds]).cast("array<double>"), lambda c: c <= F.col("__at"))))
+    spread = F.least(F.floor((F.col("__hash").cast("double") / 2.0 ** 64 + 0.5) * (F.get(F.lit(shares), low) - 1)),
+                     F.get(F.lit(shares), low) - 2)
+    on_bound = (F.get(F.lit(shares), low) > 1) & (F.get(F.lit([float("nan"), *(float(c) for c, _ in bounds)]), low) == F.col("__at"))
+    ranged = hashed.withColumn("__range", (F.get(F.lit(first), low) + F.when(on_bound, spread).otherwise(
+        F.get(F.lit(shares), low) - 1)).cast("int")).drop("__low", "__at")
     order = [F.col("doc_id").desc_nulls_last(), F.col("__hash").desc(), F.col("text").desc()]
     within = Window.partitionBy("__range").orderBy(*order)
     # the first row of each range: one key per range, then its text

@@ -184,7 +184,29 @@ def test_quality_query(spark):
 # 3
 
 def brute_pieces(text):
-    return set(re.findall(rf"[^\n]{{1,{paragraph_sketch.PIECE_CHARS}}}\n*", text))
+    """Paragraphs by a plain scan over characters."""
+    out, at = set(), 0
+    while at < len(text):
+        if text[at] == "\n":
+            at += 1
+            continue
+        line = text.find("\n", at)
+        line = len(text) if line < 0 else line
+        tail = len(text) - at < paragraph_sketch.TAIL_CHARS
+        least = paragraph_sketch.TAIL_LEAST_CHARS if tail else paragraph_sketch.LEAST_CHARS
+        end = min(line, at + paragraph_sketch.PIECE_CHARS)
+        for i in range(at + least, at + paragraph_sketch.PIECE_CHARS + 1):
+            if i + 1 < line and text[i] in "ds.,;:!?" and text[i + 1] == " ":
+                end = i + 2
+                break
+            if i < line and text[i] in "。！？":
+                end = i + 1
+                break
+        while end < len(text) and text[end] == "\n":
+            end += 1
+        out.add(text[at:end])
+        at = end
+    return out
 
 
 def test_sketches_recover_differences(spark):
@@ -213,6 +235,44 @@ def test_crowded_sketches_fall_back_to_larger(spark):
     assert {r["near_edited"] for r in out.collect()} == {0.0}
 
 
+def test_long_lines_are_cut_by_their_words(spark):
+    """A changed end and an inserted word leave the other paragraphs of one line alike."""
+    import random
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeinorst") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    short, line, far = " ".join(words[:30]), " ".join(words), "漢字仮名" * 300
+    rows = [(1, short, short[:2 * len(short) // 3] + "x" * (len(short) // 3), ""),
+            (2, line, "inserted " + line, ""),
+            (3, far, far[:-200] + "字" * 200, "")]
+    out = paragraph_sketch.compare_versions(spark.createDataFrame(rows, "doc_id long, text string, edited_text string, next_text string"))
+    got = {r["doc_id"]: r["near_edited"] for r in out.collect()}
+    for doc, a, b, _ in rows:
+        x, y = brute_pieces(a), brute_pieces(b)
+        assert got[doc] == pytest.approx(len(x & y) / len(x | y))
+    assert got[1] > 0.2 and got[2] > 0.9
+
+
+def test_sketches_of_a_very_long_text(spark):
+    """Ten megabytes in one row: the work follows the number of paragraphs."""
+    lines = [f"{i:x} {hashlib.sha512(str(i).encode()).hexdigest()}" for i in range(75_000)]
+    text, other = "\n".join(lines), "\n".join(x for i, x in enumerate(lines) if i % 1000)
+    row = spark.createDataFrame([(1, text, other, "")], "doc_id long, text string, edited_text string, next_text string")
+    r = paragraph_sketch.compare_versions(row).select("near_edited", "near_next").first()
+    x, y = brute_pieces(text), brute_pieces(other)
+    assert len(text) > 9_000_000 and r["near_next"] == 0.0
+    assert r["near_edited"] == pytest.approx(len(x & y) / len(x | y))
+
+
+def test_next_document_where_an_id_fills_ranges(spark):
+    """Half of the rows without an id, a third of the others with the same one."""
+    rows = [(None if i % 2 else (7 if i % 3 else i), f"text {i % 170}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashes = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]], r[1]), reverse=True)
+    want = sorted([(*r, order[(i + 1) % len(order)][1]) for i, r in enumerate(order)], key=repr)
+    assert pairs(paragraph_sketch.with_next(docs).collect(), "doc_id", "text", "next_text") == want
+
+
 def test_next_document(spark, docs, empty):
     got = pairs(paragraph_sketch.with_next(docs).collect(), "doc_id", "text", "next_text")
     def key(r):
