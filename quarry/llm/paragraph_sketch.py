@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm._shared import text_col
 
-PIECE_CHARS, LEAST_CHARS = 256, 64
+PIECE_CHARS, LEAST_CHARS = 256, 112
 TAIL_CHARS, TAIL_LEAST_CHARS = 300, 16
 #: Ends of words after which a long line may be cut.
 CUT = "(?:[ds.,;:!?] |[。！？])"
