@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from quarry import sinks, sources
 
 
@@ -219,3 +220,18 @@ def test_logits_file_is_cut_anywhere(spark, tmp_dir):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def _staged(spark, monkeypatch, tmp_dir, query):
+    """Rows of a query that stages files, and the folders of those files."""
+    from quarry.plans import queries
+    monkeypatch.setattr(queries, "staging_path", lambda spark, name: os.path.join(tmp_dir, name))
+    rows = queries.registry()[query](spark, SF_SMALL).collect()
+    return rows, [os.path.relpath(at, tmp_dir) for at, _, files in os.walk(tmp_dir) if any(f.startswith("part-") for f in files)]
+
+
+def test_article_tree_is_staged_in_a_folder_per_label(spark, monkeypatch, tmp_dir):
+    rows, folders = _staged(spark, monkeypatch, tmp_dir, "scan_article_tree")
+    assert len(rows) > 4 and len({r["news_id"] for r in rows}) == len(rows)
+    assert sorted(folders) == [f"articles/{kind}/dataset=politifact/news_label={side}"
+                               for kind in ("articles", "posts") for side in ("fake", "real")]
