@@ -99,3 +99,27 @@ def test_batch_window_against_plain_numbering(spark):
                 want += [r for pos, r in enumerate(mine) if (lo is None or pos > lo) and (hi is None or start[r[1]] <= hi) or (lo is None and hi is None)]
             got = filters.batch_window(df, "news_id", order, lo, hi, "news_label")
             assert sorted(tuple(r) for r in got.collect()) == sorted(want), (lo, hi, order)
+
+
+def test_batch_window_shuffles_no_row_by_its_part(spark):
+    """A part (label) holds half of all texts: only its bounds travel."""
+    posts = spark.createDataFrame([("fake" if n % 2 else "real", n, p, "text") for n in range(6) for p in range(3)],
+                                  "news_label string, news_id long, post_id long, post string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as where the tables are large
+    try:
+        got = filters.batch_window(posts, "news_id", ["news_id", "post_id"], 0, 4, "news_label")
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins)
+        assert got.count() == 2 * 5
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_batch_window_numbers_the_counted_rows_only(spark):
+    posts = spark.createDataFrame([("fake", n, p) for n in range(5) for p in range(3)], "news_label string, news_id long, post_id long")
+    counted = posts.filter("news_id % 2 = 0")  # posts 0 to 2 are of article 0, 3 to 5 of article 2, 6 to 8 of article 4
+    got = filters.batch_window(posts, "news_id", ["news_id", "post_id"], 1, 3, "news_label", counted)
+    assert sorted((r["news_id"], r["post_id"]) for r in got.filter("news_id % 2 = 0").collect()) == [(0, 2), (2, 0), (2, 1), (2, 2)]
