@@ -235,3 +235,17 @@ def test_article_tree_is_staged_in_a_folder_per_label(spark, monkeypatch, tmp_di
     assert len(rows) > 4 and len({r["news_id"] for r in rows}) == len(rows)
     assert sorted(folders) == [f"articles/{kind}/dataset=politifact/news_label={side}"
                                for kind in ("articles", "posts") for side in ("fake", "real")]
+
+
+def test_url_manifest_is_staged_in_few_files(spark, monkeypatch, tmp_dir):
+    rows, folders = _staged(spark, monkeypatch, tmp_dir, "scan_url_manifest")
+    assert len({r["thread"] for r in rows}) > 4 and folders == ["manifest"]
+
+
+def test_url_manifest_table_layout(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "manifest")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.csv"), "w") as f:
+        f.write("500\tu1\tt.co/a\thttp://a.com/x\n501\tu3\t\t\n")
+    got = sorted(tuple(r) for r in sources.scan_url_manifest(spark, path, layout="table").collect())
+    assert got == [("500", "u1", "t.co/a", "http://a.com/x"), ("501", "u3", "", "")]
