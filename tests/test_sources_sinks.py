@@ -249,3 +249,28 @@ def test_url_manifest_table_layout(spark, tmp_dir):
         f.write("500\tu1\tt.co/a\thttp://a.com/x\n501\tu3\t\t\n")
     got = sorted(tuple(r) for r in sources.scan_url_manifest(spark, path, layout="table").collect())
     assert got == [("500", "u1", "t.co/a", "http://a.com/x"), ("501", "u3", "", "")]
+
+
+def test_sentence_pair_files_lose_their_header_without_a_shuffle(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pairs")
+    os.makedirs(path)
+    for n in range(3):
+        with open(os.path.join(path, f"part-{n}.txt"), "w") as f:
+            f.write(f"Quality\t#1 ID\t#2 ID\t#1 String\t#2 String\n1\t{n}\tb\ts one\ts two\n")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as where the tables are large
+    try:
+        got = sources.read_sentence_pairs(spark, path)
+        assert "SortMergeJoin" not in got._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(r["id1"] for r in got.collect()) == ["0", "1", "2"]
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_sentence_pairs_are_staged_compressed_by_one_job(spark, monkeypatch, tmp_dir):
+    rows, folders = _staged(spark, monkeypatch, tmp_dir, "pipeline_sentence_pairs")
+    assert {r["split"] for r in rows} == {"train", "dev", "test"}
+    assert sorted(folders) == ["sentence-pairs/file=test", "sentence-pairs/file=train"]
+    files = [f for _, _, names in os.walk(tmp_dir) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
