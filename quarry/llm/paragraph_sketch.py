@@ -83,16 +83,28 @@ def _cell_mask(digest, cells):
     return mask
 
 
+def _once(value, use):
+    """``use`` of a value computed once. In a lambda a column stands for its
+    expression, which is evaluated again for every element; a lambda's own
+    argument is not."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def sketch(items, cells: int):
-    """Cells of an array of structs (d: digest, c: check, m: cell bits)."""
-    return F.transform(
+    """Cells of an array of structs (d: digest, c: check, m: cell bits, n: 1, or
+    -1 for what is to be subtracted)."""
+    return _once(items, lambda given: F.transform(
         F.sequence(F.lit(0), F.lit(TABLES * cells - 1)),
-        lambda i: F.aggregate(items, _zero(), lambda acc, x: F.when(
-            F.getbit(x["m"], i) == 1, _add(acc, x["d"], x["c"], F.lit(1))).otherwise(acc)))
+        lambda i: F.aggregate(given, _zero(), lambda acc, x: F.when(
+            F.getbit(x["m"], i) == 1, _add(acc, x["d"], x["c"], x["n"])).otherwise(acc))))
+
+
+def _item(digest, n, cells: int):
+    return F.struct(digest.alias("d"), _check(digest).alias("c"), _cell_mask(digest, cells).alias("m"), n.alias("n"))
 
 
 def _prepared(array, cells: int):
-    return F.transform(array, lambda d: F.struct(d.alias("d"), _check(d).alias("c"), _cell_mask(d, cells).alias("m")))
+    return F.transform(array, lambda d: _item(d, F.lit(1), cells))
 
 
 def subtract(a, b):
@@ -104,9 +116,9 @@ def peel(cells_array, cells: int):
     """Struct (cells, plus, minus): what is left of the cells, and how many
     digests only the first or only the second version has."""
     def pure(state):
-        return F.array_distinct(F.transform(
+        return F.transform(F.array_distinct(F.transform(
             F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == _check(c["x"]))),
-            lambda c: F.struct(c["x"].alias("d"), c["n"].alias("n"), c["c"].alias("c"), _cell_mask(c["x"], cells).alias("m"))))
+            lambda c: F.struct(c["x"].alias("d"), c["n"].alias("n")))), lambda r: _item(r["d"], r["n"], cells))
 
     def step(state, _):
         # the round's digests are computed once and used by every cell
@@ -155,14 +167,15 @@ def _blocks(a, b, count):
 
 
 def _block_outcome(part):
-    """Outcome for the digests of one block (of ``_blocks``): a small sketch of
-    each side, on failure larger ones in which the digests meet other cells."""
+    """Outcome for the digests of one block (of ``_blocks``): a small sketch, the
+    second side's digests subtracted, on failure larger ones in which the digests
+    meet other cells."""
     def attempt(cells, mixed):
-        a, b = (mixed(F.transform(F.filter(part, lambda x: x["s"] == side), lambda x: x["d"])) for side in (0, 1))
-        return _outcome(subtract(sketch(_prepared(a, cells), cells), sketch(_prepared(b, cells), cells)), cells)
+        signed = F.transform(part, lambda x: F.struct(mixed(x["d"]).alias("d"), (1 - 2 * x["s"]).alias("n")))
+        return _outcome(sketch(F.transform(signed, lambda x: _item(x["d"], x["n"], cells)), cells), cells)
     return F.aggregate(F.sequence(F.lit(0), F.lit(RETRIES)), _failed(), lambda st, level: F.when(st["ok"], st).when(
-        level == 0, attempt(BLOCK_CELLS, lambda array: array)).otherwise(
-        attempt(LARGER_CELLS, lambda array: F.transform(array, lambda d: F.xxhash64(d, level)))))
+        level == 0, attempt(BLOCK_CELLS, lambda d: d)).otherwise(
+        attempt(LARGER_CELLS, lambda d: F.xxhash64(d, level))))
 
 
 def with_likeness(rows: DataFrame, a: str, b: str, first_a: str, first_b: str, out: str) -> DataFrame:

@@ -235,6 +235,19 @@ def test_crowded_sketches_fall_back_to_larger(spark):
     assert {r["near_edited"] for r in out.collect()} == {0.0}
 
 
+def test_sketches_prepare_their_digests_once(spark):
+    """Checks and cell bits are made outside the lambda over the cells, not again for every cell."""
+    made = paragraph_sketch.sketch(paragraph_sketch._prepared(F.col("a"), 4), 4)
+    for column in (made, paragraph_sketch._block_outcome(F.col("part"))):
+        given = re.findall(r"sequence\(0, \d+\), \w+ -> aggregate\(\w+(.)", str(column))
+        assert given and set(given) == {","}  # a lambda's argument, not the expression that prepares the digests
+    digests = [5, -7, 1 << 40, -(1 << 62)]
+    rows = spark.createDataFrame([(digests, digests[1:])], "a array<long>, b array<long>")
+    one, other = (paragraph_sketch.sketch(paragraph_sketch._prepared(F.col(c), 4), 4) for c in "ab")
+    left = rows.select(paragraph_sketch.subtract(one, other).alias("x")).first()["x"]
+    assert sorted((c["n"], c["x"]) for c in left if c["n"]) == [(1, 5)] * 3 and len(left) == 12
+
+
 def test_long_lines_are_cut_by_their_words(spark):
     """A changed end and an inserted word leave the other paragraphs of one line alike."""
     import random
