@@ -6,8 +6,9 @@ import numpy as np
 
 from quarry.llm._shared import ship_by_value, worker_cache
 
-#: Bytes of text that one kernel call works on (a longer text is taken alone).
-CHUNK_BYTES = 1 << 22
+#: Bytes of text that one kernel call works on (a longer text is taken alone). The
+#: arrays of a call are a hundred times that, and a worker keeps some of the memory.
+CHUNK_BYTES = 1 << 19
 
 _MASK = (1 << 64) - 1
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from quarry.session import checkpoint_dir, staging_path
 
 #: Bytes of one Arrow batch handed to Python, so that long texts cannot fill a worker.
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 4 << 20
 
 
 def ship_by_value(module_name: str) -> None:

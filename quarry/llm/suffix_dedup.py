@@ -49,9 +49,9 @@ CROWD = 20_000
 #: Anchors met this often in one of so many documents are spread over salts, the most frequent ones first.
 FREQUENT, SAMPLE_ONE_IN, MOST_FREQUENT, SALTS = 64, 64, 10_000, 64
 #: Bytes of text searched for anchors at once.
-CHUNK_BYTES = 1 << 20
-#: Bytes of runs sorted together.
-SORT_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
+#: Bytes of runs sorted together (the arrays take over a hundred times that).
+SORT_BYTES = 1 << 19
 _BITS, _DIGITS = 9, 7  # seven symbols of nine bits (a byte plus one, or the end) in a word
 
 

@@ -214,6 +214,25 @@ def brute_repeats(runs, starts, length):
     return out
 
 
+def test_suffix_kernels_need_little_memory():
+    """Two workers stand beside an executor's heap; a call's arrays stay small beside it."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(97, 123, 150, dtype=np.uint8).tobytes() for _ in range(suffix_dedup.SORT_BYTES // 150)]
+    doc, ones = np.arange(len(rows)), np.ones(len(rows), np.int64)
+    text = rng.integers(97, 123, suffix_dedup.CHUNK_BYTES, dtype=np.uint8)
+    calls = [lambda: suffix_dedup.repeats_in_runs(rows, 51 * ones, doc, 0 * ones, 100),
+             lambda: suffix_dedup.anchor_runs(text, np.array([0, len(text)]), 100, 16),
+             lambda: _bytes.prefix_hash(rng.integers(0, 256, _bytes.CHUNK_BYTES, dtype=np.uint8))]
+    for call in calls:
+        tracemalloc.start()
+        try:
+            call()
+            assert tracemalloc.get_traced_memory()[1] < 96 << 20
+        finally:
+            tracemalloc.stop()
+
+
 def test_two_stage_sort_and_common_prefixes():
     rng = random.Random(5)
     for _ in range(150):
