@@ -33,8 +33,8 @@ from pyspark.sql.window import Window
 
 from quarry.llm._shared import bound_arrow_batches, saved, ship_by_value, worker_cache
 
-#: Distinct parts whose ids a worker keeps before it starts anew.
-CACHE_PARTS = 250_000
+#: Parts and ids that a worker keeps before it starts anew, and places (a power of two) to find parts by hash.
+CACHE_PARTS, CACHE_IDS, CACHE_PLACES = 1_000_000, 6_000_000, 1 << 21
 #: Parts handed to the library at once.
 ENCODE_PARTS = 256
 #: Fillings compared for one largest length, and branches overall.
@@ -49,12 +49,15 @@ class IdEncoder:
     """Ids of a byte-level BPE, every distinct part of a batch encoded once.
 
     The library cuts a text by its pattern before it merges, so a text may be
-    split before encoding wherever the pattern surely cuts: before a single
-    space between two visible characters, between an ASCII letter and a full
-    stop or comma, and after a single line break between two visible
-    characters. Texts with other white space are split at single spaces only
-    (``odd``). Parts go to the library many at a time, joined by spaces: only
-    a part's first id starts with the space, which shows where it begins."""
+    split before encoding wherever the pattern surely cuts: before white space
+    after a visible character, before the last of several white characters (and
+    after it, unless it is a space) if a visible one follows, and between an
+    ASCII letter and another visible ASCII character (only before an apostrophe,
+    not after it). Texts with white space outside ASCII or special strings are
+    split at single spaces only (``odd``). Parts go to the library many at a
+    time: those with a leading space one after the other, as only a part's first
+    id starts with the space, others after a line break each, which is an id of
+    its own."""
 
     def __init__(self, path: str):
         import re
@@ -64,15 +67,25 @@ class IdEncoder:
         self.model = Tokenizer.from_file(path)
         size = self.model.get_vocab_size()
         self.spaced = np.array([(self.model.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-        self.odd = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+        line = self.model.encode("\n", add_special_tokens=False).ids
+        self.line = np.arange(size) == (line[0] if len(line) == 1 else -1)
+        self.odd = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
         self.boundary = re.compile(r"(?<=\S) (?=\S)")
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        #: per byte: white, ASCII letter, other visible ASCII, may begin an odd character
+        self.white, self.letter, self.mark, self.doubt = np.zeros((4, 256), dtype=bool)
+        self.white[[32, *range(9, 14)]] = True
+        self.letter[[*range(65, 91), *range(97, 123)]] = True
+        self.mark[33:127] = ~self.letter[33:127]
+        self.doubt[[*range(0x1c, 0x20), 0xc2, 0xe1, 0xe2, 0xe3]] = True
         self._clear()
 
     def _clear(self) -> None:
+        """No part is known. A place holds the last part learned there: its hash and number."""
         import numpy as np
-        self.number: dict[int, int] = {}
-        self.flat, self.starts, self.filled = np.zeros(1 << 16, np.uint32), np.zeros((1 << 14) + 1, np.int64), 0
+        self.known = 0
+        self.hash_at, self.number_at = np.zeros(CACHE_PLACES, np.uint64), np.full(CACHE_PLACES, -1, np.int32)
+        self.flat, self.starts = np.zeros(1 << 16, np.uint32), np.zeros((1 << 14) + 1, np.int64)
 
     def direct(self, text: str) -> bytes:
         """Parts at single spaces, each encoded by the library as it stands."""
@@ -81,27 +94,32 @@ class IdEncoder:
         made = self.model.encode_batch_fast(parts[:1] + [" " + p for p in parts[1:]], add_special_tokens=False)
         return b"".join(np.array(e.ids, dtype="<u4").tobytes() for e in made)
 
-    def _learn(self, hashes, parts: list[str]) -> None:
-        """Number the new parts (each starts with a space) and keep their ids."""
+    def _learn(self, parts: list[bytes], begins) -> None:
+        """Keep the ids of parts under the next numbers. ``begins``: per id, whether
+        a part begins with it (``spaced``) or after it (``line``); None: one by one."""
         import numpy as np
         for at in range(0, len(parts), ENCODE_PARTS):
             group = parts[at:at + ENCODE_PARTS]
-            ids = np.array(self.model.encode("".join(group), add_special_tokens=False).ids, dtype=np.uint32)
-            begin = np.flatnonzero(self.spaced[ids])
-            if len(begin) != len(group):  # a special string or the like: one by one
-                each = [np.array(e.ids, dtype=np.uint32)
-                        for e in self.model.encode_batch_fast(group, add_special_tokens=False)]
-                ids = np.concatenate(each)
-                begin = np.cumsum([0] + [len(x) for x in each[:-1]])
-            known, top = len(self.number), self.starts[len(self.number)]
+            size = None
+            if begins is not None:
+                after = begins is self.line
+                text = (b"\n" + b"\n".join(group) if after else b"".join(group)).decode()
+                ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+                first = begins[ids]
+                if first.sum() == len(group):
+                    size = np.diff(np.append(np.flatnonzero(first), len(ids))) - after
+                    ids = ids[~first] if after else ids
+            if size is None:  # white space, or a model without such ids
+                each = [e.ids for e in self.model.encode_batch_fast([p.decode() for p in group], add_special_tokens=False)]
+                ids, size = np.array([i for x in each for i in x], dtype=np.uint32), np.array([len(x) for x in each])
+            known, top = self.known, int(self.starts[self.known])
             while top + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
             while known + len(group) + 1 > len(self.starts):
                 self.starts = np.concatenate([self.starts, np.zeros(len(self.starts), np.int64)])
             self.flat[top:top + len(ids)] = ids
-            self.starts[known:known + len(group)] = top + begin
-            self.starts[known + len(group)] = top + len(ids)
-            self.number.update(zip(hashes[at:at + ENCODE_PARTS], range(known, known + len(group)), strict=True))
+            self.starts[known + 1:known + len(group) + 1] = top + np.cumsum(size)
+            self.known += len(group)
 
     def encode(self, column) -> list[bytes]:
         """Ids of each text of an Arrow array, as little-endian 32-bit bytes."""
@@ -113,65 +131,69 @@ class IdEncoder:
             out += self._encode(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], np, b)
         return out
 
+    def _not_plain(self, data, whole: bytes, offsets, np) -> list[int]:
+        """Numbers of the texts with odd white space or special strings."""
+        special = [s.encode() for s in self.special if s.encode() in whole]
+        if special:
+            doubt = range(len(offsets) - 1)
+        else:
+            doubt = np.unique(np.searchsorted(offsets, np.flatnonzero(self.doubt[data]), side="right") - 1).tolist()
+        texts = ((i, whole[offsets[i]:offsets[i + 1]]) for i in doubt)
+        return [i for i, t in texts if any(s in t for s in special) or self.odd.search(t.decode())]
+
     def _encode(self, data, offsets, np, b) -> list[bytes]:
+        import pyarrow as pa
         n = len(data)
         if n == 0:
             return [b""] * (len(offsets) - 1)
-        texts = [data[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
-        special = [s.encode() for s in self.special]
-        plain = np.ones(len(texts), dtype=bool)
-        for i, t in enumerate(texts):
-            if (b"  " in t or b" \n" in t or b"\n " in t or t[:1] == b" " or any(s in t for s in special)
-                    or self.odd.search(t.decode())):
-                plain[i] = False
-        letter = ((data | 32) - 97) < 26  # unsigned: smaller bytes wrap round
-        blank, line = data == 32, data == 10
-        cut = np.zeros(n + 1, dtype=bool)
-        cut[offsets] = True
-        cut[:n] |= blank
-        cut[1:n] |= letter[:-1] & ((data[1:] == 46) | (data[1:] == 44))
-        if n > 2:
-            solid = ~(blank | line)
-            cut[2:n] |= solid[:-2] & line[1:-1] & solid[2:]
+        whole = data.tobytes()
+        white, letter, mark = self.white[data], self.letter[data], self.mark[data]
+        edge = np.zeros(n + 1, dtype=bool)
+        edge[offsets] = True
+        cut = edge.copy()
+        before, here, inside = white[:-1], white[1:], ~edge[1:n]
+        cut[1:n] |= here & ~before
+        last = before & ~here & inside  # white, and a visible one follows in the text
+        cut[:n - 1] |= last
+        cut[1:n] |= last & (data[:-1] != 32)
+        cut[1:n] |= letter[:-1] & mark[1:] | mark[:-1] & letter[1:] & (data[:-1] != 39)
         start = np.flatnonzero(cut[:n])
         end = np.append(start[1:], n)
-        spaced = blank[start]
         hashed = b.span_hash(b.prefix_hash(data), start, end)
-        keep = np.repeat(plain, np.diff(b.per_text(start, offsets)))
-        start, end, spaced, hashed = start[keep], end[keep], spaced[keep], hashed[keep]
-        values, where, inverse = np.unique(hashed, return_index=True, return_inverse=True)
-        if len(self.number) > CACHE_PARTS:
+        odd = self._not_plain(data, whole, offsets, np)
+        if odd:
+            plain = np.ones(len(offsets) - 1, dtype=bool)
+            plain[odd] = False
+            keep = np.repeat(plain, np.diff(b.per_text(start, offsets)))
+            start, end, hashed = start[keep], end[keep], hashed[keep]
+        distinct = pa.array(hashed).dictionary_encode()
+        inverse = distinct.indices.to_numpy()
+        hashed = distinct.dictionary.to_numpy()
+        if self.known > CACHE_PARTS or self.starts[self.known] > CACHE_IDS:
             self._clear()
-        keys = values.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.number]
-        lead = spaced[where].tolist()
-        with_space = [i for i in new if lead[i]]
-        without = [i for i in new if not lead[i]]
-        whole, s, e = data.tobytes(), start[where].tolist(), end[where].tolist()
-        self._learn([keys[i] for i in with_space], [whole[s[i]:e[i]].decode() for i in with_space])
-        self._alone([keys[i] for i in without], [whole[s[i]:e[i]].decode() for i in without])
-        number = np.fromiter(map(self.number.__getitem__, keys), dtype=np.int64, count=len(keys))[inverse]
-        at, size = self.starts[number], self.starts[number + 1] - self.starts[number]
+        place = hashed & np.uint64(CACHE_PLACES - 1)
+        number = np.where(self.hash_at[place] == hashed, self.number_at[place], -1)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            where = np.zeros(len(hashed), dtype=np.int64)
+            where[inverse] = np.arange(len(inverse))
+            s, e = start[where[new]], end[where[new]]
+            only_white, spaced = white[e - 1], white[s]
+            for chosen, begins in ((spaced & ~only_white, self.spaced), (~spaced, self.line), (only_white, None)):
+                number[new[chosen]] = np.arange(self.known, self.known + np.count_nonzero(chosen))
+                self._learn([whole[i:j] for i, j in zip(s[chosen].tolist(), e[chosen].tolist(), strict=True)], begins)
+            self.hash_at[place[new]], self.number_at[place[new]] = hashed[new], number[new]
+        number = number[inverse]
+        at = self.starts[number]
+        size = self.starts[number + 1] - at
         ends = np.cumsum(size)
         flat = self.flat[np.repeat(at - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[b.per_text(start, offsets)]
-        return [flat[bounds[i]:bounds[i + 1]].astype("<u4").tobytes() if plain[i] else self.direct(t.decode())
-                for i, t in enumerate(texts)]
-
-    def _alone(self, hashes, parts: list[str]) -> None:
-        """As ``_learn`` for parts without a space before them."""
-        import numpy as np
-        if not parts:
-            return
-        each = [np.array(e.ids, dtype=np.uint32) for e in self.model.encode_batch_fast(parts, add_special_tokens=False)]
-        ids, known, top = np.concatenate(each), len(self.number), self.starts[len(self.number)]
-        while top + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-        while known + len(parts) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros(len(self.starts), np.int64)])
-        self.flat[top:top + len(ids)] = ids
-        self.starts[known + 1:known + len(parts) + 1] = top + np.cumsum([len(x) for x in each])
-        self.number.update(zip(hashes, range(known, known + len(parts)), strict=True))
+        made = flat.astype("<u4", copy=False).tobytes()
+        bounds = (4 * np.concatenate([[0], ends])[b.per_text(start, offsets)]).tolist()
+        out = [made[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+        for i in odd:
+            out[i] = self.direct(whole[offsets[i]:offsets[i + 1]].decode())
+        return out
 
 
 def _encoder(path: str) -> IdEncoder:

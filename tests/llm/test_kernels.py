@@ -75,6 +75,71 @@ def test_ids_equal_the_library(texts):
         assert got == [encoder.model.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_equal_the_library_wherever_a_text_is_cut(monkeypatch):
+    """Runs of white space, contractions, digits and special strings, with a cache that overflows and without."""
+    rng = random.Random(11)
+    bits = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", "'", "'s", "'ll", "-", ".", ",", "(", "<", "$", "a", "s", "ll", "the", "The",
+            "Z", "0", "12", "\u00e9", "\u00df", "\u65e5", "\u0301", "\u201c", "\u00a0", "\x1c", "\u2003", "<|endoftext|>", "<|endo"]
+    for cache in ((3, 4, 2), (50, 16, 7), (1000, 64, 256)):
+        for name, value in zip(("CACHE_PARTS", "CACHE_PLACES", "ENCODE_PARTS"), cache, strict=True):
+            monkeypatch.setattr(packing, name, value)
+        encoder = packing.IdEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+        for _ in range(8):
+            some = rng.sample(bits, rng.randint(3, len(bits)))
+            texts = ["".join(rng.choices(some, k=rng.randint(0, 25))) for _ in range(60)] + [None]
+            got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))]
+            assert got == [encoder.model.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_long_parts_do_not_pile_up(monkeypatch):
+    """Texts without a space are a part each; the ids kept are bounded, too."""
+    monkeypatch.setattr(packing, "CACHE_IDS", 20_000)
+    encoder, rng = packing.IdEncoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(13)
+    for _ in range(40):
+        texts = ["".join(rng.choices("\u65e5\u672c\u8a9e\u4e2d\u6587\u00e9", k=3_000)) for _ in range(2)]
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))]
+        assert got == [encoder.model.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.flat) <= 1 << 16
+
+
+class Watched:
+    """The library's model, which notes the characters that it is asked for."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, 0
+
+    def encode(self, text, **more):
+        self.asked += len(text)
+        return self.model.encode(text, **more)
+
+    def encode_batch_fast(self, texts, **more):
+        self.asked += sum(map(len, texts))
+        return self.model.encode_batch_fast(texts, **more)
+
+
+@pytest.mark.parametrize("around", ["{}\n{}", "({}) {}", "{}: {}", "\"{}\" {}", "{}-{}", "{}  {}", "{}\t{}", "{}7 {}$$$"])
+def test_a_known_word_is_not_encoded_again_for_what_stands_around_it(around):
+    encoder = packing.IdEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefgh", k=9)) for _ in range(500)]
+    encoder.encode(pa.array([" ".join(words), "\n".join(words)]))
+    encoder.model = Watched(encoder.model)
+    texts = [around.format(a, b) for a, b in zip(words[1:], words[2:])]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))]
+    assert encoder.model.asked < len("".join(texts)) / 10
+    assert got == [encoder.model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_many_parts_stay_known():
+    """300,000 different words, twice: the second time the library is asked for few."""
+    encoder = packing.IdEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = pa.array([" ".join(f"{chr(97 + i % 26)}{i:x}" for i in range(at, at + 10_000)) for at in range(0, 300_000, 10_000)])
+    first = encoder.encode(texts)
+    encoder.model = Watched(encoder.model)
+    assert encoder.encode(texts) == first
+    assert encoder.model.asked < sum(map(len, texts.to_pylist())) / 4
+
+
 def fewest(lengths, capacity):
     """Brute force: least number of sequences by trying every place for every piece."""
     best = [len(lengths)]
