@@ -274,3 +274,34 @@ def test_sentence_pairs_are_staged_compressed_by_one_job(spark, monkeypatch, tmp
     assert sorted(folders) == ["sentence-pairs/file=test", "sentence-pairs/file=train"]
     files = [f for _, _, names in os.walk(tmp_dir) for f in names if f.startswith("part-")]
     assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_sentence_pair_lines_shuffle_each_text_once(spark, tmp_dir):
+    from quarry.plans import fixtures
+    docs = [(i, f"text\n{i}") for i in (-65, -64, -63, -1, 0, 1, 62, 63, 64, 65, 127, 128, 300)]
+    docs += [(64, "other 64"), (64, "other 64"), (0, None), (None, "no id"), (None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    lines = fixtures.fx_pair_lines(spark, tmp_dir)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    flat = [(i, t and t.replace("\n", " ")) for i, t in docs if i is not None]
+    want = ["\t".join(x for x in (str(i % 2 if i >= 0 else -(-i % 2)), str(i), str(j), s, t) if x is not None) for i, s in flat for j, t in flat if j == i + 1]
+    assert len(want) > 12 and sorted(r["value"] for r in lines.collect()) == sorted(want)
+
+
+def test_pairs_are_not_shuffled_to_their_dev_ids(spark, monkeypatch):
+    from quarry.operators import joins
+    pairs = spark.createDataFrame([(str(i), str(i + 1), f"s{i}") for i in range(20)] + [(None, "1", "none")], "id1 string, id2 string, s1 string")
+    dev = spark.createDataFrame([("3", "4"), ("3", "4"), ("9", "1"), (None, "1")], "id1 string, id2 string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as where the tables are large
+    try:
+        for most, join in ((joins.BROADCAST_KEYS_BYTES, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+            monkeypatch.setattr(joins, "BROADCAST_KEYS_BYTES", most)
+            got = joins.pair_semi_anti_split(pairs, dev)
+            assert join in got._jdf.queryExecution().sparkPlan().toString()
+            rows = got.collect()
+            assert len(rows) == 21 and [(r["id1"], r["s1"]) for r in rows if r["split"] == "dev"] == [("3", "s3")]
+    finally:
+        spark.conf.set(key, old)
